@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, sharding
+from . import packing, secrets, sharding, tokens
 from .shared import documents
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.read_files(tokens.write_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secrets.scan(documents(spark, sf_dir), secrets.Ledger(spark))
     spans = F.coalesce("spans", F.expr("cast(array() as array<struct<start:bigint,pos:int,end:bigint,rule:string>>)"))
@@ -27,10 +32,16 @@ def op7_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 4096)
+
+
 def queries() -> dict:
     return {
+        "op4_token_files": op4_token_files,
         "op6_secret_ledger": op6_secret_ledger,
         "op7_stratified_shards": op7_stratified_shards,
+        "op8_swap_packing": op8_swap_packing,
     }
 
 
