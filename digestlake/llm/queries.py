@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets, sharding, tokens
+from . import packing, quality, secrets, sharding, tokens
 from .shared import documents
 
 
@@ -36,14 +36,48 @@ def op8_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 4096)
 
 
+def op9_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, source, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+base AS (
+  SELECT doc_id, source, text, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM d),
+grams AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS g FROM d, unnest(generate_series(1, len(w) - 7)) AS t(i) WHERE len(w) >= 8),
+twice AS (SELECT doc_id, g FROM grams GROUP BY ALL HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM grams JOIN twice USING (doc_id, g), generate_series(0, 7) AS s(k) GROUP BY doc_id),
+plain AS (
+  SELECT doc_id, source, text, trim(unnest(string_split(lower(regexp_replace(text, '[\x20\x09\x0B-\x0D]+', ' ', 'g')), chr(10))), ' ') AS line
+  FROM documents),
+hosts AS (SELECT source, count(DISTINCT text) AS texts FROM documents GROUP BY source),
+common AS (
+  SELECT source, line FROM plain JOIN hosts USING (source) WHERE line <> ''
+  GROUP BY source, line, texts HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.01 * texts),
+lost AS (SELECT doc_id, CAST(sum(len(string_split(line, ' '))) AS BIGINT) AS n FROM plain JOIN common USING (source, line) GROUP BY doc_id),
+figures AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lost.n, 0) AS removed_words
+  FROM base LEFT JOIN covered USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND removed_words <= 0.5 * n_words AS kept
+FROM figures
+"""
+
+
 def queries() -> dict:
     return {
         "op4_token_files": op4_token_files,
         "op6_secret_ledger": op6_secret_ledger,
         "op7_stratified_shards": op7_stratified_shards,
         "op8_swap_packing": op8_swap_packing,
+        "op9_line_frequency": op9_line_frequency,
     }
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op9_line_frequency": OP9_SQL}
