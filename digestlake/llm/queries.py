@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, sharding, tokens
+from . import packing, pii, quality, secrets, sharding, tokens
 from .shared import documents
 
 
@@ -69,6 +69,18 @@ FROM figures
 """
 
 
+def op10_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.find(documents(spark, sf_dir))
+    listed = lambda column, kind: F.transform(column, lambda s: F.concat_ws(":", F.lit(kind), s.start, s.end))
+    base = F.concat(*[listed(F.col(kind), kind) for kind in pii.KINDS])
+    return rows.select(
+        "doc_id",
+        *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, listed(F.col("added"), "other")), ",").alias("spans"),
+    )
+
+
 def queries() -> dict:
     return {
         "op4_token_files": op4_token_files,
@@ -76,6 +88,7 @@ def queries() -> dict:
         "op7_stratified_shards": op7_stratified_shards,
         "op8_swap_packing": op8_swap_packing,
         "op9_line_frequency": op9_line_frequency,
+        "op10_candidate_boosting": op10_candidate_boosting,
     }
 
 
