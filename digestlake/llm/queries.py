@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, quality, secrets, sharding, tokens
+from . import jaccard, packing, pii, quality, secrets, sharding, tokens
 from .shared import documents
 
 
+def op2_multi_order_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.cluster(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_files(tokens.write_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -83,6 +87,7 @@ def op10_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op2_multi_order_jaccard": op2_multi_order_jaccard,
         "op4_token_files": op4_token_files,
         "op6_secret_ledger": op6_secret_ledger,
         "op7_stratified_shards": op7_stratified_shards,
