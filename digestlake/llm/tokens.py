@@ -19,6 +19,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,8 @@ MAGIC = b"PFORTOK1"
 HEAD = struct.Struct("<IBHH")
 #: Bytes that str.split() drops and the tokenizer keeps.
 ODD = re.compile("[\x1c-\x1f]")
+LATIN = re.compile("[\x00-\xff]*+").fullmatch
+SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!%&$*#.,;:?]*)").fullmatch
 
 
 class _Numbering(dict):
@@ -48,17 +51,56 @@ class _Numbering(dict):
         return n
 
 
+def _words(text: str) -> list[str]:
+    """What the tokenizer treats apart. Latin-1 text without marks of special tokens may be lower-cased first, as the tokenizer does, so that fewer words are distinct."""
+    if ODD.search(text):
+        return [text]
+    if text.isascii() or LATIN(text):
+        if "<|" not in text:
+            return text.lower().split()
+    return text.split()
+
+
+class _Ids:
+    """The ids of numbered strings, back to back."""
+
+    def __init__(self, first: int | None = None):
+        self.numbers = _Numbering()
+        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if first is not None:
+            self.numbers[" "]  # no word has a space
+            self.numbers.new.clear()
+            self.add(np.array([first], np.uint32), np.ones(1, np.int64))
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, flat])
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all, length of each) of the strings with these numbers."""
+        lengths = self.lengths[numbers]
+        after = np.cumsum(lengths)
+        at = np.repeat(self.starts[numbers] - (after - lengths), lengths)
+        at += np.arange(len(at))
+        return self.ids[at], lengths
+
+
 class Encoder:
-    """Ids of texts, each followed by end_id; keeps the ids of at most max_words words."""
+    """Ids of texts, each followed by end_id.
+
+    A word of Latin letters and closing marks is two pre-tokens for the tokenizer, which lower-cases them: its ids are those of
+    the lower-cased letters and of the marks. So words share pieces, and a piece is encoded once while it is kept.
+    """
 
     _kept: dict[tuple, "Encoder"] = {}
 
-    def __init__(self, path: str, end_id: int, max_words: int = 400_000):
+    def __init__(self, path: str, end_id: int, max_words: int = 900_000, max_pieces: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.end_id, self.max_words = Tokenizer.from_file(path), end_id, max_words
-        self._reset()
+        self.tokenizer, self.end_id, self.max_words, self.max_pieces = Tokenizer.from_file(path), end_id, max_words, max_pieces
+        self.words, self.pieces = _Ids(end_id), _Ids()
 
     @classmethod
     def of(cls, path: str, end_id: int) -> "Encoder":
@@ -67,43 +109,49 @@ class Encoder:
             cls._kept[path, end_id] = cls(path, end_id)
         return cls._kept[path, end_id]
 
-    def _reset(self) -> None:
-        self.numbers = _Numbering()
-        self.numbers[" "]  # no word has a space: this one stands for the end id
-        self.numbers.new.clear()
-        self.ids, self.starts, self.lengths = np.array([self.end_id], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
-
     def _learn(self) -> None:
-        new = self.numbers.new
+        new = self.words.numbers.new
         if not new:
             return
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for ids in got for i in ids), np.uint32, int(lengths.sum()))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, flat])
+        if len(self.pieces.numbers) > self.max_pieces:
+            self.pieces = _Ids()
+        parts: list[str] = []
+        counts = np.ones(len(new), np.int64)
+        for k, word in enumerate(new):
+            if m := SIMPLE(word):
+                letters, marks = m.groups()
+                parts.append(letters.lower())
+                if marks:
+                    parts.append(marks)
+                    counts[k] = 2
+            else:
+                parts.append(word)
+        numbers = np.fromiter(map(self.pieces.numbers.__getitem__, parts), np.int64, len(parts))
+        if unseen := self.pieces.numbers.new:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            self.pieces.add(np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths)
+            unseen.clear()
+        flat, lengths = self.pieces.of(numbers)
+        self.words.add(flat, np.add.reduceat(lengths, np.cumsum(counts) - counts))
         new.clear()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
         if not texts:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if len(self.numbers) > self.max_words:
-            self._reset()
+        if len(self.words.numbers) > self.max_words:
+            self.words = _Ids(self.end_id)
         words: list[str] = []
         ends = np.empty(len(texts), np.int64)
         for k, text in enumerate(texts):
-            words += [text] if ODD.search(text) else text.split()
+            words += _words(text)
             words.append(" ")
             ends[k] = len(words)
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self.words.numbers.__getitem__, words), np.int64, len(words))
         self._learn()
-        lengths = self.lengths[numbers]
-        after = np.cumsum(lengths)
-        at = np.repeat(self.starts[numbers] - (after - lengths), lengths)
-        at += np.arange(len(at))
-        return self.ids[at], np.diff(after[ends - 1], prepend=0)
+        ids, lengths = self.words.of(numbers)
+        return ids, np.diff(np.cumsum(lengths)[ends - 1], prepend=0)
 
 
 def batches_of_texts(texts, chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
