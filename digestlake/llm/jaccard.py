@@ -6,11 +6,11 @@ prefix being the first n - ceil(t n) + 1 tokens of a set of n. Several orders ar
 1. Sets are hashed; rows of equal sets form a class, and classes take the place of rows. The same pass adds up a
    sketch of token frequencies, of fixed size. An order sorts tokens by the sketch's class of frequency, rare first, and then by a
    hash of its own, so that boilerplate stands last in every order.
-2. For each order, classes that share a prefix token are tied by stars (locally first, so that a hot token is sent once per
-   task), and components of these ties are the order's filter. The filters are intersected: only classes in the same component under
-   all orders can link.
-3. Such a group is cut into bands by set size, since linked sets differ in size by a factor of t at most, and large bands
-   into blocks that are met pairwise. Inside, prefixes under all orders are intersected pair by pair, and what passes is verified
+2. Classes that share a prefix token under the first order are tied if their sizes and the parities of their token sets allow a
+   link; the components of these ties are groups, outside which there are no links. The pairs of a posting list are compared in
+   arrays and never become rows of a table; a list of more than LONG_LIST classes is tied by a star.
+3. A group is cut into bands by set size, since linked sets differ in size by a factor of t at most, and large bands
+   into blocks that are met pairwise. Inside, the filters of all orders are intersected pair by pair, and what passes is verified
    on the whole sets. Pairs whose ends are connected already are skipped, so each block yields a spanning forest of its links.
 4. Components over the links of all blocks are the result.
 
@@ -63,8 +63,8 @@ def set_key(tokens: np.ndarray) -> bytes:
 
 
 def short_key(key: bytes) -> int:
-    """62 bits of a key, to name it in the filters, where a collision only adds a candidate; the lowest two bits are free."""
-    return int.from_bytes(key[:8], "little", signed=True) & ~3
+    """64 bits of a key, to name it in the filters, where a collision only adds a candidate."""
+    return int.from_bytes(key[:8], "little", signed=True)
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -128,83 +128,84 @@ def prefixes(tokens: np.ndarray, classes: np.ndarray, join: Join) -> list[np.nda
 
 POSTED = "part long, data binary"
 TIED = "u long, v long"
-
-
-def _stars(tokens: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct tokens, least node of each, and edges u > v from nodes that share a token to the least)."""
-    at = np.lexsort((nodes, tokens))
-    tokens, nodes = tokens[at], nodes[at]
-    head = np.ones(len(tokens), bool)
-    head[1:] = tokens[1:] != tokens[:-1]
-    least = nodes[head]
-    root = least[np.cumsum(head) - 1]
-    tied = root != nodes
-    edges = np.unique(np.stack([nodes[tied], root[tied]], axis=1), axis=0)
-    return tokens[head], least, edges[:, 0], edges[:, 1]
+PARITY_BITS = 256
+#: An entry of a posting list: the token, the class, its set's size and the parity of its tokens by their last byte.
+ENTRY = np.dtype([("token", "<u4"), ("node", "<i8"), ("size", "<u4"), ("parity", "<u8", 4)])
+LONG_LIST = 4096
+
+
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Of each last byte, whether an odd number of tokens has it, as 256 bits: two sets differ in at least as many tokens as bits."""
+    odd = np.bincount((tokens & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<u8")
+
+
+def close_pairs(entries: np.ndarray, percent: int) -> np.ndarray:
+    """Edges between classes that share a token and may be linked by their sizes and parities; lists that are very long are tied by a star instead."""
+    entries = entries[np.lexsort((entries["size"], entries["token"]))]
+    token, node, size, bits = entries["token"], entries["node"], entries["size"].astype(np.int64), entries["parity"]
+    if not len(token):
+        return np.zeros((0, 2), np.int64)
+    head = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    length = np.diff(head, append=len(token))
+    long = np.repeat(length > LONG_LIST, length)
+    out = [np.stack([node[long], np.repeat(node[head], length)[long]], axis=1)]
+    at, d = np.flatnonzero(~long[:-1] & (token[1:] == token[:-1])), 1
+    while len(at):
+        at = at[at + d < len(token)]
+        to = at + d
+        # sizes rise within a list, so a pair too far apart ends the row
+        near = (token[at] == token[to]) & (100 * size[at] >= percent * size[to])
+        at, to = at[near], to[near]
+        apart = np.bitwise_count(bits[at] ^ bits[to]).sum(axis=1, dtype=np.int64)
+        ok = (apart * (100 + percent) <= (100 - percent) * (size[at] + size[to])) & (node[at] != node[to])
+        if ok.any():
+            out.append(np.unique(np.stack([node[at[ok]], node[to[ok]]], axis=1), axis=0))
+        d += 1
+    return np.unique(np.concatenate(out), axis=0)
 
 
 def ties(rows: DataFrame, classes: np.ndarray, join: Join, parts: int) -> DataFrame:
-    """Edges (u, v) between the short keys, with the order in the lowest bits, of classes that share a prefix token."""
+    """Edges (u, v) between the short keys of classes that share a prefix token under the first order and are close enough in size and parity."""
     shared = rows.sparkSession.sparkContext.broadcast(classes)
+    first = Join(join.n, join.percent, 1, join.block)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        tokens: list[np.ndarray] = []
-        nodes: list[np.ndarray] = []
+        held: list[np.ndarray] = []
+        places: list[np.ndarray] = []
 
         def out() -> Iterator[pa.RecordBatch]:
-            if not tokens:
-                return
-            t, least, u, v = _stars(np.concatenate(tokens), np.concatenate(nodes))
-            tokens.clear()
-            nodes.clear()
-            part = np.concatenate([t % np.uint64(parts), mix(v.astype(np.uint64)) % np.uint64(parts)]).astype(np.int64)
-            # an entry is (token, node); an edge goes with them as (u, v) and is told by its place
-            flag = np.concatenate([np.zeros(len(t), np.int64), np.ones(len(u), np.int64)])
-            a, b = np.concatenate([t, u.astype(np.uint64)]), np.concatenate([least, v])
-            at = np.lexsort((flag, part))
-            part, flag, a, b = part[at], flag[at], a[at], b[at]
-            bounds = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
-            ids, blobs = [], []
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
-                ids.append(int(part[lo]))
-                blobs.append(np.int64(np.count_nonzero(flag[lo:hi] == 0)).tobytes() + a[lo:hi].tobytes() + b[lo:hi].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["part", "data"])
-
-        held = 0
+            entries, place = np.concatenate(held), np.concatenate(places)
+            held.clear()
+            places.clear()
+            at = np.argsort(place, kind="stable")
+            entries, place = entries[at], place[at]
+            bounds = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
+            yield pa.RecordBatch.from_arrays([pa.array(place[bounds[:-1]], pa.int64()), pa.array([entries[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())], names=["part", "data"])
+
+        n = 0
         for batch in batches:
             for _, s in _sets(batch, join.n):
-                if not len(s):
-                    continue
-                node = short_key(set_key(s))
-                if node in seen:
+                if not len(s) or (node := short_key(set_key(s))) in seen:
                     continue
                 seen.add(node)
-                for order, p in enumerate(prefixes(s, shared.value, join)):
-                    # tokens of different orders must not meet
-                    tokens.append(mix(p + np.uint64(order + 1)))
-                    nodes.append(np.full(len(p), node | order, np.int64))
-                    held += len(p)
-            if held > 2_000_000:
-                yield from out()
-                held = 0
-        yield from out()
+                (p,) = prefixes(s, shared.value, first)
+                entry = np.empty(len(p), ENTRY)
+                entry["token"], entry["node"], entry["size"], entry["parity"] = (p & np.uint64(0xFFFFFFFF)), node, len(s), parity(s)
+                held.append(entry)
+                places.append(((p >> np.uint64(32)) % np.uint64(parts)).astype(np.int64))
+                n += len(p)
+                if n > 500_000:
+                    yield from out()
+                    n = 0
+        if held:
+            yield from out()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, nodes, us, vs = [], [], [], []
-        for batch in batches:
-            for blob in batch.column("data"):
-                raw = blob.as_buffer()
-                n = int(np.frombuffer(raw, np.int64, 1)[0])
-                size = (raw.size - 8) // 16
-                a, b = np.frombuffer(raw, np.uint64, size, 8), np.frombuffer(raw, np.int64, size, 8 + 8 * size)
-                tokens.append(a[:n])
-                nodes.append(b[:n])
-                us.append(a[n:].astype(np.int64))
-                vs.append(b[n:])
-        if tokens:
-            _, _, u, v = _stars(np.concatenate(tokens), np.concatenate(nodes))
-            edges = np.unique(np.stack([np.concatenate([u, *us]), np.concatenate([v, *vs])], axis=1), axis=0)
+        entries = [np.frombuffer(blob.as_buffer(), ENTRY) for batch in batches for blob in batch.column("data")]
+        if entries:
+            edges = close_pairs(np.concatenate(entries), join.percent)
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["u", "v"])
 
     return rows.mapInArrow(post, POSTED).repartition(parts, "part").mapInArrow(meet, TIED)
@@ -311,14 +312,11 @@ def cluster(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_c
     signed = signed.where("slot is null").select("id", "n_shingles", "key", "short")
 
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    tied = components(ties(rows, classes, join, parts))
-    order = F.col("node").bitwiseAND(F.lit(3))
-    named = tied.groupBy(F.col("node").bitwiseAND(F.lit(~3)).alias("short")).agg(*[F.max(F.when(order == k, F.col("component"))).alias(f"c{k}") for k in range(join.orders)])
-    named = named.dropna().select("short", F.xxhash64(*[f"c{k}" for k in range(join.orders)]).alias("gathered"))
+    gathered = components(ties(rows, classes, join, parts)).select(F.col("node").alias("short"), F.col("component").alias("gathered"))
 
     carriers = signed.where("key is not null").groupBy("key", "short", "n_shingles").agg(F.min("id").alias("id"))
     band = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(100 / join.percent) * (1 + 1e-9)))
-    banded = carriers.join(named, "short").withColumn("band", F.explode(F.array(band, band - 1)))
+    banded = carriers.join(gathered, "short").withColumn("band", F.explode(F.array(band, band - 1)))
     counts = banded.groupBy("gathered", "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / join.block))
     met = stored(banded.join(counts, ["gathered", "band"]).select("id", "short", "gathered", "band", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).alias("own")), "candidates")
     spread = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
