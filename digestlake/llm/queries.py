@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, packing, pii, quality, secrets, sharding, tokens
+from . import jaccard, packing, pii, quality, secrets, sharding, substrings, tokens
 from .shared import documents
 
 
@@ -18,6 +18,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_files(tokens.write_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secrets.scan(documents(spark, sf_dir), secrets.Ledger(spark))
     spans = F.coalesce("spans", F.expr("cast(array() as array<struct<start:bigint,pos:int,end:bigint,rule:string>>)"))
@@ -89,6 +93,7 @@ def queries() -> dict:
     return {
         "op2_multi_order_jaccard": op2_multi_order_jaccard,
         "op4_token_files": op4_token_files,
+        "op5_interval_expansion": op5_interval_expansion,
         "op6_secret_ledger": op6_secret_ledger,
         "op7_stratified_shards": op7_stratified_shards,
         "op8_swap_packing": op8_swap_packing,
