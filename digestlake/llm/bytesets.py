@@ -11,6 +11,12 @@ SPACES = np.zeros(256, bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256)
 LOWER[65:91] += 32
+#: Letters, digits and all bytes of other scripts: what plain words are made of.
+PLAIN = np.zeros(256, bool)
+PLAIN[48:58] = PLAIN[65:91] = PLAIN[97:123] = PLAIN[128:] = True
+#: Also lower-cases the two-byte Latin letters, whose second byte differs by 32; other scripts may coincide, which hashing allows for.
+LOWER_WIDE = LOWER.copy()
+LOWER_WIDE[0x80:0x9F] += 32
 BYTE = np.random.default_rng(20240229).integers(0, 1 << 64, 256, np.uint64)  # a random number for each byte value
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -55,11 +61,11 @@ def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]
         lo = hi
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first word of each row and at last their number)."""
+def words(data: np.ndarray, offsets: np.ndarray, chars: np.ndarray = ~SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first word of each row and at last their number) of the runs of chars."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~SPACES[data]
+    inside = chars[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]

@@ -6,14 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, packing, pii, quality, secrets, sharding, substrings, tokens
+from . import decontaminate, jaccard, packing, pii, quality, secrets, sharding, substrings, tokens, toxicity
 from .shared import documents
 
 
+def op1_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_multi_order_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.cluster(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op3_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_files(tokens.write_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -91,7 +99,9 @@ def op10_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_recurrent_toxicity": op1_recurrent_toxicity,
         "op2_multi_order_jaccard": op2_multi_order_jaccard,
+        "op3_block_max_wand": op3_block_max_wand,
         "op4_token_files": op4_token_files,
         "op5_interval_expansion": op5_interval_expansion,
         "op6_secret_ledger": op6_secret_ledger,
