@@ -165,6 +165,21 @@ def close_pairs(entries: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out), axis=0)
 
 
+def spanning_stars(edges: np.ndarray) -> np.ndarray:
+    """Edges from every node to the least node of its component: as many as nodes, whatever the number of edges."""
+    nodes, ends = np.unique(edges, return_inverse=True)
+    ends = ends.reshape(edges.shape)
+    root = np.arange(len(nodes))
+    while True:
+        a, b = root[ends[:, 0]], root[ends[:, 1]]
+        if (a == b).all():
+            break
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+    return np.stack([nodes, nodes[root]], axis=1)[root != np.arange(len(nodes))]
+
+
 def ties(rows: DataFrame, classes: np.ndarray, join: Join, parts: int) -> DataFrame:
     """Edges (u, v) between the short keys of classes that share a prefix token under the first order and are close enough in size and parity."""
     shared = rows.sparkSession.sparkContext.broadcast(classes)
@@ -205,7 +220,7 @@ def ties(rows: DataFrame, classes: np.ndarray, join: Join, parts: int) -> DataFr
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = [np.frombuffer(blob.as_buffer(), ENTRY) for batch in batches for blob in batch.column("data")]
         if entries:
-            edges = close_pairs(np.concatenate(entries), join.percent)
+            edges = spanning_stars(close_pairs(np.concatenate(entries), join.percent))
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["u", "v"])
 
     return rows.mapInArrow(post, POSTED).repartition(parts, "part").mapInArrow(meet, TIED)
@@ -321,7 +336,7 @@ def cluster(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_c
     met = stored(banded.join(counts, ["gathered", "band"]).select("id", "short", "gathered", "band", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).alias("own")), "candidates")
     spread = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     tasks = spread.select("id", "short", F.xxhash64("gathered", "band", F.least("own", "other"), F.greatest("own", "other")).alias("task"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
-    links = verified_links(tasks.join(rows, "id"), classes, join)
+    links = verified_links(rows.hint("merge").join(tasks, "id"), classes, join)
 
     joined = components(links)
     least = signed.where("key is not null").groupBy("key").agg(F.min(F.when(F.col("id") != NULL_ID, F.col("id"))).alias("least"))

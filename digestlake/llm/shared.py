@@ -34,8 +34,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_texts(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of fewer rows unless that was set: rows here are whole documents."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return whole_texts(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def text_or_empty(name: str) -> Column:
