@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import decontaminate, jaccard, packing, pii, quality, secrets, sharding, substrings, tokens, toxicity
 from .shared import documents
 
@@ -99,6 +101,7 @@ def op10_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_recurrent_toxicity": op1_recurrent_toxicity,
         "op2_multi_order_jaccard": op2_multi_order_jaccard,
         "op3_block_max_wand": op3_block_max_wand,
