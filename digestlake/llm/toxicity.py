@@ -187,73 +187,100 @@ class _Adam:
             p[k] -= (rate * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(np.float32)
 
 
-def _log_odds(codes: np.ndarray, row: np.ndarray, label: np.ndarray, bits: int) -> np.ndarray:
-    """For each code, the smoothed log odds that a text with it is toxic against one that is not."""
-    pair = np.unique(row * (1 << bits) + codes)
-    code, toxic = pair % (1 << bits), label[pair // (1 << bits)] == 1
+def _log_odds(pairs: np.ndarray, label: np.ndarray, bits: int) -> np.ndarray:
+    """For each code, the smoothed log odds that a text with it is toxic against one that is not, from distinct row * 2**bits + code."""
+    code, toxic = pairs & ((1 << bits) - 1), label[pairs >> bits] == 1
     a, b = np.bincount(code[toxic], minlength=1 << bits), np.bincount(code[~toxic], minlength=1 << bits)
     return np.log((a + 1) / (label.sum() + 2)) - np.log((b + 1) / ((1 - label).sum() + 2))
 
 
+class _Sample:
+    """Texts as compact arrays of codes; windows are numbered over all texts."""
+
+    def __init__(self, texts: list[str]):
+        raw = [t.encode() for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+        codes, chars, begin, first, words_of, chars_of = [], [], [], [], [], []
+        for lo, hi in slices(offsets):
+            c, x, b, f = read_words(np.frombuffer(b"".join(raw[lo:hi]), np.uint8), offsets[lo : hi + 1] - offsets[lo])
+            row = lo + np.repeat(np.arange(hi - lo), np.diff(f))
+            words_of.append(np.unique(row << WORD_BITS | c))
+            chars_of.append(np.unique(np.repeat(row, np.diff(b, append=len(x))) << CHAR_BITS | x))
+            begin.append(b + sum(map(len, chars)))
+            first.append(f[:-1] + sum(map(len, codes)))
+            codes.append(c.astype(np.int32))
+            chars.append(x.astype(np.uint16))
+        self.codes, self.chars, self.words_of, self.chars_of = map(np.concatenate, (codes, chars, words_of, chars_of))
+        self.bounds = np.append(np.concatenate(begin), len(self.chars))
+        self.row, self.at, self.size = windows(np.append(np.concatenate(first), len(self.codes)))
+
+    def logits(self, net: Network, some: np.ndarray | None = None) -> np.ndarray:
+        """The windows' logits, a few thousand windows at a time."""
+        some = np.arange(len(self.at)) if some is None else some
+        out = np.empty(len(some), np.float32)
+        for lo in range(0, len(some), 2048):
+            part = some[lo : lo + 2048]
+            a, b = int(self.at[part].min()), int((self.at[part] + self.size[part]).max())
+            x, y = self.bounds[a], self.bounds[b]
+            inputs = net.word_inputs(self.codes[a:b], self.chars[x:y], self.bounds[a:b] - x)
+            out[lo : lo + 2048] = net.run(net.project(inputs), self.at[part] - a, self.size[part])
+        return out
+
+    def gathered(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(codes, chars, begin, at, size) of the words of these windows alone."""
+        n = self.size[some]
+        after = np.cumsum(n)
+        word = np.repeat(self.at[some] - (after - n), n) + np.arange(after[-1])
+        m = self.bounds[word + 1] - self.bounds[word]
+        end = np.cumsum(m)
+        byte = np.repeat(self.bounds[word] - (end - m), m) + np.arange(end[-1])
+        return self.codes[word], self.chars[byte], end - m, after - n, n
+
+
 def train(texts: list[str], label: np.ndarray, epochs: int = 6, passes: int = 2, batch: int = 128, seed: int = 5) -> Network | None:
-    """A network for texts with labels 0 and 1, or None without both kinds."""
-    if not 0 < label.sum() < len(label):
+    """A network for texts with labels 0 and 1, or None without both kinds or without words."""
+    if not 0 < label.sum() < len(label) or not any(texts):
         return None
-    raw = [t.encode() for t in texts]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
-    codes, chars, begin, first = read_words(data, offsets)
-    if not len(codes):
+    sample = _Sample(texts)
+    if not len(sample.codes):
         return None
-    end = np.append(begin[1:], len(chars))
-    row, at, size = windows(first)
+    row, size = sample.row, sample.size
     head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    present = row[head]
     tail = np.append(head[1:], len(row))
     rng = np.random.default_rng(seed)
     apart = rng.random(len(texts)) < 0.2
     if len({*label[apart].tolist()}) < 2 or len({*label[~apart].tolist()}) < 2 or len(texts) < 100:
         apart[:] = False
     net = Network(seed)
-    of_word = np.repeat(np.arange(len(texts)), np.diff(first))
-    fit = ~apart[of_word]
-    odds = _log_odds(codes[fit], of_word[fit], label, WORD_BITS)
-    of_byte = np.repeat(of_word, end - begin)
+    odds = _log_odds(sample.words_of[~apart[sample.words_of >> WORD_BITS]], label, WORD_BITS)
     net.p["words"][:, 0] = odds / 3
-    net.p["chars"][:, 0] = _log_odds(chars[~apart[of_byte]], of_byte[~apart[of_byte]], label, CHAR_BITS) / 3
-    high = np.concatenate([[0], np.cumsum(np.maximum(odds[codes], 0) ** 2)])
-    logit = (high[at + size] - high[at]).astype(np.float32)
+    net.p["chars"][:, 0] = _log_odds(sample.chars_of[~apart[sample.chars_of >> CHAR_BITS]], label, CHAR_BITS) / 3
+    sample.words_of = sample.chars_of = None
+    high = np.concatenate([[0], np.cumsum(np.maximum(odds[sample.codes], 0) ** 2)])
+    logit = (high[sample.at + size] - high[sample.at]).astype(np.float32)
+    fit = [(a, b, r) for a, b, r in zip(head.tolist(), tail.tolist(), row[head].tolist()) if not apart[r]]
     adam, balance = _Adam(net.p), float(np.sqrt((1 - label).sum() / label.sum()))
     for epoch in range(epochs):
         if epoch:
-            projections = net.project(net.word_inputs(codes, chars, begin))
-            for lo in range(0, len(at), 4096):
-                logit[lo : lo + 4096] = net.run(projections, at[lo : lo + 4096], size[lo : lo + 4096])
-        picks = np.array([a + int(np.argmax(logit[a:b])) for a, b, r in zip(head, tail, present) if not apart[r]])
-        other = np.array([int(rng.integers(a, b)) for a, b, r in zip(head, tail, present) if not apart[r] and not label[r]], np.int64)
-        picks = np.concatenate([picks, other])
+            logit = sample.logits(net)
+        picks = np.array([a + int(np.argmax(logit[a:b])) for a, b, _ in fit] + [int(rng.integers(a, b)) for a, b, r in fit if not label[r]], np.int64)
         for _ in range(passes):
             for some in np.array_split(rng.permutation(picks), max(1, len(picks) // batch)):
-                n = size[some]
-                after = np.cumsum(n)
-                word = np.repeat(at[some] - (after - n), n) + np.arange(after[-1])
-                m = end[word] - begin[word]
-                byte_after = np.cumsum(m)
-                byte = np.repeat(begin[word] - (byte_after - m), m) + np.arange(byte_after[-1])
-                c, x, b = codes[word], chars[byte], byte_after - m
-                inputs = net.word_inputs(c, x, b)
-                got, cache = net.run(net.project(inputs), after - n, n, keep=True)
+                codes, chars, begin, at, n = sample.gathered(some)
+                inputs = net.word_inputs(codes, chars, begin)
+                got, cache = net.run(net.project(inputs), at, n, keep=True)
                 y = label[row[some]].astype(np.float32)
                 slope = ((_sigmoid(got) - y) * np.where(y == 1, balance, 1) / len(some)).astype(np.float32)
-                adam.step(net.p, net.back(c, x, b, inputs, cache, slope))
-    judged = np.flatnonzero(apart) if apart.any() else np.arange(len(texts))
-    scores = np.concatenate([net.score(data[offsets[r] : offsets[r + 1]], np.array([0, offsets[r + 1] - offsets[r]])) for r in judged])
+                adam.step(net.p, net.back(codes, chars, begin, inputs, cache, slope))
+    logit = sample.logits(net)
+    judged = [(a, b, r) for a, b, r in zip(head.tolist(), tail.tolist(), row[head].tolist()) if apart[r] or not apart.any()]
+    scores = np.array([logit[a:b].max() for a, b, _ in judged])
     # the cut with the most right judgements, midway between neighbours
     by = np.argsort(-scores, kind="stable")
-    right = np.concatenate([[0], np.cumsum(np.where(label[judged][by] == 1, 1, -1))])
+    right = np.concatenate([[0], np.cumsum(np.where(label[[r for _, _, r in judged]][by] == 1, 1, -1))])
     k = int(np.argmax(right))
-    sorted_scores = scores[by]
-    cut = sorted_scores[0] + 1 if k == 0 else sorted_scores[-1] - 1 if k == len(by) else (sorted_scores[k - 1] + sorted_scores[k]) / 2
+    ordered = scores[by]
+    cut = ordered[0] + 1 if k == 0 else ordered[-1] - 1 if k == len(by) else (ordered[k - 1] + ordered[k]) / 2
     net.p["ob"] -= np.float32(cut)
     return net
 
@@ -262,7 +289,7 @@ def in_training(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_clean: int = 3000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[Network | None, float]:
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 2400, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[Network | None, float]:
     """(network, share of toxic labels) from the labelled texts whose id is for training."""
     wanted = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isin(0, 1) & in_training("id")).withColumn("order", F.xxhash64("id"))
     chosen = None
