@@ -4,35 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-USER = "core struct<name:string,screen_name:string>, legacy struct<name:string,screen_name:string,followers_count:bigint,verified:boolean>, is_blue_verified boolean"
-TWEET = (
-    "rest_id string, legacy struct<id_str:string,full_text:string,created_at:string,favorite_count:bigint,retweet_count:bigint,reply_count:bigint,retweeted_status_result:struct<rest_id:string>,is_quote_status:boolean>,"
-    "views struct<count:string>, core struct<user_results:struct<result:struct<core:struct<name:string,screen_name:string>,legacy:struct<name:string,screen_name:string,followers_count:bigint,verified:boolean>,is_blue_verified:boolean>>>"
-)
-_TWEET = T.StructType.fromDDL(TWEET)
-RESULT = T.StructType([T.StructField("__typename", T.StringType()), T.StructField("tweet", _TWEET), *_TWEET.fields])
-CONTENT = T.StructType([T.StructField("value", T.StringType()), T.StructField("itemContent", T.StructType([T.StructField("tweet_results", T.StructType([T.StructField("result", RESULT)]))]))])
-ENTRY = T.StructType([T.StructField("entryId", T.StringType()), T.StructField("content", CONTENT)])
-MODULE_ITEM = T.StructType([T.StructField("entryId", T.StringType()), T.StructField("item", CONTENT)])
-INSTRUCTION = T.StructType([T.StructField("type", T.StringType()), T.StructField("entries", T.ArrayType(ENTRY)), T.StructField("moduleItems", T.ArrayType(MODULE_ITEM))])
-_LIST = T.StructType([T.StructField("instructions", T.ArrayType(INSTRUCTION))])
-PAGE = T.StructType.fromJson(
-    T.StructType(
-        [
-            T.StructField(
-                "data",
-                T.StructType(
-                    [
-                        T.StructField("home", T.StructType([T.StructField("home_timeline_urt", _LIST)])),
-                        T.StructField("search_by_raw_query", T.StructType([T.StructField("search_timeline", T.StructType([T.StructField("timeline", _LIST)]))])),
-                    ]
-                ),
-            )
-        ]
-    ).jsonValue()
-)
+USER = "core:struct<name:string,screen_name:string>,legacy:struct<name:string,screen_name:string,followers_count:bigint,verified:boolean>,is_blue_verified:boolean"
+#: The columns of a result, which a wrapped result holds in tweet.
+COLUMNS = {
+    "rest_id": "string",
+    "legacy": "struct<id_str:string,full_text:string,created_at:string,favorite_count:bigint,retweet_count:bigint,reply_count:bigint,retweeted_status_result:struct<rest_id:string>,is_quote_status:boolean>",
+    "views": "struct<count:string>",
+    "core": f"struct<user_results:struct<result:struct<{USER}>>>",
+}
+TWEET = ",".join(f"{k}:{v}" for k, v in COLUMNS.items())
+CONTENT = f"struct<value:string,itemContent:struct<tweet_results:struct<result:struct<__typename:string,tweet:struct<{TWEET}>,{TWEET}>>>>"
+INSTRUCTIONS = f"array<struct<type:string,entries:array<struct<entryId:string,content:{CONTENT}>>,moduleItems:array<struct<entryId:string,item:{CONTENT}>>>>"
+LIST = f"struct<instructions:{INSTRUCTIONS}>"
+PAGE = f"data struct<home:struct<home_timeline_urt:{LIST}>,search_by_raw_query:struct<search_timeline:struct<timeline:{LIST}>>>"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -66,7 +51,7 @@ def user(result: Column) -> Column:
 def posts(entry_rows: DataFrame, query: str | None = None) -> DataFrame:
     """Nested posts of entries whose id begins with tweet-; wrapped results are unwrapped, results without content go."""
     result = F.col("content.itemContent.tweet_results.result")
-    some = entry_rows.where(F.col("entryId").startswith("tweet-")).withColumn("r", F.when(result["__typename"] == "TweetWithVisibilityResults", result["tweet"]).otherwise(F.struct(*[result[f.name].alias(f.name) for f in _TWEET.fields])))
+    some = entry_rows.where(F.col("entryId").startswith("tweet-")).withColumn("r", F.when(result["__typename"] == "TweetWithVisibilityResults", result["tweet"]).otherwise(F.struct(*[result[c].alias(c) for c in COLUMNS])))
     some = some.where("r.legacy is not null")
     number = lambda name: F.coalesce(F.col(f"r.legacy.{name}"), F.lit(0)).cast("bigint")
     return some.select(

@@ -8,15 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from digestlake.functions.text import parsed_time
 
-POST = T.StructType.fromDDL(
-    "id string, text string, created_at string, user struct<name:string,screen_name:string,verified:boolean,followers:bigint>,"
-    "metrics struct<likes:bigint,retweets:bigint,replies:bigint,views:string>, is_retweet boolean, is_quote boolean, _query string"
+POST = (
+    "struct<id:string,text:string,created_at:string,user:struct<name:string,screen_name:string,verified:boolean,followers:bigint>,"
+    "metrics:struct<likes:bigint,retweets:bigint,replies:bigint,views:string>,is_retweet:boolean,is_quote:boolean,_query:string>"
 )
-ENVELOPE = T.StructType([T.StructField("tweets", T.ArrayType(POST)), T.StructField("stats", T.StringType())])
+ENVELOPE = f"struct<tweets:array<{POST}>,stats:string>"
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
@@ -25,7 +24,7 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     The schema is given, not inferred. Files are read whole, as an array spans lines.
     """
     whole = spark.read.text(path, wholetext=True).select(F.ltrim("value").alias("value"), F.input_file_name().alias("file"))
-    listed = F.when(F.col("value").startswith("["), F.from_json("value", T.ArrayType(POST))).otherwise(F.from_json("value", ENVELOPE)["tweets"])
+    listed = F.when(F.col("value").startswith("["), F.from_json("value", f"array<{POST}>")).otherwise(F.from_json("value", ENVELOPE)["tweets"])
     return whole.select("file", F.posexplode(listed).alias("at", "post")).select(F.struct("file", "at").alias("_ord"), "post.*")
 
 

@@ -18,16 +18,20 @@ def dedup(events: DataFrame, key: str = "event_id", late: str = "10 minutes") ->
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
 
 
-def activity(events: DataFrame, group: str = "event_type", late: str = "10 minutes", width: str = "1 hour", step: str | None = None) -> DataFrame:
-    """(start, end, group, n, total) of tumbling windows, or of sliding ones if step is given."""
+def _marked(events: DataFrame, late: str | None) -> DataFrame:
+    return events.withWatermark("ts", late) if late else events
+
+
+def activity(events: DataFrame, group: str = "event_type", late: str | None = "10 minutes", width: str = "1 hour", step: str | None = None) -> DataFrame:
+    """(start, end, group, n, total) of tumbling windows, or of sliding ones if step is given; late is None where events carry a watermark."""
     windows = F.window("ts", width, step or width)
-    counted = events.withWatermark("ts", late).groupBy(windows.alias("w"), group).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    counted = _marked(events, late).groupBy(windows.alias("w"), group).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     return counted.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), group, "n", "total")
 
 
-def sessions(events: DataFrame, user: str = "user_id", gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
+def sessions(events: DataFrame, user: str = "user_id", gap: str = "30 minutes", late: str | None = "10 minutes") -> DataFrame:
     """(start, end, user, n) of each user's sessions."""
-    counted = events.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w"), user).agg(F.count(F.lit(1)).alias("n"))
+    counted = _marked(events, late).groupBy(F.session_window("ts", gap).alias("w"), user).agg(F.count(F.lit(1)).alias("n"))
     return counted.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), user, "n")
 
 
