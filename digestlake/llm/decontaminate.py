@@ -8,7 +8,7 @@ Passages are queried in arrays. The commonest terms, which cannot reach half the
 aside; a passage whose other terms cannot make up the rest by their upper bounds is skipped. Of the
 others, blocks of items are bounded by their terms' block maxima, and only the items of blocks that may reach the threshold are
 scored, all of them. What scores enough is verified: enough of the item's question and of its answer (its last
-sentence) must be found in the passage as word triples.
+sentence) must be found in the passage as runs of three words.
 
 The index is broadcast in blocks of at most ITEMS_A_BLOCK items; a larger benchmark is worked off block by block.
 
@@ -41,11 +41,12 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return (span_hashes(prefix_hashes(data, TABLE), starts, ends) if len(starts) else np.zeros(0, np.uint64)), first
 
 
-def triples(h: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of three words, or of all words if there are fewer."""
-    if len(h) < 3:
-        return mix(np.array([h.sum(dtype=np.uint64)], np.uint64)) if len(h) else h
-    return mix(mix(mix(h[:-2]) + h[1:-1]) + h[2:])
+def grams(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n words."""
+    out = h
+    for k in range(1, n):
+        out = mix(out[:-1]) + h[k:] if len(out) > 1 else out[:0]
+    return mix(out)
 
 
 def question_and_answer(text: str) -> int:
@@ -67,6 +68,7 @@ class Index:
     common: np.ndarray  # of each term, whether it is set aside
     aside: float  # what the terms set aside can add up to
     longest: int
+    grams: list[int]  # words of a run that is looked for: three, or all of a shorter item
     questions: list[np.ndarray]
     answers: list[np.ndarray]
 
@@ -102,10 +104,13 @@ class Index:
             if after.max() > threshold / 2:
                 break
             gathered, common[t], aside = after, True, float(after.max())
-        cut = [max(1, min(q, len(h) - 1)) if len(h) > 1 else 1 for _, h, q in rows]
-        questions = [np.unique(triples(h[:c])) for (_, h, _), c in zip(rows, cut)]
-        answers = [np.unique(triples(h[max(0, c - 2) :])) for (_, h, _), c in zip(rows, cut)]
-        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, bound, common, aside, int(lengths.max()), questions, answers)
+        runs = [min(3, len(h)) for _, h, _ in rows]
+        every = [grams(h, n) for (_, h, _), n in zip(rows, runs)]
+        # the question's runs are those within it, the answer's all others; each has one at least
+        cut = [max(1, min(q - n + 1, len(g) - 1)) if len(g) > 1 else 1 for (_, _, q), g, n in zip(rows, every, runs)]
+        questions = [np.unique(g[:c]) for g, c in zip(every, cut)]
+        answers = [np.unique(g[c:] if c < len(g) else g) for g, c in zip(every, cut)]
+        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, bound, common, aside, int(lengths.max()), runs, questions, answers)
 
     def filter_bits(self) -> np.ndarray:
         bits = np.zeros(1 << 18, bool)
@@ -172,7 +177,7 @@ def search(index: Index, bits: np.ndarray, h: np.ndarray, first: np.ndarray, thr
     best: dict[tuple[int, int], tuple] = {}
     for p, i, s in zip(passages.tolist(), items.tolist(), scores.tolist()):
         w = int(able[p])
-        have = np.unique(triples(h[start[w] : end[w]]))
+        have = np.unique(grams(h[start[w] : end[w]], index.grams[i]))
         share = lambda wanted: float(np.isin(wanted, have, assume_unique=True).mean())
         q, a = share(index.questions[i]), share(index.answers[i])
         if q >= overlap and a >= overlap:

@@ -9,10 +9,11 @@ prefix being the first n - ceil(t n) + 1 tokens of a set of n. Several orders ar
 2. Classes that share a prefix token under the first order are tied if their sizes and the parities of their token sets allow a
    link; the components of these ties are groups, outside which there are no links. The pairs of a posting list are compared in
    arrays and never become rows of a table; a list of more than LONG_LIST classes is tied by a star.
-3. A group is cut into bands by set size, since linked sets differ in size by a factor of t at most, and large bands
+3. Inside a group, finer parities of all sets are compared pair by pair in arrays, and components of what remains are finer groups.
+4. A group is cut into bands by set size, since linked sets differ in size by a factor of t at most, and large bands
    into blocks that are met pairwise. Inside, the filters of all orders are intersected pair by pair, and what passes is verified
    on the whole sets. Pairs whose ends are connected already are skipped, so each block yields a spanning forest of its links.
-4. Components over the links of all blocks are the result.
+5. Components over the links of all blocks are the result.
 
 Links are never expanded into all pairs of a group; none between different sets is lost for the components. Texts are never cut.
 
@@ -49,7 +50,7 @@ class Join:
     n: int = 3
     percent: int = 90
     orders: int = 3
-    block: int = 2000
+    block: int = 750_000  # shingles of a block
 
     def prefix(self, size: int) -> int:
         return size - -(-self.percent * size // 100) + 1
@@ -77,27 +78,28 @@ def slot_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-SIGNED = "id long, n_shingles long, key binary, short long, slot int, counts binary"
+SIGNED = "id long, n_shingles long, key binary, short long, parity binary, slot int, counts binary"
 
 
 def signatures(rows: DataFrame, n: int) -> DataFrame:
     """A row (id, n_shingles, key, short) for each row, and rows (slot, counts) of the frequency sketch."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("short", pa.int64()), ("slot", pa.int32()), ("counts", pa.binary())])
+        schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("short", pa.int64()), ("parity", pa.binary()), ("slot", pa.int32()), ("counts", pa.binary())])
         sketch = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in batches:
-            sizes, keys = [], []
+            sizes, keys, bits = [], [], []
             for _, tokens in _sets(batch, n):
                 sizes.append(len(tokens))
                 keys.append(set_key(tokens) if len(tokens) else None)
+                bits.append(fine_parity(tokens) if len(tokens) else None)
                 np.add.at(sketch, slot_of(tokens), 1)
             none = [None] * len(sizes)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array([None if k is None else short_key(k) for k in keys], pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array([None if k is None else short_key(k) for k in keys], pa.int64()), pa.array(bits, pa.binary()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], schema=schema)
         parts = [(s, sketch[s : s + SLOTS_A_ROW]) for s in range(0, len(sketch), SLOTS_A_ROW)]
         parts = [(s, zlib.compress(x.astype("<u4").tobytes(), 1)) for s, x in parts if x.any()]
         none = [None] * len(parts)
-        yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array(none, pa.int64()), pa.array([s for s, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array([s for s, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], schema=schema)
 
     return rows.mapInArrow(sign, SIGNED)
 
@@ -132,6 +134,7 @@ PARITY_BITS = 256
 #: An entry of a posting list: the token, the class, its set's size and the parity of its tokens by their last byte.
 ENTRY = np.dtype([("token", "<u4"), ("node", "<i8"), ("size", "<u4"), ("parity", "<u8", 4)])
 LONG_LIST = 4096
+FINE_BITS = 12
 
 
 def parity(tokens: np.ndarray) -> np.ndarray:
@@ -140,6 +143,12 @@ def parity(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<u8")
 
 
+def fine_parity(tokens: np.ndarray) -> bytes:
+    """As parity, by the last FINE_BITS bits, of which the last byte's parity is the sum."""
+    odd = np.bincount((tokens & np.uint64((1 << FINE_BITS) - 1)).astype(np.int64), minlength=1 << FINE_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def close_pairs(entries: np.ndarray, percent: int) -> np.ndarray:
     """Edges between classes that share a token and may be linked by their sizes and parities; lists that are very long are tied by a star instead."""
     entries = entries[np.lexsort((entries["size"], entries["token"]))]
@@ -244,49 +253,99 @@ class Forest:
         return x != y
 
 
+def common_counts(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members of each of others are in one; all are sorted and not empty."""
+    sizes = np.fromiter(map(len, others), np.int64, len(others))
+    flat = np.concatenate(others)
+    same = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
+    return np.add.reduceat(same.astype(np.int64), np.cumsum(sizes) - sizes)
+
+
 def spanning_links(sets: list[np.ndarray], sides: list[int], classes: np.ndarray, join: Join) -> list[tuple[int, int]]:
     """Links among sets that connect what all links connect. With two sides, only pairs across them are compared."""
     across = len(set(sides)) > 1
     forest, links = Forest(len(sets)), []
+    #: of a token under the first order: its members by the tree that they were in when they came, and by side
     index: dict[int, dict[tuple[int, int], list[int]]] = {}
-    pre = [[frozenset(p.tolist()) for p in prefixes(s, classes, join)] for s in sets]
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    for x in order:
-        n = len(sets[x])
+    prefix = [[np.sort(p) for p in prefixes(s, classes, join)] for s in sets]
+    for x in sorted(range(len(sets)), key=lambda i: len(sets[i])):
+        n, mine = len(sets[x]), forest.find(x)
+        tokens = prefix[x][0].tolist()
         rivals: dict[int, list[int]] = {}
-        mine = forest.find(x)
-        for token in pre[x][0]:
+        for token in tokens:
             for (root, side), members in index.get(token, {}).items():
-                if across and side == sides[x]:
-                    continue
-                r = forest.find(root)
-                if r != mine:
+                if (not across or side != sides[x]) and (r := forest.find(root)) != mine:
                     rivals.setdefault(r, []).extend(members)
         for r, members in rivals.items():
             if forest.find(r) == forest.find(x):
                 continue
-            members = [y for y in dict.fromkeys(reversed(members)) if 100 * len(sets[y]) >= join.percent * n and all(not pre[x][k].isdisjoint(pre[y][k]) for k in range(1, join.orders))]
+            members = [y for y in dict.fromkeys(reversed(members)) if 100 * len(sets[y]) >= join.percent * n]
             lo, step = 0, 4
             while lo < len(members):
                 some = members[lo : lo + step]
-                sizes = np.array([len(sets[y]) for y in some])
-                flat = np.concatenate([sets[y] for y in some])
-                at = np.searchsorted(sets[x], flat)
-                same = sets[x][np.minimum(at, n - 1)] == flat
-                common = np.add.reduceat(same.astype(np.int64), np.cumsum(sizes) - sizes)
-                hit = np.flatnonzero(join.linked(common, sizes, n))
+                lo, step = lo + step, min(step * 4, 256)
+                for k in range(1, join.orders):
+                    if some:
+                        shared = common_counts(prefix[x][k], [prefix[y][k] for y in some])
+                        some = [y for y, c in zip(some, shared.tolist()) if c]
+                if not some:
+                    continue
+                common = common_counts(sets[x], [sets[y] for y in some])
+                hit = np.flatnonzero(join.linked(common, np.array([len(sets[y]) for y in some]), n))
                 if len(hit):
                     y = some[int(hit[0])]
                     links.append((x, y))
                     forest.union(x, y)
                     break
-                lo, step = lo + step, min(step * 4, 1024)
         root = forest.find(x)
-        for token in pre[x][0]:
+        for token in tokens:
             index.setdefault(token, {}).setdefault((root, sides[x] if across else 0), []).append(x)
     return links
 
 
+def refined_ties(members: DataFrame, join: Join) -> DataFrame:
+    """Edges (u, v) that connect the classes of each task, from members(task, side, short, n_shingles, parity), which may be linked by the finer parities."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if len(held) < 2:
+                return
+            held.sort(key=lambda r: r[1])
+            node, size = np.array([r[0] for r in held]), np.array([r[1] for r in held], np.int64)
+            side = np.array([r[3] for r in held])
+            across = side.min() != side.max()
+            bits = np.frombuffer(b"".join(r[2] for r in held), "<u8").reshape(len(held), -1)
+            coarse = np.bitwise_xor.reduce(bits.reshape(len(held), -1, PARITY_BITS // 64), axis=1)
+            end = np.searchsorted(size, size * 100 // join.percent, "right")
+            root, edges = np.arange(len(held)), []
+            for i in range(len(held) - 1):
+                j = np.arange(i + 1, end[i])
+                j = j[(root[j] != root[i]) & ((side[j] != side[i]) if across else True)]
+                for table in (coarse, bits):
+                    if len(j):
+                        apart = np.bitwise_count(table[j] ^ table[i]).sum(axis=1, dtype=np.int64)
+                        j = j[apart * (100 + join.percent) <= (100 - join.percent) * (size[j] + size[i])]
+                for other in np.unique(root[j]):
+                    edges.append((int(node[i]), int(node[j[root[j] == other][0]])))
+                    low, high = min(other, root[i]), max(other, root[i])
+                    root[root == high] = low
+            if edges:
+                yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in edges], pa.int64()), pa.array([v for _, v in edges], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            for t, s, short, n, parity in zip(*(batch.column(c).to_pylist() for c in ("task", "side", "short", "n_shingles", "parity"))):
+                if t != task:
+                    yield from out()
+                    task = t
+                    held.clear()
+                held.append((short, n, parity, s))
+        yield from out()
+
+    return members.repartition("task").sortWithinPartitions("task", "short").select("task", "side", "short", "n_shingles", "parity").mapInArrow(solve, TIED)
+
+
 LINKED = "u binary, v binary"
 
 
@@ -318,25 +377,36 @@ def verified_links(members: DataFrame, classes: np.ndarray, join: Join) -> DataF
     return members.repartition("task").sortWithinPartitions("task", "short").select("task", "side", "text").mapInArrow(solve, LINKED)
 
 
+#: Classes whose parities are compared at once.
+REFINED_AT_ONCE = 4000
+
+
+def _tasks(members: DataFrame, join: Join, weight, block: int) -> DataFrame:
+    """members(gathered, key, n_shingles, ..) with task and side: bands by size, cut into blocks of about that weight that meet pairwise."""
+    band = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(100 / join.percent) * (1 + 1e-9)))
+    banded = members.withColumn("band", F.explode(F.array(band, band - 1)))
+    counts = banded.groupBy("gathered", "band").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("total")).where("n > 1").select("gathered", "band", F.ceil(F.col("total") / block).alias("blocks"))
+    met = banded.join(counts, ["gathered", "band"]).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    spread = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return spread.withColumn("task", F.xxhash64("gathered", "band", F.least("own", "other"), F.greatest("own", "other"))).withColumn("side", F.when(F.col("own") <= F.col("other"), 0).otherwise(1))
+
+
 def cluster(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row of docs."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), text_or_empty(text_col).alias("text"))
     signed = stored(signatures(rows.select("id", "text"), join.n), "signatures")
     classes = frequency_classes(signed)
-    signed = signed.where("slot is null").select("id", "n_shingles", "key", "short")
+    signed = signed.where("slot is null").select("id", "n_shingles", "key", "short", "parity")
 
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
     gathered = components(ties(rows, classes, join, parts)).select(F.col("node").alias("short"), F.col("component").alias("gathered"))
 
-    carriers = signed.where("key is not null").groupBy("key", "short", "n_shingles").agg(F.min("id").alias("id"))
-    band = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(100 / join.percent) * (1 + 1e-9)))
-    banded = carriers.join(gathered, "short").withColumn("band", F.explode(F.array(band, band - 1)))
-    counts = banded.groupBy("gathered", "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / join.block))
-    met = stored(banded.join(counts, ["gathered", "band"]).select("id", "short", "gathered", "band", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).alias("own")), "candidates")
-    spread = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    tasks = spread.select("id", "short", F.xxhash64("gathered", "band", F.least("own", "other"), F.greatest("own", "other")).alias("task"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
-    links = verified_links(rows.hint("merge").join(tasks, "id"), classes, join)
+    carriers = signed.where("key is not null").groupBy("key", "short", "n_shingles").agg(F.min("id").alias("id"), F.first("parity").alias("parity"))
+    tasks = _tasks(stored(carriers.join(gathered, "short"), "candidates"), join, F.lit(1), REFINED_AT_ONCE)
+    gathered = components(refined_ties(tasks, join)).select(F.col("node").alias("short"), F.col("component").alias("gathered"))
+    tasks = _tasks(stored(carriers.drop("parity").join(gathered, "short"), "candidates"), join, F.col("n_shingles"), join.block)
+    links = verified_links(rows.hint("merge").join(tasks.select("id", "short", "task", "side"), "id"), classes, join)
 
     joined = components(links)
     least = signed.where("key is not null").groupBy("key").agg(F.min(F.when(F.col("id") != NULL_ID, F.col("id"))).alias("least"))

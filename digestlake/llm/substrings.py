@@ -35,36 +35,45 @@ from .bytesets import INVERSE, mix, powers, prefix_hashes, slices, span_hashes,
 from .shared import shared_dir, stored, text_or_empty
 
 LENGTH = 50
-K = 16
+K = 24
 NO_ID = (1 << 63) - 1
-PART_BYTES = 1 << 21
+PART_BYTES = 1 << 19
 
 
 # -- interval expansion ---------------------------------------------------------------------------
 
 
 def suffix_order(symbols: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
-    """Places sorted by their next depth symbols or more; left is the number of symbols up to the next separator, which is 0."""
+    """Places sorted by their next depth symbols or more; left is the number of symbols up to the next separator, which is 0.
+
+    The first sort takes as many symbols as fit into 64 bits; each later one joins the ranks of three stretches.
+    """
     n = len(symbols)
-    key = symbols.astype(np.uint64)
-    for j in range(1, 7):
-        ahead = np.zeros(n, np.uint64)
-        ahead[: n - j] = symbols[j:]
-        ahead[left <= j] = 0
-        key = (key << np.uint64(9)) | ahead
-    reach = 7
+    used, dense = np.unique(symbols, return_inverse=True)
+    bits = max(1, int(len(used) - 1).bit_length())
+
+    def joined(key: np.ndarray, stretch: int, times: int, width: int) -> np.ndarray:
+        out = key
+        for j in range(1, times):
+            ahead = np.zeros(n, np.uint64)
+            ahead[: max(0, n - j * stretch)] = key[j * stretch :]
+            ahead[left <= j * stretch] = 0
+            out = (out << np.uint64(width)) | ahead
+        return out
+
+    reach = 64 // bits
+    key = joined(dense.astype(np.uint64), 1, reach, bits)
+    width = int(n + 1).bit_length()
     while True:
         order = np.argsort(key)
         if reach >= depth:
             return order
         ranked = key[order]
         rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]), dtype=np.uint64) + np.uint64(1)
-        ahead = np.zeros(n, np.uint64)
-        ahead[: max(0, n - reach)] = rank[reach:]
-        ahead[left <= reach] = 0
-        key = (rank << np.uint64(32)) | ahead
-        reach *= 2
+        rank[order] = np.cumsum(np.concatenate([[True], ranked[1:] != ranked[:-1]]), dtype=np.uint64)
+        times = 3 if 3 * width <= 64 else 2
+        key = joined(rank, reach, times, width)
+        reach *= times
 
 
 def class_starts(symbols: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
@@ -88,13 +97,12 @@ def class_starts(symbols: np.ndarray, order: np.ndarray, least: int) -> np.ndarr
     head |= first == 0
     known[:n] = head
     fresh = np.flatnonzero(known)[1:]
-    places = np.arange(n + 1)
     psi_to = np.concatenate([psi, [n]])
     for _ in range(1, least):
         if not len(fresh):
             break
-        start = np.maximum.accumulate(np.where(known, places, 0))
-        lo = start[fresh - 1]
+        bounds = np.flatnonzero(known)
+        lo = bounds[np.searchsorted(bounds, fresh) - 1]
         size = fresh - lo
         after = np.cumsum(size)
         at = np.repeat(lo - (after - size), size) + np.arange(after[-1])
@@ -102,8 +110,7 @@ def class_starts(symbols: np.ndarray, order: np.ndarray, least: int) -> np.ndarr
         real = before[at] != 0
         at, end = at[real], end[real]
         p = forward[at] + 1
-        last = (psi_to[p] >= end) & ~known[p]
-        fresh = np.unique(p[last])
+        fresh = p[(psi_to[p] >= end) & ~known[p]]  # each place once: p tells its suffix, and that its interval
         known[fresh] = True
     return known[:n]
 
@@ -183,13 +190,19 @@ class File:
         return [hashlib.sha256(self.data[a:b]).digest() for a, b in zip(self.offsets[:-1], self.offsets[1:])]
 
     def chunks(self) -> None:
-        """Sets row, lo, hi, anchor, content of all chunks of the rows that are not copies."""
+        """Sets row, lo (first window), more (windows after it), anchor, content of all chunks of the rows that are not copies."""
         found = []
         for a, b in slices(self.offsets):
             row, lo, hi, anchor, content = chunks_of(self.data[self.offsets[a] : self.offsets[b]], self.offsets[a : b + 1] - self.offsets[a])
             keep = ~self.copy[row + a]
-            found.append((row[keep] + a, lo[keep] + self.offsets[a], hi[keep] + self.offsets[a], anchor[keep], content[keep]))
-        self.row, self.lo, self.hi, self.anchor, self.content = map(np.concatenate, zip(*found)) if found else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
+            kind = np.int32 if len(self.data) < 1 << 31 else np.int64
+            found.append([(row[keep] + a).astype(np.int32), (lo[keep] + self.offsets[a]).astype(kind), (hi[keep] - lo[keep]).astype(np.uint8), anchor[keep], content[keep]])
+        columns = []
+        for k, empty in enumerate((np.int32, np.int32, np.uint8, np.uint64, np.uint64)):
+            columns.append(np.concatenate([f[k] for f in found]) if found else np.zeros(0, empty))
+            for f in found:
+                f[k] = None
+        self.row, self.lo, self.more, self.anchor, self.content = columns
 
     def anchors(self, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(bucket, distinct minimizers, whether each is in two rows of this file or more)."""
@@ -271,7 +284,7 @@ def _send_chunks(buckets: int):
         file.chunks()
         for b, pick in file.shared_chunks(buckets, replies):
             at = file.first[pick]
-            lo, size = file.lo[at], file.hi[at] + LENGTH - file.lo[at]
+            lo, size = file.lo[at].astype(np.int64), file.more[at].astype(np.int64) + LENGTH
             end = np.cumsum(size)
             body = file.data[np.repeat(lo - (end - size), size) + np.arange(end[-1])]
             head = np.array([len(at)], "<i8").tobytes() + file.ids[file.row[at]].astype("<i8").tobytes() + file.content[at].astype("<u8").tobytes() + size.astype("<u2").tobytes()
@@ -292,16 +305,19 @@ def _finish(buckets: int):
             masks = np.zeros(len(file.first), np.uint64) if masks is None else masks
             if b in told:
                 masks[pick] = np.frombuffer(told[b], "<u8")
-        change = np.zeros(len(file.data) + 1, np.int32)
+        starts = np.zeros(len(file.data) + 1, bool)
         if masks is not None:
             places, of = file.places, file.of
             everywhere = file.ids[file.row[places]] > file.ids[file.row[file.first]][of]
-            lo, hi = file.lo[places], file.hi[places]
-            for j in range(int((hi - lo).max(initial=0)) + 1):
-                hit = (lo + j <= hi) & (everywhere | ((masks[of] >> np.uint64(j)) & np.uint64(1)).astype(bool))
-                np.add.at(change, lo[hit] + j, 1)
-                np.subtract.at(change, lo[hit] + j + LENGTH, 1)
-        covered = np.cumsum(change[:-1]) > 0
+            mask = np.where(everywhere, np.uint64(0xFFFFFFFFFFFFFFFF), masks[of])
+            lo, more = file.lo[places], file.more[places]
+            for j in range(int(more.max(initial=0)) + 1):
+                starts[lo[(j <= more) & ((mask >> np.uint64(j)) & np.uint64(1)).astype(bool)] + j] = True
+        # a byte is covered if a window that starts on it or less than LENGTH before is; windows end within their row
+        count = np.cumsum(starts, dtype=np.int32)
+        covered = count[:-1].copy()
+        covered[LENGTH:] -= count[: max(0, len(count) - 1 - LENGTH)]
+        covered = covered > 0
         rows = []
         for k, (a, b) in enumerate(zip(file.offsets[:-1].tolist(), file.offsets[1:].tolist())):
             gone = covered[a:b]
@@ -360,6 +376,7 @@ def meet_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, content, size, body = np.concatenate(ids), np.concatenate(content), np.concatenate(sizes), b"".join(bodies)
         start = np.cumsum(size) - size
         masks = np.zeros(len(ids), np.uint64)
+        full = (np.uint64(1) << (size - LENGTH + 1).astype(np.uint64)) - np.uint64(1)
         # chunks of one minimizer stay together: parts are cut by the minimizer, which is found again in the chunk
         group = _minimizer_of(body, start, size)
         parts = max(1, -(-len(body) // PART_BYTES))
@@ -371,11 +388,19 @@ def meet_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = mine[np.lexsort((ids[mine], content[mine]))]
             head = np.flatnonzero(np.concatenate([[True], content[at][1:] != content[at][:-1]]))
             one = at[head]
+            of = np.repeat(np.arange(len(one)), np.diff(head, append=len(at)))
+            # a minimizer with one distinct chunk has nothing to compare: the least id has all its windows
+            _, same, many = np.unique(group[one], return_inverse=True, return_counts=True)
+            alone = many[same] == 1
+            masks[at[alone[of]]] = np.where(ids[one][of] < ids[at], full[at], np.uint64(0))[alone[of]]
+            at, of = at[~alone[of]], (np.cumsum(~alone) - 1)[of[~alone[of]]]
+            one = one[~alone]
+            if not len(one):
+                continue
             least = least_ids([body[a : a + n] for a, n in zip(start[one].tolist(), size[one].tolist())], ids[one])
             width = size[one] - LENGTH + 1
             table = np.full((len(one), int(width.max())), NO_ID, np.int64)
             table[np.arange(table.shape[1]) < width[:, None]] = np.concatenate(least)
-            of = np.repeat(np.arange(len(one)), np.diff(head, append=len(at)))
             for j in range(table.shape[1]):
                 masks[at] |= (table[of, j] < ids[at]).astype(np.uint64) << np.uint64(j)
         at, out = 0, []
