@@ -115,5 +115,40 @@ def queries() -> dict:
     }
 
 
+OP2_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m.y, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x) m USING (doc_id)
+"""
+
+
+def _either_case(pattern: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in pattern)
+
+
+def _op6_sql() -> str:
+    """Positions are sums of the lengths of the matches and of what lies between them."""
+    keys = _either_case("(password|passwd|secret|token|api_?key)")
+    parts = []
+    for pos, (kind, pattern, group, least) in enumerate((("assign", keys + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32))):
+        q = "'" + pattern.replace("'", "''") + "'"
+        parts.append(
+            f"SELECT doc_id, {pos} AS pos, '{kind}' AS kind, unnest(list_transform(range(1, len(m) + 1), lambda i: {{'a': list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0), 'n': length(m[i]), 'ok': length(g[i]) >= {least}}})) AS x"
+            f" FROM (SELECT doc_id, regexp_extract_all(text, {q}, 0) AS m, regexp_extract_all(text, {q}, {group}) AS g, regexp_split_to_array(text, {q}) AS s FROM documents)"
+        )
+    return f"""
+WITH spans AS (SELECT doc_id, pos, kind, CAST(x.a AS BIGINT) AS a, CAST(x.a + x.n AS BIGINT) AS b FROM ({' UNION ALL '.join(parts)}) WHERE x.ok),
+each AS (SELECT doc_id, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, pos) AS spans, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in ("assign", "access", "hex"))} FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN each USING (doc_id)"""
+
+
 def oracle_sql() -> dict:
-    return {"op9_line_frequency": OP9_SQL}
+    return {"op2_multi_order_jaccard": OP2_SQL, "op6_secret_ledger": _op6_sql(), "op9_line_frequency": OP9_SQL}
