@@ -150,5 +150,18 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN each USING (doc_id)"""
 
 
+#: The check sum byte by byte, from a table that the polynomial gives.
+OP7_SQL = """
+WITH t AS (SELECT list(v ORDER BY i) AS crc FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) AS v FROM range(256) r(i))),
+b AS (SELECT doc_id, source, octet_length(encode(text)) + 16 AS size, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::UBIGINT) AS bytes FROM documents),
+c AS (SELECT doc_id, source, CAST(size AS BIGINT) AS size, CAST(xor(list_reduce(list_prepend(4294967295::UBIGINT, bytes), lambda a, x: xor(a >> 8, crc[(xor(a & 255, x) + 1)::BIGINT])), 4294967295::UBIGINT) AS BIGINT) AS text_crc32,
+  ('0x' || substr(md5('17:' || doc_id), 1, 15))::UBIGINT AS k FROM b, t),
+r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY k, doc_id) - 0.5::DOUBLE) / count(*) OVER (PARTITION BY source) AS fraction, count(*) OVER () AS total FROM c),
+p AS (SELECT *, row_number() OVER (ORDER BY fraction, source, k, doc_id) - 1 AS position FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(position * 40 // total AS INTEGER) AS shard,
+  CAST(position - ((position * 40 // total) * total + 39) // 40 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op2_multi_order_jaccard": OP2_SQL, "op6_secret_ledger": _op6_sql(), "op9_line_frequency": OP9_SQL}
+    return {"op7_stratified_shards": OP7_SQL, "op2_multi_order_jaccard": OP2_SQL, "op6_secret_ledger": _op6_sql(), "op9_line_frequency": OP9_SQL}
