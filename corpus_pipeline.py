@@ -1,8 +1,8 @@
 """A training corpus from raw documents: toxicity, near duplicates, benchmark leaks, secrets, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again before the next.
-All but the last return the columns of documents. A stage that drops documents does so by doc_id: rows that
-repeat a doc_id share one fate, and rows without one are kept.
+All but the last return the columns of documents. Toxic and leaked documents are dropped where they are read; near
+copies are dropped by doc_id, so rows that repeat a doc_id share one fate there, and rows without one are kept.
 """
 
 from __future__ import annotations
@@ -15,29 +15,23 @@ from digestlake.llm import decontaminate, jaccard, packing, secrets, toxicity
 from digestlake.llm.shared import stored, whole_texts
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs less the rows whose doc_id is in ids(gone)."""
-    return docs.join(ids.distinct(), docs["doc_id"] == F.col("gone"), "left_anti")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what the network trained on the labels does not call toxic."""
     network, share = toxicity.fit(docs, whole_texts(spark).read.parquet(f"{sf_dir}/labels.parquet"))
-    judged = toxicity.score(docs, network, share)
-    return without(docs, judged.where("score >= 0.5").select(F.col("doc_id").alias("gone")))
+    return toxicity.clean(docs, network, share)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by a Jaccard similarity of 0.8 or more over five words, the least doc_id stays."""
     whole_texts(spark)
     groups = jaccard.cluster(docs, jaccard.Join(n=5, percent=80))
-    return without(docs, groups.where("component_id < id").select(F.col("id").alias("gone")))
+    gone = groups.where("component_id < id").select(F.col("id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that contain no benchmark item."""
-    found = decontaminate.leaks(docs, whole_texts(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs, found.select(F.col("doc_id").alias("gone")))
+    return decontaminate.clean(docs, whole_texts(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 #: What replaces a secret.

@@ -192,16 +192,45 @@ FOUND = "doc_id long, item_id long, start_word long, score double, question_over
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """A row for each pair of a text and a test item that it contains."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), text_or_empty(item_text_col).alias("text")).orderBy("item", "text")
-    n = items.count()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    out = docs.sparkSession.createDataFrame([], FOUND)
-    for lo in range(0, n, ITEMS_A_BLOCK):
+    out = None
+    for index in indices(benchmark, threshold, item_col, item_text_col):
+        found = _query(rows, index, threshold, overlap)
+        out = found if out is None else out.unionByName(found)
+    return docs.sparkSession.createDataFrame([], FOUND) if out is None else out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.5, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of docs that contain no test item, with all their columns; each is judged where it is read."""
+    for index in indices(benchmark, threshold, item_col, item_text_col):
+        docs = _without(docs, index, threshold, overlap, text_col)
+    return docs
+
+
+def _without(docs: DataFrame, index: Index, threshold: float, overlap: float, text_col: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, bits = shared.value, shared.value.filter_bits()
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(text_col).fill_null(""))
+            keep = np.ones(batch.num_rows, bool)
+            for lo, hi in slices(offsets):
+                h, first = hashed_words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                keep[[lo + r for r, *_ in search(index, bits, h, first, threshold, overlap)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def indices(benchmark: DataFrame, threshold: float, item_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
+    """The index of each block of items."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), text_or_empty(text_col).alias("text")).orderBy("item", "text")
+    for lo in range(0, items.count(), ITEMS_A_BLOCK):
         block = items.offset(lo).limit(ITEMS_A_BLOCK).collect()
         index = Index.build([r["item"] for r in block], [r["text"] for r in block], threshold)
         if index is not None:
-            out = out.unionByName(_query(rows, index, threshold, overlap)) if lo else _query(rows, index, threshold, overlap)
-    return out
+            yield index
 
 
 def _query(rows: DataFrame, index: Index, threshold: float, overlap: float) -> DataFrame:

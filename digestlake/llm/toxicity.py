@@ -322,6 +322,22 @@ def score(docs: DataFrame, network: Network | None, share: float, id_col: str =
     return rows.mapInArrow(run, SCORED)
 
 
+def clean(docs: DataFrame, network: Network | None, share: float, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs with a score under the threshold, with all their columns; each is judged where it is read."""
+    if network is None:
+        return docs.where(F.lit(share < threshold))
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(text_col).fill_null(""))
+            logits = [shared.value.score(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in slices(offsets)]
+            scores = _sigmoid(np.concatenate([np.zeros(0, np.float32), *logits]).astype(np.float64))
+            yield batch.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def judge(docs: DataFrame, labels: DataFrame, **sample) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row, by a network trained on the labels."""
     network, share = fit(docs, labels, **sample)
