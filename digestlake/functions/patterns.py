@@ -111,7 +111,11 @@ def re2(pattern: str) -> str:
 
 
 def any_java(patterns: list[str]) -> str:
-    return "(?iud)(?:" + "|".join(map(java, patterns)) + ")"
+    """One alternation; a boundary that leads all of it is tested once at each place."""
+    forms, lead = list(map(java, patterns)), f"(?<!{WORD})"
+    if all(f.startswith(lead) for f in forms):
+        return f"(?iud){lead}(?:" + "|".join(f[len(lead) :] for f in forms) + ")"
+    return "(?iud)(?:" + "|".join(forms) + ")"
 
 
 def any_re2(patterns: list[str]) -> str:

@@ -58,12 +58,19 @@ def _matching(pattern: str):
 
 def topics(text) -> Column:
     """The topics of text, account and hashtag signals in the order of the catalogue, or general."""
-    tags, named = hashtags(text), F.transform(mentions(text), lambda m: F.try_element_at(literal_map(P.ACCOUNT_TOPICS), m))
-    found = []
-    for topic, patterns in P.TOPICS.items():
-        p = P.any_java(patterns)
-        found.append(F.when(F.lower(_t(text)).rlike(p) | F.array_contains(F.array_compact(named), topic) | F.exists(tags, _matching(p)), F.lit(topic)))
-    return F.transform(F.array(F.array_compact(F.array(*found))), lambda a: F.when(F.size(a) > 0, a).otherwise(F.array(F.lit("general"))))[0]
+    named = F.array_compact(F.transform(mentions(text), lambda m: F.try_element_at(literal_map(P.ACCOUNT_TOPICS), m)))
+
+    def found(s: Column) -> Column:
+        """The topics of one struct of text, tags and names, each of which is computed once."""
+        each = []
+        for topic, patterns in P.TOPICS.items():
+            p = P.any_java(patterns)
+            each.append(F.when(s["text"].rlike(p) | F.array_contains(s["named"], topic) | F.exists(s["tags"], _matching(p)), F.lit(topic)))
+        return F.array_compact(F.array(*each))
+
+    signals = F.struct(F.lower(_t(text)).alias("text"), hashtags(text).alias("tags"), named.alias("named"))
+    listed = F.transform(F.array(signals), found)
+    return F.transform(listed, lambda a: F.when(F.size(a) > 0, a).otherwise(F.array(F.lit("general"))))[0]
 
 
 def force_topics(found: Column, forced: list[str]) -> Column:

@@ -88,14 +88,15 @@ def soft_assign(points: DataFrame, centers: DataFrame, key: str = "vec_id", vect
     return rows.select(key, cluster, F.when(F.col(cluster) == -1, nobody).otherwise(best.cast("array<int>")).alias("secondary"))
 
 
-def silhouette(points: DataFrame, key: str = "vec_id", vector: str = "embedding", cluster: str = "cluster", block: int = 512) -> DataFrame:
+def silhouette(points: DataFrame, key: str = "vec_id", vector: str = "embedding", cluster: str = "cluster", block: int = 256) -> DataFrame:
     """One row with the mean silhouette by Euclidean distance, noise left out, null for fewer than two clusters.
 
     The measure is defined over all pairs, so its work is quadratic; it is meant for digest-sized sets. Points are packed into
-    blocks, and each pair of blocks is one row whose distances are summed inside an Arrow batch, so pairs never become rows.
+    blocks of about block points, and each pair of blocks is one row whose distances are summed inside an Arrow batch, so pairs never become rows.
     """
     some = points.where(F.col(cluster) != -1).select(F.col(key).alias("k"), F.col(cluster).cast("int").alias("c"), F.col(vector).cast("array<double>").alias("v"))
-    blocks = some.groupBy(F.pmod(F.xxhash64("k"), F.lit(block)).alias("b")).agg(F.collect_list("k").alias("k"), F.collect_list("c").alias("c"), F.collect_list("v").alias("v"))
+    n_blocks = max(1, some.count() // block)
+    blocks = some.groupBy(F.pmod(F.xxhash64("k"), F.lit(n_blocks)).alias("b")).agg(F.collect_list("k").alias("k"), F.collect_list("c").alias("c"), F.collect_list("v").alias("v"))
     pairs = blocks.join(F.broadcast(blocks.select(F.col("c").alias("c2"), F.col("v").alias("v2"))), F.lit(True), "cross")
 
     def sums(frames):

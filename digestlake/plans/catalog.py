@@ -266,7 +266,7 @@ def _clustered(p):
     """Posts with the topic's place in the catalogue as cluster, general as noise."""
     topic = T.topics("text")[0]
     place = F.coalesce(F.try_element_at(T.literal_map({t: i for i, t in enumerate(T.P.TOPICS)}), topic), F.lit(-1))
-    return posts.originals(p).withColumn("cluster", place).withColumn("clean_text", T.clean("text"))
+    return posts.originals(p).withColumn("cluster", place).withColumn("clean_text", T.clean("text")).persist()
 
 
 @_query
@@ -288,8 +288,9 @@ def cluster_tiers(p):
 @_query
 def cluster_manifest(p):
     best = F.max_by(F.struct("screen_name", "likes", "id"), F.struct("likes", -F.col("_ord")))
-    sized = _clustered(p).where("cluster <> -1").groupBy("cluster").agg(F.count(F.lit(1)).alias("tweet_count"), best.alias("b"))
-    labelled = sized.join(clustering.label_words(_clustered(p)), "cluster")
+    rows = _clustered(p)
+    sized = rows.where("cluster <> -1").groupBy("cluster").agg(F.count(F.lit(1)).alias("tweet_count"), best.alias("b"))
+    labelled = sized.join(clustering.label_words(rows), "cluster")
     return labelled.select("cluster", "label", "tweet_count", F.least("tweet_count", F.lit(100)).cast("bigint").alias("prioritized_count"), F.concat(render.file_label(F.col("cluster"), F.col("label")), F.lit(".txt")).alias("file"), F.col("b.screen_name").alias("top_user"), F.col("b.likes").alias("top_likes"), F.col("b.id").alias("top_id"))
 
 

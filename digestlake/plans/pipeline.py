@@ -42,9 +42,9 @@ def filtered(rows: DataFrame, s: Settings) -> DataFrame:
 
 
 def by_topic(rows: DataFrame, s: Settings) -> DataFrame:
-    """Numbered posts of each topic that has enough, strongest first."""
+    """Numbered posts of each topic that has enough, strongest first. Topics are the costly part and are kept, since they are read twice."""
     topic = T.force_topics(T.topics("text"), s.forced)[0]
-    sized = rows.withColumn("topic", topic)
+    sized = rows.withColumn("topic", topic).persist()
     big = sized.groupBy("topic").agg(F.count(F.lit(1)).alias("tweet_count")).where(F.col("tweet_count") >= s.least_cluster)
     return ranking.top_per_group(sized.join(F.broadcast(big), "topic"), ["topic"], [T.tier_rank("likes").asc(), F.desc("likes"), F.asc("_ord")], s.per_cluster)
 
@@ -54,17 +54,22 @@ def topic_prompts(rows: DataFrame, s: Settings) -> DataFrame:
 
 
 def stories(rows: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(accounts' posts with reliability and story, stories, momentum of all entities)."""
-    known = momentum.with_accounts(rows, s.handles).withColumn("reliability", F.round(S.reliability(), 9))
+    """(accounts' posts with reliability and story, stories, momentum of all entities).
+
+    The scored posts feed all three, so they are kept once, on disk where memory is short; a lost part is computed anew.
+    """
+    known = momentum.with_accounts(rows, s.handles).withColumn("reliability", F.round(S.reliability(), 9)).persist()
     strength = momentum.aggregate(known, s.as_of, s.recency_hours)
-    top = momentum.stories(strength, s.least_accounts, s.top_entities)
+    top = momentum.stories(strength, s.least_accounts, s.top_entities).persist()
     return momentum.assign(known, top), top, strength
 
 
 def digest(rows: DataFrame, s: Settings) -> DataFrame:
     """The lines of the digest over filtered posts."""
     assigned, top, _ = stories(rows, s)
-    return render.digest_lines(assigned, top, momentum.story_sources(assigned, s.per_topic), momentum.other_notable(assigned, s.other_cap), s.title, s.as_of.strftime("%Y-%m-%d %H:%M"), s.span)
+    assigned = assigned.persist()
+    sources, others = momentum.story_sources(assigned, s.per_topic).persist(), momentum.other_notable(assigned, s.other_cap).persist()
+    return render.digest_lines(assigned, top, sources, others, s.title, s.as_of.strftime("%Y-%m-%d %H:%M"), s.span)
 
 
 class Pipeline:
