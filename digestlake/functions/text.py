@@ -48,8 +48,9 @@ def tokens(text) -> Column:
 
 
 def hits(text, patterns: list[str]) -> Column:
-    """How many of the patterns occur, each counted once."""
-    return reduce(lambda a, b: a + b, [_t(text).rlike(P.any_java([p])).cast("int") for p in patterns])
+    """How many of the patterns occur, each counted once; texts without any are told by one search for all."""
+    each = reduce(lambda a, b: a + b, [_t(text).rlike(P.any_java([p])).cast("int") for p in patterns])
+    return F.when(_t(text).rlike(P.any_java(patterns)), each).otherwise(F.lit(0))
 
 
 def _matching(pattern: str):
