@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,13 +15,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name that the driver and all executors reach, under spark.checkpoint.dir.
 
     Where that setting is absent (tests on one machine), a temporary folder of this machine
-    takes its place and is recorded in the session.
+    takes its place, is recorded in the session and goes with the process. Elsewhere the folder `digestlake` under
+    spark.checkpoint.dir can be cleared once results are written.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="digestlake-")
+        own = tempfile.mkdtemp(prefix="digestlake-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        base = "file://" + own
         spark.conf.set("spark.checkpoint.dir", base)
     if "://" not in base and base.startswith("/"):
         base = "file://" + base
