@@ -26,7 +26,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     whole_texts(spark)
     groups = jaccard.cluster(docs, jaccard.Join(n=5, percent=80))
     gone = groups.where("component_id < id").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    # both sides grow with the corpus, so the join is by sort and merge at every size
+    return docs.hint("merge").join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
             named_struct('at', s.end, 'out', concat(a.out, if(s.start < a.at, '', concat(substr(text, cast(a.at as int) + 1, cast(s.start - a.at as int)), '{MASK}'))))),
             a -> concat(a.out, substr(text, cast(a.at as int) + 1)))"""
     )
-    joined = docs.withColumn("_key", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).join(found, F.col("_key") == F.col("_blob"), "left")
+    joined = docs.withColumn("_key", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).hint("merge").join(found, F.col("_key") == F.col("_blob"), "left")
     masked = joined.withColumn("text", F.when(F.col("_spans").isNotNull(), cut).otherwise(F.col("text")))
     masked = masked.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return masked.select(docs.columns)
