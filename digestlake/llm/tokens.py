@@ -34,8 +34,10 @@ MAGIC = b"PFORTOK1"
 HEAD = struct.Struct("<IBHH")
 #: Bytes that str.split() drops and the tokenizer keeps.
 ODD = re.compile("[\x1c-\x1f]")
-LATIN = re.compile("[\x00-\xff]*+").fullmatch
-SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!%&$*#.,;:?]*)").fullmatch
+#: Marks that end a word and are a pre-token of their own after letters.
+MARKS = "!%&$*#.,;:?"
+#: Words that are encoded as one text.
+TOGETHER = 500
 
 
 class _Numbering(dict):
@@ -55,10 +57,33 @@ def _words(text: str) -> list[str]:
     """What the tokenizer treats apart. Latin-1 text without marks of special tokens may be lower-cased first, as the tokenizer does, so that fewer words are distinct."""
     if ODD.search(text):
         return [text]
-    if text.isascii() or LATIN(text):
-        if "<|" not in text:
-            return text.lower().split()
-    return text.split()
+    return text.lower().split() if "<|" not in text and _latin(text) else text.split()
+
+
+def _latin(text: str) -> bool:
+    """Of Latin-1 alone, where lower case and composition are the same in all libraries."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class _Growing:
+    """An array that is extended in place, with room to spare."""
+
+    def __init__(self, kind: type):
+        self.room, self.n = np.empty(1 << 12, kind), 0
+
+    def extend(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.room):
+            room = np.empty(max(2 * len(self.room), self.n + len(more)), self.room.dtype)
+            room[: self.n] = self.room[: self.n]
+            self.room = room
+        self.room[self.n : self.n + len(more)] = more
+        self.n += len(more)
 
 
 class _Ids:
@@ -66,41 +91,44 @@ class _Ids:
 
     def __init__(self, first: int | None = None):
         self.numbers = _Numbering()
-        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.starts, self.lengths = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
         if first is not None:
             self.numbers[" "]  # no word has a space
             self.numbers.new.clear()
             self.add(np.array([first], np.uint32), np.ones(1, np.int64))
 
     def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, flat])
+        self.starts.extend(self.ids.n + np.cumsum(lengths) - lengths)
+        self.lengths.extend(lengths)
+        self.ids.extend(flat)
 
     def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all, length of each) of the strings with these numbers."""
-        lengths = self.lengths[numbers]
+        lengths = self.lengths.room[numbers]
         after = np.cumsum(lengths)
-        at = np.repeat(self.starts[numbers] - (after - lengths), lengths)
+        at = np.repeat(self.starts.room[numbers] - (after - lengths), lengths)
         at += np.arange(len(at))
-        return self.ids[at], lengths
+        return self.ids.room[at], lengths
 
 
 class Encoder:
     """Ids of texts, each followed by end_id.
 
-    A word of Latin letters and closing marks is two pre-tokens for the tokenizer, which lower-cases them: its ids are those of
-    the lower-cased letters and of the marks. So words share pieces, and a piece is encoded once while it is kept.
+    A word of Latin letters and closing marks is two pre-tokens for the tokenizer: its ids are those of
+    the letters and of the marks. So words share pieces, and a piece is encoded once while it is kept.
     """
 
     _kept: dict[tuple, "Encoder"] = {}
 
-    def __init__(self, path: str, end_id: int, max_words: int = 900_000, max_pieces: int = 900_000):
+    def __init__(self, path: str, end_id: int, max_words: int = 300_000, max_pieces: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id, self.max_words, self.max_pieces = Tokenizer.from_file(path), end_id, max_words, max_pieces
         self.words, self.pieces = _Ids(end_id), _Ids()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     @classmethod
     def of(cls, path: str, end_id: int) -> "Encoder":
@@ -118,24 +146,39 @@ class Encoder:
         parts: list[str] = []
         counts = np.ones(len(new), np.int64)
         for k, word in enumerate(new):
-            if m := SIMPLE(word):
-                letters, marks = m.groups()
-                parts.append(letters.lower())
-                if marks:
-                    parts.append(marks)
-                    counts[k] = 2
+            letters = word.rstrip(MARKS)
+            if letters.isalpha() and len(letters) < len(word) and _latin(letters):
+                parts.append(letters)
+                parts.append(word[len(letters) :])
+                counts[k] = 2
             else:
                 parts.append(word)
         numbers = np.fromiter(map(self.pieces.numbers.__getitem__, parts), np.int64, len(parts))
         if unseen := self.pieces.numbers.new:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, got), np.int64, len(got))
-            self.pieces.add(np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths)
+            self.pieces.add(*self._encoded(unseen))
             unseen.clear()
         flat, lengths = self.pieces.of(numbers)
         self.words.add(flat, np.add.reduceat(lengths, np.cumsum(counts) - counts))
         new.clear()
 
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all, number of ids of each). Words of Latin letters go together: each is one pre-token, whose last id and no other ends a word."""
+        plain = np.fromiter((p.isalpha() and _latin(p) for p in pieces), bool, len(pieces))
+        words = [p for p, ok in zip(pieces, plain.tolist()) if ok]
+        together = [" ".join(words[k : k + TOGETHER]) for k in range(0, len(words), TOGETHER)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(together, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, sum(map(len, ids)))
+        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        if len(ends) != len(words) or (len(ends) and ends[-1] != len(flat)):
+            plain[:], flat, ends = False, flat[:0], ends[:0]
+        other = [e.ids for e in self.tokenizer.encode_batch_fast([p for p, ok in zip(pieces, plain.tolist()) if not ok], add_special_tokens=False)]
+        lengths = np.empty(len(pieces), np.int64)
+        lengths[plain], lengths[~plain] = np.diff(ends, prepend=0), np.fromiter(map(len, other), np.int64, len(other))
+        out = np.empty(int(lengths.sum()), np.uint32)
+        of_plain = np.repeat(plain, lengths)
+        out[of_plain], out[~of_plain] = flat, np.fromiter(chain.from_iterable(other), np.uint32, len(out) - len(flat))
+        return out, lengths
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
         if not texts:
