@@ -4,7 +4,7 @@ Items are the documents of a BM25 index; every passage of every text is a query.
 the longest item and half of that apart, so that each item that occurs in a text is whole in one of them. An item's
 scores are divided by the score that it gives itself, so one threshold holds for all.
 
-Passages are queried in arrays. The commonest terms, which cannot reach half the threshold in any item together, are set
+Passages are queried in arrays. The commonest terms, which cannot reach a set share of the threshold in any item together, are set
 aside; a passage whose other terms cannot make up the rest by their upper bounds is skipped. Of the
 others, blocks of items are bounded by their terms' block maxima, and only the items of blocks that may reach the threshold are
 scored, all of them. What scores enough is verified: enough of the item's question and of its answer (its last
@@ -31,7 +31,9 @@ from .bytesets import BYTE, LOWER_WIDE, PLAIN, mix, prefix_hashes, slices, span_
 from .shared import text_or_empty
 
 ITEMS_A_BLOCK = 20_000
-GROUP = 16  # items of which one block maximum is kept
+GROUP = 16  # items of which one block maximum is kept, at least
+BLOCKS = 64  # at most
+ASIDE = 0.5
 TABLE = BYTE[LOWER_WIDE]
 
 
@@ -65,6 +67,8 @@ class Index:
     item: np.ndarray
     impact: np.ndarray
     bound: np.ndarray  # of each term, its largest impact
+    group: int  # items of a block
+    block_bound: np.ndarray  # of each term, its largest impact in each block of items
     common: np.ndarray  # of each term, whether it is set aside
     aside: float  # what the terms set aside can add up to
     longest: int
@@ -96,12 +100,15 @@ class Index:
         impact /= np.bincount(item, impact, minlength=len(rows))[item]
         begin = np.searchsorted(term, np.arange(len(terms) + 1))
         bound = np.maximum.reduceat(impact, begin[:-1])
-        # set terms aside by falling document frequency while no item can gather half the threshold from them
+        group = max(GROUP, -(-len(rows) // BLOCKS))
+        block_bound = np.zeros((len(terms), -(-len(rows) // group)), np.float32)
+        np.maximum.at(block_bound, (term, item // group), impact.astype(np.float32))
+        # set terms aside by falling document frequency while no item can gather ASIDE of the threshold from them
         gathered, common, aside = np.zeros(len(rows)), np.zeros(len(terms), bool), 0.0
         for t in np.argsort(-df, kind="stable"):
             after = gathered.copy()
             after[item[begin[t] : begin[t + 1]]] += impact[begin[t] : begin[t + 1]]
-            if after.max() > threshold / 2:
+            if after.max() > ASIDE * threshold:
                 break
             gathered, common[t], aside = after, True, float(after.max())
         runs = [min(3, len(h)) for _, h, _ in rows]
@@ -110,7 +117,7 @@ class Index:
         cut = [max(1, min(q - n + 1, len(g) - 1)) if len(g) > 1 else 1 for (_, _, q), g, n in zip(rows, every, runs)]
         questions = [np.unique(g[:c]) for g, c in zip(every, cut)]
         answers = [np.unique(g[c:] if c < len(g) else g) for g, c in zip(every, cut)]
-        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, bound, common, aside, int(lengths.max()), runs, questions, answers)
+        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, bound, group, block_bound, common, aside, int(lengths.max()), runs, questions, answers)
 
     def filter_bits(self) -> np.ndarray:
         bits = np.zeros(1 << 18, bool)
@@ -126,29 +133,30 @@ def _expand(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return which, np.arange(len(which)) - np.repeat(after - size, size) + np.repeat(begin, size)
 
 
-def wand(index: Index, passage: np.ndarray, term: np.ndarray, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(passage, item, score) of all pairs that reach the threshold, from distinct pairs of passage and term."""
-    # bounds of blocks of items
-    k, at = _expand(index.begin[term], index.begin[term + 1])
-    blocks = -(-len(index.ids) // GROUP)
-    key = passage[k] * blocks + index.item[at] // GROUP
-    by_term = np.lexsort((k, key))
-    key, k, impact = key[by_term], k[by_term], index.impact[at][by_term]
-    head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (k[1:] != k[:-1])])) if len(key) else np.zeros(0, np.int64)
-    if not len(head):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    largest = np.maximum.reduceat(impact, head)
-    pairs, where = np.unique(key[head], return_inverse=True)
-    live = pairs[np.bincount(where, largest) >= threshold]
-    # full scores in the blocks that may reach it
-    every = passage[np.repeat(np.arange(len(term)), index.begin[term + 1] - index.begin[term])] * blocks + index.item[at] // GROUP
-    keep = np.isin(every, live)
-    which = np.repeat(np.arange(len(term)), index.begin[term + 1] - index.begin[term])[keep]
-    pair = passage[which] * len(index.ids) + index.item[at][keep]
-    found, where = np.unique(pair, return_inverse=True)
-    score = np.bincount(where, index.impact[at][keep]) if len(found) else np.zeros(0)
+def wand(index: Index, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, item, score) of all pairs that reach the threshold, from distinct pairs of passage and term in order of passage."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    if not len(passage):
+        return none
+    head = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
+    # what the items of each block can score at most
+    bounds = np.add.reduceat(index.block_bound[term], head, axis=0)
+    where, block = np.nonzero(bounds >= threshold - 1e-5)
+    if not len(where):
+        return none
+    # full scores of all items in the blocks that may reach it
+    live = np.zeros(bounds.shape, bool)
+    live[where, block] = True
+    nth = np.repeat(np.arange(len(head)), np.diff(head, append=len(passage)))
+    some = live.any(axis=1)[nth]
+    nth, term = nth[some], term[some]
+    which, at = _expand(index.begin[term], index.begin[term + 1])
+    keep = live[nth[which], index.item[at] // index.group]
+    pair = nth[which][keep] * len(index.ids) + index.item[at][keep]
+    found, to = np.unique(pair, return_inverse=True)
+    score = np.bincount(to, index.impact[at][keep]) if len(found) else np.zeros(0)
     ok = score >= threshold - 1e-9
-    return found[ok] // len(index.ids), found[ok] % len(index.ids), score[ok]
+    return passage[head][found[ok] // len(index.ids)], found[ok] % len(index.ids), score[ok]
 
 
 def search(index: Index, bits: np.ndarray, h: np.ndarray, first: np.ndarray, threshold: float, overlap: float) -> list[tuple]:
@@ -173,7 +181,12 @@ def search(index: Index, bits: np.ndarray, h: np.ndarray, first: np.ndarray, thr
         return []
     which, place = _expand(lo[able], hi[able])
     distinct = np.unique(which * len(index.terms) + code[place])
-    passages, items, scores = wand(index, distinct // len(index.terms), distinct % len(index.terms), len(able), threshold)
+    # the same bound over distinct terms: those set aside count no more than they can add up to
+    owner, term = distinct // len(index.terms), distinct % len(index.terms)
+    rare = np.bincount(owner, np.where(index.common[term], 0, index.bound[term]), minlength=len(able))
+    usual = np.bincount(owner, np.where(index.common[term], index.bound[term], 0), minlength=len(able))
+    distinct = distinct[(rare + np.minimum(usual, index.aside) >= threshold - 1e-9)[owner]]
+    passages, items, scores = wand(index, distinct // len(index.terms), distinct % len(index.terms), threshold)
     best: dict[tuple[int, int], tuple] = {}
     for p, i, s in zip(passages.tolist(), items.tolist(), scores.tolist()):
         w = int(able[p])

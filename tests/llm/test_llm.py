@@ -450,7 +450,7 @@ def test_wand_is_exhaustive():
     for a, b in pairs:
         s = slice(index.begin[b], index.begin[b + 1])
         scores[a, index.item[s]] += index.impact[s]
-    got = {(a, b): round(s, 9) for a, b, s in zip(*(x.tolist() for x in decontaminate.wand(index, p, t, len(passages), 0.5)))}
+    got = {(a, b): round(s, 9) for a, b, s in zip(*(x.tolist() for x in decontaminate.wand(index, p, t, 0.5)))}
     want = {(int(a), int(b)): round(float(scores[a, b]), 9) for a, b in zip(*np.nonzero(scores >= 0.5 - 1e-9))}
     assert got == want and all((30 + k, k) in got for k in range(5))
 
