@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import shared_dir, stored, text_or_empty
+from .shared import KEPT, shared_dir, stored, text_or_empty
 
 BLOCK = 1024
 MAGIC = b"PFORTOK1"
@@ -120,7 +120,7 @@ class Encoder:
 
     _kept: dict[tuple, "Encoder"] = {}
 
-    def __init__(self, path: str, end_id: int, max_words: int = 300_000, max_pieces: int = 500_000):
+    def __init__(self, path: str, end_id: int, max_words: int = 600_000, max_pieces: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -197,6 +197,9 @@ class Encoder:
         return ids, np.diff(np.cumsum(lengths)[ends - 1], prepend=0)
 
 
+KEPT.append(Encoder._kept)
+
+
 def batches_of_texts(texts, chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about so many characters."""
     lo = size = 0
@@ -226,8 +229,9 @@ def pack_blocks(ids: np.ndarray, percentile: float = 95.0) -> list[bytes]:
         for w in np.unique(widths):
             rows = np.flatnonzero(widths == w)
             odd = high[rows] >= (1 << w)
-            low = np.where(odd, 0, high[rows]).astype(np.uint32)
-            bits = ((low[:, :, None] >> np.arange(w, dtype=np.uint32)) & 1).astype(np.uint8)
+            size = 2 if w <= 16 else 4
+            low = np.where(odd, 0, high[rows]).astype(f"<u{size}").view(np.uint8).reshape(len(rows), BLOCK, size)
+            bits = np.unpackbits(low, axis=2, bitorder="little")[:, :, :w]
             packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
             for r, mask, body in zip(rows, odd, packed):
                 at = np.flatnonzero(mask)
@@ -238,15 +242,28 @@ def pack_blocks(ids: np.ndarray, percentile: float = 95.0) -> list[bytes]:
     return out
 
 
+def unpack_blocks(data: bytes, starts: list[int]) -> np.ndarray:
+    """The ids of the blocks that begin at starts; blocks of one width are unpacked together."""
+    heads = [HEAD.unpack_from(data, s) for s in starts]
+    least, widths, n_odd, sizes = (np.array(x, np.int64) for x in zip(*heads))
+    raw, at = np.frombuffer(data, np.uint8), np.array(starts, np.int64) + HEAD.size
+    out = np.empty((len(starts), BLOCK), np.uint32)
+    for w in np.unique(widths):
+        rows = np.flatnonzero(widths == w)
+        body = raw[at[rows][:, None] + np.arange(BLOCK * w // 8)]
+        size = 2 if w <= 16 else 4
+        bits = np.zeros((len(rows), BLOCK, 8 * size), np.uint8)
+        bits[:, :, :w] = np.unpackbits(body, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
+        out[rows] = np.packbits(bits, axis=2, bitorder="little").view(f"<u{size}")[:, :, 0]
+    out += least[:, None].astype(np.uint32)
+    for k in np.flatnonzero(n_odd):
+        a, n = int(at[k] + BLOCK * widths[k] // 8), int(n_odd[k])
+        out[k, np.frombuffer(data, "<u2", n, a)] = np.frombuffer(data, "<u4", n, a + 2 * n)
+    return out.reshape(-1)[: (len(starts) - 1) * BLOCK + sizes[-1]] if (sizes[:-1] == BLOCK).all() else np.concatenate([row[:n] for row, n in zip(out, sizes)])
+
+
 def unpack_block(data: bytes) -> np.ndarray:
-    least, w, n_odd, size = HEAD.unpack_from(data)
-    body = BLOCK * w // 8
-    bits = np.zeros((BLOCK, 32), np.uint8)
-    bits[:, :w] = np.unpackbits(np.frombuffer(data, np.uint8, body, HEAD.size), bitorder="little").reshape(BLOCK, w)
-    ids = np.packbits(bits, axis=1, bitorder="little").view("<u4")[:, 0] + np.uint32(least)
-    at = np.frombuffer(data, "<u2", n_odd, HEAD.size + body)
-    ids[at] = np.frombuffer(data, "<u4", n_odd, HEAD.size + body + 2 * n_odd)
-    return ids[:size]
+    return unpack_blocks(data, [0])
 
 
 class Writer:
@@ -315,17 +332,16 @@ class Reader:
         """The ids of blocks first to last, last excluded."""
         if first >= last:
             return np.zeros(0, np.uint32)
-        bounds = [*map(int, self.starts[first:last]), int(self.starts[last]) if last < len(self.starts) else self.end]
-        data = self.file.read_at(bounds[-1] - bounds[0], bounds[0])
-        return np.concatenate([unpack_block(data[a - bounds[0] : b - bounds[0]]) for a, b in zip(bounds, bounds[1:])])
+        begin, end = int(self.starts[first]), int(self.starts[last]) if last < len(self.starts) else self.end
+        return unpack_blocks(self.file.read_at(end - begin, begin), [int(s) - begin for s in self.starts[first:last]])
 
     def documents(self) -> Iterator[tuple[int, np.ndarray]]:
         """(place, ids) of the documents in turn."""
         held, block = np.zeros(0, np.uint32), 0
         for k, n in enumerate(self.lengths):
             while len(held) < n:
-                held = np.concatenate([held, self.blocks(block, min(block + 64, len(self.starts)))])
-                block += 64
+                held = np.concatenate([held, self.blocks(block, min(block + 256, len(self.starts)))])
+                block += 256
             yield k, held[:n]
             held = held[n:]
 
