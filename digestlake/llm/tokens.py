@@ -230,8 +230,8 @@ def pack_blocks(ids: np.ndarray, percentile: float = 95.0) -> list[bytes]:
             rows = np.flatnonzero(widths == w)
             odd = high[rows] >= (1 << w)
             size = 2 if w <= 16 else 4
-            low = np.where(odd, 0, high[rows]).astype(f"<u{size}").view(np.uint8).reshape(len(rows), BLOCK, size)
-            bits = np.unpackbits(low, axis=2, bitorder="little")[:, :, :w]
+            low = np.where(odd, 0, high[rows]).astype(f"<u{size}").view(np.uint8)
+            bits = np.unpackbits(low, axis=1, bitorder="little").reshape(len(rows), BLOCK, 8 * size)[:, :, :w]
             packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
             for r, mask, body in zip(rows, odd, packed):
                 at = np.flatnonzero(mask)
@@ -254,7 +254,7 @@ def unpack_blocks(data: bytes, starts: list[int]) -> np.ndarray:
         size = 2 if w <= 16 else 4
         bits = np.zeros((len(rows), BLOCK, 8 * size), np.uint8)
         bits[:, :, :w] = np.unpackbits(body, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        out[rows] = np.packbits(bits, axis=2, bitorder="little").view(f"<u{size}")[:, :, 0]
+        out[rows] = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little").view(f"<u{size}")
     out += least[:, None].astype(np.uint32)
     for k in np.flatnonzero(n_odd):
         a, n = int(at[k] + BLOCK * widths[k] // 8), int(n_odd[k])
