@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .bytesets import mix, shingle_sets, slices, text_bytes
 from .graph import components
-from .shared import stored, text_or_empty
+from .shared import release, stored, text_or_empty
 
 SLOT_BITS = 18
 SLOTS_A_ROW = 1 << 14
@@ -50,7 +50,7 @@ class Join:
     n: int = 3
     percent: int = 90
     orders: int = 3
-    block: int = 750_000  # shingles of a block
+    block: int = 500_000  # shingles of a block
 
     def prefix(self, size: int) -> int:
         return size - -(-self.percent * size // 100) + 1
@@ -195,6 +195,7 @@ def ties(rows: DataFrame, classes: np.ndarray, join: Join, parts: int) -> DataFr
     first = Join(join.n, join.percent, 1, join.block)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         seen: set[int] = set()
         held: list[np.ndarray] = []
         places: list[np.ndarray] = []
@@ -307,6 +308,7 @@ def refined_ties(members: DataFrame, join: Join) -> DataFrame:
     """Edges (u, v) that connect the classes of each task, from members(task, side, short, n_shingles, parity), which may be linked by the finer parities."""
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         task, held = None, []
 
         def out() -> Iterator[pa.RecordBatch]:
@@ -354,6 +356,7 @@ def verified_links(members: DataFrame, classes: np.ndarray, join: Join) -> DataF
     shared = members.sparkSession.sparkContext.broadcast(classes)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         task, sets, sides, keys = None, [], [], []
 
         def out() -> Iterator[pa.RecordBatch]:

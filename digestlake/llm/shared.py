@@ -11,6 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: What Python workers keep between tasks; workers go from stage to stage, so a stage in need of memory releases it.
+KEPT: list[dict] = []
+
+
+def release() -> None:
+    for kept in KEPT:
+        kept.clear()
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name that the driver and all executors reach, under spark.checkpoint.dir.
 
