@@ -60,9 +60,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 4096 tokens."""
+    """The pieces of all documents in sequences of 4096 tokens. Workers go on to other stages, so they keep no words."""
     whole_texts(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096, keep_words=False)
 
 
 STAGES = [

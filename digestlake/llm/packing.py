@@ -21,15 +21,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored, text_or_empty
+from .shared import release, stored, text_or_empty
 from .tokens import Encoder, batches_of_texts
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 GROUP_PIECES = 20_000
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pieces of every text: at most capacity ids each, only the last one shorter."""
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", keep_words: bool = True) -> DataFrame:
+    """The pieces of every text: at most capacity ids each, only the last one shorter. With keep_words, workers keep the words' ids for their next task."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.of(tokenizer_path, end_id)
@@ -46,6 +46,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 1,
                     at += n
             frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             yield frame.astype({"doc_id": "Int64"})
+        if not keep_words:
+            release()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInPandas(cut, PIECES)
 
@@ -176,9 +178,9 @@ def _packed(rows: DataFrame, n_groups: int, capacity: int, number: int) -> DataF
     return rows.withColumn("pack_group", spread).groupBy("pack_group").applyInPandas(pack, PACKED)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", keep_words: bool = True) -> DataFrame:
     """Every piece with its sequence_id and offset."""
-    cut = stored(pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces")
+    cut = stored(pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, keep_words), "pieces")
     full = cut.where(F.col("length") >= capacity)
     rest = cut.where(F.col("length") < capacity)
     n = rest.count()
