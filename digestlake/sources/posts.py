@@ -47,7 +47,7 @@ def latest(paths: list[str]) -> str | None:
 #: The decoration is invented: documents have no tags, links, tickers or calls to action of their own.
 VIEW = """
 SELECT CAST(d.doc_id AS {S}) AS id,
-  concat(CASE WHEN d.doc_id % 11 = 0 THEN '@saylor ' WHEN d.doc_id % 13 = 0 THEN 'BREAKING: ' ELSE '' END, substr(d.text, 1, 240),
+  concat(CASE WHEN d.doc_id % 11 = 0 THEN '@saylor ' WHEN d.doc_id % 13 = 0 THEN 'BREAKING: ' ELSE '' END, d.text,
     CASE d.doc_id % 9 WHEN 0 THEN ' #Bitcoin' WHEN 1 THEN ' $ETH ETF approved' WHEN 2 THEN ' OpenAI announced GPT-5' WHEN 3 THEN ' Sign up https://t.example/?utm_source=x'
       WHEN 4 THEN ' ビットコイン #仮想通貨' WHEN 5 THEN ' according to the SEC report, 3 million' WHEN 6 THEN ' #a #b #c #d #e giveaway' ELSE '' END) AS text,
   {CS} AS created_at, {TS} AS ts, d.source AS screen_name, coalesce(l.quality = 1, false) AS verified, (d.doc_id * 7919) % 200000 AS followers,

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from digestlake.plans import catalog
+from digestlake.sources import posts as source
 
 TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
 
@@ -42,3 +43,9 @@ def test_runs(spark, sf, name):
 def test_entry(spark):
     assert entry.entry(spark).columns == ["section", "part", "rank", "line_no", "line"]
     assert set(catalog.queries()) <= set(entry.queries())
+
+
+def test_posts_hold_whole_texts(spark, sf, duck):
+    whole = {str(i): t for i, t in duck.execute("SELECT doc_id, text FROM documents").fetchall()}
+    assert all(whole[r["id"]] in r["text"] for r in source.view(spark, sf).select("id", "text").collect())
+    assert all(whole[i] in t for i, t in duck.execute(f"SELECT id, text FROM ({source.view_sql()})").fetchall())
