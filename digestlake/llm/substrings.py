@@ -12,7 +12,7 @@ Every byte covered by a string of LENGTH bytes that also starts in a document wi
    intervals breadth-first by backward extension: boundaries where the common prefix is 0, 1, 2, .. long are derived
    in turn, and the expansion stops at LENGTH. Suffixes between boundaries share LENGTH bytes or more; the least id of
    each such class decides, and each file gets back one bit for each window.
-5. Each file marks its bytes and digests what is kept.
+5. Each file marks its bytes and gives the removed spans and what is kept; remove_repeats digests these.
 
 A passage that a third of all documents share costs each file one chunk a minimizer. Buckets are worked off in parts of
 bounded size.
@@ -293,7 +293,10 @@ def _send_chunks(buckets: int):
     return work
 
 
-REMOVED = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+KEPT = "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+#: Bytes of texts that a batch of results carries.
+KEPT_BYTES = 4 << 20
 
 
 def _finish(buckets: int):
@@ -318,20 +321,29 @@ def _finish(buckets: int):
         covered = count[:-1].copy()
         covered[LENGTH:] -= count[: max(0, len(count) - 1 - LENGTH)]
         covered = covered > 0
-        rows = []
+        del count, starts, masks
+        rows, held = [], 0
         for k, (a, b) in enumerate(zip(file.offsets[:-1].tolist(), file.offsets[1:].tolist())):
             gone = covered[a:b]
             if file.copy[k]:
                 gone = np.full(b - a, b - a >= LENGTH)
-            spans = int(gone[:1].sum()) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
-            rows.append((int(file.ids[k]), b - a, int(gone.sum()), spans, hashlib.sha256(file.data[a:b][~gone].tobytes()).hexdigest()))
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=[c.split()[0] for c in REMOVED.split(", ")]) if rows else _empty()
+            edges = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
+            rows.append((int(file.ids[k]), b - a, edges, file.data[a:b][~gone].tobytes()))
+            held += b - a
+            if held > KEPT_BYTES:
+                yield _kept(rows)
+                rows, held = [], 0
+        yield _kept(rows)
 
     return work
 
 
-def _empty() -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())], names=[c.split()[0] for c in REMOVED.split(", ")])
+def _kept(rows: list[tuple[int, int, np.ndarray, bytes]]) -> pa.RecordBatch:
+    edges = np.concatenate([r[2] for r in rows]) if rows else np.zeros((0, 2), np.int64)
+    ends = np.cumsum([0] + [len(r[2]) for r in rows]).astype(np.int32)
+    spans = pa.StructArray.from_arrays([pa.array(edges[:, 0], pa.int64()), pa.array(edges[:, 1], pa.int64())], fields=list(SPANS.value_type))
+    columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), spans, type=SPANS), pa.array([r[3] for r in rows], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["id", "n_bytes", "spans", "kept"])
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
@@ -425,8 +437,11 @@ def _minimizer_of(body: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarra
     return out
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_a_file: int = 20_000) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row of docs."""
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_a_file: int = 20_000) -> DataFrame:
+    """(id, n_bytes, spans, kept) of every row of docs: the spans [start, end) of bytes that are removed, and the bytes that stay.
+
+    A span may end inside a character, so what stays is binary.
+    """
     spark = docs.sparkSession
     path = shared_dir(spark, "texts")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), text_or_empty(text_col).alias("text"))
@@ -459,5 +474,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     both = known.join(_replies(masks).withColumnRenamed("replies", "masks"), "file", "left")
     nothing = F.expr("cast(array() as array<struct<bucket:bigint,data:binary>>)")
     both = both.select("file", "uri", "copies", F.concat(F.coalesce("replies", nothing), F.coalesce("masks", nothing)).alias("replies"))
-    done = _over_files(stored(both, "masks"), n, _finish(buckets), REMOVED)
+    done = _over_files(stored(both, "masks"), n, _finish(buckets), KEPT)
     return done.withColumn("id", F.when(F.col("id") != NO_ID, F.col("id")))
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_a_file: int = 20_000) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row of docs, from its spans and what is kept."""
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return deduplicated(docs, id_col, text_col, rows_a_file).select("id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -169,6 +169,17 @@ def test_repeats_odd(odd, none):
     assert substrings.remove_repeats(none).count() == 0
 
 
+def test_repeats_give_texts_and_spans(spark):
+    passage = "a passage of more than fifty bytes that é two texts share, to the end"
+    rows = [(1, f"one {passage}"), (2, f"two, {passage} and then {passage}"), (3, f"one {passage}"), (4, None), (5, "short")]
+    whole = {i: (t or "").encode() for i, t in rows}
+    got = {r["id"]: ([(s["start"], s["end"]) for s in r["spans"]], bytes(r["kept"])) for r in substrings.deduplicated(frame(spark, [(i, t, "s") for i, t in rows])).collect()}
+    n = len(passage.encode()) + 1
+    assert got == {1: ([], whole[1]), 2: ([(4, 4 + n), (13 + n, 13 + 2 * n)], b"two, and then"), 3: ([(0, len(whole[3]))], b""), 4: ([], b""), 5: ([], b"short")}
+    for i, (spans, kept) in got.items():
+        assert kept == b"".join(whole[i][a:b] for a, b in zip([0] + [e for _, e in spans], [s for s, _ in spans] + [len(whole[i])]))
+
+
 @pytest.mark.parametrize("least", [4, 9])
 def test_interval_expansion(least):
     rng = random.Random(1)
