@@ -12,10 +12,11 @@ prefix being the first n - ceil(t n) + 1 tokens of a set of n. Several orders ar
 3. Inside a group, finer parities of all sets are compared pair by pair in arrays, and components of what remains are finer groups.
 4. A group is cut into bands by set size, since linked sets differ in size by a factor of t at most, and large bands
    into blocks that are met pairwise. Inside, the filters of all orders are intersected pair by pair, and what passes is verified
-   on the whole sets. Pairs whose ends are connected already are skipped, so each block yields a spanning forest of its links.
-5. Components over the links of all blocks are the result.
+   on the whole sets. join_rows verifies every pair and adds up each class's links, times copies; cluster skips pairs whose ends are
+   connected already. Both yield a spanning forest of each block's links.
+5. Components over the forests of all blocks, and for join_rows the sums of links, are the result.
 
-Links are never expanded into all pairs of a group; none between different sets is lost for the components. Texts are never cut.
+Links never become rows for all pairs of a group; none is lost for the components or the counts. Texts are never cut.
 
 Defined results: a null or empty text, or one without words, has no shingles and stands alone; rows with a null id take part and
 get the component's least non-null id, or null; repeated rows are copies; an empty table gives no rows.
@@ -304,6 +305,38 @@ def spanning_links(sets: list[np.ndarray], sides: list[int], classes: np.ndarray
     return links
 
 
+def every_link(sets: list[np.ndarray], sides: list[int], homes: list[bool], copies: list[int], inner: bool, classes: np.ndarray, join: Join) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect what all links connect, and for each set the copies of all sets linked to it.
+
+    An inner block compares all its pairs, another only those across its sides. Bands overlap, so a pair counts
+    only where one of its ends is at home, which is in one band.
+    """
+    forest, links, counts = Forest(len(sets)), [], np.zeros(len(sets), np.int64)
+    index: dict[int, list[int]] = {}
+    prefix = [[np.sort(p) for p in prefixes(s, classes, join)] for s in sets]
+    sizes, side = np.array([len(s) for s in sets]), np.array(sides)
+    home, weight = np.array(homes, bool), np.array(copies, np.int64)
+    for x in sorted(range(len(sets)), key=lambda i: len(sets[i])):
+        tokens = prefix[x][0].tolist()
+        rivals = np.array(sorted({y for t in tokens for y in index.get(t, ())}), np.int64)
+        if len(rivals):
+            ok = (100 * sizes[rivals] >= join.percent * sizes[x]) & (home[rivals] | home[x])
+            rivals = rivals[ok if inner else ok & (side[rivals] != side[x])]
+        for lo in range(0, len(rivals), 256):
+            some = rivals[lo : lo + 256]
+            for k in range(1, join.orders):
+                if len(some):
+                    some = some[common_counts(prefix[x][k], [prefix[y][k] for y in some]) > 0]
+            if len(some):
+                some = some[join.linked(common_counts(sets[x], [sets[y] for y in some]), sizes[some], sizes[x])]
+            counts[some] += weight[x]
+            counts[x] += weight[some].sum()
+            links += [(x, y) for y in some.tolist() if forest.union(x, y)]
+        for token in tokens:
+            index.setdefault(token, []).append(x)
+    return links, counts
+
+
 def refined_ties(members: DataFrame, join: Join) -> DataFrame:
     """Edges (u, v) that connect the classes of each task, from members(task, side, short, n_shingles, parity), which may be linked by the finer parities."""
 
@@ -380,6 +413,43 @@ def verified_links(members: DataFrame, classes: np.ndarray, join: Join) -> DataF
     return members.repartition("task").sortWithinPartitions("task", "short").select("task", "side", "text").mapInArrow(solve, LINKED)
 
 
+COUNTED = "u binary, v binary, n long"
+
+
+def counted_links(members: DataFrame, classes: np.ndarray, join: Join) -> DataFrame:
+    """Of all links between the classes of each task, from members(task, side, home, inner, copies, short, text): links (u, v) that connect
+    what all connect, and rows (u, null, n) with the rows linked to a class."""
+    shared = members.sparkSession.sparkContext.broadcast(classes)
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        task, inner, held = None, True, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if len(held) > 1:
+                sets, sides, homes, copies, keys = map(list, zip(*held))
+                found, counts = every_link(sets, sides, homes, copies, inner, shared.value, join)
+                some = np.flatnonzero(counts).tolist()
+                u = [keys[x] for x, _ in found] + [keys[x] for x in some]
+                v = [keys[y] for _, y in found] + [None] * len(some)
+                n = [None] * len(found) + counts[some].tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary()), pa.array(n, pa.int64())], names=["u", "v", "n"])
+
+        for batch in batches:
+            tasks, side, home, within, copies, short = (batch.column(c).to_pylist() for c in ("task", "side", "home", "inner", "copies", "short"))
+            for i, s in _sets(batch, join.n):
+                if tasks[i] != task:
+                    yield from out()
+                    task, inner = tasks[i], within[i]
+                    held.clear()
+                # other texts of the same id come along and are no members; copies of a member follow each other
+                if len(s) and short_key(key := set_key(s)) == short[i] and not (held and held[-1][4] == key):
+                    held.append((s, side[i], home[i], copies[i], key))
+        yield from out()
+
+    return members.repartition("task").sortWithinPartitions("task", "short").select("task", "side", "home", "inner", "copies", "short", "text").mapInArrow(solve, COUNTED)
+
+
 #: Classes whose parities are compared at once.
 REFINED_AT_ONCE = 4000
 
@@ -387,15 +457,15 @@ REFINED_AT_ONCE = 4000
 def _tasks(members: DataFrame, join: Join, weight, block: int) -> DataFrame:
     """members(gathered, key, n_shingles, ..) with task and side: bands by size, cut into blocks of about that weight that meet pairwise."""
     band = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(100 / join.percent) * (1 + 1e-9)))
-    banded = members.withColumn("band", F.explode(F.array(band, band - 1)))
+    banded = members.withColumn("band", F.explode(F.array(band, band - 1))).withColumn("home", F.col("band") == band)
     counts = banded.groupBy("gathered", "band").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("total")).where("n > 1").select("gathered", "band", F.ceil(F.col("total") / block).alias("blocks"))
     met = banded.join(counts, ["gathered", "band"]).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
     spread = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return spread.withColumn("task", F.xxhash64("gathered", "band", F.least("own", "other"), F.greatest("own", "other"))).withColumn("side", F.when(F.col("own") <= F.col("other"), 0).otherwise(1))
+    return spread.withColumn("task", F.xxhash64("gathered", "band", F.least("own", "other"), F.greatest("own", "other"))).withColumn("side", F.when(F.col("own") <= F.col("other"), 0).otherwise(1)).withColumn("inner", F.col("own") == F.col("other"))
 
 
-def cluster(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row of docs."""
+def _candidates(docs: DataFrame, join: Join, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """The signed rows, the members of all tasks with their texts, and the classes of frequency."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), text_or_empty(text_col).alias("text"))
     signed = stored(signatures(rows.select("id", "text"), join.n), "signatures")
@@ -405,15 +475,36 @@ def cluster(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_c
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
     gathered = components(ties(rows, classes, join, parts)).select(F.col("node").alias("short"), F.col("component").alias("gathered"))
 
-    carriers = signed.where("key is not null").groupBy("key", "short", "n_shingles").agg(F.min("id").alias("id"), F.first("parity").alias("parity"))
+    carriers = signed.where("key is not null").groupBy("key", "short", "n_shingles").agg(F.min("id").alias("id"), F.first("parity").alias("parity"), F.count(F.lit(1)).alias("copies"))
     tasks = _tasks(stored(carriers.join(gathered, "short"), "candidates"), join, F.lit(1), REFINED_AT_ONCE)
     gathered = components(refined_ties(tasks, join)).select(F.col("node").alias("short"), F.col("component").alias("gathered"))
     tasks = _tasks(stored(carriers.drop("parity").join(gathered, "short"), "candidates"), join, F.col("n_shingles"), join.block)
-    links = verified_links(rows.hint("merge").join(tasks.select("id", "short", "task", "side"), "id"), classes, join)
+    return signed, rows.hint("merge").join(tasks.select("id", "short", "task", "side", "home", "inner", "copies"), "id"), classes
 
+
+def _grouped(signed: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, copies, component_id) of every class, links being rows (u, v)."""
     joined = components(links)
-    least = signed.where("key is not null").groupBy("key").agg(F.min(F.when(F.col("id") != NULL_ID, F.col("id"))).alias("least"))
+    least = signed.where("key is not null").groupBy("key").agg(F.min(F.when(F.col("id") != NULL_ID, F.col("id"))).alias("least"), F.count(F.lit(1)).alias("copies"))
     rooted = least.join(joined.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("root", F.coalesce("component", "key"))
-    named = rooted.select("key", "root").join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")
+    return rooted.select("key", "copies", "root").join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "copies", "component_id")
+
+
+def _named(signed: DataFrame, classes: DataFrame, *more) -> DataFrame:
     doc = F.when(F.col("id") != NULL_ID, F.col("id"))
-    return signed.join(named, "key", "left").select(doc.alias("id"), "n_shingles", F.when(F.col("key").isNull(), doc).otherwise(F.col("component_id")).alias("component_id"))
+    return signed.join(classes, "key", "left").select(doc.alias("id"), "n_shingles", F.when(F.col("key").isNull(), doc).otherwise(F.col("component_id")).alias("component_id"), *more)
+
+
+def join_rows(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id, n_links) of every row of docs. All links are verified; n_links counts the other rows linked to the row, copies too."""
+    signed, members, classes = _candidates(docs, join, id_col, text_col)
+    found = stored(counted_links(members, classes, join), "links")
+    others = found.where("v is null").groupBy("u").agg(F.sum("n").alias("others")).withColumnRenamed("u", "key")
+    grouped = _grouped(signed, found.where("v is not null").select("u", "v")).join(others, "key", "left")
+    return _named(signed, grouped, F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).alias("n_links"))
+
+
+def cluster(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of every row of docs, from links that connect what all links connect."""
+    signed, members, classes = _candidates(docs, join, id_col, text_col)
+    return _named(signed, _grouped(signed, verified_links(members, classes, join)))

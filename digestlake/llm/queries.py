@@ -17,7 +17,7 @@ def op1_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_multi_order_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.cluster(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+    return jaccard.join_rows(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
 def op3_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,6 +103,17 @@ def test_jaccard_in_small_blocks(spark):
     assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(made, 3, 80)
 
 
+@pytest.mark.parametrize("block", [300, 500_000])
+def test_jaccard_counts_all_links(spark, block):
+    made = near_copies(7)
+    rows = [(i, t) for i, t in made.items()] + [(i, t) for i, t in list(made.items())[:9]] + [(None, t) for t in list(made.values())[:6]]
+    sets = [{tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} if (w := re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))) else set() for _, t in rows]
+    want = [sum(1 for y, b in enumerate(sets) if y != x and a and b and 100 * len(a & b) >= 50 * len(a | b)) for x, a in enumerate(sets)]
+    got = jaccard.join_rows(frame(spark, [(i, t, "s") for i, t in rows]), jaccard.Join(3, 50, block=block)).collect()
+    assert collections.Counter((r["id"], r["n_shingles"], r["n_links"]) for r in got) == collections.Counter((i, len(s), n) for (i, _), s, n in zip(rows, sets, want))
+    assert max(want) > 4
+
+
 def test_jaccard_odd(odd, none):
     got = collections.Counter((r["id"], r["n_shingles"], r["component_id"]) for r in jaccard.cluster(odd).collect())
     assert sum(got.values()) == 11 and got[(6, 1, 6)] == 2 and got[(1, 0, 1)] == 1 and got[(5, 19999, 4)] == 1 and got[(None, 0, None)] == 1
