@@ -3,7 +3,7 @@
 Base rules look at one text: too few words, or too large a share of words in repeated 8-word windows. The method then
 looks across documents: lines are normalised (white space collapsed, lower case) and hashed; the distinct texts
 that hold a line are counted for each host; lines above the host's limit are removed; a document that loses more
-than its share of words is rejected as depleted.
+than its share of words is rejected as depleted. judge gives the figures of each row, remaining its text without those lines.
 
 Texts are never exploded into words: windows are hashed inside the row, by doubling (two words, four, eight).
 Line counts go through two aggregations, first by line and text and then by line, so that no key gathers its rows
@@ -77,6 +77,29 @@ def common_lines(measured: DataFrame, least_docs: int = 10, share: float = 0.01)
     return counts.join(texts, "host").where(F.col("n") > share * F.col("texts")).select("host", "line")
 
 
+def remaining(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least_words: int = 20, most_repeated: int = 30, least_docs: int = 10, share: float = 0.01, most_removed: float = 0.5) -> DataFrame:
+    """(doc_id, kept, removed_words, text) of every row: what judge says of it, and its text without the host's common lines.
+
+    Verdicts belong to the pair of host and text, so rows meet theirs by it. A null text stays null; blank lines stay.
+    """
+    measured = stored(measure(docs, id_col, text_col, host_col), "quality")
+    carried = measured.select("host", "digest", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
+    lost = carried.join(common_lines(measured, least_docs, share), ["host", "line"]).groupBy("host", "digest").agg(F.collect_set("line").alias("common"))
+    figures = measured.groupBy("host", "digest").agg(F.first("n_words").alias("n_words"), F.first("n_repeat_words").alias("n_repeat_words")).join(lost, ["host", "digest"], "left")
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("-")).alias("host"),
+        F.col(text_col).cast("string").alias("text"),
+    ).withColumn("digest", F.expr("xxhash64(coalesce(text, ''))"))
+    lines = "zip_with(split(text, '\\n'), split(lower(regexp_replace(text, '[\\\\x20\\\\x09\\\\x0B-\\\\x0D]+', ' ')), '\\n'), (raw, p) -> struct(raw as raw, trim(p) as plain))"
+    gone = f"filter({lines}, x -> array_contains(common, xxhash64(x.plain)))"
+    removed = f"coalesce(aggregate({gone}, 0L, (n, x) -> n + length(x.plain) - length(replace(x.plain, ' ', '')) + 1), 0L)"
+    left = f"if(common is null, text, array_join(transform(filter({lines}, x -> not array_contains(common, xxhash64(x.plain))), x -> x.raw), '\n'))"
+    judged = rows.join(figures, ["host", "digest"]).selectExpr("doc_id", "n_words", "n_repeat_words", f"{removed} as removed_words", f"{left} as text")
+    failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
+    return judged.select("doc_id", (~failed & (F.col("removed_words") <= most_removed * F.col("n_words"))).alias("kept"), "removed_words", "text")
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least_words: int = 20, most_repeated: int = 30, least_docs: int = 10, share: float = 0.01, most_removed: float = 0.5) -> DataFrame:
     """Every row's figures, base_failed, removed_words and kept."""
     measured = stored(measure(docs, id_col, text_col, host_col), "quality")

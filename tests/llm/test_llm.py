@@ -390,6 +390,15 @@ def test_common_lines(spark):
     assert all(r["removed_words"] == 0 for r in quality.judge(frame(spark, copies)).collect())
 
 
+def test_common_lines_are_removed(spark):
+    rows = [(i, f"First {i} a b\n  Common   LINE x y \n\nown {i} " + "word " * i, "h") for i in range(30)] + [(30, "common line x y\nalone here", "other"), (None, None, "h"), (2, "First 2 a b\n\n", None)]
+    got = collections.Counter((r["doc_id"], r["removed_words"], r["text"]) for r in quality.remaining(frame(spark, rows)).collect())
+    want = [(i, 4 if i is not None and h == "h" else 0, t and t.replace("\n  Common   LINE x y \n", "\n") if h == "h" else t) for i, t, h in rows]
+    assert got == collections.Counter(want)
+    verdicts = lambda df: collections.Counter((r["doc_id"], r["removed_words"], r["kept"]) for r in df.collect())
+    assert verdicts(quality.remaining(frame(spark, rows))) == verdicts(quality.judge(frame(spark, rows)))
+
+
 def test_quality_odd(odd, none):
     rows = quality.judge(odd).collect()
     assert len(rows) == 11 and sum(r["kept"] for r in rows) == 2
