@@ -21,6 +21,12 @@ def grams(text, stop: list[str] = P.STOP_WORDS) -> Column:
     return F.transform(F.array(words), lambda w: F.when(F.size(w) > 1, F.concat(w, pair(w))).otherwise(w))[0]
 
 
+def weighted_text(text="text") -> Column:
+    """The text that terms are weighted in: the cleaned text, its capital entities, sorted, twice and its hashtags twice."""
+    entities, tags = F.array_sort(T.capital_entities(text)), T.hashtags(text)
+    return F.array_join(F.concat(F.array(T.clean(text)), entities, entities, tags, tags), " ")
+
+
 def tfidf(docs: DataFrame, doc: str = "id", text: str = "text", stop: list[str] = P.STOP_WORDS, least_docs: int = 2, most_share: float = 0.8, features: int = 5000) -> DataFrame:
     """(doc, term, weight) with smoothed idf and vectors of length one, as rows and never dense.
 

@@ -313,6 +313,12 @@ def tfidf(p):
     return clustering.tfidf(posts.originals(p).withColumn("clean_text", T.clean("text")), text="clean_text").select("id", "term", F.round("weight", 6).alias("weight"))
 
 
+@_query
+def tfidf_weighted(p):
+    rows = posts.originals(p).withColumn("weighted_text", clustering.weighted_text("text"))
+    return clustering.tfidf(rows, text="weighted_text").select("id", "term", F.round("weight", 6).alias("weight"))
+
+
 @_query
 def ctfidf(p):
     return clustering.keywords(_clustered(p)).select("cluster", F.col("rn").cast("bigint").alias("rn"), "term", F.round("weight", 6).alias("weight"))

@@ -245,6 +245,7 @@ def queries() -> dict[str, str]:
         "cluster_prompt": _with(["clustered"], _prompt("best", "CAST(cluster AS INTEGER)", "'# Cluster ' || CAST(cluster AS INTEGER) || ': topic'").replace("SELECT CAST(cluster AS INTEGER),", "SELECT CAST(cluster AS INTEGER) AS cluster,").replace("GROUP BY CAST(cluster AS INTEGER)", "GROUP BY cluster"), best="SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY likes DESC, _ord) AS rn FROM clustered WHERE cluster <> -1 QUALIFY rn <= 100"),
         "noise_viral": _with(["clustered"], "SELECT * FROM (SELECT 'notable' AS kind, row_number() OVER (ORDER BY likes DESC, _ord) AS rn, id, likes FROM clustered WHERE cluster = -1 AND likes >= 1000 QUALIFY rn <= 50) UNION ALL SELECT * FROM (SELECT 'viral' AS kind, row_number() OVER (ORDER BY likes DESC, _ord) AS rn, id, likes FROM clustered WHERE cluster = -1 AND likes >= 5000 QUALIFY rn <= 20)"),
         "tfidf": _with(["own"], "SELECT id, term, round(weight, 6) AS weight FROM weights", cleaned=f"SELECT id, {CLEAN} AS clean_text FROM own", **_gram_counts("cleaned", "id", P.STOP_WORDS), **_weights("id", "(SELECT count(*) FROM own)", "HAVING count(*) >= 2 AND count(*) <= 0.8 * (SELECT count(*) FROM own)", 5000)),
+        "tfidf_weighted": _with(["own"], "SELECT id, term, round(weight, 6) AS weight FROM weights", cleaned=f"SELECT id, concat_ws(' ', {CLEAN}, array_to_string(list_concat(e, e), ' '), array_to_string(list_concat(h, h), ' ')) AS clean_text FROM (SELECT id, text, list_sort({CAP_ENTITIES}) AS e, {found('lower(text)', TAG)} AS h FROM own)", **_gram_counts("cleaned", "id", P.STOP_WORDS), **_weights("id", "(SELECT count(*) FROM own)", "HAVING count(*) >= 2 AND count(*) <= 0.8 * (SELECT count(*) FROM own)", 5000)),
         "ctfidf": _with(["clustered"], "SELECT CAST(cluster AS INTEGER) AS cluster, row_number() OVER (PARTITION BY cluster ORDER BY round(weight, 9) DESC, term) AS rn, term, round(weight, 6) AS weight FROM weights QUALIFY rn <= 10", **_gram_counts("(SELECT * FROM clustered WHERE cluster <> -1)", "cluster", P.STOP_WORDS + P.MARKUP_WORDS), **_weights("cluster", "(SELECT count(DISTINCT cluster) FROM clustered WHERE cluster <> -1)", "", 1000)),
         "centroids": _CENTERS + "SELECT cluster, place, round(x, 6) AS x FROM u",
         "soft_assign": _CENTERS + """, c AS (SELECT cluster, list(x ORDER BY place) AS v FROM u GROUP BY cluster), s AS (SELECT vec_id, label, c.cluster AS other, list_dot_product(embedding::DOUBLE[], c.v) AS sim FROM embeddings, c),

@@ -63,6 +63,12 @@ def test_scan_is_pruned(spark, sf):
     assert "text:string" not in plan.split("ReadSchema: ")[1].split("\n")[0]
 
 
+def test_weighted_text(spark):
+    text = "Hello Tesla $ETH #Bitcoin x"
+    got = spark.createDataFrame([(text,)], "text string").select(clustering.weighted_text("text")).first()[0]
+    assert got == "Hello Tesla $ETH Bitcoin x Bitcoin ETH Hello Tesla Bitcoin ETH Hello Tesla bitcoin bitcoin", got
+
+
 def test_density():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(0, 0.1, (40, 2)), rng.normal(5, 0.1, (40, 2)), rng.uniform(-20, 20, (5, 2))])
