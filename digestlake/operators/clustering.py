@@ -178,8 +178,16 @@ def density_labels(x: np.ndarray, least_size: int, least_samples: int, leaf: boo
         reach[closer], source[closer] = d[closer], now
         now = int(np.argmin(np.where(done, np.inf, reach)))
         edges.append((reach[now], source[now], now))
+    return condensed(n, edges, least_size, leaf)
+
+
+def condensed(n: int, edges: list[tuple[float, int, int]], least_size: int, leaf: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(label, probability) of n points from the n - 1 edges (distance, point, point) of their spanning tree."""
+    labels, prob = np.full(n, -1), np.zeros(n)
+    if n < max(2, least_size):
+        return labels, prob
     # single linkage: node n + k joins the two sides of the k-th shortest edge
-    edges.sort()
+    edges = sorted(edges)
     up, top, size, sides, level = list(range(n)), list(range(n)), [1] * n, [], []
     for w, a, b in edges:
         while up[a] != a:
@@ -256,20 +264,98 @@ def density_labels(x: np.ndarray, least_size: int, least_samples: int, leaf: boo
     return labels, prob
 
 
-def density(points: DataFrame, key: str = "vec_id", vector: str = "embedding", least_size: int = 10, least_samples: int = 5, leaf: bool = False, most: int = 20_000) -> DataFrame:
-    """(key, cluster, probability) by density. The spanning tree is built by one task, so the set is refused beyond most points."""
+def shortest_forest(w: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Places of the edges of a minimum spanning forest, edges being ordered by (w, u, v) with u < v."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)].tolist(), ends[len(u) :].tolist()
+    up, out = list(range(len(nodes))), []
+    for e in np.lexsort((v, u, w)).tolist():
+        x, y = a[e], b[e]
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        while up[y] != y:
+            up[y] = up[up[y]]
+            y = up[y]
+        if x != y:
+            up[x] = y
+            out.append(e)
+            if len(out) == len(nodes) - 1:
+                break
+    return np.array(out, np.int64)
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T), 0))
+
+
+def spanning_edges(rows: DataFrame, n: int, least_samples: int, block: int) -> DataFrame:
+    """Edges (w, u, v) of the minimum spanning tree of mutual reachability of rows (i, v), numbered 0 .. n - 1.
+
+    Points are cut into blocks that meet pairwise in tasks. The nearest distances of a point to each block give its core distance;
+    each pair of blocks gives the forest of its edges, and forests are merged until one is left. An edge of the whole tree is in every
+    forest that could hold it, as edges are ordered by (w, u, v).
+    """
+    n_blocks = max(1, -(-n // block))
+    k = min(least_samples, n)
+    blocks = rows.groupBy(F.pmod(F.xxhash64("i"), F.lit(n_blocks)).alias("b")).agg(F.collect_list(F.struct("i", "v")).alias("p"))
+
+    def nearest(frames):
+        for frame in frames:
+            for p, p2 in zip(frame["p"], frame["p2"]):
+                d = _distances(np.stack([r["v"] for r in p]), np.stack([r["v"] for r in p2]))
+                least = np.sort(np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k], axis=1)
+                yield pd.DataFrame({"i": [r["i"] for r in p], "d": list(least)})
+
+    two = blocks.join(blocks.select(F.col("b").alias("b2"), F.col("p").alias("p2")), F.lit(True), "cross").repartition("b", "b2")
+    cores = two.select("p", "p2").mapInPandas(nearest, "i long, d array<double>").groupBy("i").agg(F.array_sort(F.flatten(F.collect_list("d")))[k - 1].alias("core"))
+    ready = rows.join(cores, "i").groupBy(F.pmod(F.xxhash64("i"), F.lit(n_blocks)).alias("b")).agg(F.collect_list(F.struct("i", "v", "core")).alias("p")).persist()
+
+    def forests(frames):
+        for frame in frames:
+            for b, b2, p, p2 in zip(frame["b"], frame["b2"], frame["p"], frame["p2"]):
+                i, j = np.array([r["i"] for r in p]), np.array([r["i"] for r in p2])
+                c, c2 = np.array([r["core"] for r in p]), np.array([r["core"] for r in p2])
+                d = np.maximum(np.maximum(_distances(np.stack([r["v"] for r in p]), np.stack([r["v"] for r in p2])), c[:, None]), c2[None, :])
+                x, y = np.nonzero(i[:, None] < j[None, :] if b == b2 else np.ones(d.shape, bool))
+                w, u, v = d[x, y], np.minimum(i[x], j[y]), np.maximum(i[x], j[y])
+                some = shortest_forest(w, u, v) if len(w) else np.zeros(0, np.int64)
+                yield pd.DataFrame({"w": w[some], "u": u[some], "v": v[some], "b": b, "b2": b2})
+
+    def merged(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.iloc[shortest_forest(*(frame[c].to_numpy() for c in ("w", "u", "v")))]
+
+    pairs = ready.join(ready.select(F.col("b").alias("b2"), F.col("p").alias("p2")), F.col("b") <= F.col("b2")).repartition("b", "b2")
+    edges = pairs.select("b", "b2", "p", "p2").mapInPandas(forests, "w double, u long, v long, b long, b2 long")
+    # each round halves the blocks on both sides, so no task reads more than four forests
+    while n_blocks > 1:
+        n_blocks = -(-n_blocks // 2)
+        edges = edges.withColumn("b", F.expr("b div 2")).withColumn("b2", F.expr("b2 div 2"))
+        edges = edges.groupBy("b", "b2").applyInPandas(merged, "w double, u long, v long, b long, b2 long")
+    return edges.select("w", "u", "v")
+
+
+def density(points: DataFrame, key: str = "vec_id", vector: str = "embedding", least_size: int = 10, least_samples: int = 5, leaf: bool = False, most: int | None = None, block: int = 1000) -> DataFrame:
+    """(key, cluster, probability) by density; a set of more than most points is refused, where most is given.
+
+    The spanning tree is built in blocks over all tasks, with work quadratic in the points. Its n - 1 edges, and no vectors, are then condensed by one task.
+    """
     n = points.count()
-    if n > most:
+    if most is not None and n > most:
         raise ValueError(f"{n} points; density clustering takes {most} at most: reduce the set first")
+    spark = points.sparkSession
+    keyed = points.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"))
+    numbered = keyed.rdd.map(tuple).sortBy(lambda r: r[0]).zipWithIndex().map(lambda r: (r[1], *r[0]))
+    rows = spark.createDataFrame(numbered, f"i long, k {dict(keyed.dtypes)['k']}, v array<double>").persist()
+    edges = spanning_edges(rows.select("i", "v"), n, least_samples, block)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("k", ignore_index=True)
-        label, prob = density_labels(np.stack(frame["v"].to_numpy()).astype(float), least_size, least_samples, leaf)
-        return pd.DataFrame({"k": frame["k"], "cluster": label.astype("int32"), "probability": prob})
+        label, prob = condensed(n, list(zip(frame["w"].tolist(), frame["u"].tolist(), frame["v"].tolist())), least_size, leaf)
+        return pd.DataFrame({"i": np.arange(n), "cluster": label.astype("int32"), "probability": prob})
 
-    rows = points.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), F.lit(0).alias("g"))
-    out = rows.groupBy("g").applyInPandas(lambda f: run(f[["k", "v"]]), "k long, cluster int, probability double")
-    return out.withColumnRenamed("k", key)
+    found = edges.withColumn("g", F.lit(0)).groupBy("g").applyInPandas(run, "i long, cluster int, probability double")
+    nothing = F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("probability", F.lit(0.0)).alias("probability")
+    return rows.join(found, "i", "left").select(F.col("k").alias(key), *nothing)
 
 
 def pick_diverse(terms: list[str], scores: list[float], balance: float = 0.5, most: int = 5) -> list[int]:

@@ -79,6 +79,23 @@ def test_density():
     assert (clustering.density_labels(x[:3], 10, 5)[0] == -1).all()
 
 
+@pytest.mark.parametrize("block", [23, 1000])
+def test_density_in_blocks(spark, block):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(0, 0.3, (60, 3)), rng.normal(4, 0.3, (50, 3)), rng.uniform(-9, 9, (15, 3))])
+    made = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, clustering.density(made, block=block).collect()))
+    label, prob = clustering.density_labels(x, 10, 5)
+    groups = lambda labels: {frozenset(np.flatnonzero(labels == c)) for c in set(labels) - {-1}}
+    assert groups(np.array([g[1] for g in got])) == groups(label) and len(groups(label)) == 2
+    assert np.allclose([g[2] for g in got], prob)
+
+
+def test_density_has_no_bound_of_its_own(spark):
+    made = spark.range(20_001).selectExpr("id AS vec_id", "array(CAST(id AS DOUBLE)) AS embedding")
+    assert clustering.density(made).columns == ["vec_id", "cluster", "probability"]
+
+
 def test_density_refuses_large_sets(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
     with pytest.raises(ValueError):
