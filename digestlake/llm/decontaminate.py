@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytesets import BYTE, LOWER_WIDE, PLAIN, mix, prefix_hashes, slices, span_hashes, text_bytes, words
-from .shared import text_or_empty
+from .shared import stored, text_or_empty
 
 ITEMS_A_BLOCK = 20_000
 GROUP = 16  # items of which one block maximum is kept, at least
@@ -57,6 +57,17 @@ def question_and_answer(text: str) -> int:
     return cuts[-1] if cuts else len(text.strip()) * 3 // 4
 
 
+@dataclass
+class Whole:
+    """Of all items that have words: their number, mean and greatest length; and of a block's terms, sorted, the items among all that have them."""
+
+    items: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 @dataclass
 class Index:
     """BM25 impacts of terms in items, each divided by the item's score for itself."""
@@ -77,7 +88,7 @@ class Index:
     answers: list[np.ndarray]
 
     @classmethod
-    def build(cls, ids: list[int], texts: list[str], threshold: float, k1: float = 1.2, b: float = 0.75) -> "Index | None":
+    def build(cls, ids: list[int], texts: list[str], threshold: float, k1: float = 1.2, b: float = 0.75, whole: "Whole | None" = None) -> "Index | None":
         rows = []
         for i, text in zip(ids, texts):
             raw = (text or "").encode()
@@ -94,9 +105,11 @@ class Index:
         terms, code = np.unique(flat, return_inverse=True)
         pairs, tf = np.unique(code * len(rows) + owner, return_counts=True)
         term, item = pairs // len(rows), pairs % len(rows)
-        df = np.bincount(term, minlength=len(terms))
-        idf = np.log(1 + (len(rows) - df + 0.5) / (df + 0.5))
-        impact = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths[item] / lengths.mean()))
+        if whole is None:
+            whole = Whole(len(rows), float(lengths.mean()), int(lengths.max()), terms, np.bincount(term, minlength=len(terms)))
+        df = whole.df[np.searchsorted(whole.terms, terms)]
+        idf = np.log(1 + (whole.items - df + 0.5) / (df + 0.5))
+        impact = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths[item] / whole.mean))
         impact /= np.bincount(item, impact, minlength=len(rows))[item]
         begin = np.searchsorted(term, np.arange(len(terms) + 1))
         bound = np.maximum.reduceat(impact, begin[:-1])
@@ -117,7 +130,7 @@ class Index:
         cut = [max(1, min(q - n + 1, len(g) - 1)) if len(g) > 1 else 1 for (_, _, q), g, n in zip(rows, every, runs)]
         questions = [np.unique(g[:c]) for g, c in zip(every, cut)]
         answers = [np.unique(g[c:] if c < len(g) else g) for g, c in zip(every, cut)]
-        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, bound, group, block_bound, common, aside, int(lengths.max()), runs, questions, answers)
+        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, bound, group, block_bound, common, aside, whole.longest, runs, questions, answers)
 
     def filter_bits(self) -> np.ndarray:
         bits = np.zeros(1 << 18, bool)
@@ -236,12 +249,43 @@ def _without(docs: DataFrame, index: Index, threshold: float, overlap: float, te
     return docs.mapInArrow(run, docs.schema)
 
 
+WORDS = "term long, words long"
+
+
+def _words(items: DataFrame) -> DataFrame:
+    """Of each item with words its distinct terms, and a row (null, words)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                raw = text.encode()
+                h, _ = hashed_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+                if len(h):
+                    terms = np.unique(h).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([*terms.tolist(), None], pa.int64()), pa.array([None] * len(terms) + [len(h)], pa.int64())], names=["term", "words"])
+
+    return items.select("text").mapInArrow(run, WORDS)
+
+
 def indices(benchmark: DataFrame, threshold: float, item_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
-    """The index of each block of items."""
+    """The index of each block of items, by document frequencies and lengths over all items."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), text_or_empty(text_col).alias("text")).orderBy("item", "text")
-    for lo in range(0, items.count(), ITEMS_A_BLOCK):
-        block = items.offset(lo).limit(ITEMS_A_BLOCK).collect()
-        index = Index.build([r["item"] for r in block], [r["text"] for r in block], threshold)
+    n = items.count()
+    several = n > ITEMS_A_BLOCK
+    if several:
+        words = stored(_words(items), "words")
+        count, mean, longest = words.where("words is not null").agg(F.count("words"), F.avg("words"), F.max("words")).first()
+        df = words.where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    for lo in range(0, n, ITEMS_A_BLOCK):
+        block = items.offset(lo).limit(ITEMS_A_BLOCK)
+        whole = None
+        if several and count:
+            own = df.join(_words(block).select("term").where("term is not null").distinct(), "term").toPandas()
+            terms = own["term"].to_numpy(np.int64).view(np.uint64)
+            at = np.argsort(terms)
+            whole = Whole(count, mean, longest, terms[at], own["df"].to_numpy(np.int64)[at])
+        block = block.collect()
+        index = Index.build([r["item"] for r in block], [r["text"] for r in block], threshold, whole=whole)
         if index is not None:
             yield index
 

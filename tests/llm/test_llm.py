@@ -494,6 +494,18 @@ def test_leaks_edited_and_partial(spark):
     assert {r["doc_id"] for r in decontaminate.leaks(frame(spark, rows), benchmark).collect()} == {1, None}
 
 
+def test_leaks_do_not_depend_on_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(150)]
+    items = [" ".join(rng.choices(words[: 20 + 5 * i], k=14 + i)) for i in range(24)]
+    texts = [(k, " ".join(w for w in items[k % 24].split() if rng.random() > 0.03 * (k % 12)), "s") for k in range(240)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = lambda: sorted((r["doc_id"], r["item_id"], r["start_word"], round(r["score"], 9)) for r in decontaminate.leaks(frame(spark, texts), benchmark).collect())
+    whole = found()
+    monkeypatch.setattr(decontaminate, "ITEMS_A_BLOCK", 5)
+    assert found() == whole and 24 < len(whole)
+
+
 def test_leaks_odd(spark, odd, none):
     benchmark = spark.createDataFrame([(1, "short text here")], "item_id long, text string")
     assert sorted(r["doc_id"] for r in decontaminate.leaks(odd, benchmark).collect()) == [6, 6]
