@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again before the next.
 All but the last return the columns of documents. Toxic and leaked documents are dropped where they are read; near
-copies are dropped by doc_id, so rows that repeat a doc_id share one fate there, and rows without one are kept.
+copies are dropped by a number that each stored row gets, so repeated and null doc_ids change nothing.
 """
 
 from __future__ import annotations
@@ -22,12 +22,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by a Jaccard similarity of 0.8 or more over five words, the least doc_id stays."""
+    """Of each group of documents linked by a Jaccard similarity of 0.8 or more over five words, the row of the least doc_id stays, nulls last, and of equal ones the first stored."""
     whole_texts(spark)
-    groups = jaccard.cluster(docs, jaccard.Join(n=5, percent=80))
-    gone = groups.where("component_id < id").select(F.col("id").alias("_gone")).distinct()
+    # the numbers are written, since they would differ where rows are read again
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = stored(jaccard.cluster(rows, jaccard.Join(n=5, percent=80), id_col="_row").select(F.col("id").alias("_gone"), F.col("component_id").alias("_group")), "groups")
+    several = groups.groupBy("_group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_group")
+    members = groups.hint("merge").join(several, "_group")
+    named = members.join(rows.select(F.col("_row").alias("_gone"), "doc_id").hint("merge"), "_gone").withColumn("_place", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("_gone").alias("row")))
+    least = named.groupBy("_group").agg(F.min("_place").alias("_least"))
+    gone = named.select("_group", "_gone").join(least.hint("merge"), "_group").where("_gone <> _least.row").select("_gone")
     # both sides grow with the corpus, so the join is by sort and merge at every size
-    return docs.hint("merge").join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    return rows.hint("merge").join(gone, rows["_row"] == F.col("_gone"), "left_anti").select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -620,6 +620,14 @@ def test_stages(spark, sf, stages):
     assert {r["doc_id"] for r in stages["packing", "out"].collect()} == set(rows["secrets", "out"])
 
 
+def test_one_row_of_near_copies_stays(spark, sf):
+    copy, other = "one text that has a few more words than five and is repeated", "a clean text that is like no other text of this table at all"
+    rows = [(4, copy), (4, copy), (None, copy), (9, copy), (9, other), (None, other + " but longer by far than it was before"), (None, ""), (None, "")]
+    docs = frame(spark, [(i, t, "s") for i, t in rows])
+    got = collections.Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.keep_one_of_near_copies(spark, docs, sf).select("doc_id", "text").collect())
+    assert got == collections.Counter([rows[0], *rows[4:]])
+
+
 def test_masks_join_overlaps(spark):
     text = "é password=" + "a" * 40 + " end"
     made = spark.createDataFrame([(1, text, "en", "s", len(text)), (2, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
