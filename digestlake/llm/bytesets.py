@@ -94,7 +94,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int = 3) -> list[np.n
         return [np.zeros(0, np.uint64)] * (len(offsets) - 1)
     h = span_hashes(prefix_hashes(data, BYTE[LOWER]), starts, ends)
     rolled = h.copy()
-    for k in range(1, n):
+    for k in range(1, min(n, len(h))):
         rolled[: len(h) - k] = mix(rolled[: len(h) - k] + np.uint64(k)) + h[k:]
     rolled = mix(rolled)
     out = []

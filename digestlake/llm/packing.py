@@ -7,7 +7,7 @@ squared fills grows and the emptiest sequences run empty. What stays underfull i
 more in larger groups, so that the groups' borders cost next to nothing.
 
 Defined results: a null or empty text is one piece that holds the end id alone; a null doc_id and repeated rows
-are documents of their own; an empty table gives no rows.
+are documents of their own; texts of any length are cut whole; an empty table gives no rows. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -78,83 +78,71 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, rounds: int = 4) -> list[list[int]]:
-    """Exchanges between underfull bins, each of which raises the sum of squared fills; empty bins go."""
-    size = lengths.tolist()
-    fill = [sum(size[k] for k in b) for b in bins]
-    least = -(-sum(fill) // capacity)
-    for _ in range(rounds):
-        left = sum(map(bool, bins))
-        if left <= least:
-            break
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """Exchanges between underfull bins until none is left that raises the sum of squared fills, or no bin can be saved; empty bins go.
+
+    An exchange takes one or two documents out of a bin and gives them to a bin that is as full or fuller, for a shorter document of that bin or for nothing.
+    All documents, and all pairs, by their sizes, are tried against all documents of the other bins; the exchange that leaves
+    the least room in the fuller bin is made. The sum of squares is a whole number that rises with each, so the search ends.
+    """
+    bins = [list(b) for b in bins if b]
+    fill = np.array([lengths[b].sum() for b in bins], np.int64)
+    least = -(-int(fill.sum()) // capacity)
+    open_bins = np.flatnonzero(fill < capacity)
+    # what can be taken in exchange: the documents of underfull bins, and of each such bin nothing
+    doc = np.array([k for b in open_bins for k in bins[b]] + [-1] * len(open_bins), np.int64)
+    home = np.concatenate([np.repeat(open_bins, [len(bins[b]) for b in open_bins]), open_bins]).astype(np.int64)
+    place = {int(k): i for i, k in enumerate(doc) if k >= 0}
+    size = np.where(doc >= 0, lengths[doc], 0)
+    left = len(bins)
+    changed = True
+    while changed and left > least:
         changed = False
-        under = sorted((b for b in range(len(bins)) if bins[b] and fill[b] < capacity), key=lambda b: fill[b])
-        # all documents of the underfull bins, with their bin: candidates to be swapped out
-        doc = np.array([k for b in under for k in bins[b]], np.int64)
-        home = np.array([b for b in under for _ in bins[b]], np.int64)
-        if not len(doc):
-            break
-        length = lengths[doc]
-        place = {int(k): i for i, k in enumerate(doc)}
-        room_of = np.zeros(len(bins), np.int64)
-        for b in under:
-            room_of[b] = capacity - fill[b]
-        under_ids = np.array(under, np.int64)
-        for b in under:
-            for k in sorted(bins[b], key=lambda k: -size[k]):
-                if k not in bins[b]:
-                    continue
-                y = size[k]
-                # move: the tightest fuller bin with room
-                rooms = room_of[under_ids]
-                fits = np.flatnonzero((rooms >= y) & (under_ids != b) & (capacity - rooms >= fill[b]))
-                if len(fits):
-                    a = int(under_ids[fits[np.argmin(rooms[fits])]])
-                    bins[b].remove(k)
-                    bins[a].append(k)
+        for b in sorted(open_bins.tolist(), key=lambda b: fill[b]):
+            while 0 < fill[b] < capacity and left > least:
+                given, docs_given = _sums(bins[b], lengths)
+                limit = size + capacity - fill[home]
+                best = np.searchsorted(given, limit, "right") - 1
+                able = np.flatnonzero((best >= 0) & (given[best] > size) & (home != b) & (fill[home] >= fill[b]))
+                if not len(able):
+                    break
+                i = int(able[np.argmin(limit[able] - given[best[able]])])
+                a, y, out = int(home[i]), int(given[best[i]]), docs_given[best[i]]
+                bins[b] = [k for k in bins[b] if k not in out]
+                if doc[i] >= 0:
+                    bins[a].remove(int(doc[i]))
+                    bins[b].append(int(doc[i]))
+                    home[i] = b
+                bins[a] += out
+                for k in out:
                     home[place[k]] = a
-                    for c, d in ((a, y), (b, -y)):
-                        fill[c] += d
-                        room_of[c] -= d
-                    changed = True
-                    continue
-                # swap: k for a shorter document of a bin that is at least as full and then still fits
-                ok = np.flatnonzero((length < y) & (length + room_of[home] >= y) & (home != b) & (capacity - room_of[home] >= fill[b]))
-                if len(ok):
-                    i = int(ok[np.argmin(room_of[home[ok]] + length[ok])])
-                    a, x = int(home[i]), int(doc[i])
-                    bins[b].remove(k)
-                    bins[a].remove(x)
-                    bins[a].append(k)
-                    bins[b].append(x)
-                    home[i], home[place[k]] = b, a
-                    for c, d in ((a, y - size[x]), (b, size[x] - y)):
-                        fill[c] += d
-                        room_of[c] -= d
-                    changed = True
-            # two for one: two documents of b for one longer than either in a fuller bin
-            own = sorted(bins[b], key=lambda k: size[k])
-            for i in range(len(own) - 1):
-                k, l = own[i], own[i + 1]
-                if k not in bins[b] or l not in bins[b]:
-                    continue
-                y = size[k] + size[l]
-                ok = np.flatnonzero((length < y) & (length + room_of[home] >= y) & (home != b) & (capacity - room_of[home] >= fill[b]) & (room_of[home] > 0))
-                if len(ok):
-                    j = int(ok[np.argmin(room_of[home[ok]] + length[ok])])
-                    a, x = int(home[j]), int(doc[j])
-                    bins[b] = [d for d in bins[b] if d not in (k, l)] + [x]
-                    bins[a] = [d for d in bins[a] if d != x] + [k, l]
-                    home[j], home[place[k]], home[place[l]] = b, a, a
-                    for c, d in ((a, y - size[x]), (b, size[x] - y)):
-                        fill[c] += d
-                        room_of[c] -= d
-                    changed = True
-        if not changed:
-            break
+                fill[a] += y - size[i]
+                fill[b] += size[i] - y
+                changed = True
+                left -= fill[b] == 0
     return [b for b in bins if b]
 
 
+def _sums(members: list[int], lengths: np.ndarray) -> tuple[np.ndarray, list[tuple[int, ...]]]:
+    """The distinct sizes of one or two of the members, rising, and for each the members; one is taken before two."""
+    one, two = {}, {}
+    for k in members:
+        n = int(lengths[k])
+        if n in one:
+            two.setdefault(n, k)
+        else:
+            one[n] = k
+    sums = {n: (k,) for n, k in one.items()}
+    sizes = list(one)
+    for i, m in enumerate(sizes):
+        if m in two:
+            sums.setdefault(2 * m, (one[m], two[m]))
+        for n in sizes[i + 1 :]:
+            sums.setdefault(m + n, (one[m], one[n]))
+    order = sorted(sums)
+    return np.array(order, np.int64), [sums[n] for n in order]
+
+
 def pack_group(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return local_search(best_fit(lengths, capacity), lengths, capacity)
 

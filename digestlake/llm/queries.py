@@ -33,15 +33,21 @@ def op5_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = secrets.scan(documents(spark, sf_dir), secrets.Ledger(spark))
-    spans = F.coalesce("spans", F.expr("cast(array() as array<struct<start:bigint,pos:int,end:bigint,rule:string>>)"))
-    joined = F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.rule, s.start, s.end)), ",")
-    count = lambda rule: F.size(F.filter(spans, lambda s: s.rule == rule)).cast("long")
+    """All documents against a ledger that an earlier run left behind: its versions, the first tenth by doc_id, are not scanned again."""
+    docs, rules = documents(spark, sf_dir), secrets.RULES + secrets.MORE_RULES
+    ledger = secrets.Ledger(spark)
+    earlier = docs.agg(F.percentile_approx("doc_id", 0.1)).first()[0]
+    ledger.update(secrets.versions(docs.where(F.col("doc_id") <= earlier)), rules)
+    rows = secrets.scan(docs, ledger, rules)
+    every = F.coalesce("spans", F.expr(f"cast(array() as {secrets.SPANS})"))
+    names = [r.name for r in secrets.RULES]
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.rule, s.start, s.end)), ",")
+    count = lambda rule: F.size(F.filter(every, lambda s: s.rule == rule)).cast("long")
     return rows.select(
         F.col("path").alias("doc_id"),
-        count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
-        F.sha2(joined, 256).alias("base_sha256"),
-        joined.alias("spans"),
+        *[count(name).alias(f"n_{name}") for name in names],
+        F.sha2(joined(F.filter(every, lambda s: s.rule.isin(names))), 256).alias("base_sha256"),
+        joined(every).alias("spans"),
     )
 
 
@@ -95,7 +101,7 @@ def op10_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
-        F.array_join(F.concat(base, listed(F.col("added"), "other")), ",").alias("spans"),
+        F.array_join(F.concat(base, F.transform("added", lambda s: F.concat_ws(":", F.concat(F.lit("like_"), s.kind), s.start, s.end))), ",").alias("spans"),
     )
 
 
@@ -134,19 +140,21 @@ def _either_case(pattern: str) -> str:
 
 
 def _op6_sql() -> str:
-    """Positions are sums of the lengths of the matches and of what lies between them."""
+    """Positions are sums of the lengths of the matches and of what lies between them. The first three kinds are the base."""
     keys = _either_case("(password|passwd|secret|token|api_?key)")
+    base = [("assign", keys + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32)]
     parts = []
-    for pos, (kind, pattern, group, least) in enumerate((("assign", keys + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32))):
+    for pos, (kind, pattern, group, least) in enumerate([*base, *((r.name, r.pattern, r.group, r.least) for r in secrets.MORE_RULES)]):
         q = "'" + pattern.replace("'", "''") + "'"
         parts.append(
             f"SELECT doc_id, {pos} AS pos, '{kind}' AS kind, unnest(list_transform(range(1, len(m) + 1), lambda i: {{'a': list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0), 'n': length(m[i]), 'ok': length(g[i]) >= {least}}})) AS x"
             f" FROM (SELECT doc_id, regexp_extract_all(text, {q}, 0) AS m, regexp_extract_all(text, {q}, {group}) AS g, regexp_split_to_array(text, {q}) AS s FROM documents)"
         )
+    shown = "kind || ':' || a || ':' || b, ',' ORDER BY a, pos"
     return f"""
 WITH spans AS (SELECT doc_id, pos, kind, CAST(x.a AS BIGINT) AS a, CAST(x.a + x.n AS BIGINT) AS b FROM ({' UNION ALL '.join(parts)}) WHERE x.ok),
-each AS (SELECT doc_id, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, pos) AS spans, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in ("assign", "access", "hex"))} FROM spans GROUP BY doc_id)
-SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+each AS (SELECT doc_id, string_agg({shown}) AS spans, string_agg({shown}) FILTER (pos < 3) AS base, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in ("assign", "access", "hex"))} FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN each USING (doc_id)"""
 
 

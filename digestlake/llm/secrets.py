@@ -5,9 +5,12 @@ pairs of blob and rule version were scanned before and what they held; a run sca
 it has not seen under the present version of a rule once, whatever the number of paths that carry
 it, appends to the ledger, and joins the findings back to all paths.
 
-Spans are counted in code points, end exclusive. Defined results: a null text is the empty text; a null
-doc_id is a path like others; repeated rows each get their findings; an empty table gives no rows.
-Extra columns are ignored.
+One carrier of each blob is read with its text: the least path, found by keys alone. Findings are joined back by blob, and a blob that very many
+paths carry is dealt over several partitions.
+
+Base rules are fixed; further rules add spans of other kinds of secrets and leave those of the base as they are. Spans are counted in code
+points, end exclusive. Defined results: a null text is the empty text; a null doc_id is a path like others; repeated rows each get
+their findings; very long texts are scanned whole; an empty table gives no rows. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,13 +20,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import shared_dir, stored, text_or_empty
+from .shared import join_hot, shared_dir, stored, text_or_empty
 
 FINDING = "blob string, rule string, version int, start long, end long"
-SCANNED = "blob string, rule string, version int"
+SEEN = "blob string, rules array<struct<rule:string,version:int>>"
+SPANS = "array<struct<start:bigint,pos:int,end:bigint,rule:string>>"
 
 
 @dataclass(frozen=True)
@@ -51,17 +55,27 @@ RULES = (
     # a maximal run of 32 or more: runs below that fail anyway
     Rule("hex", 1, r"[0-9a-f]{32,}", re.ASCII, (), 0, 32),
 )
+#: Kinds beyond the base, in patterns that need no look-around: keys in PEM, signed web tokens, tokens with a vendor's prefix, passwords in addresses.
+MORE_RULES = (
+    Rule("pem", 1, r"-----BEGIN (RSA |EC |DSA |OPENSSH |ENCRYPTED |PGP )?PRIVATE KEY( BLOCK)?-----[A-Za-z0-9+/=\s]*", re.ASCII, ("private key",), 0, 60),
+    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", re.ASCII, ("eyj",), 0, 40),
+    Rule("vendor", 1, r"(ghp_|gho_|ghs_|github_pat_|glpat-|xox[abpr]-|sk_live_|AIza)[A-Za-z0-9_-]+", re.ASCII, ("ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xox", "sk_live_", "aiza"), 0, 20),
+    Rule("url", 1, r"[a-z][a-z0-9+]*://[A-Za-z0-9._~%-]+:([A-Za-z0-9._~%!$&*+=-]+)@", re.ASCII, ("://",), 1, 4),
+)
 
 
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Findings of blobs(blob, todo array<string>, text) under the rules named in todo."""
+    """Findings of blobs(blob, todo array<string>, text) under the rules named in todo; rows of one blob that follow each other count once."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         compiled = {r.name: (r, re.compile(r.pattern, r.flags)) for r in rules}
+        last = None
         for batch in batches:
             found = []
             for blob, todo, text in zip(batch["blob"], batch["todo"], batch["text"]):
-                lowered = text.lower()
+                if blob == last:
+                    continue
+                last, lowered = blob, text.lower()
                 for name in todo:
                     rule, pattern = compiled[name]
                     found += [(blob, name, rule.version, a, b) for a, b in rule.spans(text, lowered, pattern)]
@@ -70,56 +84,69 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return blobs.mapInPandas(scan, FINDING)
 
 
+def blob_of(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).alias("path"), blob_of(text).alias("blob"), text.alias("text"))
+
+
 class Ledger:
-    """Two append-only Parquet tables: scanned(blob, rule, version) and findings."""
+    """Two append-only Parquet tables: what was scanned, a row for each blob and run, and findings."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or shared_dir(spark, "ledger")
         if path is None:
-            self._append(spark.createDataFrame([], SCANNED), "scanned")
+            self._append(spark.createDataFrame([], SEEN), "scanned")
             self._append(spark.createDataFrame([], FINDING), "findings")
-            self.fresh = True
-        else:
-            self.fresh = False
 
     def _append(self, df: DataFrame, table: str) -> None:
         df.write.mode("append").parquet(f"{self.path}/{table}")
 
+    def _seen(self) -> DataFrame:
+        return self.spark.read.schema(SEEN).parquet(f"{self.path}/scanned")
+
     def scanned(self) -> DataFrame:
-        return self.spark.read.schema(SCANNED).parquet(f"{self.path}/scanned")
+        """(blob, rule, version) of all that was scanned."""
+        return self._seen().select("blob", F.explode("rules").alias("r")).select("blob", "r.rule", "r.version")
 
-    def findings(self) -> DataFrame:
-        return self.spark.read.schema(FINDING).parquet(f"{self.path}/findings")
+    def findings(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """The distinct findings of the present versions of rules."""
+        version = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.version)])
+        every = self.spark.read.schema(FINDING).parquet(f"{self.path}/findings")
+        return every.where(F.col("rule").isin([r.name for r in rules]) & (F.col("version") == version[F.col("rule")])).distinct()
 
-    def update(self, versions: DataFrame, rules: tuple[Rule, ...] = RULES) -> None:
-        """Scans what is unseen among versions(path, blob, text).
+    def update(self, rows: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """Scans what is unseen among versions(path, blob, text); (blob, path, n) of the blobs, n being how many rows carry one.
 
-        One carrier of each blob, the first path, is read with its text. Findings are appended
-        before the pairs are marked as scanned, so a run that dies in between scans again, and
-        duplicate findings of such a run are dropped on reading.
+        Findings are appended before the pairs are marked as scanned, so a run that dies in between scans
+        again, and duplicate findings of such a run are dropped on reading.
         """
-        first = versions.groupBy("blob").agg(F.min(F.struct("path", "row")).alias("at"))
-        if self.fresh:
-            todo = first.withColumn("todo", F.array(*[F.lit(r.name) for r in rules]))
-        else:
-            current = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules])
-            pairs = first.select("blob", "at", F.explode(current).alias("r")).select("blob", "at", "r.rule", "r.version")
-            todo = pairs.join(self.scanned(), ["blob", "rule", "version"], "left_anti").groupBy("blob", "at").agg(F.collect_list("rule").alias("todo"))
-        todo = stored(todo, "ledger-todo")
-        carriers = versions.join(todo.select(F.col("at.row").alias("row"), "todo"), "row").select("blob", "todo", "text")
-        self._append(scan_blobs(carriers, rules), "findings")
-        names = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.version)])
-        self._append(todo.select("blob", F.explode("todo").alias("rule")).withColumn("version", names[F.col("rule")]).select("blob", "rule", "version"), "scanned")
-        self.fresh = False
+        carried = stored(rows.groupBy("blob").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("n")), "ledger-blobs")
+        current = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version")) for r in rules])
+        seen = self._seen().groupBy("blob").agg(F.flatten(F.collect_list("rules")).alias("seen"))
+        unseen = carried.join(seen, "blob", "left").select("blob", "path", F.when(F.col("seen").isNull(), current).otherwise(F.array_except(current, F.col("seen"))).alias("rules"))
+        todo = stored(unseen.where(F.size("rules") > 0), "ledger-todo")
+        wanted = todo.select(F.col("blob").alias("todo_blob"), F.col("path").alias("todo_path"), F.transform("rules", lambda r: r["rule"]).alias("todo"))
+        # by blob and path, so that the many other carriers of a blob are dealt over all partitions
+        texts = rows.join(wanted, F.col("blob").eqNullSafe(F.col("todo_blob")) & F.col("path").eqNullSafe(F.col("todo_path")))
+        self._append(scan_blobs(texts.select("blob", "todo", "text"), rules), "findings")
+        self._append(todo.select("blob", "rules"), "scanned")
+        return carried
+
+
+def spans_of(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """(blob, n, spans) of the blobs with findings, after the ledger was brought up to date, and the number of rows of docs."""
+    carried = ledger.update(versions(docs, id_col, text_col), rules)
+    rank = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.name, i)])
+    by_blob = ledger.findings(rules).groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", rank[F.col("rule")].alias("pos"), "end", "rule"))).alias("spans"))
+    total = carried.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return stored(carried.select("blob", "n").join(by_blob, "blob"), "spans"), total
 
 
 def scan(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(path, blob, spans array<struct<start, pos, end, rule>>) of every row, by start and then rule; spans is null without findings."""
-    text = text_or_empty(text_col)
-    versions = docs.select(F.col(id_col).alias("path"), F.sha2(text, 256).alias("blob"), text.alias("text")).withColumn("row", F.xxhash64("path", "blob"))
-    ledger.update(versions, rules)
-    rank = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.name, i)])
-    version = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.version)])
-    current = ledger.findings().where(F.col("rule").isin([r.name for r in rules]) & (F.col("version") == version[F.col("rule")])).distinct()
-    by_blob = current.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", rank[F.col("rule")].alias("pos"), "end", "rule"))).alias("spans"))
-    return versions.select("path", "blob").join(by_blob, "blob", "left")
+    found, total = spans_of(docs, ledger, rules, id_col, text_col)
+    return join_hot(versions(docs, id_col, text_col).select("path", "blob"), found, "blob", ["path"], total).select("path", "blob", "spans")

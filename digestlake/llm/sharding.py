@@ -6,13 +6,15 @@ interleaves the sources in proportion, so every contiguous cut has the mixture o
 
 No rank is taken by one task. The key is uniform, so its leading bits split each source into
 slices of bounded size: a slice's first rank is the running sum of the slices before it, and
-row_number() only runs inside a slice. The fractions of a source are evenly spread over [0, 1),
-so the same device gives the global position. A source with a third of the rows is simply cut
-into more slices.
+row_number() only runs inside a slice. A source with a third of the rows is simply cut
+into more slices. The global order is a range sort by all columns that decide it, so rows of one fraction, which very many
+small sources may share, are dealt over several partitions; sorted rows are stored with their place in their partition, and a
+partition's first position is the running sum over the partitions before it.
 
 Defined results: a null source is a stratum of its own; a null text has no bytes; a null doc_id
 is shuffled by the empty key; rows equal in all these columns may swap places with each other.
-An empty table gives no rows. Other columns are ignored.
+An empty table gives no rows. Texts of any length are only measured and summed where they are read. Other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import text_or_empty
+from .shared import stored, text_or_empty
 
 KEY_BITS = 60
-SLICE_ROWS = 1 << 14
+SLICE_ROWS = 1 << 10
+#: Rows of a partition of the range sort, which are a few bytes each.
+PART_ROWS = 1 << 22
 
 
 def _running_start(counts: DataFrame, by: list[str], order: str) -> DataFrame:
@@ -53,12 +57,16 @@ def interleave(docs: DataFrame, n_shards: int, seed: int = 17, id_col: str = "do
     starts = _running_start(counts, ["stratum"], "slice").join(counts.groupBy("stratum").agg(F.sum("n").alias("of")), "stratum").select("stratum", "slice", "first", "of")
     inside = Window.partitionBy("stratum", "slice").orderBy("key", "doc_id", "text_crc32", "size")
     ranked = rows.withColumn("nth", F.row_number().over(inside)).join(starts, ["stratum", "slice"])
-    ranked = ranked.withColumn("fraction", (F.col("first") + F.col("nth") - 0.5) / F.col("of")).withColumn("band", F.floor(F.col("fraction") * (1 << bits)))
-
-    bands = ranked.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-    first_of_band = _running_start(bands, [], "band").select("band", F.col("first").alias("band_first"))
-    across = Window.partitionBy("band").orderBy("fraction", "stratum", "key", "doc_id", "text_crc32", "size")
-    placed = ranked.withColumn("nth", F.row_number().over(across)).join(first_of_band, "band").withColumn("position", F.col("band_first") + F.col("nth") - 1)
+    ranked = ranked.withColumn("fraction", (F.col("first") + F.col("nth") - 0.5) / F.col("of"))
+
+    order = ["fraction", "stratum", "key", "doc_id", "text_crc32", "size"]
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // PART_ROWS)
+    ordered = ranked.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # the place in the partition is the low part of Spark's row number; it is stored, as ranges would differ if they were drawn again
+    numbered = stored(ordered.withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "interleaved")
+    firsts = _running_start(numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n")), [], "part").select("part", "first")
+    # a row for each partition of the sort: as many as parts
+    placed = numbered.join(F.broadcast(firsts), "part").withColumn("position", F.col("first") + F.col("nth"))
 
     shard = F.expr(f"position * {n_shards} div {max(total, 1)}")
     return placed.select(

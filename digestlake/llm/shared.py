@@ -56,6 +56,26 @@ def whole_texts(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Keys that count as hot at most, so that a table of them is small whatever the number of rows.
+HOT_KEYS = 50_000
+LEAST_HOT = 256
+
+
+def join_hot(rows: DataFrame, facts: DataFrame, key: str, by: list, total: int, how: str = "left") -> DataFrame:
+    """rows joined with facts(key, n, ..), which has one row for each key, n being the number of rows that have it.
+
+    A key of more than a HOT_KEYS-th of the total rows is hot: at most HOT_KEYS are, so their names are broadcast. Rows of a hot key are dealt over
+    several partitions by a hash of the columns by, and its fact is repeated for each. The result has no n. The join is by sort and merge.
+    """
+    most = max(LEAST_HOT, total // HOT_KEYS)
+    splits = F.ceil(F.col("n") / most)
+    hot = facts.where(F.col("n") > most).select(F.col(key).alias("hot_key"), splits.alias("hot_splits"))
+    dealt = rows.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left").withColumn("salt", F.when(F.col("hot_splits").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(*by), F.col("hot_splits")))).drop("hot_key", "hot_splits")
+    last = F.when(F.col("n") > most, splits - 1).otherwise(F.lit(0).cast("long"))
+    spread = facts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("n")
+    return dealt.hint("merge").join(spread, [key, "salt"], how).drop("salt")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole_texts(spark).read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -12,7 +12,8 @@ sample is kept apart to set the bias, so that 0.5 is the best cut.
 Scoring passes over each text once, in arrays over its bytes; memory is bounded by a slice of texts.
 
 Defined results: a null text is empty; a text without words has the score of an empty window; without labels of both kinds
-every score is the share of toxic labels, or 0; null doc_ids and repeated rows are scored like others.
+every score is the share of toxic labels, or 0; null doc_ids and repeated rows are scored like others; an empty table gives no rows. Very long texts
+are scored whole; extra columns are ignored by judge and kept by clean.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytesets import BYTE, LOWER_WIDE, PLAIN, prefix_hashes, slices, span_hashes, text_bytes, words
@@ -187,11 +188,12 @@ class _Adam:
             p[k] -= (rate * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(np.float32)
 
 
-def _log_odds(pairs: np.ndarray, label: np.ndarray, bits: int) -> np.ndarray:
-    """For each code, the smoothed log odds that a text with it is toxic against one that is not, from distinct row * 2**bits + code."""
+def _log_odds(pairs: np.ndarray, label: np.ndarray, fit: np.ndarray, bits: int) -> np.ndarray:
+    """For each code, the smoothed log odds that a text with it is toxic against one that is not, from distinct row * 2**bits + code, over the rows in fit."""
+    pairs = pairs[fit[pairs >> bits]]
     code, toxic = pairs & ((1 << bits) - 1), label[pairs >> bits] == 1
     a, b = np.bincount(code[toxic], minlength=1 << bits), np.bincount(code[~toxic], minlength=1 << bits)
-    return np.log((a + 1) / (label.sum() + 2)) - np.log((b + 1) / ((1 - label).sum() + 2))
+    return np.log((a + 1) / (label[fit].sum() + 2)) - np.log((b + 1) / ((1 - label[fit]).sum() + 2))
 
 
 class _Sample:
@@ -252,9 +254,9 @@ def train(texts: list[str], label: np.ndarray, epochs: int = 6, passes: int = 2,
     if len({*label[apart].tolist()}) < 2 or len({*label[~apart].tolist()}) < 2 or len(texts) < 100:
         apart[:] = False
     net = Network(seed)
-    odds = _log_odds(sample.words_of[~apart[sample.words_of >> WORD_BITS]], label, WORD_BITS)
+    odds = _log_odds(sample.words_of, label, ~apart, WORD_BITS)
     net.p["words"][:, 0] = odds / 3
-    net.p["chars"][:, 0] = _log_odds(sample.chars_of[~apart[sample.chars_of >> CHAR_BITS]], label, CHAR_BITS) / 3
+    net.p["chars"][:, 0] = _log_odds(sample.chars_of, label, ~apart, CHAR_BITS) / 3
     sample.words_of = sample.chars_of = None
     high = np.concatenate([[0], np.cumsum(np.maximum(odds[sample.codes], 0) ** 2)])
     logit = (high[sample.at + size] - high[sample.at]).astype(np.float32)
@@ -289,15 +291,20 @@ def in_training(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 2400, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[Network | None, float]:
-    """(network, share of toxic labels) from the labelled texts whose id is for training."""
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 2400, max_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[Network | None, float]:
+    """(network, share of toxic labels) from the labelled texts whose id is for training.
+
+    The sample is bounded: at most max_toxic and max_clean ids, twice as many texts (ids may repeat), and whole texts up to max_bytes in all.
+    """
     wanted = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isin(0, 1) & in_training("id")).withColumn("order", F.xxhash64("id"))
     chosen = None
     for value, most in ((1, max_toxic), (0, max_clean)):
         part = wanted.where(F.col("label") == value).orderBy("order", "id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").orderBy("order", "id", "text").select("text", "label").limit(2 * (max_toxic + max_clean)).toPandas()
+    some = texts.join(F.broadcast(chosen), "id").orderBy("order", "id", "text").limit(2 * (max_toxic + max_clean))
+    so_far = F.sum(F.octet_length("text")).over(Window.orderBy("order", "id", "text").rowsBetween(Window.unboundedPreceding, 0))
+    sample = some.withColumn("so_far", so_far).where(F.col("so_far") <= max_bytes).select("text", "label").toPandas()
     label = sample["label"].to_numpy(np.int64)
     return train(sample["text"].tolist(), label), float(label.mean()) if len(label) else 0.0
 
@@ -323,9 +330,13 @@ def score(docs: DataFrame, network: Network | None, share: float, id_col: str =
 
 
 def clean(docs: DataFrame, network: Network | None, share: float, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of docs with a score under the threshold, with all their columns; each is judged where it is read."""
+    """The rows of docs with a score under the threshold, with all their columns; each is judged where it is read.
+
+    Without a network there is nothing to judge by, so all rows stay, whatever the share of toxic labels. A null or empty text has the score of an
+    empty window; a very long one is scored in all its windows; extra columns come through as they are, whatever their names.
+    """
     if network is None:
-        return docs.where(F.lit(share < threshold))
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
