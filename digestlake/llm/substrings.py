@@ -2,42 +2,51 @@
 
 Every byte covered by a string of LENGTH bytes that also starts in a document with a smaller id is found, over whole texts.
 
-1. Texts are stored once as files in the shared folder; later passes read file by file, so texts are not shuffled. Copies of a
-   whole text are found by digest; only the first goes on.
+1. Texts are stored once as files of bounded bytes in the shared folder, with a manifest; later passes read file by file, so texts are not shuffled. Copies of a
+   whole text are found by SHA-256; only the first goes on.
 2. Each window of LENGTH bytes has a minimizer, the least hash among its K-byte strings. Equal windows have equal
    minimizers, so a window can only repeat where its minimizer does. A file sends each minimizer once, and learns which occur in other files.
 3. Around each shared minimizer, the bytes of the windows that belong to it form a chunk. A file sends each distinct
-   chunk once, with the least id that has it, to the bucket of its minimizer.
+   chunk once, with the least id that has it, to the bucket of its minimizer. Chunks of one hash are compared byte by byte, in the file and in the bucket.
 4. A bucket sorts the suffixes of its chunks to the depth needed, takes the transform, and expands
    intervals breadth-first by backward extension: boundaries where the common prefix is 0, 1, 2, .. long are derived
    in turn, and the expansion stops at LENGTH. Suffixes between boundaries share LENGTH bytes or more; the least id of
    each such class decides, and each file gets back one bit for each window.
 5. Each file marks its bytes and gives the removed spans and what is kept; remove_repeats digests these.
 
-A passage that a third of all documents share costs each file one chunk a minimizer. Buckets are worked off in parts of
-bounded size.
+A passage that a third of all documents share costs each file one chunk a minimizer. The number of buckets grows with the bytes of all texts and not with the
+number of files; a file sends a blob to a bucket only if it has something for it, so there are never more blobs than minimizers. Buckets are worked
+off in parts of bounded size. A document longer than FILE_BYTES is a file of its own.
 
 Defined results: a null text is empty; a null id counts as larger than all others; rows that repeat an id are judged against smaller
-ids only; texts under LENGTH bytes keep everything; an empty table gives no rows.
+ids only; texts under LENGTH bytes keep everything; very long texts are read whole; an empty table gives no rows. Extra columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytesets import INVERSE, mix, powers, prefix_hashes, slices, span_hashes, text_bytes
-from .shared import shared_dir, stored, text_or_empty
+from .shared import join_hot, shared_dir, stored, text_or_empty
 
 LENGTH = 50
 K = 24
 NO_ID = (1 << 63) - 1
 PART_BYTES = 1 << 19
+#: Bytes of texts in a file, and of all texts for each bucket.
+FILE_BYTES = 32 << 20
+BUCKET_BYTES = 128 << 20
+#: Minimizers of a bucket that are compared at once.
+PART_ANCHORS = 1 << 22
 
 
 # -- interval expansion ---------------------------------------------------------------------------
@@ -168,6 +177,103 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[first], lo, hi, hashes[where[first]], span_hashes(sums, lo, hi + LENGTH)
 
 
+def same_bytes(data: np.ndarray, one: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the size[i] bytes from one[i] on are those from other[i] on."""
+    out = np.ones(len(one), bool)
+    for lo in range(0, len(one), 20_000):
+        n = size[lo : lo + 20_000]
+        end = np.cumsum(n)
+        step = np.arange(end[-1]) - np.repeat(end - n, n)
+        equal = data[np.repeat(one[lo : lo + 20_000], n) + step] == data[np.repeat(other[lo : lo + 20_000], n) + step]
+        out[lo : lo + 20_000] = np.logical_and.reduceat(equal, end - n)
+    return out
+
+
+def alike(data: np.ndarray, start: np.ndarray, size: np.ndarray, content: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first of each group, group of each place in order) of places sorted by content: one hash and the same bytes. A place whose bytes differ from those of the first with its hash is a group of its own."""
+    ordered = content[order]
+    head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    group = np.repeat(np.arange(len(head)), np.diff(head, append=len(order)))
+    first = order[head]
+    rest = np.flatnonzero(first[group] != order)
+    a, b = order[rest], first[group[rest]]
+    same = size[a] == size[b]
+    same[same] = same_bytes(data, start[a[same]], start[b[same]], size[a[same]])
+    odd = rest[~same]
+    group[odd] = len(first) + np.arange(len(odd))
+    return np.concatenate([first, order[odd]]), group
+
+
+def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its keys) of the buckets that have some."""
+    bucket = keys % np.uint64(buckets)
+    by = np.argsort(bucket, kind="stable")
+    bounds = np.flatnonzero(np.concatenate([[True], bucket[by][1:] != bucket[by][:-1], [True]])) if len(by) else np.zeros(1, np.int64)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        yield int(bucket[by[a]]), by[a:b]
+
+
+STORED = "file long, uri string, rows int, bytes long, ids binary, digests binary"
+
+
+def store_texts(rows: DataFrame, rows_a_file: int, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Writes rows (id, text) to files of so many rows and bytes, one longer text being a file of its own, and gives the manifest: a row for each file.
+
+    A task that runs again writes new files, and only those of the run that counts are in the manifest.
+    """
+    folder = shared_dir(rows.sparkSession, "texts")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+        from pyarrow.fs import FileSystem
+
+        schema = pa.schema([("id", pa.int64()), ("text", pa.large_string())])
+        number, held, n, size = TaskContext.get().partitionId() << 24, [], 0, 0
+
+        def out() -> pa.RecordBatch:
+            nonlocal number, n, size
+            uri = f"{folder}/{number}-{uuid.uuid4().hex}.parquet"
+            fs, path = FileSystem.from_uri(uri)
+            fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            table = pa.Table.from_batches([b for b, _ in held], schema)
+            pq.write_table(table, path, filesystem=fs, compression="zstd", row_group_size=max(1, table.num_rows))
+            digests = b"".join(d for _, d in held)
+            row = [[number], [uri], [n], [size], [table["id"].to_numpy().astype("<i8").tobytes()], [digests]]
+            held.clear()
+            number, n, size = number + 1, 0, 0
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=[c.split()[0] for c in STORED.split(", ")])
+
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            lo = 0
+            while lo < batch.num_rows:
+                # as many rows as the file still takes, one at least if it is empty
+                hi = min(int(np.searchsorted(offsets, offsets[lo] + file_bytes - size, "right")) - 1, lo + rows_a_file - n, batch.num_rows)
+                if hi <= lo and n:
+                    yield out()
+                    continue
+                hi = max(hi, lo + 1)
+                part = pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), batch.column("text").slice(lo, hi - lo).cast(pa.large_string())], schema=schema)
+                held.append((part, b"".join(hashlib.sha256(data[a:b]).digest() for a, b in zip(offsets[lo:hi], offsets[lo + 1 : hi + 1]))))
+                n, size, lo = n + hi - lo, size + int(offsets[hi] - offsets[lo]), hi
+        if n:
+            yield out()
+
+    return stored(rows.select("id", "text").mapInArrow(write, STORED), "manifest")
+
+
+def digests_of(manifest: DataFrame) -> DataFrame:
+    """(file, row, id, digest) of the stored rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                n = r["rows"]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, r["file"])), pa.array(np.arange(n)), pa.array(np.frombuffer(r["ids"], "<i8")), pa.array([r["digests"][k : k + 32] for k in range(0, 32 * n, 32)], pa.binary())], names=["file", "row", "id", "digest"])
+
+    return manifest.select("file", "rows", "ids", "digests").mapInArrow(run, "file long, row long, id long, digest binary")
+
+
 class File:
     """One stored file: ids, texts as bytes, and the chunks of the rows that are not copies."""
 
@@ -186,9 +292,6 @@ class File:
         if copies:
             self.copy[np.frombuffer(copies, np.int64)] = True
 
-    def digests(self) -> list[bytes]:
-        return [hashlib.sha256(self.data[a:b]).digest() for a, b in zip(self.offsets[:-1], self.offsets[1:])]
-
     def chunks(self) -> None:
         """Sets row, lo (first window), more (windows after it), anchor, content of all chunks of the rows that are not copies."""
         found = []
@@ -211,13 +314,8 @@ class File:
         head = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.zeros(0, np.int64)
         tail = np.append(head[1:], len(anchor)) - 1
         distinct, many = anchor[head], row[head] != row[tail] if len(head) else np.zeros(0, bool)
-        bucket = distinct % np.uint64(buckets)
-        by = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[by], np.arange(buckets + 1, dtype=np.uint64))
-        for b in range(buckets):
-            if bounds[b] < bounds[b + 1]:
-                pick = by[bounds[b] : bounds[b + 1]]
-                yield b, distinct[pick], many[pick]
+        for b, pick in by_bucket(distinct, buckets):
+            yield b, distinct[pick], many[pick]
 
     def shared_chunks(self, buckets: int, replies: dict[int, bytes]) -> Iterator[tuple[int, np.ndarray]]:
         """(bucket, one place of each distinct chunk whose minimizer occurs in other rows: that of the least id)."""
@@ -233,18 +331,13 @@ class File:
         self.places = np.flatnonzero(shared[near] == self.anchor)
         ids, content = self.ids[self.row[self.places]], self.content[self.places]
         at = np.lexsort((self.places, ids, content))
-        head = np.flatnonzero(np.concatenate([[True], content[at][1:] != content[at][:-1]]))
-        first = self.places[at[head]]
+        lo, size = self.lo[self.places].astype(np.int64), self.more[self.places].astype(np.int64) + LENGTH
+        first, group = alike(self.data, lo, size, content, at)
         #: for each of places, the number of its chunk among the distinct ones
         self.of = np.empty(len(at), np.int64)
-        self.of[at] = np.repeat(np.arange(len(head)), np.diff(head, append=len(at)))
-        self.first = first
-        bucket = self.anchor[first] % np.uint64(buckets)
-        by = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[by], np.arange(buckets + 1, dtype=np.uint64))
-        for b in range(buckets):
-            if bounds[b] < bounds[b + 1]:
-                yield b, by[bounds[b] : bounds[b + 1]]
+        self.of[at] = group
+        self.first = self.places[first]
+        yield from by_bucket(self.anchor[self.first], buckets)
 
 
 BLOBS = "file long, bucket long, data binary"
@@ -255,15 +348,19 @@ def _replies(rows: DataFrame) -> DataFrame:
     return rows.groupBy("file").agg(F.collect_list(F.struct("bucket", "data")).alias("replies"))
 
 
+#: Tasks of a pass over the files; beyond that a task works off several files in turn.
+MOST_TASKS = 50_000
+
+
 def _over_files(files: DataFrame, n_files: int, work, schema: str) -> DataFrame:
-    """work(file, uri, copies, replies) -> batches, for each file in a task of its own."""
+    """work(file, uri, copies, replies) -> batches, for each file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 yield from work(r["file"], File(r["uri"], r.get("copies")), {x["bucket"]: x["data"] for x in r.get("replies") or ()})
 
-    return files.repartition(max(1, n_files)).mapInArrow(run, schema)
+    return files.repartition(max(1, min(n_files, MOST_TASKS))).mapInArrow(run, schema)
 
 
 def _blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -365,8 +462,14 @@ def meet_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for bucket, held in _by_bucket(batches):
         parts = [np.frombuffer(x, "<u8") for _, x in held]
         every = np.concatenate(parts)
-        values, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
-        many = (counts > 1)[inverse]
+        many = np.zeros(len(every), bool)
+        # a part has all copies of its minimizers
+        n = max(1, -(-len(every) // PART_ANCHORS))
+        part_of = (mix(every) % np.uint64(n)).astype(np.int32) if n > 1 else np.zeros(len(every), np.int32)
+        for k in range(n):
+            mine = np.flatnonzero(part_of == k) if n > 1 else np.arange(len(every))
+            _, inverse, counts = np.unique(every[mine], return_inverse=True, return_counts=True)
+            many[mine] = (counts > 1)[inverse]
         at, out = 0, []
         for (file, _), part in zip(held, parts):
             out.append((file, bucket, np.packbits(many[at : at + len(part)]).tobytes()))
@@ -386,7 +489,7 @@ def meet_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bodies.append(x[8 + 18 * n :])
         counts = [len(x) for x in ids]
         ids, content, size, body = np.concatenate(ids), np.concatenate(content), np.concatenate(sizes), b"".join(bodies)
-        start = np.cumsum(size) - size
+        start, raw = np.cumsum(size) - size, np.frombuffer(body, np.uint8)
         masks = np.zeros(len(ids), np.uint64)
         full = (np.uint64(1) << (size - LENGTH + 1).astype(np.uint64)) - np.uint64(1)
         # chunks of one minimizer stay together: parts are cut by the minimizer, which is found again in the chunk
@@ -398,9 +501,7 @@ def meet_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(mine):
                 continue
             at = mine[np.lexsort((ids[mine], content[mine]))]
-            head = np.flatnonzero(np.concatenate([[True], content[at][1:] != content[at][:-1]]))
-            one = at[head]
-            of = np.repeat(np.arange(len(one)), np.diff(head, append=len(at)))
+            one, of = alike(raw, start, size, content, at)
             # a minimizer with one distinct chunk has nothing to compare: the least id has all its windows
             _, same, many = np.unique(group[one], return_inverse=True, return_counts=True)
             alone = many[same] == 1
@@ -443,21 +544,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A span may end inside a character, so what stays is binary.
     """
     spark = docs.sparkSession
-    path = shared_dir(spark, "texts")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), text_or_empty(text_col).alias("text"))
-    rows.write.option("compression", "zstd").option("maxRecordsPerFile", rows_a_file).parquet(path)
-    uris = sorted(spark.read.schema("id long, text string").parquet(path).inputFiles())
-    n = len(uris)
-    files = spark.createDataFrame(list(enumerate(uris)), "file long, uri string")
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n)
-
-    def digest(number: int, file: File, _: dict) -> Iterator[pa.RecordBatch]:
-        keys = file.digests()
-        yield pa.RecordBatch.from_arrays([pa.array([number] * len(keys), pa.int64()), pa.array(range(len(keys)), pa.int64()), pa.array(file.ids, pa.int64()), pa.array(keys, pa.binary())], names=["file", "row", "id", "digest"])
+    manifest = store_texts(rows, rows_a_file)
+    n, total, size = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    files = manifest.select("file", "uri").coalesce(1)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
-    digests = stored(_over_files(files, n, digest, "file long, row long, id long, digest binary"), "digests")
-    several = digests.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = digests.join(several, "digest").where("id > least").select("file", "row")
+    digests = digests_of(manifest)
+    several = stored(digests.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1"), "digests")
+    later = join_hot(digests, several, "digest", ["file", "row"], total, "inner").where("id > least").select("file", "row")
 
     def numbers(batches):
         for batch in batches:
@@ -467,7 +562,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies = later.groupBy("file").agg(F.collect_list("row").alias("rows")).mapInArrow(numbers, "file long, copies binary")
     files = stored(files.join(copies, "file", "left"), "files")
 
-    meet = lambda sent, how: sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "file").mapInArrow(how, BLOBS)
+    # buckets are as many as bytes ask for; a task works off several in turn where they are more than tasks
+    meet = lambda sent, how: sent.repartition(min(buckets, MOST_TASKS), "bucket").sortWithinPartitions("bucket", "file").mapInArrow(how, BLOBS)
     told = stored(_replies(meet(_over_files(files, n, _send_anchors(buckets), BLOBS), meet_anchors)), "minimizers")
     known = files.join(told, "file", "left")
     masks = meet(_over_files(known, n, _send_chunks(buckets), BLOBS), meet_chunks)
