@@ -3,20 +3,24 @@
 Two sets with a Jaccard similarity of t or more share a token within their prefixes under every global order of tokens, a
 prefix being the first n - ceil(t n) + 1 tokens of a set of n. Several orders are used at once and a pair must pass all of them.
 
-1. Sets are hashed; rows of equal sets form a class, and classes take the place of rows. The same pass adds up a
-   sketch of token frequencies, of fixed size. An order sorts tokens by the sketch's class of frequency, rare first, and then by a
-   hash of its own, so that boilerplate stands last in every order.
-2. Classes that share a prefix token under the first order are tied if their sizes and the parities of their token sets allow a
-   link; the components of these ties are groups, outside which there are no links. The pairs of a posting list are compared in
-   arrays and never become rows of a table; a list of more than LONG_LIST classes is tied by a star.
-3. Inside a group, finer parities of all sets are compared pair by pair in arrays, and components of what remains are finer groups.
-4. A group is cut into bands by set size, since linked sets differ in size by a factor of t at most, and large bands
-   into blocks that are met pairwise. Inside, the filters of all orders are intersected pair by pair, and what passes is verified
+1. Texts are stored as files, and every row is named by its place there. Sets are hashed; rows of equal sets form a class, of which one row, the carrier, goes
+   on. The same pass adds up a sketch of token frequencies, of fixed size.
+2. Carriers send a share of their distinct tokens, picked by hash, to buckets and learn which occur in other classes. A set with more than n - ceil(t n) tokens that
+   occur nowhere else is linked with nothing and goes no further; on most text that is nearly all of them.
+3. An order sorts tokens that occur nowhere else first, then by the sketch's class of frequency, rare first, and then by a hash of its own, so
+   that boilerplate stands last in every order. Prefix tokens of all orders are posted; classes that meet in a list and whose sizes and the parities of their
+   token sets allow a link are tied under that order. The pairs of a list are compared in arrays and never become rows of a table; a list of more
+   than LONG_LIST classes is tied by a star.
+4. The components of the ties under each order are intersected: classes that are in one component under every order are a group, outside which there are no
+   links. Only now sets move.
+5. A group is cut into bands by set size, since linked sets differ in size by a factor of t at most, and large bands
+   into blocks that are met pairwise. Inside, the prefixes of all orders are intersected pair by pair, and what passes is verified
    on the whole sets. join_rows verifies every pair and adds up each class's links, times copies; cluster skips pairs whose ends are
    connected already. Both yield a spanning forest of each block's links.
-5. Components over the forests of all blocks, and for join_rows the sums of links, are the result.
+6. Components over the forests of all blocks, and for join_rows the sums of links, are the result.
 
-Links never become rows for all pairs of a group; none is lost for the components or the counts. Texts are never cut.
+Links never become rows for all pairs of a group; none is lost for the components or the counts. Texts are never cut. A set of a group moves once for
+each block of its band, so the traffic of a group grows with its size times its blocks, as does its number of links.
 
 Defined results: a null or empty text, or one without words, has no shingles and stands alone; rows with a null id take part and
 get the component's least non-null id, or null; repeated rows are copies; an empty table gives no rows.
@@ -35,13 +39,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytesets import mix, shingle_sets, slices, text_bytes
+from .bytesets import mix, shingle_sets, slices
 from .graph import components
-from .shared import release, stored, text_or_empty
+from .shared import join_hot, release, stored, text_or_empty
+from .textfiles import BLOBS, BUCKET_BYTES, blobs, by_bucket, meet, meet_keys, over_files, read_texts, replies_by_file, store_texts
 
 SLOT_BITS = 18
 SLOTS_A_ROW = 1 << 14
 NULL_ID = -(1 << 63)
+#: Rows of a file at most, so that a row's place in all files is file * ROWS_A_FILE + row; and nodes of a place, one for each order.
+ROWS_A_FILE = 1 << 14
+ORDERS_AT_MOST = 4
 
 
 @dataclass(frozen=True)
@@ -64,45 +72,42 @@ def set_key(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def short_key(key: bytes) -> int:
-    """64 bits of a key, to name it in the filters, where a collision only adds a candidate."""
-    return int.from_bytes(key[:8], "little", signed=True)
-
-
-def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    data, offsets = text_bytes(batch.column("text"))
-    for lo, hi in slices(offsets):
-        yield from enumerate(shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], n), lo)
+def sets_of(data: np.ndarray, offsets: np.ndarray, rows: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, set) of these rows, in their order."""
+    sizes = offsets[rows + 1] - offsets[rows]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    for lo, hi in slices(bounds):
+        some = np.concatenate([data[a:b] for a, b in zip(offsets[rows[lo:hi]].tolist(), offsets[rows[lo:hi] + 1].tolist())])
+        yield from zip(rows[lo:hi].tolist(), shingle_sets(some, bounds[lo : hi + 1] - bounds[lo], n))
 
 
 def slot_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-SIGNED = "id long, n_shingles long, key binary, short long, parity binary, slot int, counts binary"
+SIGNED = "place long, id long, n_shingles long, key binary, slot int, counts binary"
 
 
-def signatures(rows: DataFrame, n: int) -> DataFrame:
-    """A row (id, n_shingles, key, short) for each row, and rows (slot, counts) of the frequency sketch."""
+def signatures(files: DataFrame, n_files: int, n: int) -> DataFrame:
+    """A row (place, id, n_shingles, key) for each row of the files, and rows (slot, counts) of the frequency sketch."""
+    schema = pa.schema([("place", pa.int64()), ("id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("slot", pa.int32()), ("counts", pa.binary())])
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("short", pa.int64()), ("parity", pa.binary()), ("slot", pa.int32()), ("counts", pa.binary())])
+    def sign(row: dict) -> Iterator[pa.RecordBatch]:
+        ids, data, offsets = read_texts(row["uri"])
         sketch = np.zeros(1 << SLOT_BITS, np.uint32)
-        for batch in batches:
-            sizes, keys, bits = [], [], []
-            for _, tokens in _sets(batch, n):
-                sizes.append(len(tokens))
-                keys.append(set_key(tokens) if len(tokens) else None)
-                bits.append(fine_parity(tokens) if len(tokens) else None)
-                np.add.at(sketch, slot_of(tokens), 1)
-            none = [None] * len(sizes)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array([None if k is None else short_key(k) for k in keys], pa.int64()), pa.array(bits, pa.binary()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], schema=schema)
+        sizes, keys = [], []
+        for _, tokens in sets_of(data, offsets, np.arange(len(ids)), n):
+            sizes.append(len(tokens))
+            keys.append(set_key(tokens) if len(tokens) else None)
+            np.add.at(sketch, slot_of(tokens), 1)
+        none = [None] * len(sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(row["file"] * ROWS_A_FILE + np.arange(len(ids))), pa.array(ids), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], schema=schema)
         parts = [(s, sketch[s : s + SLOTS_A_ROW]) for s in range(0, len(sketch), SLOTS_A_ROW)]
         parts = [(s, zlib.compress(x.astype("<u4").tobytes(), 1)) for s, x in parts if x.any()]
         none = [None] * len(parts)
-        yield pa.RecordBatch.from_arrays([pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array([s for s, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([*(pa.array(none, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())), pa.array([s for s, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], schema=schema)
 
-    return rows.mapInArrow(sign, SIGNED)
+    return over_files(files, n_files, sign, SIGNED)
 
 
 def frequency_classes(signed: DataFrame) -> np.ndarray:
@@ -119,37 +124,93 @@ def frequency_classes(signed: DataFrame) -> np.ndarray:
     return np.maximum(0, np.ceil(np.log2(np.maximum(counts, 1) / usual))).astype(np.uint8)
 
 
-def prefixes(tokens: np.ndarray, classes: np.ndarray, join: Join) -> list[np.ndarray]:
-    """The prefix of a set under each order."""
-    rank = classes[slot_of(tokens)].astype(np.uint64) << np.uint64(56)
+# -- tokens that other classes have ------------------------------------------------------------------
+
+
+def picked(tokens: np.ndarray, join: Join) -> np.ndarray:
+    """Whether a token is in the share, by its hash, that is looked for in other classes: four times what a linked set may have of its own."""
+    return (mix(tokens) >> np.uint64(56)) < np.uint64(min(256, -(-256 * 4 * (100 - join.percent) // 100)))
+
+
+def distinct_tokens(sets: list[np.ndarray], join: Join) -> tuple[np.ndarray, np.ndarray]:
+    """(the picked tokens of all sets, rising; whether several of the sets have each)."""
+    if not sets:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    flat = np.concatenate(sets)
+    values, counts = np.unique(flat[picked(flat, join)], return_counts=True)
+    return values, counts > 1
+
+
+def send_tokens(files: DataFrame, n_files: int, join: Join, buckets: int) -> DataFrame:
+    """The picked tokens of the carriers of each file, in 32 bits, to their buckets."""
+
+    def work(row: dict) -> Iterator[pa.RecordBatch]:
+        _, data, offsets = read_texts(row["uri"])
+        values, _ = distinct_tokens([s for _, s in sets_of(data, offsets, np.array(sorted(row["rows"]), np.int64), join.n)], join)
+        out = [(row["file"], b, np.unique(short(values[at])).astype("<u4").tobytes()) for b, at in by_bucket(mix(values), buckets)]
+        if out:
+            yield blobs(out)
+
+    return over_files(files, n_files, work, BLOBS)
+
+
+def short(tokens: np.ndarray) -> np.ndarray:
+    """32 bits of a token; within a bucket a coincidence only makes a token count as shared."""
+    return (tokens >> np.uint64(16)).astype(np.uint32)
+
+
+def alone(values: np.ndarray, many: np.ndarray, replies: list[dict], buckets: int) -> np.ndarray:
+    """Those of a file's picked tokens that no other class has."""
+    told = {x["bucket"]: x["data"] for x in replies or ()}
+    out = []
+    for b, at in by_bucket(mix(values), buckets):
+        sent, where = np.unique(short(values[at]), return_inverse=True)
+        # tokens of one file that coincide in 32 bits count as shared
+        shared = np.unpackbits(np.frombuffer(told[b], np.uint8), count=len(sent)).astype(bool) | (np.bincount(where) > 1)
+        out.append(values[at[~shared[where] & ~many[at]]])
+    return np.sort(np.concatenate(out)) if out else values[:0]
+
+
+def among(sorted_values: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(tokens), bool)
+    return sorted_values[np.minimum(np.searchsorted(sorted_values, tokens), len(sorted_values) - 1)] == tokens
+
+
+# -- orders, prefixes and ties -------------------------------------------------------------------------
+
+
+def prefixes(tokens: np.ndarray, classes: np.ndarray, join: Join, first: np.ndarray | None = None) -> list[np.ndarray]:
+    """The prefix of a set under each order; tokens marked in first come before all others."""
+    rank = classes[slot_of(tokens)].astype(np.uint64) + np.uint64(1)
+    if first is not None:
+        rank[first] = 0
+    rank <<= np.uint64(56)
     k, out = join.prefix(len(tokens)), []
     for order in range(join.orders):
-        key = rank | (mix(tokens + np.uint64(order * 0x632BE59BD9B4E019 & (1 << 64) - 1)) >> np.uint64(8))
+        key = rank | (in_order(tokens, order) >> np.uint64(8))
         out.append(tokens[np.argpartition(key, k - 1)[:k]] if k < len(tokens) else tokens)
     return out
 
 
-POSTED = "part long, data binary"
+def in_order(tokens: np.ndarray, order: int) -> np.ndarray:
+    """What sorts tokens of equal rank under an order."""
+    return mix(tokens + np.uint64(order * 0x632BE59BD9B4E019 & (1 << 64) - 1))
+
+
 TIED = "u long, v long"
-PARITY_BITS = 256
-#: An entry of a posting list: the token, the class, its set's size and the parity of its tokens by their last byte.
-ENTRY = np.dtype([("token", "<u4"), ("node", "<i8"), ("size", "<u4"), ("parity", "<u8", 4)])
+PARITY_BITS = 128
+#: An entry of a posting list: the token under its order, the class's node of that order, its set's size and the parity of its tokens by their last bits.
+ENTRY = np.dtype([("token", "<u4"), ("node", "<i8"), ("size", "<u4"), ("parity", "<u8", PARITY_BITS // 64)])
 LONG_LIST = 4096
-FINE_BITS = 12
 
 
 def parity(tokens: np.ndarray) -> np.ndarray:
-    """Of each last byte, whether an odd number of tokens has it, as 256 bits: two sets differ in at least as many tokens as bits."""
+    """Of each value of the last bits, whether an odd number of tokens has it: two sets differ in at least as many tokens as parities."""
     odd = np.bincount((tokens & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view("<u8")
 
 
-def fine_parity(tokens: np.ndarray) -> bytes:
-    """As parity, by the last FINE_BITS bits, of which the last byte's parity is the sum."""
-    odd = np.bincount((tokens & np.uint64((1 << FINE_BITS) - 1)).astype(np.int64), minlength=1 << FINE_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
 def close_pairs(entries: np.ndarray, percent: int) -> np.ndarray:
     """Edges between classes that share a token and may be linked by their sizes and parities; lists that are very long are tied by a star instead."""
     entries = entries[np.lexsort((entries["size"], entries["token"]))]
@@ -190,51 +251,80 @@ def spanning_stars(edges: np.ndarray) -> np.ndarray:
     return np.stack([nodes, nodes[root]], axis=1)[root != np.arange(len(nodes))]
 
 
-def ties(rows: DataFrame, classes: np.ndarray, join: Join, parts: int) -> DataFrame:
-    """Edges (u, v) between the short keys of classes that share a prefix token under the first order and are close enough in size and parity."""
-    shared = rows.sparkSession.sparkContext.broadcast(classes)
-    first = Join(join.n, join.percent, 1, join.block)
+POSTED = "part long, data binary, place long"
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def post(files: DataFrame, n_files: int, classes: np.ndarray, join: Join, buckets: int, parts: int) -> DataFrame:
+    """Rows (part, data) of posting lists under all orders, and a row (place) for each carrier that may be linked with another."""
+    shared = files.sparkSession.sparkContext.broadcast(classes)
+    schema = pa.schema([("part", pa.int64()), ("data", pa.binary()), ("place", pa.int64())])
+
+    def work(row: dict) -> Iterator[pa.RecordBatch]:
         release()
-        seen: set[int] = set()
+        _, data, offsets = read_texts(row["uri"])
+        rows = np.array(sorted(row["rows"]), np.int64)
+        values, many = distinct_tokens([s for _, s in sets_of(data, offsets, rows, join.n)], join)
+        lonely = alone(values, many, row["replies"], buckets)
         held: list[np.ndarray] = []
-        places: list[np.ndarray] = []
+        lists: list[np.ndarray] = []
+        live: list[int] = []
 
         def out() -> Iterator[pa.RecordBatch]:
-            entries, place = np.concatenate(held), np.concatenate(places)
+            if held:
+                entries, place = np.concatenate(held), np.concatenate(lists)
+                at = np.argsort(place, kind="stable")
+                entries, place = entries[at], place[at]
+                bounds = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
+                data = [entries[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(place[bounds[:-1]], pa.int64()), pa.array(data, pa.binary()), pa.array([None] * len(data), pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([None] * len(live), pa.int64()), pa.array([None] * len(live), pa.binary()), pa.array(live, pa.int64())], schema=schema)
             held.clear()
-            places.clear()
-            at = np.argsort(place, kind="stable")
-            entries, place = entries[at], place[at]
-            bounds = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
-            yield pa.RecordBatch.from_arrays([pa.array(place[bounds[:-1]], pa.int64()), pa.array([entries[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())], names=["part", "data"])
+            lists.clear()
+            live.clear()
 
         n = 0
-        for batch in batches:
-            for _, s in _sets(batch, join.n):
-                if not len(s) or (node := short_key(set_key(s))) in seen:
-                    continue
-                seen.add(node)
-                (p,) = prefixes(s, shared.value, first)
-                entry = np.empty(len(p), ENTRY)
-                entry["token"], entry["node"], entry["size"], entry["parity"] = (p & np.uint64(0xFFFFFFFF)), node, len(s), parity(s)
+        for r, s in sets_of(data, offsets, rows, join.n):
+            own = among(lonely, s)
+            if not len(s) or own.sum() >= join.prefix(len(s)):
+                continue
+            place, bits = row["file"] * ROWS_A_FILE + r, parity(s)
+            live.append(place)
+            for order, prefix in enumerate(prefixes(s, shared.value, join, own)):
+                prefix = prefix[~among(lonely, prefix)]
+                code = in_order(prefix, order)
+                entry = np.empty(len(prefix), ENTRY)
+                entry["token"], entry["node"], entry["size"], entry["parity"] = (code & np.uint64(0xFFFFFFFF)), place * ORDERS_AT_MOST + order, len(s), bits
                 held.append(entry)
-                places.append(((p >> np.uint64(32)) % np.uint64(parts)).astype(np.int64))
-                n += len(p)
-                if n > 500_000:
-                    yield from out()
-                    n = 0
-        if held:
-            yield from out()
+                lists.append(((code >> np.uint64(32)) % np.uint64(parts)).astype(np.int64))
+                n += len(prefix)
+            if n > 500_000:
+                yield from out()
+                n = 0
+        yield from out()
+
+    return over_files(files, n_files, work, POSTED)
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = [np.frombuffer(blob.as_buffer(), ENTRY) for batch in batches for blob in batch.column("data")]
-        if entries:
-            edges = spanning_stars(close_pairs(np.concatenate(entries), join.percent))
-            yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["u", "v"])
 
-    return rows.mapInArrow(post, POSTED).repartition(parts, "part").mapInArrow(meet, TIED)
+def ties(posted: DataFrame, percent: int, parts: int) -> DataFrame:
+    """Edges (u, v) between nodes of one order that share a prefix token under it and are close enough in size and parity."""
+
+    def meet_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if held:
+                edges = spanning_stars(close_pairs(np.concatenate(held), percent))
+                yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["u", "v"])
+
+        for batch in batches:
+            for p, blob in zip(batch.column("part").to_pylist(), batch.column("data")):
+                if p != part:
+                    yield from out()
+                    part, held = p, []
+                held.append(np.frombuffer(blob.as_buffer(), ENTRY))
+        yield from out()
+
+    return posted.where("part is not null").select("part", "data").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(meet_lists, TIED)
 
 
 class Forest:
@@ -337,174 +427,137 @@ def every_link(sets: list[np.ndarray], sides: list[int], homes: list[bool], copi
     return links, counts
 
 
-def refined_ties(members: DataFrame, join: Join) -> DataFrame:
-    """Edges (u, v) that connect the classes of each task, from members(task, side, short, n_shingles, parity), which may be linked by the finer parities."""
+# -- groups and verification ---------------------------------------------------------------------------
 
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
-        task, held = None, []
 
-        def out() -> Iterator[pa.RecordBatch]:
-            if len(held) < 2:
-                return
-            held.sort(key=lambda r: r[1])
-            node, size = np.array([r[0] for r in held]), np.array([r[1] for r in held], np.int64)
-            side = np.array([r[3] for r in held])
-            across = side.min() != side.max()
-            bits = np.frombuffer(b"".join(r[2] for r in held), "<u8").reshape(len(held), -1)
-            coarse = np.bitwise_xor.reduce(bits.reshape(len(held), -1, PARITY_BITS // 64), axis=1)
-            end = np.searchsorted(size, size * 100 // join.percent, "right")
-            root, edges = np.arange(len(held)), []
-            for i in range(len(held) - 1):
-                j = np.arange(i + 1, end[i])
-                j = j[(root[j] != root[i]) & ((side[j] != side[i]) if across else True)]
-                for table in (coarse, bits):
-                    if len(j):
-                        apart = np.bitwise_count(table[j] ^ table[i]).sum(axis=1, dtype=np.int64)
-                        j = j[apart * (100 + join.percent) <= (100 - join.percent) * (size[j] + size[i])]
-                for other in np.unique(root[j]):
-                    edges.append((int(node[i]), int(node[j[root[j] == other][0]])))
-                    low, high = min(other, root[i]), max(other, root[i])
-                    root[root == high] = low
-            if edges:
-                yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in edges], pa.int64()), pa.array([v for _, v in edges], pa.int64())], names=["u", "v"])
-
-        for batch in batches:
-            for t, s, short, n, parity in zip(*(batch.column(c).to_pylist() for c in ("task", "side", "short", "n_shingles", "parity"))):
-                if t != task:
-                    yield from out()
-                    task = t
-                    held.clear()
-                held.append((short, n, parity, s))
-        yield from out()
-
-    return members.repartition("task").sortWithinPartitions("task", "short").select("task", "side", "short", "n_shingles", "parity").mapInArrow(solve, TIED)
+def _tasks(members: DataFrame, join: Join) -> DataFrame:
+    """members(gathered, place, n_shingles, ..) with task and side: bands by size, cut into blocks of about join.block shingles that meet pairwise."""
+    band = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(100 / join.percent) * (1 + 1e-9)))
+    banded = members.withColumn("band", F.explode(F.array(band, band - 1))).withColumn("home", F.col("band") == band)
+    counts = banded.groupBy("gathered", "band").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total")).where("n > 1").select("gathered", "band", F.ceil(F.col("total") / join.block).alias("blocks"))
+    met = banded.join(counts, ["gathered", "band"]).withColumn("own", F.pmod(F.xxhash64("place"), F.col("blocks")))
+    spread = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return spread.withColumn("task", F.xxhash64("gathered", "band", F.least("own", "other"), F.greatest("own", "other"))).withColumn("side", F.when(F.col("own") <= F.col("other"), 0).otherwise(1)).withColumn("inner", F.col("own") == F.col("other"))
 
 
-LINKED = "u binary, v binary"
+MEMBERS = "task long, side int, home boolean, inner boolean, copies long, place long, tokens binary"
 
 
-def verified_links(members: DataFrame, classes: np.ndarray, join: Join) -> DataFrame:
-    """Links (u, v) between keys, from members(task, side, text) of all tasks."""
-    shared = members.sparkSession.sparkContext.broadcast(classes)
+def member_sets(files: DataFrame, n_files: int, join: Join) -> DataFrame:
+    """The sets of the members of all tasks, from files(file, uri, members of its rows)."""
 
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(row: dict) -> Iterator[pa.RecordBatch]:
         release()
-        task, sets, sides, keys = None, [], [], []
-
-        def out() -> Iterator[pa.RecordBatch]:
-            found = spanning_links(sets, sides, shared.value, join) if len(sets) > 1 else []
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([keys[x] for x, _ in found], pa.binary()), pa.array([keys[y] for _, y in found], pa.binary())], names=["u", "v"])
-
-        for batch in batches:
-            tasks, side = batch.column("task").to_pylist(), batch.column("side").to_pylist()
-            for i, s in _sets(batch, join.n):
-                if tasks[i] != task:
-                    yield from out()
-                    task, sets, sides, keys = tasks[i], [], [], []
-                key = set_key(s)
-                if len(s) and key not in keys[-1:]:
-                    sets.append(s)
-                    sides.append(side[i])
-                    keys.append(key)
-        yield from out()
-
-    return members.repartition("task").sortWithinPartitions("task", "short").select("task", "side", "text").mapInArrow(solve, LINKED)
-
-
-COUNTED = "u binary, v binary, n long"
-
-
-def counted_links(members: DataFrame, classes: np.ndarray, join: Join) -> DataFrame:
-    """Of all links between the classes of each task, from members(task, side, home, inner, copies, short, text): links (u, v) that connect
-    what all connect, and rows (u, null, n) with the rows linked to a class."""
+        _, data, offsets = read_texts(row["uri"])
+        wanted: dict[int, list[dict]] = {}
+        for m in row["members"]:
+            wanted.setdefault(m["place"] % ROWS_A_FILE, []).append(m)
+        out, size = [], 0
+        for r, s in sets_of(data, offsets, np.array(sorted(wanted), np.int64), join.n):
+            for m in wanted[r]:
+                out.append((m["task"], m["side"], m["home"], m["inner"], m["copies"], m["place"], s.astype("<u8").tobytes()))
+                size += 8 * len(s)
+                if size > 4 << 20:
+                    yield _members(out)
+                    out, size = [], 0
+        yield _members(out)
+
+    return over_files(files, n_files, work, MEMBERS)
+
+
+def _members(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=[c.split()[0] for c in MEMBERS.split(", ")])
+
+
+def _by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[tuple]]]:
+    """(inner, [(set, side, home, copies, place)]) of each task, from rows sorted by it."""
+    task, inner, held = None, True, []
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("task", "side", "home", "inner", "copies", "place", "tokens")]
+        for t, side, home, within, copies, place, tokens in zip(*columns):
+            if t != task:
+                if len(held) > 1:
+                    yield inner, held
+                task, inner, held = t, within, []
+            held.append((np.frombuffer(tokens, "<u8"), side, home, copies, place))
+    if len(held) > 1:
+        yield inner, held
+
+
+COUNTED = "u long, v long, n long"
+
+
+def links(members: DataFrame, classes: np.ndarray, join: Join, counted: bool) -> DataFrame:
+    """Links (u, v) between places that connect what all links of each task connect; if counted, also rows (u, null, n) with the rows linked to a class."""
     shared = members.sparkSession.sparkContext.broadcast(classes)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        task, inner, held = None, True, []
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if len(held) > 1:
-                sets, sides, homes, copies, keys = map(list, zip(*held))
+        for inner, held in _by_task(batches):
+            sets, sides, homes, copies, places = map(list, zip(*held))
+            if counted:
                 found, counts = every_link(sets, sides, homes, copies, inner, shared.value, join)
                 some = np.flatnonzero(counts).tolist()
-                u = [keys[x] for x, _ in found] + [keys[x] for x in some]
-                v = [keys[y] for _, y in found] + [None] * len(some)
-                n = [None] * len(found) + counts[some].tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary()), pa.array(n, pa.int64())], names=["u", "v", "n"])
-
-        for batch in batches:
-            tasks, side, home, within, copies, short = (batch.column(c).to_pylist() for c in ("task", "side", "home", "inner", "copies", "short"))
-            for i, s in _sets(batch, join.n):
-                if tasks[i] != task:
-                    yield from out()
-                    task, inner = tasks[i], within[i]
-                    held.clear()
-                # other texts of the same id come along and are no members; copies of a member follow each other
-                if len(s) and short_key(key := set_key(s)) == short[i] and not (held and held[-1][4] == key):
-                    held.append((s, side[i], home[i], copies[i], key))
-        yield from out()
+                numbers = counts[some].tolist()
+            else:
+                found, some, numbers = spanning_links(sets, sides, shared.value, join), [], []
+            u = [places[x] for x, _ in found] + [places[x] for x in some]
+            v = [places[y] for _, y in found] + [None] * len(some)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array([None] * len(found) + numbers, pa.int64())], names=["u", "v", "n"])
 
-    return members.repartition("task").sortWithinPartitions("task", "short").select("task", "side", "home", "inner", "copies", "short", "text").mapInArrow(solve, COUNTED)
+    return members.repartition("task").sortWithinPartitions("task", "place").mapInArrow(solve, COUNTED)
 
 
-#: Classes whose parities are compared at once.
-REFINED_AT_ONCE = 4000
-
-
-def _tasks(members: DataFrame, join: Join, weight, block: int) -> DataFrame:
-    """members(gathered, key, n_shingles, ..) with task and side: bands by size, cut into blocks of about that weight that meet pairwise."""
-    band = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(100 / join.percent) * (1 + 1e-9)))
-    banded = members.withColumn("band", F.explode(F.array(band, band - 1))).withColumn("home", F.col("band") == band)
-    counts = banded.groupBy("gathered", "band").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("total")).where("n > 1").select("gathered", "band", F.ceil(F.col("total") / block).alias("blocks"))
-    met = banded.join(counts, ["gathered", "band"]).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    spread = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return spread.withColumn("task", F.xxhash64("gathered", "band", F.least("own", "other"), F.greatest("own", "other"))).withColumn("side", F.when(F.col("own") <= F.col("other"), 0).otherwise(1)).withColumn("inner", F.col("own") == F.col("other"))
-
-
-def _candidates(docs: DataFrame, join: Join, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """The signed rows, the members of all tasks with their texts, and the classes of frequency."""
+def _solve(docs: DataFrame, join: Join, id_col: str, text_col: str, counted: bool) -> DataFrame:
+    """(id, n_shingles, component_id, copies, others) of every row; others, if counted, are the rows linked to it that have other sets."""
+    if join.orders > ORDERS_AT_MOST:
+        raise ValueError(f"at most {ORDERS_AT_MOST} orders")
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), text_or_empty(text_col).alias("text"))
-    signed = stored(signatures(rows.select("id", "text"), join.n), "signatures")
-    classes = frequency_classes(signed)
-    signed = signed.where("slot is null").select("id", "n_shingles", "key", "short", "parity")
-
+    manifest = store_texts(rows, ROWS_A_FILE).select("file", "uri", "rows", "bytes")
+    n, total, size = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    files = manifest.select("file", "uri")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    gathered = components(ties(rows, classes, join, parts)).select(F.col("node").alias("short"), F.col("component").alias("gathered"))
+    buckets = max(parts, -(-size // BUCKET_BYTES))
 
-    carriers = signed.where("key is not null").groupBy("key", "short", "n_shingles").agg(F.min("id").alias("id"), F.first("parity").alias("parity"), F.count(F.lit(1)).alias("copies"))
-    tasks = _tasks(stored(carriers.join(gathered, "short"), "candidates"), join, F.lit(1), REFINED_AT_ONCE)
-    gathered = components(refined_ties(tasks, join)).select(F.col("node").alias("short"), F.col("component").alias("gathered"))
-    tasks = _tasks(stored(carriers.drop("parity").join(gathered, "short"), "candidates"), join, F.col("n_shingles"), join.block)
-    return signed, rows.hint("merge").join(tasks.select("id", "short", "task", "side", "home", "inner", "copies"), "id"), classes
-
-
-def _grouped(signed: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, copies, component_id) of every class, links being rows (u, v)."""
-    joined = components(links)
-    least = signed.where("key is not null").groupBy("key").agg(F.min(F.when(F.col("id") != NULL_ID, F.col("id"))).alias("least"), F.count(F.lit(1)).alias("copies"))
-    rooted = least.join(joined.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("root", F.coalesce("component", "key"))
-    return rooted.select("key", "copies", "root").join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "copies", "component_id")
-
-
-def _named(signed: DataFrame, classes: DataFrame, *more) -> DataFrame:
+    signed = stored(signatures(files.coalesce(1), n, join.n), "signatures")
+    classes = frequency_classes(signed)
+    signed = signed.where("slot is null").select("place", "id", "n_shingles", "key")
     doc = F.when(F.col("id") != NULL_ID, F.col("id"))
-    return signed.join(classes, "key", "left").select(doc.alias("id"), "n_shingles", F.when(F.col("key").isNull(), doc).otherwise(F.col("component_id")).alias("component_id"), *more)
+    sets = stored(signed.where("key is not null").groupBy("key").agg(F.min("place").alias("place"), F.first("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("n"), F.min(doc).alias("least")), "classes")
+
+    carriers = sets.groupBy(F.expr(f"place div {ROWS_A_FILE}").alias("file")).agg(F.collect_list(F.expr(f"place % {ROWS_A_FILE}")).alias("rows"))
+    carrying = stored(files.join(carriers, "file"), "carriers")
+    told = replies_by_file(meet(send_tokens(carrying, n, join, buckets), buckets, meet_keys("<u4")))
+    posted = stored(post(carrying.join(told, "file", "left"), n, classes, join, buckets, parts), "postings")
+
+    gathered = components(ties(posted, join.percent, parts))
+    live = posted.where("place is not null").select("place")
+    nodes = live.select("place", F.explode(F.sequence(F.lit(0), F.lit(join.orders - 1))).alias("order")).withColumn("node", F.col("place") * ORDERS_AT_MOST + F.col("order"))
+    # one group is one component under every order
+    where = nodes.join(gathered, "node").groupBy("place").agg(F.array_sort(F.collect_list("component")).alias("under")).where(F.size("under") == join.orders)
+    several = where.groupBy(F.xxhash64("under").alias("gathered")).agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gathered")
+    members = where.select("place", F.xxhash64("under").alias("gathered")).join(several, "gathered").join(sets.select("place", "n_shingles", F.col("n").alias("copies")), "place")
+    tasks = _tasks(stored(members, "candidates"), join)
+    asked = tasks.groupBy(F.expr(f"place div {ROWS_A_FILE}").alias("file")).agg(F.collect_list(F.struct("place", "task", "side", "home", "inner", "copies")).alias("members"))
+    found = stored(links(member_sets(files.join(asked, "file"), n, join), classes, join, counted), "links")
+
+    joined = components(found.where("v is not null").select("u", "v"))
+    others = found.where("v is null").groupBy("u").agg(F.sum("n").alias("others")).withColumnRenamed("u", "place")
+    rooted = stored(sets.join(joined.withColumnRenamed("node", "place"), "place", "left").withColumn("root", F.coalesce("component", "place")).join(others, "place", "left").select("key", "root", "least", "n", "others"), "roots")
+    roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    named = join_hot(rooted.withColumnRenamed("n", "copies"), roots, "root", ["key"], total).select("key", "component_id", "others", "copies", F.col("copies").alias("n"))
+    some = join_hot(signed.where("key is not null"), named, "key", ["place"], total).select(doc.alias("id"), "n_shingles", "component_id", "copies", "others")
+    rest = signed.where("key is null").select(doc.alias("id"), "n_shingles", doc.alias("component_id"), F.lit(1).cast("long").alias("copies"), F.lit(None).cast("long").alias("others"))
+    return some.unionByName(rest)
 
 
 def join_rows(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, n_links) of every row of docs. All links are verified; n_links counts the other rows linked to the row, copies too."""
-    signed, members, classes = _candidates(docs, join, id_col, text_col)
-    found = stored(counted_links(members, classes, join), "links")
-    others = found.where("v is null").groupBy("u").agg(F.sum("n").alias("others")).withColumnRenamed("u", "key")
-    grouped = _grouped(signed, found.where("v is not null").select("u", "v")).join(others, "key", "left")
-    return _named(signed, grouped, F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).alias("n_links"))
+    return _solve(docs, join, id_col, text_col, True).select("id", "n_shingles", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
 
 
 def cluster(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row of docs, from links that connect what all links connect."""
-    signed, members, classes = _candidates(docs, join, id_col, text_col)
-    return _named(signed, _grouped(signed, verified_links(members, classes, join)))
+    return _solve(docs, join, id_col, text_col, False).select("id", "n_shingles", "component_id")

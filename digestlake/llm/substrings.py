@@ -26,27 +26,21 @@ names.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytesets import INVERSE, mix, powers, prefix_hashes, slices, span_hashes, text_bytes
-from .shared import join_hot, shared_dir, stored, text_or_empty
+from .bytesets import INVERSE, mix, powers, prefix_hashes, slices, span_hashes
+from .shared import join_hot, stored, text_or_empty
+from .textfiles import BLOBS, BUCKET_BYTES, blobs, by_bucket, digests_of, meet, meet_keys, over_files, read_texts, replies_by_file, rows_by_bucket, store_texts
 
 LENGTH = 50
 K = 24
 NO_ID = (1 << 63) - 1
 PART_BYTES = 1 << 19
-#: Bytes of texts in a file, and of all texts for each bucket.
-FILE_BYTES = 32 << 20
-BUCKET_BYTES = 128 << 20
-#: Minimizers of a bucket that are compared at once.
-PART_ANCHORS = 1 << 22
 
 
 # -- interval expansion ---------------------------------------------------------------------------
@@ -204,90 +198,11 @@ def alike(data: np.ndarray, start: np.ndarray, size: np.ndarray, content: np.nda
     return np.concatenate([first, order[odd]]), group
 
 
-def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, places of its keys) of the buckets that have some."""
-    bucket = keys % np.uint64(buckets)
-    by = np.argsort(bucket, kind="stable")
-    bounds = np.flatnonzero(np.concatenate([[True], bucket[by][1:] != bucket[by][:-1], [True]])) if len(by) else np.zeros(1, np.int64)
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        yield int(bucket[by[a]]), by[a:b]
-
-
-STORED = "file long, uri string, rows int, bytes long, ids binary, digests binary"
-
-
-def store_texts(rows: DataFrame, rows_a_file: int, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Writes rows (id, text) to files of so many rows and bytes, one longer text being a file of its own, and gives the manifest: a row for each file.
-
-    A task that runs again writes new files, and only those of the run that counts are in the manifest.
-    """
-    folder = shared_dir(rows.sparkSession, "texts")
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
-        from pyarrow.fs import FileSystem
-
-        schema = pa.schema([("id", pa.int64()), ("text", pa.large_string())])
-        number, held, n, size = TaskContext.get().partitionId() << 24, [], 0, 0
-
-        def out() -> pa.RecordBatch:
-            nonlocal number, n, size
-            uri = f"{folder}/{number}-{uuid.uuid4().hex}.parquet"
-            fs, path = FileSystem.from_uri(uri)
-            fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-            table = pa.Table.from_batches([b for b, _ in held], schema)
-            pq.write_table(table, path, filesystem=fs, compression="zstd", row_group_size=max(1, table.num_rows))
-            digests = b"".join(d for _, d in held)
-            row = [[number], [uri], [n], [size], [table["id"].to_numpy().astype("<i8").tobytes()], [digests]]
-            held.clear()
-            number, n, size = number + 1, 0, 0
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=[c.split()[0] for c in STORED.split(", ")])
-
-        for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            lo = 0
-            while lo < batch.num_rows:
-                # as many rows as the file still takes, one at least if it is empty
-                hi = min(int(np.searchsorted(offsets, offsets[lo] + file_bytes - size, "right")) - 1, lo + rows_a_file - n, batch.num_rows)
-                if hi <= lo and n:
-                    yield out()
-                    continue
-                hi = max(hi, lo + 1)
-                part = pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo), batch.column("text").slice(lo, hi - lo).cast(pa.large_string())], schema=schema)
-                held.append((part, b"".join(hashlib.sha256(data[a:b]).digest() for a, b in zip(offsets[lo:hi], offsets[lo + 1 : hi + 1]))))
-                n, size, lo = n + hi - lo, size + int(offsets[hi] - offsets[lo]), hi
-        if n:
-            yield out()
-
-    return stored(rows.select("id", "text").mapInArrow(write, STORED), "manifest")
-
-
-def digests_of(manifest: DataFrame) -> DataFrame:
-    """(file, row, id, digest) of the stored rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                n = r["rows"]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, r["file"])), pa.array(np.arange(n)), pa.array(np.frombuffer(r["ids"], "<i8")), pa.array([r["digests"][k : k + 32] for k in range(0, 32 * n, 32)], pa.binary())], names=["file", "row", "id", "digest"])
-
-    return manifest.select("file", "rows", "ids", "digests").mapInArrow(run, "file long, row long, id long, digest binary")
-
-
 class File:
     """One stored file: ids, texts as bytes, and the chunks of the rows that are not copies."""
 
     def __init__(self, uri: str, copies: bytes | None):
-        import pyarrow.parquet as pq
-        from pyarrow.fs import FileSystem
-
-        fs, path = FileSystem.from_uri(uri)
-        table = pq.read_table(path, filesystem=fs, columns=["id", "text"], partitioning=None).combine_chunks()
-        self.ids = table["id"].to_numpy()
-        texts = table["text"]
-        texts = texts.cast(pa.large_string()).combine_chunks()
-        texts = texts if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks)
-        self.data, self.offsets = text_bytes(texts)
+        self.ids, self.data, self.offsets = read_texts(uri)
         self.copy = np.zeros(len(self.ids), bool)
         if copies:
             self.copy[np.frombuffer(copies, np.int64)] = True
@@ -340,38 +255,19 @@ class File:
         yield from by_bucket(self.anchor[self.first], buckets)
 
 
-BLOBS = "file long, bucket long, data binary"
-
-
-def _replies(rows: DataFrame) -> DataFrame:
-    """Each file's replies as one array."""
-    return rows.groupBy("file").agg(F.collect_list(F.struct("bucket", "data")).alias("replies"))
-
-
-#: Tasks of a pass over the files; beyond that a task works off several files in turn.
-MOST_TASKS = 50_000
-
-
 def _over_files(files: DataFrame, n_files: int, work, schema: str) -> DataFrame:
-    """work(file, uri, copies, replies) -> batches, for each file."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                yield from work(r["file"], File(r["uri"], r.get("copies")), {x["bucket"]: x["data"] for x in r.get("replies") or ()})
-
-    return files.repartition(max(1, min(n_files, MOST_TASKS))).mapInArrow(run, schema)
+    """work(file, texts and chunks, replies) -> batches, for each file."""
 
+    def whole(row: dict) -> Iterator[pa.RecordBatch]:
+        yield from work(row["file"], File(row["uri"], row.get("copies")), {x["bucket"]: x["data"] for x in row.get("replies") or ()})
 
-def _blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    file, bucket, data = zip(*rows) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(file, pa.int64()), pa.array(bucket, pa.int64()), pa.array(data, pa.binary())], names=["file", "bucket", "data"])
+    return over_files(files, n_files, whole, schema)
 
 
 def _send_anchors(buckets: int):
     def work(number: int, file: File, _: dict) -> Iterator[pa.RecordBatch]:
         file.chunks()
-        yield _blobs([(number, b, distinct.astype("<u8").tobytes()) for b, distinct, _ in file.anchors(buckets)])
+        yield blobs([(number, b, distinct.astype("<u8").tobytes()) for b, distinct, _ in file.anchors(buckets)])
 
     return work
 
@@ -385,7 +281,7 @@ def _send_chunks(buckets: int):
             end = np.cumsum(size)
             body = file.data[np.repeat(lo - (end - size), size) + np.arange(end[-1])]
             head = np.array([len(at)], "<i8").tobytes() + file.ids[file.row[at]].astype("<i8").tobytes() + file.content[at].astype("<u8").tobytes() + size.astype("<u2").tobytes()
-            yield _blobs([(number, b, head + body.tobytes())])
+            yield blobs([(number, b, head + body.tobytes())])
 
     return work
 
@@ -443,43 +339,9 @@ def _kept(rows: list[tuple[int, int, np.ndarray, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["id", "n_bytes", "spans", "kept"])
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
-    """(bucket, [(file, data)]) of rows that come sorted by bucket."""
-    now, held = None, []
-    for batch in batches:
-        for file, bucket, data in zip(*(batch.column(c).to_pylist() for c in ("file", "bucket", "data"))):
-            if bucket != now:
-                if held:
-                    yield now, held
-                now, held = bucket, []
-            held.append((file, data))
-    if held:
-        yield now, held
-
-
-def meet_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each file's minimizers, a bit each: other files have it too."""
-    for bucket, held in _by_bucket(batches):
-        parts = [np.frombuffer(x, "<u8") for _, x in held]
-        every = np.concatenate(parts)
-        many = np.zeros(len(every), bool)
-        # a part has all copies of its minimizers
-        n = max(1, -(-len(every) // PART_ANCHORS))
-        part_of = (mix(every) % np.uint64(n)).astype(np.int32) if n > 1 else np.zeros(len(every), np.int32)
-        for k in range(n):
-            mine = np.flatnonzero(part_of == k) if n > 1 else np.arange(len(every))
-            _, inverse, counts = np.unique(every[mine], return_inverse=True, return_counts=True)
-            many[mine] = (counts > 1)[inverse]
-        at, out = 0, []
-        for (file, _), part in zip(held, parts):
-            out.append((file, bucket, np.packbits(many[at : at + len(part)]).tobytes()))
-            at += len(part)
-        yield _blobs(out)
-
-
 def meet_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each file's chunks, a mask each: the windows that a smaller id has. Replies have the bucket as -1 - bucket."""
-    for bucket, held in _by_bucket(batches):
+    for bucket, held in rows_by_bucket(batches):
         ids, content, sizes, bodies = [], [], [], []
         for _, x in held:
             (n,) = np.frombuffer(x, "<i8", 1)
@@ -520,7 +382,7 @@ def meet_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (file, _), n in zip(held, counts):
             out.append((file, -1 - bucket, masks[at : at + n].astype("<u8").tobytes()))
             at += n
-        yield _blobs(out)
+        yield blobs(out)
 
 
 def _minimizer_of(body: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -562,12 +424,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies = later.groupBy("file").agg(F.collect_list("row").alias("rows")).mapInArrow(numbers, "file long, copies binary")
     files = stored(files.join(copies, "file", "left"), "files")
 
-    # buckets are as many as bytes ask for; a task works off several in turn where they are more than tasks
-    meet = lambda sent, how: sent.repartition(min(buckets, MOST_TASKS), "bucket").sortWithinPartitions("bucket", "file").mapInArrow(how, BLOBS)
-    told = stored(_replies(meet(_over_files(files, n, _send_anchors(buckets), BLOBS), meet_anchors)), "minimizers")
+    told = stored(replies_by_file(meet(_over_files(files, n, _send_anchors(buckets), BLOBS), buckets, meet_keys("<u8"))), "minimizers")
     known = files.join(told, "file", "left")
-    masks = meet(_over_files(known, n, _send_chunks(buckets), BLOBS), meet_chunks)
-    both = known.join(_replies(masks).withColumnRenamed("replies", "masks"), "file", "left")
+    masks = meet(_over_files(known, n, _send_chunks(buckets), BLOBS), buckets, meet_chunks)
+    both = known.join(replies_by_file(masks).withColumnRenamed("replies", "masks"), "file", "left")
     nothing = F.expr("cast(array() as array<struct<bucket:bigint,data:binary>>)")
     both = both.select("file", "uri", "copies", F.concat(F.coalesce("replies", nothing), F.coalesce("masks", nothing)).alias("replies"))
     done = _over_files(stored(both, "masks"), n, _finish(buckets), KEPT)
