@@ -5,21 +5,25 @@ the longest item and half of that apart, so that each item that occurs in a text
 scores are divided by the score that it gives itself, so one threshold holds for all.
 
 Passages are queried in arrays. The commonest terms, which cannot reach a set share of the threshold in any item together, are set
-aside; a passage whose other terms cannot make up the rest by their upper bounds is skipped. Of the
-others, blocks of items are bounded by their terms' block maxima, and only the items of blocks that may reach the threshold are
-scored, all of them. What scores enough is verified: enough of the item's question and of its answer (its last
+aside; a passage whose other terms cannot make up the rest by their upper bounds is skipped. The others go through block-max WAND, all of a slice in
+step: a cursor for each term walks its postings in order of items; cursors are sorted by item, and the pivot is the first at which the bounds of the terms so far reach
+the threshold. If the maxima of the blocks of postings that hold the pivot reach it too, the pivot is scored or the cursors before it move up to
+it; if not, all of them skip to the end of the shortest block or the next cursor's item. What scores enough is verified: enough of the item's question and of its answer (its last
 sentence) must be found in the passage as runs of three words.
 
-The index is broadcast in blocks of at most ITEMS_A_BLOCK items; a larger benchmark is worked off block by block.
+The index is built in blocks of at most ITEMS_A_BLOCK items and about BYTES_A_BLOCK bytes of text, weighted by frequencies and lengths over all items, and
+written to the shared folder. Documents are read once, whatever the number of blocks: a task holds the words of some texts and looks them up in block after block.
 
 Words are runs of letters and digits in lower case, so that marks and case don't hide a copy. Defined results: null or empty texts
-and items match nothing; a null doc_id stays null in the result; repeated rows match each; empty tables give no rows.
+and items match nothing; a null doc_id stays null in the result; repeated rows match each; very long texts are read whole, passage by passage; empty
+tables give no rows. leaks ignores extra columns and clean keeps them, whatever their names.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,11 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytesets import BYTE, LOWER_WIDE, PLAIN, mix, prefix_hashes, slices, span_hashes, text_bytes, words
-from .shared import stored, text_or_empty
+from .shared import KEPT, shared_dir, stored, text_or_empty
 
 ITEMS_A_BLOCK = 20_000
-GROUP = 16  # items of which one block maximum is kept, at least
-BLOCKS = 64  # at most
+BYTES_A_BLOCK = 32 << 20
+POSTINGS = 16  # of which one block maximum is kept
+GATHERED = 32 << 20  # bytes of texts that are looked up in a block of the index before the next one is loaded
 ASIDE = 0.5
 TABLE = BYTE[LOWER_WIDE]
 
@@ -77,9 +82,10 @@ class Index:
     begin: np.ndarray  # of each term's postings
     item: np.ndarray
     impact: np.ndarray
+    place: np.ndarray  # of each posting, term * number of items + item, which rises
     bound: np.ndarray  # of each term, its largest impact
-    group: int  # items of a block
-    block_bound: np.ndarray  # of each term, its largest impact in each block of items
+    block_end: np.ndarray  # of each block of postings, the place of its last one
+    block_bound: np.ndarray  # and its largest impact
     common: np.ndarray  # of each term, whether it is set aside
     aside: float  # what the terms set aside can add up to
     longest: int
@@ -113,9 +119,10 @@ class Index:
         impact /= np.bincount(item, impact, minlength=len(rows))[item]
         begin = np.searchsorted(term, np.arange(len(terms) + 1))
         bound = np.maximum.reduceat(impact, begin[:-1])
-        group = max(GROUP, -(-len(rows) // BLOCKS))
-        block_bound = np.zeros((len(terms), -(-len(rows) // group)), np.float32)
-        np.maximum.at(block_bound, (term, item // group), impact.astype(np.float32))
+        nth = np.arange(len(term)) - begin[term]
+        head = np.flatnonzero(nth % POSTINGS == 0)
+        place = term * len(rows) + item
+        block_end, block_bound = place[np.append(head[1:], len(term)) - 1], np.maximum.reduceat(impact, head)
         # set terms aside by falling document frequency while no item can gather ASIDE of the threshold from them
         gathered, common, aside = np.zeros(len(rows)), np.zeros(len(terms), bool), 0.0
         for t in np.argsort(-df, kind="stable"):
@@ -130,7 +137,7 @@ class Index:
         cut = [max(1, min(q - n + 1, len(g) - 1)) if len(g) > 1 else 1 for (_, _, q), g, n in zip(rows, every, runs)]
         questions = [np.unique(g[:c]) for g, c in zip(every, cut)]
         answers = [np.unique(g[c:] if c < len(g) else g) for g, c in zip(every, cut)]
-        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, bound, group, block_bound, common, aside, whole.longest, runs, questions, answers)
+        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, place, bound, block_end, block_bound, common, aside, whole.longest, runs, questions, answers)
 
     def filter_bits(self) -> np.ndarray:
         bits = np.zeros(1 << 18, bool)
@@ -146,30 +153,56 @@ def _expand(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return which, np.arange(len(which)) - np.repeat(after - size, size) + np.repeat(begin, size)
 
 
-def wand(index: Index, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(passage, item, score) of all pairs that reach the threshold, from distinct pairs of passage and term in order of passage."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    if not len(passage):
-        return none
-    head = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
-    # what the items of each block can score at most
-    bounds = np.add.reduceat(index.block_bound[term], head, axis=0)
-    where, block = np.nonzero(bounds >= threshold - 1e-5)
-    if not len(where):
-        return none
-    # full scores of all items in the blocks that may reach it
-    live = np.zeros(bounds.shape, bool)
-    live[where, block] = True
-    nth = np.repeat(np.arange(len(head)), np.diff(head, append=len(passage)))
-    some = live.any(axis=1)[nth]
-    nth, term = nth[some], term[some]
-    which, at = _expand(index.begin[term], index.begin[term + 1])
-    keep = live[nth[which], index.item[at] // index.group]
-    pair = nth[which][keep] * len(index.ids) + index.item[at][keep]
-    found, to = np.unique(pair, return_inverse=True)
-    score = np.bincount(to, index.impact[at][keep]) if len(found) else np.zeros(0)
-    ok = score >= threshold - 1e-9
-    return passage[head][found[ok] // len(index.ids)], found[ok] % len(index.ids), score[ok]
+def wand(index: Index, passage: np.ndarray, term: np.ndarray, threshold: float, read: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, item, score) of all pairs that reach the threshold, from distinct pairs of passage and term in order of passage.
+
+    read takes the number of postings that were scored.
+    """
+    n = len(index.ids)
+    enough, sure = threshold - 1e-9, threshold - 1e-6  # bounds are compared with some room, as sums differ in their last digits
+    at, found = index.begin[term].copy(), []
+    while len(passage):
+        item = index.item[at]
+        by = np.lexsort((item, passage))
+        passage, term, at, item = passage[by], term[by], at[by], item[by]
+        head = np.concatenate([[True], passage[1:] != passage[:-1]])
+        start, which = np.flatnonzero(head), np.cumsum(head) - 1
+        total = np.cumsum(index.bound[term])
+        reached = total - np.concatenate([[0.0], total])[start][which] >= sure
+        # the pivot of each passage: the first cursor by which the bounds reach the threshold
+        first = np.full(len(start), len(passage))
+        np.minimum.at(first, which[reached], np.flatnonzero(reached))
+        some = first < len(passage)
+        pivot = np.where(some, item[np.minimum(first, len(passage) - 1)], -1)
+        lead = item <= pivot[which]
+        block = np.searchsorted(index.block_end, term * n + pivot[which])
+        inside = lead & (block < len(index.block_end))
+        inside[inside] = index.block_end[block[inside]] // n == term[inside]
+        held = np.where(inside, block, 0)
+        most = np.bincount(which, np.where(inside, index.block_bound[held], 0.0), minlength=len(start))
+        worth = some & (most >= sure)
+        here = item[start] == pivot
+        # scored: the pivot's postings, where all cursors up to it are on it
+        score_now = worth & here
+        mine = lead & score_now[which]
+        if mine.any():
+            score = np.bincount(which[mine], index.impact[at[mine]], minlength=len(start))
+            ok = np.flatnonzero(score_now & (score >= enough))
+            found.append((passage[start[ok]], pivot[ok], score[ok]))
+            if read is not None:
+                read.append(int(mine.sum()))
+        # else the cursors go to the pivot, or beyond what no block maximum allows
+        ends = np.where(inside, index.block_end[held] % n + 1, n)
+        ends = np.where(lead, ends, item)
+        skip = np.minimum.reduceat(ends, start)
+        to = np.where(score_now, pivot + 1, np.where(worth, pivot, np.maximum(skip, pivot + 1)))
+        moving = lead & (item < to[which])
+        at[moving] = np.searchsorted(index.place, term[moving] * n + to[which][moving])
+        keep = some[which] & (at < index.begin[term + 1])
+        passage, term, at = passage[keep], term[keep], at[keep]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def search(index: Index, bits: np.ndarray, h: np.ndarray, first: np.ndarray, threshold: float, overlap: float) -> list[tuple]:
@@ -219,34 +252,87 @@ FOUND = "doc_id long, item_id long, start_word long, score double, question_over
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """A row for each pair of a text and a test item that it contains."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    out = None
-    for index in indices(benchmark, threshold, item_col, item_text_col):
-        found = _query(rows, index, threshold, overlap)
-        out = found if out is None else out.unionByName(found)
-    return docs.sparkSession.createDataFrame([], FOUND) if out is None else out
+    uris = written(indices(benchmark, threshold, item_col, item_text_col), docs)
 
+    def query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+        for batch, found in looked_up(batches, lambda b: b.column("text"), uris, threshold, overlap):
+            doc_ids = batch.column("doc_id").to_pylist()
+            columns = list(zip(*[(doc_ids[r], *rest) for r, *rest in found])) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in FOUND.split(", ")])
 
-def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.5, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of docs that contain no test item, with all their columns; each is judged where it is read."""
-    for index in indices(benchmark, threshold, item_col, item_text_col):
-        docs = _without(docs, index, threshold, overlap, text_col)
-    return docs
+    return rows.mapInArrow(query, FOUND) if uris else docs.sparkSession.createDataFrame([], FOUND)
 
 
-def _without(docs: DataFrame, index: Index, threshold: float, overlap: float, text_col: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap: float = 0.5, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of docs that contain no test item, with all their columns; each is judged where it is read."""
+    uris = written(indices(benchmark, threshold, item_col, item_text_col), docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, bits = shared.value, shared.value.filter_bits()
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(text_col).fill_null(""))
+        for batch, found in looked_up(batches, lambda b: b.column("doc").field(text_col), uris, threshold, overlap):
             keep = np.ones(batch.num_rows, bool)
-            for lo, hi in slices(offsets):
-                h, first = hashed_words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                keep[[lo + r for r, *_ in search(index, bits, h, first, threshold, overlap)]] = False
+            keep[[r for r, *_ in found]] = False
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    whole = docs.select(F.struct("*").alias("doc"))
+    return whole.mapInArrow(run, whole.schema).select("doc.*") if uris else docs
+
+
+def written(blocks: Iterator[Index], docs: DataFrame) -> list[str]:
+    """The blocks of the index as files in the shared folder."""
+    from pyarrow.fs import FileSystem
+
+    folder, uris = shared_dir(docs.sparkSession, "index"), []
+    for index in blocks:
+        fs, path = FileSystem.from_uri(folder)
+        fs.create_dir(path, recursive=True)
+        with fs.open_output_stream(f"{path}/{len(uris)}") as out:
+            out.write(pickle.dumps(index, protocol=5))
+        uris.append(f"{folder}/{len(uris)}")
+    return uris
+
+
+#: The block of the index that was loaded last.
+_loaded: dict[str, tuple] = {}
+KEPT.append(_loaded)
+
+
+def load(uri: str) -> tuple[Index, np.ndarray]:
+    if uri not in _loaded:
+        from pyarrow.fs import FileSystem
+
+        fs, path = FileSystem.from_uri(uri)
+        with fs.open_input_stream(path) as file:
+            index = pickle.loads(file.read())
+        _loaded.clear()
+        _loaded[uri] = index, index.filter_bits()
+    return _loaded[uri]
+
+
+def looked_up(batches: Iterator[pa.RecordBatch], text_of: Callable[[pa.RecordBatch], pa.Array], uris: list[str], threshold: float, overlap: float) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
+    """(batch, [(row, item, start word, score, question overlap, answer overlap)]) of all batches, by all blocks of the index."""
+    held: list[tuple] = []
+
+    def out() -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
+        found: list[list[tuple]] = [[] for _ in held]
+        for uri in uris:
+            index, bits = load(uri)
+            for k, (_, parts) in enumerate(held):
+                for lo, h, first in parts:
+                    found[k] += [(lo + r, int(index.ids[i]), *rest) for r, i, *rest in search(index, bits, h, first, threshold, overlap)]
+        yield from zip([batch for batch, _ in held], found)
+        held.clear()
+
+    size = 0
+    for batch in batches:
+        data, offsets = text_bytes(text_of(batch).fill_null(""))
+        parts = [(lo, *hashed_words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])) for lo, hi in slices(offsets)]
+        held.append((batch, parts))
+        size += len(data)
+        if len(uris) == 1 or size >= GATHERED:
+            yield from out()
+            size = 0
+    yield from out()
 
 
 WORDS = "term long, words long"
@@ -268,41 +354,28 @@ def _words(items: DataFrame) -> DataFrame:
 
 
 def indices(benchmark: DataFrame, threshold: float, item_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
-    """The index of each block of items, by document frequencies and lengths over all items."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), text_or_empty(text_col).alias("text")).orderBy("item", "text")
-    n = items.count()
-    several = n > ITEMS_A_BLOCK
-    if several:
+    """The index of each block of items, by document frequencies and lengths over all items. Items are dealt to blocks by hash, and stored by block."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), text_or_empty(text_col).alias("text"))
+    n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n_blocks = max(-(-n // ITEMS_A_BLOCK), -(-size // BYTES_A_BLOCK))
+    if n_blocks <= 1:
+        blocks, several = [items] if n else [], False
+    else:
+        spark, path = benchmark.sparkSession, shared_dir(benchmark.sparkSession, "items")
+        items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)).cast("int")).write.partitionBy("block").parquet(path)
+        items = spark.read.schema("item long, text string, block int").parquet(path)
+        blocks, several = [items.where(F.col("block") == k).select("item", "text") for k in range(n_blocks)], True
         words = stored(_words(items), "words")
         count, mean, longest = words.where("words is not null").agg(F.count("words"), F.avg("words"), F.max("words")).first()
         df = words.where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    for lo in range(0, n, ITEMS_A_BLOCK):
-        block = items.offset(lo).limit(ITEMS_A_BLOCK)
+    for block in blocks:
         whole = None
         if several and count:
             own = df.join(_words(block).select("term").where("term is not null").distinct(), "term").toPandas()
             terms = own["term"].to_numpy(np.int64).view(np.uint64)
             at = np.argsort(terms)
             whole = Whole(count, mean, longest, terms[at], own["df"].to_numpy(np.int64)[at])
-        block = block.collect()
-        index = Index.build([r["item"] for r in block], [r["text"] for r in block], threshold, whole=whole)
+        rows = block.orderBy("item", "text").collect()
+        index = Index.build([r["item"] for r in rows], [r["text"] for r in rows], threshold, whole=whole)
         if index is not None:
             yield index
-
-
-def _query(rows: DataFrame, index: Index, threshold: float, overlap: float) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(index)
-
-    def query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, bits = shared.value, shared.value.filter_bits()
-        for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            doc_ids, found = batch.column("doc_id").to_pylist(), []
-            for lo, hi in slices(offsets):
-                h, first = hashed_words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                found += [(doc_ids[lo + r], index.ids[i], w, s, q, a) for r, i, w, s, q, a in search(index, bits, h, first, threshold, overlap)]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
-            columns = list(zip(*found)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in FOUND.split(", ")])
-
-    return rows.mapInArrow(query, FOUND)

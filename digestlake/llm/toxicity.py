@@ -42,8 +42,11 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), first
     codes = (span_hashes(prefix_hashes(data, TABLE), starts, ends) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
     lowered = np.where(PLAIN[data], LOWER_WIDE[data], 0).astype(np.uint8)
-    padded = np.concatenate([[0], lowered, [0]]).astype(np.uint8)
-    mixed = _TRIPLE[0][padded[:-2]] + _TRIPLE[1][lowered] + _TRIPLE[2][padded[2:]]
+    before, after = np.concatenate([[0], lowered[:-1]]).astype(np.uint8), np.concatenate([lowered[1:], [0]]).astype(np.uint8)
+    # triples end where a row does
+    some = offsets[1:] > offsets[:-1]
+    before[offsets[:-1][some]] = after[offsets[1:][some] - 1] = 0
+    mixed = _TRIPLE[0][before] + _TRIPLE[1][lowered] + _TRIPLE[2][after]
     mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
     sizes = ends - starts
     begin = np.cumsum(sizes) - sizes
@@ -341,12 +344,14 @@ def clean(docs: DataFrame, network: Network | None, share: float, threshold: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(text_col).fill_null(""))
+            rows = batch.column("doc")
+            data, offsets = text_bytes(rows.field(text_col).fill_null(""))
             logits = [shared.value.score(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in slices(offsets)]
             scores = _sigmoid(np.concatenate([np.zeros(0, np.float32), *logits]).astype(np.float64))
             yield batch.filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    whole = docs.select(F.struct("*").alias("doc"))
+    return whole.mapInArrow(run, whole.schema).select("doc.*")
 
 
 def judge(docs: DataFrame, labels: DataFrame, **sample) -> DataFrame:
