@@ -6,7 +6,7 @@ scores are divided by the score that it gives itself, so one threshold holds for
 
 Passages are queried in arrays. The commonest terms, which cannot reach a set share of the threshold in any item together, are set
 aside; a passage whose other terms cannot make up the rest by their upper bounds is skipped. The others go through block-max WAND, all of a slice in
-step: a cursor for each term walks its postings in order of items; cursors are sorted by item, and the pivot is the first at which the bounds of the terms so far reach
+step: passages whose bounds reach the threshold in no range of items go first; then a cursor for each term walks its postings in order of items; cursors are sorted by item, and the pivot is the first at which the bounds of the terms so far reach
 the threshold. If the maxima of the blocks of postings that hold the pivot reach it too, the pivot is scored or the cursors before it move up to
 it; if not, all of them skip to the end of the shortest block or the next cursor's item. What scores enough is verified: enough of the item's question and of its answer (its last
 sentence) must be found in the passage as runs of three words.
@@ -37,6 +37,7 @@ from .shared import KEPT, shared_dir, stored, text_or_empty
 ITEMS_A_BLOCK = 20_000
 BYTES_A_BLOCK = 32 << 20
 POSTINGS = 16  # of which one block maximum is kept
+RANGES = 64  # of items, of which each term's maximum is kept
 GATHERED = 32 << 20  # bytes of texts that are looked up in a block of the index before the next one is loaded
 ASIDE = 0.5
 TABLE = BYTE[LOWER_WIDE]
@@ -86,6 +87,7 @@ class Index:
     bound: np.ndarray  # of each term, its largest impact
     block_end: np.ndarray  # of each block of postings, the place of its last one
     block_bound: np.ndarray  # and its largest impact
+    range_bound: np.ndarray  # of each term, its largest impact in each range of items
     common: np.ndarray  # of each term, whether it is set aside
     aside: float  # what the terms set aside can add up to
     longest: int
@@ -123,6 +125,9 @@ class Index:
         head = np.flatnonzero(nth % POSTINGS == 0)
         place = term * len(rows) + item
         block_end, block_bound = place[np.append(head[1:], len(term)) - 1], np.maximum.reduceat(impact, head)
+        wide = -(-len(rows) // RANGES)
+        range_bound = np.zeros((len(terms), -(-len(rows) // wide)), np.float32)
+        np.maximum.at(range_bound, (term, item // wide), impact.astype(np.float32))
         # set terms aside by falling document frequency while no item can gather ASIDE of the threshold from them
         gathered, common, aside = np.zeros(len(rows)), np.zeros(len(terms), bool), 0.0
         for t in np.argsort(-df, kind="stable"):
@@ -137,7 +142,7 @@ class Index:
         cut = [max(1, min(q - n + 1, len(g) - 1)) if len(g) > 1 else 1 for (_, _, q), g, n in zip(rows, every, runs)]
         questions = [np.unique(g[:c]) for g, c in zip(every, cut)]
         answers = [np.unique(g[c:] if c < len(g) else g) for g, c in zip(every, cut)]
-        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, place, bound, block_end, block_bound, common, aside, whole.longest, runs, questions, answers)
+        return cls(np.array([i for i, _, _ in rows]), terms, begin, item, impact, place, bound, block_end, block_bound, range_bound, common, aside, whole.longest, runs, questions, answers)
 
     def filter_bits(self) -> np.ndarray:
         bits = np.zeros(1 << 18, bool)
@@ -160,6 +165,12 @@ def wand(index: Index, passage: np.ndarray, term: np.ndarray, threshold: float,
     """
     n = len(index.ids)
     enough, sure = threshold - 1e-9, threshold - 1e-6  # bounds are compared with some room, as sums differ in their last digits
+    if len(passage):
+        # passages that reach it in no range of items are done with
+        heads = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
+        live = (np.add.reduceat(index.range_bound[term], heads, axis=0) >= threshold - 1e-5).any(axis=1)
+        keep = np.repeat(live, np.diff(heads, append=len(passage)))
+        passage, term = passage[keep], term[keep]
     at, found = index.begin[term].copy(), []
     while len(passage):
         item = index.item[at]
