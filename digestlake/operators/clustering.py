@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from digestlake.functions import patterns as P
@@ -71,6 +71,27 @@ def entity_counts(posts: DataFrame, cluster: str = "cluster", most: int = 10) ->
     return ranking.top_per_group(counts, [cluster], [F.desc("n"), F.asc("entity")], most)
 
 
+def by_size(posts: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """(rank, cluster, n) of the clusters, the largest first; there are as many rows as clusters."""
+    sizes = posts.where(F.col(cluster) != -1).groupBy(cluster).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), cluster)))
+
+
+def embedded(posts: DataFrame, points: DataFrame, key: str = "vec_id", vector: str = "embedding", cluster: str = "cluster") -> DataFrame:
+    """posts with their vector and cluster, by id."""
+    return posts.join(points.select(F.col(key).cast("string").alias("id"), vector, cluster), "id")
+
+
+def encoded(posts: DataFrame, encode, text: str = "text", vector: str = "embedding") -> DataFrame:
+    """posts with the vectors that encode gives for their texts: a function from a list of texts to a list of vectors, which is called for each Arrow batch."""
+
+    @F.pandas_udf("array<float>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([[float(x) for x in v] for v in encode(texts.fillna("").tolist())])
+
+    return posts.withColumn(vector, run(F.col(text)))
+
+
 def centroids(points: DataFrame, vector: str = "embedding", cluster: str = "cluster") -> DataFrame:
     """(cluster, centroid): the mean vector at length one. Means are aggregated by place before the shuffle."""
     means = points.where(F.col(cluster) != -1).select(cluster, F.posexplode(vector).alias("at", "x")).groupBy(cluster, "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
@@ -94,6 +115,12 @@ def soft_assign(points: DataFrame, centers: DataFrame, key: str = "vec_id", vect
     return rows.select(key, cluster, F.when(F.col(cluster) == -1, nobody).otherwise(best.cast("array<int>")).alias("secondary"))
 
 
+def _block_pairs(left: DataFrame, right: DataFrame, n_blocks: int) -> DataFrame:
+    """Every block of left with every block of right, which go to the pairs' tasks by shuffle: no side is broadcast."""
+    asked = left.withColumn("b2", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+    return asked.hint("merge").join(right.withColumnRenamed("b", "b2").withColumn("b2", F.col("b2").cast("long")), "b2")
+
+
 def silhouette(points: DataFrame, key: str = "vec_id", vector: str = "embedding", cluster: str = "cluster", block: int = 256) -> DataFrame:
     """One row with the mean silhouette by Euclidean distance, noise left out, null for fewer than two clusters.
 
@@ -103,7 +130,7 @@ def silhouette(points: DataFrame, key: str = "vec_id", vector: str = "embedding"
     some = points.where(F.col(cluster) != -1).select(F.col(key).alias("k"), F.col(cluster).cast("int").alias("c"), F.col(vector).cast("array<double>").alias("v"))
     n_blocks = max(1, some.count() // block)
     blocks = some.groupBy(F.pmod(F.xxhash64("k"), F.lit(n_blocks)).alias("b")).agg(F.collect_list("k").alias("k"), F.collect_list("c").alias("c"), F.collect_list("v").alias("v"))
-    pairs = blocks.join(F.broadcast(blocks.select(F.col("c").alias("c2"), F.col("v").alias("v2"))), F.lit(True), "cross")
+    pairs = _block_pairs(blocks, blocks.select("b", F.col("c").alias("c2"), F.col("v").alias("v2")), n_blocks)
 
     def sums(frames):
         for frame in frames:
@@ -307,7 +334,7 @@ def spanning_edges(rows: DataFrame, n: int, least_samples: int, block: int) -> D
                 least = np.sort(np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k], axis=1)
                 yield pd.DataFrame({"i": [r["i"] for r in p], "d": list(least)})
 
-    two = blocks.join(blocks.select(F.col("b").alias("b2"), F.col("p").alias("p2")), F.lit(True), "cross").repartition("b", "b2")
+    two = _block_pairs(blocks, blocks.select("b", F.col("p").alias("p2")), n_blocks).repartition("b", "b2")
     cores = two.select("p", "p2").mapInPandas(nearest, "i long, d array<double>").groupBy("i").agg(F.array_sort(F.flatten(F.collect_list("d")))[k - 1].alias("core"))
     ready = rows.join(cores, "i").groupBy(F.pmod(F.xxhash64("i"), F.lit(n_blocks)).alias("b")).agg(F.collect_list(F.struct("i", "v", "core")).alias("p")).persist()
 
@@ -325,7 +352,7 @@ def spanning_edges(rows: DataFrame, n: int, least_samples: int, block: int) -> D
     def merged(frame: pd.DataFrame) -> pd.DataFrame:
         return frame.iloc[shortest_forest(*(frame[c].to_numpy() for c in ("w", "u", "v")))]
 
-    pairs = ready.join(ready.select(F.col("b").alias("b2"), F.col("p").alias("p2")), F.col("b") <= F.col("b2")).repartition("b", "b2")
+    pairs = _block_pairs(ready, ready.select("b", F.col("p").alias("p2")), n_blocks).where("b <= b2").repartition("b", "b2")
     edges = pairs.select("b", "b2", "p", "p2").mapInPandas(forests, "w double, u long, v long, b long, b2 long")
     # each round halves the blocks on both sides, so no task reads more than four forests
     while n_blocks > 1:

@@ -35,6 +35,12 @@ def originals(posts: DataFrame) -> DataFrame:
     return posts.where(~F.coalesce("is_retweet", F.lit(False)))
 
 
+def enough(posts: DataFrame, least: int = 20) -> DataFrame:
+    """All posts, or none where they are fewer than a clustering takes. The count is one row joined on."""
+    one = posts.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select(F.lit(True).alias("_enough"))
+    return posts.crossJoin(F.broadcast(one)).drop("_enough")
+
+
 def search(posts: DataFrame, least_likes: int = 0, links: bool = False, account: str | None = None, replies: bool = True) -> DataFrame:
     """What remote search operators select: min_faves, filter:links, from and -filter:replies."""
     out = posts.where(F.col("likes") >= least_likes)

@@ -18,3 +18,11 @@ def top(rows: DataFrame, order: list[Column], most: int) -> DataFrame:
 def numbered(rows: DataFrame, order: list[Column], most: int, name: str = "rn") -> DataFrame:
     """The first rows with their number; no more than most rows reach the one task that numbers them."""
     return top(rows, order, most).withColumn(name, F.row_number().over(Window.orderBy(*order)))
+
+
+def ranked(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """All rows with their number, by a range sort: a row's number is its place in its partition and the rows of the partitions before. No task sees all rows."""
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_nth", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).persist()
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_nth") + 1).drop("_part", "_nth", "_before")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from digestlake.functions import scores as S
 from digestlake.functions import text as T
 
+from . import ranking
+
 
 def corroboration(posts: DataFrame) -> DataFrame:
     """(entity, users): how many accounts name each lower-cased entity; an unknown account counts as one."""
@@ -35,8 +37,8 @@ def kept(posts: DataFrame, most_promo: float = 0.4, least_news: float = 0.0) ->
 
 
 def ranked(posts: DataFrame) -> DataFrame:
-    """posts with rank, best first, ties in order of arrival. A report of the whole result: the sort is a range sort."""
-    return posts.withColumn("composite", F.col("news_score") - 0.5 * F.col("promo_score")).orderBy(F.desc("composite"), "_ord")
+    """posts with composite and rank, best first, ties in order of arrival."""
+    return ranking.ranked(posts.withColumn("composite", F.round(F.col("news_score") - 0.5 * F.col("promo_score"), 6)), [F.desc("composite"), F.asc("_ord")])
 
 
 def counters(posts: DataFrame, most_promo: float = 0.4, least_news: float = 0.0) -> DataFrame:

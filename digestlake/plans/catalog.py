@@ -12,8 +12,8 @@ from digestlake.functions import scores as S
 from digestlake.functions import text as T
 from digestlake.functions import vectors as V
 from digestlake.operators import clustering, momentum, posts, ranking, render, scoring
+from digestlake.sources import pages, sinks
 from digestlake.sources import posts as source
-from digestlake.sources import sinks
 
 from . import oracle
 from .pipeline import Settings, by_topic, digest, filtered, stories, topic_prompts
@@ -167,6 +167,11 @@ def filter_score(p):
     return rows.select("id", "promo_score", "news_score", F.round(F.col("news_score") - 0.5 * F.col("promo_score"), 6).alias("composite"))
 
 
+@_query
+def ranked_posts(p):
+    return scoring.ranked(filtered(p, SETTINGS)).select("rank", "id", "composite")
+
+
 @_query
 def strict_filter(p):
     return filtered(p, STRICT).select("id", "promo_score", "news_score")
@@ -300,6 +305,58 @@ def cluster_prompt(p):
     return render.prompts(rows, "cluster", F.concat(F.lit("# Cluster "), F.col("cluster").cast("string"), F.lit(": topic")))
 
 
+@_query
+def clusters_by_size(p):
+    return clustering.by_size(_clustered(p)).select(F.col("rank").cast("bigint").alias("rank"), "cluster", "n")
+
+
+@_query
+def corpus_guard(p):
+    """All posts, and too few of them."""
+    own = posts.originals(p)
+    few = ranking.top(own, [F.desc("likes"), F.asc("_ord")], 19)
+    return posts.enough(own).select("id", F.lit("all").alias("of")).unionByName(posts.enough(few).select("id", F.lit("few").alias("of")))
+
+
+@_query
+def hybrid_files(p):
+    return clustering.label_words(_clustered(p)).where("cluster <> -1").select("cluster", F.concat(render.file_label(F.col("cluster"), F.col("label"), hybrid=True), F.lit(".txt")).alias("file"))
+
+
+@_query
+def viral_prompt(p):
+    viral = ranking.numbered(_clustered(p).where("cluster = -1 and likes >= 5000"), [F.desc("likes"), F.asc("_ord")], 20)
+    return render.highlights(viral)
+
+
+@_query
+def noise_prompt(p):
+    notable = ranking.numbered(_clustered(p).where("cluster = -1 and likes >= 1000"), [F.desc("likes"), F.asc("_ord")], 50)
+    return render.prompts(notable, "cluster", F.lit("# Cluster -1: uncategorized (noise)")).select("n", "prompt")
+
+
+@_query
+def views_cast(p):
+    said = F.when(F.col("likes") % 3 == 0, F.lit(None)).when(F.col("likes") % 3 == 1, F.col("likes").cast("string")).otherwise(F.concat(F.col("likes").cast("string"), F.lit("k")))
+    return p.select("id", T.views(said).alias("views"))
+
+
+def _with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.embedded(source.view(spark, sf_dir), _points(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
+def cluster_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_vectors(spark, sf_dir).select("id", "cluster", "screen_name", "likes", F.round(V.norm(F.col("embedding")), 4).alias("length"))
+
+
+def vector_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ranking.top_per_group(posts.originals(_with_vectors(spark, sf_dir)).where("cluster <> -1"), ["cluster"], [F.desc("likes"), F.asc("_ord")], 100)
+    return render.prompts(rows, "cluster", F.concat(F.lit("# Cluster "), F.col("cluster").cast("string"), F.lit(": vectors")))
+
+
+_QUERIES |= {"cluster_vectors": cluster_vectors, "vector_prompts": vector_prompts}
+
+
 @_query
 def noise_viral(p):
     rows = _clustered(p).where("cluster = -1")
@@ -361,7 +418,7 @@ def quality_gate(e):
 
 @_table("embeddings")
 def kmeans(e):
-    return clustering.kmeans(e.select("vec_id", "embedding"), k=10, runs=3).select("vec_id", "cluster")
+    return clustering.kmeans(e.select("vec_id", "embedding")).select("vec_id", "cluster")
 
 
 @_table("embeddings")
@@ -371,7 +428,7 @@ def hdbscan(e):
 
 @_table("embeddings")
 def pca(e):
-    return clustering.reduced(e.select("vec_id", "embedding")).select("vec_id", F.size("reduced").alias("dims"))
+    return clustering.reduced(e.select("vec_id", "embedding")).select("vec_id", F.transform("reduced", lambda x: F.round(x, 6)).alias("reduced"))
 
 
 @_table("embeddings")
@@ -380,6 +437,49 @@ def hybrid_vector(e):
     return e.select("vec_id", F.size(v).cast("bigint").alias("dims"), F.round(V.norm(v), 6).alias("length"), F.round(V.dot(F.slice(v, 1, 64), F.col("embedding")), 5).alias("along"))
 
 
+# -- captured pages -------------------------------------------------------------------------------
+
+
+def _captured(p: DataFrame, search: bool = False) -> DataFrame:
+    """(page, text): pages of 25 posts as they are captured; some results are wrapped, names are in either place, and other entries are among them."""
+    at = "if(_ord % 2 = 0, screen_name, null)"
+    tweet = f"""to_json(named_struct('__typename', 'Tweet', 'rest_id', id, 'legacy', named_struct('id_str', id, 'full_text', text, 'created_at', created_at, 'favorite_count', likes),
+      'core', named_struct('user_results', named_struct('result', named_struct('core', named_struct('name', {at}, 'screen_name', {at}), 'legacy', named_struct('screen_name', screen_name, 'followers_count', followers), 'is_blue_verified', verified)))))"""
+    wrapped = """concat(if(_ord % 5 = 0, '{"__typename":"TweetWithVisibilityResults","tweet":', ''), tweet, if(_ord % 5 = 0, '}', ''))"""
+    content = """concat('{"itemContent":{"tweet_results":{"result":', result, '}}}')"""
+    rows = p.selectExpr("_ord", "id", "_ord div 25 as page", f"{tweet} as tweet").selectExpr("*", f"{wrapped} as result").selectExpr("*", f"{content} as content")
+    listed = lambda condition, entry: f"array_join(transform(array_sort(collect_list(if({condition}, struct(_ord, {entry} as e), null))), x -> x.e), ',')"
+    entry = """concat('{"entryId":"', if(_ord % 10 = 3, 'promoted-', 'tweet-'), id, '","content":', content, '}')"""
+    item = """concat('{"entryId":"tweet-', id, '","item":', content, '}')"""
+    end = """concat('{"entryId":"cursor-bottom-', page, '","content":{"value":"next-', page, '"}}')"""
+    grouped = rows.groupBy("page").agg(F.expr(listed("_ord % 4 <> 1" if search else "true", entry)).alias("entries"), F.expr(listed("_ord % 4 = 1", item)).alias("items"))
+    added = f"""concat('{{"type":"TimelineAddEntries","entries":[', entries, if(entries = '', '', ','), {end}, ']}}')"""
+    if not search:
+        return grouped.selectExpr("page", f"""concat('{{"data":{{"home":{{"home_timeline_urt":{{"instructions":[', {added}, ']}}}}}}}}') as text""")
+    module = """concat('{"type":"TimelineAddToModule","moduleItems":[', items, ']}')"""
+    return grouped.selectExpr("page", f"""concat('{{"data":{{"search_by_raw_query":{{"search_timeline":{{"timeline":{{"instructions":[', {added}, ',', {module}, ']}}}}}}}}}}') as text""")
+
+
+def _page_posts(p: DataFrame, search: bool) -> DataFrame:
+    nested = pages.posts(pages.entries(pages.parse(_captured(p, search))), "captured")
+    return source.flat(nested).select("id", "text", "created_at", "screen_name", "verified", "followers", "likes", "_query")
+
+
+@_query
+def timeline_posts(p):
+    return _page_posts(p, False)
+
+
+@_query
+def search_posts(p):
+    return _page_posts(p, True)
+
+
+@_query
+def page_cursors(p):
+    return pages.cursors(pages.entries(pages.parse(_captured(p))))
+
+
 # -- documents ------------------------------------------------------------------------------------
 
 
@@ -423,4 +523,4 @@ def spoken_script(p):
 
 @_query
 def payloads(p):
-    return p.select("id", sinks.slack_payload("text", "Digest").alias("slack"), sinks.discord_payload("text", "Digest").alias("discord"), sinks.webhook_payload("text", "Digest").alias("webhook"))
+    return p.select("id", sinks.slack_payload("text", "Digest").alias("slack"), sinks.discord_payload("text", "Digest").alias("discord"), sinks.webhook_payload("text", "Digest").alias("webhook"), sinks.audio_payload("text", "Digest").alias("audio"))

@@ -258,5 +258,51 @@ def queries() -> dict[str, str]:
         "truncate": "SELECT doc_id, " + ", ".join(f"CASE WHEN length(text) <= {n} THEN text ELSE substr(text, 1, {n - 50}) || chr(10) || chr(10) || '... (truncated)' END AS {name}" for name, n in (("slack", 3500), ("discord", 1900))) + " FROM documents",
         "sanitize": r"SELECT doc_id, regexp_replace(replace(text, '. ', repeat(chr(10), 4)), '\n{3,}', chr(10) || chr(10), 'g') AS clean FROM documents",
         "chunk_3500": "SELECT doc_id, n, k AS of, '(' || n || '/' || k || ') ' || substr(text, (n - 1) * 3500 + 1, 3500) AS chunk FROM (SELECT doc_id, text, CAST(ceil(length(text) / 3500.0) AS BIGINT) AS k, unnest(range(1, CAST(ceil(length(text) / 3500.0) AS BIGINT) + 1)) AS n FROM documents)",
+        "ranked_posts": _with(["kept"], "SELECT row_number() OVER (ORDER BY composite DESC, _ord) AS rank, id, composite FROM (SELECT *, round(news_score - 0.5::DOUBLE * promo_score, 6) AS composite FROM kept)"),
+        "clusters_by_size": _with(["clustered"], "SELECT row_number() OVER (ORDER BY count(*) DESC, cluster) AS rank, CAST(cluster AS INTEGER) AS cluster, count(*) AS n FROM clustered WHERE cluster <> -1 GROUP BY cluster"),
+        "corpus_guard": _with(["own"], "SELECT id, 'all' AS of FROM own WHERE (SELECT count(*) FROM own) >= 20"),
+        "hybrid_files": _with(["labelled"], r"SELECT CAST(cluster AS INTEGER) AS cluster, 'cluster_' || lpad(CAST(cluster AS VARCHAR), 2, '0') || '_' || substr(regexp_replace(regexp_replace(label, '[^\p{L}\p{N}_\s-]', '', 'g'), '\s+', '_', 'g'), 1, 40) || '.txt' AS file FROM labelled WHERE cluster <> -1"),
+        "viral_prompt": _with(["clustered"], _alone("# Viral Highlights\n# High-engagement tweets that didn't fit into topic clusters", "These are standalone viral tweets - unique content that resonated but doesn't\nbelong to a trending topic or narrative. Worth including in the digest."), best="SELECT *, row_number() OVER (ORDER BY likes DESC, _ord) AS rn FROM clustered WHERE cluster = -1 AND likes >= 5000 QUALIFY rn <= 20"),
+        "noise_prompt": _with(["clustered"], _alone("# Cluster -1: uncategorized (noise)", _ASK), best="SELECT *, row_number() OVER (ORDER BY likes DESC, _ord) AS rn FROM clustered WHERE cluster = -1 AND likes >= 1000 QUALIFY rn <= 50"),
+        "views_cast": _with(["posts"], "SELECT id, CASE WHEN likes % 3 = 1 THEN likes ELSE 0 END AS views FROM posts"),
+        "cluster_vectors": _with(["posts"], "SELECT id, label AS cluster, screen_name, likes, round(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 4) AS length FROM posts JOIN embeddings ON id = CAST(vec_id AS VARCHAR)"),
+        "vector_prompts": _with(["own"], _prompt("best", "cluster", "'# Cluster ' || cluster || ': vectors'"), best="SELECT own.*, label AS cluster, row_number() OVER (PARTITION BY label ORDER BY likes DESC, _ord) AS rn FROM own JOIN embeddings ON id = CAST(vec_id AS VARCHAR) WHERE label <> -1 QUALIFY rn <= 100"),
+        "timeline_posts": _with(["posts"], "SELECT id, text, created_at, screen_name, verified, followers, likes, 'captured' AS _query FROM posts WHERE _ord % 10 <> 3"),
+        "search_posts": _with(["posts"], "SELECT id, text, created_at, screen_name, verified, followers, likes, 'captured' AS _query FROM posts WHERE _ord % 10 <> 3 OR _ord % 4 = 1"),
+        "page_cursors": _with(["posts"], "SELECT DISTINCT _ord // 25 AS page, 'next-' || (_ord // 25) AS cursor FROM posts"),
+        "payloads": _with(["posts"], _payloads()),
+        "batches": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(i AS BIGINT) AS n, parts[i] AS chunk FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split(list_reduce(string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)), lambda a, x: CASE WHEN length(string_split(a, chr(30))[-1]) + length(x) + 4 <= 4000 THEN a || chr(10) || chr(10) || x ELSE a || chr(30) || x END), chr(30)) AS parts FROM documents))",
+        "chunks": _chunks(),
     }
     return out
+
+
+_ASK = "Summarize the key narratives, stories, and sentiment in these tweets.\nInclude specific examples with @handles and tweet IDs for sourcing.\nFocus on: What's happening? Why does it matter? What's the sentiment?"
+
+
+def _alone(head: str, ask: str) -> str:
+    line = "'[' || rn || '] @' || screen_name || ' (' || format('{:,}', likes) || ' likes)' || chr(10) || 'ID: ' || id || chr(10) || 'Text: ' || substr(replace(text, chr(10), ' '), 1, 500) || chr(10)"
+    return f"SELECT count(*) AS n, {q(head)} || chr(10) || '# Tweet count: ' || count(*) || chr(10) || chr(10) || {q(ask)} || chr(10) || chr(10) || '---' || chr(10) || chr(10) || string_agg({line}, chr(10) ORDER BY rn) AS prompt FROM best HAVING count(*) > 0"
+
+
+def _payloads() -> str:
+    """JSON texts put together by hand; to_json gives the quoted strings."""
+    cut = lambda t, n: f"CASE WHEN length({t}) <= {n} THEN {t} ELSE substr({t}, 1, {n - 50}) || chr(10) || chr(10) || '... (truncated)' END"
+    quoted = lambda t: f"CAST(to_json({t}) AS VARCHAR)"
+    clean = lambda t: f"regexp_replace({t}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+    link = r"regexp_replace(text, '\[([^\]]+)\]\((https://[^)]+)\)', '<\2|\1>', 'g')"
+    slack = f"""'{{"blocks": [{{"type": "header", "text": {{"type": "plain_text", "text": "Digest", "emoji": true}}}}, {{"type": "section", "text": {{"type":"mrkdwn","text":' || {quoted(cut('linked', 3500))} || '}}}}]}}'"""
+    discord = f"""'{{"embeds":[{{"title":"Digest","description":' || {quoted(clean('(' + cut('text', 1900) + ')'))} || ',"color":1942002}}]}}'"""
+    webhook = f"""'{{"title":"Digest","content":' || {quoted(cut('text', 2000))} || '}}'"""
+    audio = f"""'{{"embeds":[{{"title":"Digest","description":' || {quoted(clean("(CASE WHEN length(text) > 300 THEN substr(text, 1, 300) || '...' ELSE text END)"))} || ',"color":1942002,"footer":{{"text":"Audio briefing attached below"}}}}]}}'"""
+    return f"SELECT id, {slack} AS slack, {discord} AS discord, {webhook} AS webhook, {audio} AS audio FROM (SELECT *, {link} AS linked FROM posts)"
+
+
+def _chunks() -> str:
+    """Units carry what joins them before their text: a space for sentences, a blank line for paragraphs. chr(30) ends a chunk, chr(31) a unit, chr(29) stands for the blank line."""
+    units = "string_split(list_aggregate(list_transform(string_split(text, chr(10) || chr(10)), lambda p: CASE WHEN length(p) > 4000 THEN ' ' || regexp_replace(p, '([.!?])\\s+', '\\1' || chr(31) || ' ', 'g') ELSE chr(29) || p END), 'string_agg', chr(31)), chr(31))"
+    held, unit, joint = "string_split(a, chr(30))[-1]", "substr(x, 2)", "replace(substr(x, 1, 1), chr(29), chr(10) || chr(10))"
+    step = f"CASE WHEN {held} = '' THEN a || {unit} WHEN length({held}) + length({unit}) + length({joint}) > 4000 THEN a || chr(30) || {unit} ELSE a || {joint} || {unit} END"
+    parts = f"string_split(list_reduce(list_prepend('', {units}), lambda a, x: {step}), chr(30))"
+    bare = lambda t: f"regexp_replace({t}, '^[\\s\\x0b]+|[\\s\\x0b]+$', '', 'g')"
+    return f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(i AS BIGINT) AS n, CASE WHEN length(text) <= 4000 THEN text ELSE {bare('parts[i]')} END AS chunk FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, text, CASE WHEN length(text) <= 4000 THEN [text] ELSE {parts} END AS parts FROM documents)) WHERE i < len(parts) OR len(parts) = 1 OR {bare('parts[i]')} <> ''"

@@ -73,17 +73,28 @@ def digest(rows: DataFrame, s: Settings) -> DataFrame:
 
 
 class Pipeline:
-    """Named steps from DataFrame to DataFrame; a step that fails while being planned may fall back to its input."""
+    """Named steps from DataFrame to DataFrame.
 
-    def __init__(self, *steps: tuple, optional: tuple[str, ...] = ()):
-        self.steps, self.optional, self.skipped = steps, optional, []
+    An optional step may fall back to its input. Since Spark fails at the action and not where a step is planned, its result
+    goes through settle first, by default a cached count; a cluster may write a table there. A step that fails either way is in skipped.
+    """
+
+    def __init__(self, *steps: tuple, optional: tuple[str, ...] = (), settle=None):
+        self.steps, self.optional, self.skipped, self.settle = steps, optional, [], settle or _settled
 
     def run(self, rows: DataFrame) -> DataFrame:
         for name, step in self.steps:
-            try:
+            if name not in self.optional:
                 rows = step(rows)
+                continue
+            try:
+                rows = self.settle(step(rows))
             except Exception:
-                if name not in self.optional:
-                    raise
                 self.skipped.append(name)
         return rows
+
+
+def _settled(rows: DataFrame) -> DataFrame:
+    rows = rows.persist()
+    rows.count()
+    return rows

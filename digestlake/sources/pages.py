@@ -26,6 +26,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.input_file_name().alias("page"), F.coalesce("data.home.home_timeline_urt.instructions", "data.search_by_raw_query.search_timeline.timeline.instructions").alias("instructions"))
 
 
+def parse(texts: DataFrame, page: str = "page", text: str = "text") -> DataFrame:
+    """As read, of JSON texts that are in a column."""
+    raw = texts.select(F.col(page).alias("page"), F.from_json(text, PAGE).alias("p"))
+    return raw.select("page", F.coalesce("p.data.home.home_timeline_urt.instructions", "p.data.search_by_raw_query.search_timeline.timeline.instructions").alias("instructions"))
+
+
 def entries(pages: DataFrame, modules: bool = True) -> DataFrame:
     """(page, at, entryId, content) of added entries and, of searches, added module items."""
     each = pages.select("page", F.posexplode("instructions").alias("i", "x"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -28,8 +29,15 @@ def write_manifest(rows: DataFrame, stats: DataFrame, path: str) -> None:
     stats.agg(F.first(F.struct(*stats.columns)).alias("stats")).crossJoin(listed).coalesce(1).write.mode("overwrite").json(path)
 
 
+#: The colour of an embed, and what each service takes at most.
+COLOUR = 0x1DA1F2
+MOST = {"slack": 3500, "discord": 1900, "webhook": 2000}
+AUDIO_SUMMARY, AUDIO_BYTES = 300, 25 * 1024 * 1024
+FOOTER = "Audio briefing attached below"
+
+
 def slack_payload(content, title: str) -> Column:
-    text = T.truncated(T.slack_links(content), 3500)
+    text = T.truncated(T.slack_links(content), MOST["slack"])
     quoted = F.to_json(F.struct(F.lit("mrkdwn").alias("type"), text.alias("text")))
     head = json.dumps({"type": "header", "text": {"type": "plain_text", "text": title, "emoji": True}})
     return F.concat(F.lit('{"blocks": [' + head + ', {"type": "section", "text": '), quoted, F.lit("}]}"))
@@ -37,11 +45,33 @@ def slack_payload(content, title: str) -> Column:
 
 def discord_payload(content, title: str) -> Column:
     """Cut first and then cleaned."""
-    return F.to_json(F.struct(F.array(F.struct(F.lit(title[:256]).alias("title"), T.sanitized(T.truncated(content, 1900)).alias("description"))).alias("embeds")))
+    return F.to_json(F.struct(F.array(F.struct(F.lit(title[:256]).alias("title"), T.sanitized(T.truncated(content, MOST["discord"])).alias("description"), F.lit(COLOUR).alias("color"))).alias("embeds")))
+
+
+def audio_payload(content, title: str) -> Column:
+    """What goes with an audio file: the first characters of the text, and a footer. The file itself is the sender's."""
+    text = F.coalesce(F.col(content) if isinstance(content, str) else content, F.lit(""))
+    summary = F.when(F.length(text) > AUDIO_SUMMARY, F.concat(F.substring(text, 1, AUDIO_SUMMARY), F.lit("..."))).otherwise(text)
+    embed = F.struct(F.lit(title[:256]).alias("title"), T.sanitized(summary).alias("description"), F.lit(COLOUR).alias("color"), F.struct(F.lit(FOOTER).alias("text")).alias("footer"))
+    return F.to_json(F.struct(F.array(embed).alias("embeds")))
 
 
 def webhook_payload(content, title: str) -> Column:
-    return F.to_json(F.struct(F.lit(title).alias("title"), T.truncated(content, 2000).alias("content")))
+    return F.to_json(F.struct(F.lit(title).alias("title"), T.truncated(content, MOST["webhook"]).alias("content")))
+
+
+def body(service: str, content: str, title: str) -> str:
+    """The body for one document that is at hand, as the payload of the service has it."""
+    most = MOST.get(service, MOST["webhook"])
+    if service == "slack":
+        content = re.sub(r"\[([^\]]+)\]\((https://[^)]+)\)", r"<\2|\1>", content)
+    if len(content) > most:
+        content = content[: most - 50] + "\n\n... (truncated)"
+    if service == "slack":
+        return json.dumps({"blocks": [{"type": "header", "text": {"type": "plain_text", "text": title, "emoji": True}}, {"type": "section", "text": {"type": "mrkdwn", "text": content}}]})
+    if service == "discord":
+        return json.dumps({"embeds": [{"title": title[:256], "description": re.sub("\n{3,}", "\n\n", content.replace("\x00", "")), "color": COLOUR}]})
+    return json.dumps({"title": title, "content": content})
 
 
 PAYLOADS = {"slack": slack_payload, "discord": discord_payload, "webhook": webhook_payload}
@@ -68,7 +98,7 @@ def destinations(given: Mapping[str, str] | None = None, config: Mapping | None
 
 
 def post(content: str, title: str, targets: Mapping[str, str], send: Callable[[str, str, str], bool]) -> bool:
-    """Sends content to all targets; True if there are any and each took it. A file is written here."""
+    """Sends each target the body that its service takes; True if there are any and each took it. A file is written here, whole. A bridge takes what a webhook takes."""
     done = []
     for name, address in targets.items():
         if name == "file":
@@ -77,5 +107,5 @@ def post(content: str, title: str, targets: Mapping[str, str], send: Callable[[s
                 f.write(content)
             done.append(True)
         else:
-            done.append(bool(send(name, address, json.dumps({"title": title, "content": content}))))
+            done.append(bool(send(name, address, body(name, content, title))))
     return bool(done) and all(done)

@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import numpy as np
@@ -108,7 +109,7 @@ def test_diverse_pick():
 
 
 def test_chunks():
-    assert render.batch_blocks(["a" * 10, "b" * 10, "c" * 50], 25) == [["a" * 10, "b" * 10], ["c" * 50]] or render.batch_blocks(["a" * 10, "b" * 10, "c" * 50], 25) == [["a" * 10, "b" * 10], ["c" * 50]]
+    assert render.joined_blocks(["a" * 10, "b" * 10, "c" * 50], 25) == [["a" * 10, "b" * 10], ["c" * 50]]
     text = "One two. " * 30 + "\n\n" + "Short."
     parts = render.sentence_chunks(text, 100)
     assert all(len(p) <= 100 for p in parts) and "".join(parts).replace(" ", "").replace("\n", "") == text.replace(" ", "").replace("\n", "")
@@ -178,3 +179,67 @@ def test_streaming(spark, tmp_path, sf):
     stream = events.read(spark, str(tmp_path / "in"))
     events.run_once(events.activity(events.dedup(stream, late="60 days"), late=None), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert set(spark.read.parquet(str(tmp_path / "out")).columns) == {"start", "end", "event_type", "n", "total"}
+
+
+def test_bodies(spark):
+    text = "a [b](https://c.example/) " + "x\n\n\n\n" * 1200
+    got = spark.createDataFrame([(text,)], "text string").select(*[f("text", "T").alias(n) for n, f in sinks.PAYLOADS.items()]).first()
+    for service in sinks.PAYLOADS:
+        assert json.loads(sinks.body(service, text, "T")) == json.loads(got[service])
+    sent = {}
+    assert sinks.post(text, "T", {"slack": "u", "discord": "v", "discord_bridge": "w", "webhook": "x"}, lambda name, address, body: sent.update({name: json.loads(body)}) is None)
+    assert sent["slack"]["blocks"][1]["text"]["text"].startswith("a <https://c.example/|b>") and len(sent["discord"]["embeds"][0]["description"]) <= 1900 and len(sent["discord_bridge"]["content"]) <= 2000
+    audio = json.loads(spark.createDataFrame([(text,)], "text string").select(sinks.audio_payload("text", "T")).first()[0])["embeds"][0]
+    assert audio["footer"]["text"] and len(audio["description"]) <= 303
+
+
+def test_writers(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "t", 2), ("2", "u", 3)], "id string, text string, n int")
+    sinks.write_posts(rows, str(tmp_path / "posts"))
+    assert sorted(map(tuple, spark.read.schema("id string, text string, n int").json(str(tmp_path / "posts")).collect())) == [("1", "t", 2), ("2", "u", 3)]
+    sinks.write_prompts(rows.selectExpr("id AS topic", "concat('line one\nline ', text) AS prompt"), "topic", str(tmp_path / "prompts"))
+    assert "".join(p.read_text() for p in (tmp_path / "prompts" / "topic=2").glob("part-*")) == "line one\nline u\n"
+    sinks.write_manifest(rows.select("id", "n"), rows.agg(F.count(F.lit(1)).alias("total")), str(tmp_path / "manifest"))
+    (line,) = "".join(p.read_text() for p in (tmp_path / "manifest").glob("part-*")).splitlines()
+    assert json.loads(line)["stats"] == {"total": 2} and {c["id"]: c["n"] for c in json.loads(line)["clusters"]} == {"1": 2, "2": 3}
+
+
+def test_synthesis_prompt():
+    got = render.synthesis_prompt({"total_tweets": 3, "topic_distribution": {"ai": 2}}, ["one", "two"])
+    assert "- Total tweets: 3\n" in got and '"ai": 2' in got and "\none\ntwo\n\n---\n" in got
+
+
+def test_pipeline_falls_back_at_the_action(spark):
+    failing = lambda d: d.withColumn("x", F.raise_error(F.lit("no")))
+    p = Pipeline(("scores", failing), ("half", lambda d: d.where("id > 0")), optional=("scores",))
+    assert p.run(spark.range(3)).count() == 2 and p.skipped == ["scores"]
+    with pytest.raises(Exception):
+        Pipeline(("scores", failing)).run(spark.range(3)).collect()
+
+
+def test_encoder_is_pluggable(spark, sf):
+    rows = clustering.encoded(spark.createDataFrame([("1", "ab"), ("2", None)], "id string, text string"), lambda texts: [[len(t), 1] for t in texts])
+    assert {r["id"]: r["embedding"] for r in rows.collect()} == {"1": [2.0, 1.0], "2": [0.0, 1.0]}
+
+
+def test_rank_of_all_rows(spark):
+    rows = spark.range(1000).selectExpr("id", "id * 37 % 101 AS x")
+    got = {r["id"]: r["rank"] for r in ranking.ranked(rows, [F.desc("x"), F.asc("id")]).collect()}
+    assert got == {i: k for k, i in enumerate(sorted(range(1000), key=lambda i: (-(i * 37 % 101), i)), 1)}
+
+
+def test_silhouette_broadcasts_no_vectors(spark, sf):
+    plan = clustering.silhouette(spark.read.parquet(f"{sf}/embeddings.parquet").withColumnRenamed("label", "cluster"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_streaming_counts(spark, tmp_path, sf):
+    day = spark.read.parquet(f"{sf}/events.parquet").coalesce(1)
+    # windows close when a much later event has come
+    last = day.limit(1).selectExpr("-1L AS event_id", "ts + INTERVAL '200' DAY AS ts", "user_id", "'end' AS event_type", "value", "props")
+    day.unionByName(day.limit(10)).unionByName(last).write.parquet(str(tmp_path / "in"))
+    stream = events.read(spark, str(tmp_path / "in"))
+    events.run_once(events.activity(events.dedup(stream, late="60 days"), late=None), str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = spark.read.parquet(str(tmp_path / "out")).groupBy("event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 4).alias("total"))
+    want = day.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
