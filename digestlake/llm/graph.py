@@ -16,7 +16,10 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) of every node of edges(u, v); a component is named by its least node."""
+    """(node, component) of every node of edges(u, v); a component is named by its least node.
+
+    An edge with a null end, or from a node to itself, names no component. A star of very many edges is split where Spark splits skewed joins.
+    """
     down = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = stored(down, "edges")
     state = _state(now)

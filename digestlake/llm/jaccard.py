@@ -23,7 +23,8 @@ Links never become rows for all pairs of a group; none is lost for the component
 each block of its band, so the traffic of a group grows with its size times its blocks, as does its number of links.
 
 Defined results: a null or empty text, or one without words, has no shingles and stands alone; rows with a null id take part and
-get the component's least non-null id, or null; repeated rows are copies; an empty table gives no rows.
+get the component's least non-null id, or null; repeated rows are copies; very long texts are read whole; an empty table gives no rows. Extra
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,10 +7,10 @@ than its share of words is rejected as depleted. judge gives the figures of each
 
 Texts are never exploded into words: windows are hashed inside the row, by doubling (two words, four, eight).
 Line counts go through two aggregations, first by line and text and then by line, so that no key gathers its rows
-in one task, and copies of one text count once.
+in one task. Copies of one text count once; with documents, every document counts.
 
 Defined results: a null text has no words and fails; a null host is a host of its own; null doc_ids and repeated rows
-are judged like others; an empty table gives no rows. Extra columns are ignored.
+are judged like others; very long texts are read whole; an empty table gives no rows. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -69,22 +69,24 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     )
 
 
-def common_lines(measured: DataFrame, least_docs: int = 10, share: float = 0.01) -> DataFrame:
-    """(host, line) of the lines in more than least_docs distinct texts and more than that share of the host's distinct texts."""
-    texts = measured.groupBy("host", "digest").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    carried = measured.select("host", "digest", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
-    counts = carried.groupBy("host", "line", "digest").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least_docs)
-    return counts.join(texts, "host").where(F.col("n") > share * F.col("texts")).select("host", "line")
+def common_lines(measured: DataFrame, least_docs: int = 10, share: float = 0.01, documents: bool = False) -> DataFrame:
+    """(host, line) of the lines in more than least_docs distinct texts and more than that share of the host's distinct texts; with documents, of its distinct doc_ids instead."""
+    unit = F.coalesce(F.col("doc_id").cast("string"), F.lit("")) if documents else F.col("digest")
+    counted = measured.select("host", unit.alias("unit"), "lines")
+    units = counted.groupBy("host", "unit").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("units"))
+    carried = counted.select("host", "unit", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
+    counts = carried.groupBy("host", "line", "unit").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least_docs)
+    return counts.join(units, "host").where(F.col("n") > share * F.col("units")).select("host", "line")
 
 
-def remaining(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least_words: int = 20, most_repeated: int = 30, least_docs: int = 10, share: float = 0.01, most_removed: float = 0.5) -> DataFrame:
+def remaining(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least_words: int = 20, most_repeated: int = 30, least_docs: int = 10, share: float = 0.01, most_removed: float = 0.5, documents: bool = False) -> DataFrame:
     """(doc_id, kept, removed_words, text) of every row: what judge says of it, and its text without the host's common lines.
 
     Verdicts belong to the pair of host and text, so rows meet theirs by it. A null text stays null; blank lines stay.
     """
     measured = stored(measure(docs, id_col, text_col, host_col), "quality")
     carried = measured.select("host", "digest", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
-    lost = carried.join(common_lines(measured, least_docs, share), ["host", "line"]).groupBy("host", "digest").agg(F.collect_set("line").alias("common"))
+    lost = carried.join(common_lines(measured, least_docs, share, documents), ["host", "line"]).groupBy("host", "digest").agg(F.collect_set("line").alias("common"))
     figures = measured.groupBy("host", "digest").agg(F.first("n_words").alias("n_words"), F.first("n_repeat_words").alias("n_repeat_words")).join(lost, ["host", "digest"], "left")
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -100,10 +102,10 @@ def remaining(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     return judged.select("doc_id", (~failed & (F.col("removed_words") <= most_removed * F.col("n_words"))).alias("kept"), "removed_words", "text")
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least_words: int = 20, most_repeated: int = 30, least_docs: int = 10, share: float = 0.01, most_removed: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least_words: int = 20, most_repeated: int = 30, least_docs: int = 10, share: float = 0.01, most_removed: float = 0.5, documents: bool = False) -> DataFrame:
     """Every row's figures, base_failed, removed_words and kept."""
     measured = stored(measure(docs, id_col, text_col, host_col), "quality")
-    common = common_lines(measured, least_docs, share)
+    common = common_lines(measured, least_docs, share, documents)
     lines = measured.select("doc_id", "host", "digest", F.explode("lines").alias("l")).select("doc_id", "host", "digest", "l.line", "l.words")
     lost = lines.join(common, ["host", "line"]).groupBy("doc_id", "host", "digest").agg(F.sum("words").alias("removed"))
     rows = measured.groupBy("doc_id", "host", "digest").agg(F.count(F.lit(1)).alias("rows"))

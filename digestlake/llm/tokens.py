@@ -9,6 +9,9 @@ blocks of BLOCK. A block holds its minimum (u4), the packed width (u1), its numb
 of ids (u2), the packed low values, then the exceptions' places (u2) and values (u4). The width is the least that holds the
 chosen percentile of the block's values less their minimum; larger values are exceptions. The footer has the
 number of blocks and of documents, each block's start (u8), and each document's id (i8) and number of ids (u8).
+
+Defined results: a null text is empty and holds the end id alone; null ids come first; repeated rows are documents of their own; texts of any length are
+encoded whole; an empty table gives no files and no rows. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

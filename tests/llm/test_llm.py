@@ -944,3 +944,14 @@ def test_added_spans_are_right(spark):
                 wrong += 1
     every = collections.Counter(kind for kind, _ in planted.values())
     assert sum(right.values()) >= 0.6 * sum(every.values()) and all(right[k] for k in base) and wrong <= 0.05 * sum(right.values()), (right, every, wrong)
+
+
+def test_lines_by_documents(spark):
+    copies = [(i, "This line is everywhere\nsame", "h") for i in range(30)] + [(99, "other words", "h")]
+    texts, by_doc = ({r["doc_id"]: r["removed_words"] for r in quality.judge(frame(spark, copies), documents=d).collect()} for d in (False, True))
+    assert set(texts.values()) == {0} and all(by_doc[i] == 5 for i in range(30)) and by_doc[99] == 0
+
+
+def test_components_without_ends(spark):
+    edges = spark.createDataFrame([(1, 2), (None, 2), (3, None), (4, 4)], "u long, v long")
+    assert dict(map(tuple, graph.components(edges).collect())) == {1: 1, 2: 1}
