@@ -169,7 +169,7 @@ def filter_score(p):
 
 @_query
 def ranked_posts(p):
-    return scoring.ranked(filtered(p, SETTINGS)).select("rank", "id", "composite")
+    return scoring.ranked(filtered(p, SETTINGS).select("id", "_ord", "news_score", "promo_score")).select("rank", "id", "composite")
 
 
 @_query
