@@ -6,6 +6,8 @@ spell them out: java() with look-around for Spark, re2() by consuming a neighbou
 
 from __future__ import annotations
 
+import re
+
 # Topics in the order in which they are tried and listed.
 TOPICS = {
     "ai": [r"\bai\b", r"\bgpt", r"\bclaude\b", r"\bllm", r"\bopenai\b", r"\banthropic\b", r"\bgemini\b", r"\bcopilot\b", r"\bchatgpt\b", r"\bmodel\b", r"\bagent", r"\bmachine learning\b", r"\bdeep learning\b", r"\bneural\b"],
@@ -122,6 +124,60 @@ def any_re2(patterns: list[str]) -> str:
     return "(?i)(?:" + "|".join(map(re2, patterns)) + ")"
 
 
+_ATOM = re.compile(r"\\b|\\.|\[[^\]]*\]|\(\?:|.", re.S)
+_GAP, _EDGE = object(), object()
+
+
+def _forms(atoms: list[str]) -> list[tuple]:
+    """What an alternation can look like: sequences of characters, edges (boundaries) and gaps (all else). It is taken off the front of atoms, with the bracket that closes it."""
+    every, now = [], [()]
+    while atoms:
+        atom = atoms.pop(0)
+        if atom == ")":
+            break
+        if atom == "|":
+            every, now = every + now, [()]
+            continue
+        if atom in ("(?:", "("):
+            part = _forms(atoms)
+        elif atom == r"\b":
+            part = [(_EDGE,)]
+        elif atom in "^$." or atom[0] == "[" or (atom[0] == "\\" and atom[1].isalnum()):
+            part = [(_GAP,)]
+        else:
+            part = [(atom[-1],)]
+        if atoms and atoms[0] in "?*+":
+            part = part + [()] if atoms.pop(0) == "?" else [(_GAP,)]
+        now = [a + b for a in now for b in part]
+    return every + now
+
+
+def _word(c) -> bool:
+    return isinstance(c, str) and (c.isalnum() or c == "_")
+
+
+def needs(pattern: str) -> list[tuple[list[str], list[str], bool]] | None:
+    """The ways in which the pattern can match: whole words and parts of words, in lower case, that a text then has, and whether one word is all it takes.
+
+    None if a text may match without any. Words begin and end at boundaries, so a word of a form is whole where an edge or another character is on both sides.
+    """
+    out = []
+    for form in _forms(_ATOM.findall(pattern.lower())):
+        words, parts, at = [], [], 0
+        while at < len(form):
+            end = at
+            while end < len(form) and _word(form[end]):
+                end += 1
+            if end > at:
+                sides = [form[i] if 0 <= i < len(form) else _GAP for i in (at - 1, end)]
+                (parts if _GAP in sides else words).append("".join(form[at:end]))
+            at = max(end, at + 1)
+        if not words and not parts:
+            return None
+        out.append((words, parts, len(words) == 1 and form == (_EDGE, *words[0], _EDGE)))
+    return out
+
+
 def exactly(name: str) -> str:
     """A pattern for a literal name between boundaries."""
     return rf"\b{name}\b"

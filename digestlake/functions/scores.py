@@ -16,16 +16,18 @@ def _if(condition: Column, value: float) -> Column:
 def promo(text="text", screen_name="screen_name") -> Column:
     t = F.coalesce(F.col(text), F.lit(""))
     bare = F.regexp_replace(F.regexp_replace(t, r"https?://[^\s\p{Z}]+", ""), rf"^{P.BLANK}+|{P.BLANK}+$", "")
-    return F.least(
+    phrases = lambda s: F.struct(T.hits(s, P.CALLS_TO_ACTION).alias("calls"), T.occurs(s, P.THREAD_BAIT).alias("bait"), T.occurs(s, P.AFFILIATE_LINKS).alias("affiliate"))
+    total = lambda found: F.least(
         F.lit(1.0),
-        F.least(T.hits(t, P.CALLS_TO_ACTION) * F.lit(0.35), F.lit(0.7))
-        + _if(t.rlike(P.any_java(P.THREAD_BAIT)), 0.1)
-        + _if(t.rlike(P.any_java(P.AFFILIATE_LINKS)), 0.3)
+        F.least(found["calls"] * F.lit(0.35), F.lit(0.7))
+        + _if(found["bait"], 0.1)
+        + _if(found["affiliate"], 0.3)
         + _if(F.lower(F.coalesce(F.col(screen_name), F.lit(""))).rlike(P.any_java(P.PROMO_ACCOUNTS)), 0.2)
         + _if(F.size(T.raw_hashtags(t)) > 4, 0.15)
         + _if(F.regexp_count(t, F.lit(P.EMOJI)) > 6, 0.1)
         + _if((F.length(bare) < 30) & F.contains(t, F.lit("http")), 0.1),
     )
+    return F.transform(F.array(T.with_words(t, P.CALLS_TO_ACTION + P.THREAD_BAIT + P.AFFILIATE_LINKS, phrases)), total)[0]
 
 
 def ratio_term(likes, followers, first: float, high: float, second: float, low: float) -> Column:
@@ -37,15 +39,17 @@ def ratio_term(likes, followers, first: float, high: float, second: float, low:
 def news(corroboration: Column, text="text", likes="likes", followers="followers", verified="verified") -> Column:
     t = F.coalesce(F.col(text), F.lit(""))
     c = F.coalesce(corroboration, F.lit(0))
-    return F.least(
+    phrases = lambda s: F.struct(T.hits(s, P.NEWS).alias("news"), T.hits(s, P.FACTS).alias("facts"))
+    total = lambda found: F.least(
         F.lit(1.0),
-        F.least(T.hits(t, P.NEWS) * F.lit(0.1), F.lit(0.2))
-        + F.least(T.hits(t, P.FACTS) * F.lit(0.05), F.lit(0.15))
+        F.least(found["news"] * F.lit(0.1), F.lit(0.2))
+        + F.least(found["facts"] * F.lit(0.05), F.lit(0.15))
         + F.when(c > 1, F.least((c - 1) * F.lit(0.075), F.lit(0.3))).otherwise(F.lit(0.0))
         + ratio_term(likes, followers, 0.1, 0.15, 0.01, 0.08)
         + _if(~t.startswith("@"), 0.1)
         + _if(F.coalesce(F.col(verified), F.lit(False)) | (F.coalesce(F.col(followers), F.lit(0)) >= 50000), 0.1),
     )
+    return F.transform(F.array(T.with_words(t, P.NEWS + P.FACTS, phrases)), total)[0]
 
 
 def quality_account(verified="verified", curated="curated", followers="followers", floor: int = 5000) -> Column:

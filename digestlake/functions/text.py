@@ -47,31 +47,56 @@ def tokens(text) -> Column:
     return F.filter(F.split(_t(text), f"{P.BLANK}+"), lambda w: w != "")
 
 
-def hits(text, patterns: list[str]) -> Column:
-    """How many of the patterns occur, each counted once; texts without any are told by one search for all."""
-    each = reduce(lambda a, b: a + b, [_t(text).rlike(P.any_java([p])).cast("int") for p in patterns])
-    return F.when(_t(text).rlike(P.any_java(patterns)), each).otherwise(F.lit(0))
-
-
-def _matching(pattern: str):
-    return lambda word: word.rlike(pattern)
+def with_words(text, patterns: list[str], body, lowered: Column | None = None) -> Column:
+    """body(s) over a struct of the text, its lower-cased form and those of its words that the patterns need, each of which is computed once for the row.
+
+    The two letters that regular expressions hold for s and i become those, so that words are found where a search that ignores case finds them.
+    """
+    low = F.translate(F.lower(F.translate(_t(text), "İ", "i")) if lowered is None else lowered, "ſı", "si")
+    asked = sorted({w for p in patterns for words, _, _ in P.needs(p) or [] for w in words})
+    known = lambda s: F.array_intersect(F.split(s["low"], f"{P.NOT_WORD}+"), F.array(*map(F.lit, asked)))
+    bind = lambda s: F.struct(s["text"].alias("text"), s["low"].alias("low"), known(s).alias("known"))
+    return F.transform(F.transform(F.array(F.struct(_t(text).alias("text"), low.alias("low"))), bind), body)[0]
+
+
+def occurs(s: Column, patterns: list[str]) -> Column:
+    """Whether any of the patterns occurs in a struct of with_words. Single words are looked up, and expressions are searched only where the words that they need are there."""
+    either, all_of = lambda a, b: a | b, lambda a, b: a & b
+    alone, out = [], []
+    for pattern in patterns:
+        search, forms, maybe = s["text"].rlike(P.any_java([pattern])), P.needs(pattern), []
+        for words, parts, exact in forms or []:
+            if exact:
+                alone += words
+            else:
+                maybe.append(reduce(all_of, [F.array_contains(s["known"], w) for w in words] + [F.contains(s["low"], F.lit(part)) for part in parts]))
+        if maybe or forms is None:
+            out.append(reduce(either, maybe) & search if maybe else search)
+    single = [F.arrays_overlap(s["known"], F.array(*map(F.lit, alone)))] if alone else []
+    return reduce(either, single + out)
+
+
+def hits(s: Column, patterns: list[str]) -> Column:
+    """How many of the patterns occur in a struct of with_words, each counted once."""
+    return reduce(lambda a, b: a + b, [occurs(s, [p]).cast("int") for p in patterns])
 
 
 def topics(text) -> Column:
-    """The topics of text, account and hashtag signals in the order of the catalogue, or general."""
+    """The topics of text, account and hashtag signals in the order of the catalogue, or general.
+
+    A hashtag begins and ends at boundaries of the text, so what its name matches is found in the text.
+    """
+    low = F.lower(_t(text))
     named = F.array_compact(F.transform(mentions(text), lambda m: F.try_element_at(literal_map(P.ACCOUNT_TOPICS), m)))
 
     def found(s: Column) -> Column:
-        """The topics of one struct of text, tags and names, each of which is computed once."""
-        each = []
-        for topic, patterns in P.TOPICS.items():
-            p = P.any_java(patterns)
-            each.append(F.when(s["text"].rlike(p) | F.array_contains(s["named"], topic) | F.exists(s["tags"], _matching(p)), F.lit(topic)))
-        return F.array_compact(F.array(*each))
+        by_words = F.array_compact(F.array(*[F.when(occurs(s, patterns), F.lit(topic)) for topic, patterns in P.TOPICS.items()]))
+        every = F.transform(F.array(F.concat(by_words, named)), lambda a: F.filter(F.array(*map(F.lit, P.TOPICS)), lambda t: F.array_contains(a, t)))
+        return every[0]
 
-    signals = F.struct(F.lower(_t(text)).alias("text"), hashtags(text).alias("tags"), named.alias("named"))
-    listed = F.transform(F.array(signals), found)
-    return F.transform(listed, lambda a: F.when(F.size(a) > 0, a).otherwise(F.array(F.lit("general"))))[0]
+    every = [p for patterns in P.TOPICS.values() for p in patterns]
+    listed = F.transform(F.array(with_words(text, every, found, low)), lambda a: F.when(F.size(a) > 0, a).otherwise(F.array(F.lit("general"))))
+    return listed[0]
 
 
 def force_topics(found: Column, forced: list[str]) -> Column:
@@ -83,7 +108,7 @@ def force_topics(found: Column, forced: list[str]) -> Column:
 
 
 def named(text, names: list[str]) -> Column:
-    return F.array_compact(F.array(*[F.when(_t(text).rlike(P.any_java([P.exactly(n)])), F.lit(n)) for n in names]))
+    return with_words(text, [P.exactly(n) for n in names], lambda s: F.array_compact(F.array(*[F.when(occurs(s, [P.exactly(n)]), F.lit(n)) for n in names])))
 
 
 def tier(likes) -> Column:

@@ -1,5 +1,7 @@
 """Hand-computed cases at the boundaries of the rules."""
 
+import random
+import re
 from datetime import datetime
 
 import pytest
@@ -121,3 +123,23 @@ def test_patterns_have_both_forms():
         for p in group:
             assert r"\b" not in P.re2(p) or "%" in p
             re.compile(p)
+
+
+def test_words_tell_what_expressions_tell(spark):
+    rng = random.Random(3)
+    lists = [P.CALLS_TO_ACTION, P.THREAD_BAIT, P.AFFILIATE_LINKS, P.NEWS, P.FACTS, [p for ps in P.TOPICS.values() for p in ps], [P.exactly(n) for n in P.COMPANIES + P.PRODUCTS]]
+    words = sorted({w for ps in lists for p in ps for forms in [P.needs(p) or []] for ws, parts, _ in forms for w in ws + parts})
+    joints = [" "] * 8 + [" @", "% ", "'", "-", ".", "_", "é", "=", "", "\n", "#", " 5", "🧵", "&", "\u0301"]
+    texts = ["", None, "1/ x", "50% off", "x%y", "update K to", "ſaid", "mıllion", "İpo"]
+    for _ in range(600):
+        some = rng.sample(words, 6)
+        texts.append("".join(rng.choice([w, w.upper(), w.title(), w + "s"]) + rng.choice(joints) for w in some))
+    whole = [p for ps in lists for p in ps]
+    texts += [re.sub(r"\\b|\(\?:|\)|\?|\|.*?(?=\)|$)", "", p) for p in whole]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    by_words = T.with_words("text", whole, lambda s: F.array(*[T.occurs(s, [p]) for p in whole]))
+    by_search = F.array(*[F.coalesce("text", F.lit("")).rlike(P.any_java([p])) for p in whole])
+    found = rows.select("text", by_words.alias("a"), by_search.alias("b")).collect()
+    for r in found:
+        assert r["a"] == r["b"], (r["text"], [p for p, x, y in zip(whole, r["a"], r["b"]) if x != y])
+    assert sum(map(any, zip(*[r["b"] for r in found]))) > 0.8 * len(whole)
