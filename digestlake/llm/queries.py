@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, jaccard, packing, pii, quality, secrets, sharding, substrings, tokens, toxicity
+from . import centroids, conversations, decontaminate, jaccard, mixing, packing, pii, quality, secrets, sharding, substrings, tokens, toxicity
 from .shared import documents
 
 
@@ -105,6 +105,18 @@ def op10_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_block_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.judged(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_edit_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audited(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
 def queries() -> dict:
     return {
         "pipeline": corpus_pipeline.run,
@@ -118,6 +130,9 @@ def queries() -> dict:
         "op8_swap_packing": op8_swap_packing,
         "op9_line_frequency": op9_line_frequency,
         "op10_candidate_boosting": op10_candidate_boosting,
+        "op11_block_norms": op11_block_norms,
+        "op12_edit_transducer": op12_edit_transducer,
+        "op13_least_squares_packing": op13_least_squares_packing,
     }
 
 
@@ -171,5 +186,70 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(position * 40 // total AS I
 """
 
 
+def _op11_sql(rounds: int = 3) -> str:
+    """Every distance of every round; sums are divided towards minus infinity."""
+    whole = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64"
+    parts = [
+        f"e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings WHERE {whole})",
+        "h AS (SELECT x, row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS c FROM e)",
+        "c0 AS MATERIALIZED (SELECT c, x FROM h WHERE c < 16)",
+    ]
+    for k in range(rounds + 1):
+        parts.append(f"a{k} AS MATERIALIZED (SELECT r, vec_id, any_value(e.x) AS x, min({{'d': CAST(list_sum(list_transform(list_zip(e.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), 'c': c.c}}) AS m FROM e, c{k} c GROUP BY r, vec_id)")
+        if k < rounds:
+            places = f"SELECT m.c AS c, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM a{k}, generate_series(1, 64) t(i) GROUP BY ALL"
+            parts.append(f"c{k + 1} AS MATERIALIZED (SELECT c.c, coalesce(f.x, c.x) AS x FROM c{k} c LEFT JOIN (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM ({places}) GROUP BY c) f USING (c))")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, m.d AS distance, CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia, CAST(sum(m.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON c.c = m.c"""
+
+
+#: The composition row by row: every state of the grammar with the least cost, string of edits and rows left. States are nothing, system, user, assistant.
+OP12_SQL = r"""
+WITH RECURSIVE t AS (SELECT list(v ORDER BY i) AS crc FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) AS v FROM range(256) r(i))),
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+summed AS (SELECT given.*, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(name, ''), lambda x: ascii(x)::UBIGINT)), lambda a, x: xor(a >> 8, crc[(xor(a & 255, x) + 1)::BIGINT])), 4294967295::UBIGINT) % 20 AS what FROM given, t),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+    CASE what WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN what = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM summed WHERE what <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS MATERIALIZED (
+  SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+facts AS (
+  SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM judged GROUP BY conv_id),
+moves(g, role, h) AS (VALUES (0, 'system', 1), (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+before(g, ins, h) AS (VALUES (0, []::VARCHAR[], 0), (0, ['user:'], 2), (0, ['user:', 'assistant:'], 3), (1, [], 1), (1, ['user:'], 2), (1, ['user:', 'assistant:'], 3),
+  (2, [], 2), (2, ['assistant:'], 3), (2, ['assistant:', 'user:'], 2), (3, [], 3), (3, ['user:'], 2), (3, ['user:', 'assistant:'], 3)),
+arcs AS (
+  SELECT b.g, b.ins, 'D' AS edit, NULL AS role, 2 AS cost, b.h FROM before b
+  UNION ALL SELECT b.g, b.ins, 'K', m.role, 0, m.h FROM before b JOIN moves m ON m.g = b.h
+  UNION ALL SELECT b.g, b.ins, 'R', m.role, 1, m.h FROM before b JOIN moves m ON m.g = b.h WHERE m.role <> 'system'),
+ways(conv_id, i, g, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'out': []::VARCHAR[]} FROM facts
+  UNION ALL
+  SELECT w.conv_id, any_value(r.i), a.h, min({'cost': w.best.cost + 5 * len(a.ins) + a.cost + CASE WHEN a.edit <> 'D' AND r.fault = 'truncated' THEN 5 ELSE 0 END,
+    'audit': w.best.audit || repeat('I', len(a.ins)) || a.edit,
+    'out': list_concat(list_concat(w.best.out, a.ins), CASE a.edit WHEN 'D' THEN [] WHEN 'K' THEN [r.role || ':' || r.text] ELSE [a.role || ':' || r.text] END)})
+  FROM ways w JOIN judged r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1 JOIN arcs a ON a.g = w.g
+  WHERE a.edit = 'D' OR (r.fault NOT IN ('blank', 'duplicate') AND (a.edit = 'R' OR left(a.role, 1) = r.initial))
+  GROUP BY w.conv_id, a.h),
+tails(g, ins) AS (VALUES (0, []::VARCHAR[]), (1, ['user:', 'assistant:']), (2, ['assistant:']), (3, [])),
+ended AS (
+  SELECT f.conv_id, min({'cost': w.best.cost + 5 * len(t.ins), 'audit': w.best.audit || repeat('I', len(t.ins)), 'out': list_concat(w.best.out, t.ins)}) AS best
+  FROM facts f JOIN ways w ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.n JOIN tails t ON t.g = w.g GROUP BY f.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(e.best.cost, 0) AS cost, coalesce(e.best.audit, '') AS audit, sha256(coalesce(array_to_string(e.best.out, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def oracle_sql() -> dict:
-    return {"op7_stratified_shards": OP7_SQL, "op2_multi_order_jaccard": OP2_SQL, "op6_secret_ledger": _op6_sql(), "op9_line_frequency": OP9_SQL}
+    return {"op11_block_norms": _op11_sql(), "op12_edit_transducer": OP12_SQL, "op7_stratified_shards": OP7_SQL, "op2_multi_order_jaccard": OP2_SQL, "op6_secret_ledger": _op6_sql(), "op9_line_frequency": OP9_SQL}

@@ -7,8 +7,11 @@ import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 #: What Python workers keep between tasks; workers go from stage to stage, so a stage in need of memory releases it.
@@ -80,5 +83,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole_texts(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a Spark schema in text."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
