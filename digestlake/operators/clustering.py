@@ -11,7 +11,9 @@ from digestlake.functions import patterns as P
 from digestlake.functions import text as T
 from digestlake.functions import vectors as V
 
-from . import ranking
+from digestlake.sources.tables import written
+
+from . import neighbours, ranking
 
 
 def grams(text, stop: list[str] = P.STOP_WORDS) -> Column:
@@ -152,12 +154,19 @@ def silhouette(points: DataFrame, key: str = "vec_id", vector: str = "embedding"
     return each.agg(F.when(F.count_distinct("c") > 1, F.avg(value)).alias("silhouette"))
 
 
-def quality_gate(points: DataFrame, silhouettes: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """One row of metrics; relative validity is not computed, and null passes."""
+def relative_validity(points: DataFrame, key: str = "vec_id", vector: str = "embedding", cluster: str = "cluster", least_samples: int = 5, block: int = 1000) -> DataFrame:
+    """One row with the density validity of the clusters over the spanning tree of all points, null without clusters."""
+    rows = numbered(points, key, vector, cluster)
+    edges = written(neighbours.spanning_edges(rows.select("i", "v"), rows.count(), least_samples, block), "edges")
+    return neighbours.relative_validity(edges, rows.select("i", F.col(cluster).alias("cluster")))
+
+
+def quality_gate(points: DataFrame, silhouettes: DataFrame, validity: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """One row of metrics, and whether they pass: relative validity above 0, silhouette above 0.05 and less than 35 % of noise; a metric that cannot be told is null and passes."""
     noise = F.col(cluster) == -1
     counts = points.agg(F.count_if(noise).alias("noise_count"), F.avg(noise.cast("double")).alias("noise_fraction"), F.count_distinct(F.when(~noise, F.col(cluster))).alias("n_clusters"))
-    fine = F.coalesce(F.col("silhouette") > 0.05, F.lit(True)) & (F.col("noise_fraction") < 0.35)
-    return counts.crossJoin(F.broadcast(silhouettes)).select(F.lit(None).cast("double").alias("relative_validity"), "silhouette", "noise_fraction", "noise_count", "n_clusters", fine.alias("quality_pass"))
+    fine = F.coalesce(F.col("relative_validity") > 0, F.lit(True)) & F.coalesce(F.col("silhouette") > 0.05, F.lit(True)) & (F.col("noise_fraction") < 0.35)
+    return counts.crossJoin(F.broadcast(silhouettes)).crossJoin(F.broadcast(validity)).select("relative_validity", "silhouette", "noise_fraction", "noise_count", "n_clusters", fine.alias("quality_pass"))
 
 
 def kmeans(points: DataFrame, vector: str = "embedding", k: int = 20, runs: int = 10, seed: int = 42) -> DataFrame:
@@ -291,90 +300,22 @@ def condensed(n: int, edges: list[tuple[float, int, int]], least_size: int, leaf
     return labels, prob
 
 
-def shortest_forest(w: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Places of the edges of a minimum spanning forest, edges being ordered by (w, u, v) with u < v."""
-    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = ends[: len(u)].tolist(), ends[len(u) :].tolist()
-    up, out = list(range(len(nodes))), []
-    for e in np.lexsort((v, u, w)).tolist():
-        x, y = a[e], b[e]
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        while up[y] != y:
-            up[y] = up[up[y]]
-            y = up[y]
-        if x != y:
-            up[x] = y
-            out.append(e)
-            if len(out) == len(nodes) - 1:
-                break
-    return np.array(out, np.int64)
-
-
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T), 0))
-
-
-def spanning_edges(rows: DataFrame, n: int, least_samples: int, block: int) -> DataFrame:
-    """Edges (w, u, v) of the minimum spanning tree of mutual reachability of rows (i, v), numbered 0 .. n - 1.
-
-    Points are cut into blocks that meet pairwise in tasks. The nearest distances of a point to each block give its core distance;
-    each pair of blocks gives the forest of its edges, and forests are merged until one is left. An edge of the whole tree is in every
-    forest that could hold it, as edges are ordered by (w, u, v).
-    """
-    n_blocks = max(1, -(-n // block))
-    k = min(least_samples, n)
-    blocks = rows.groupBy(F.pmod(F.xxhash64("i"), F.lit(n_blocks)).alias("b")).agg(F.collect_list(F.struct("i", "v")).alias("p"))
-
-    def nearest(frames):
-        for frame in frames:
-            for p, p2 in zip(frame["p"], frame["p2"]):
-                d = _distances(np.stack([r["v"] for r in p]), np.stack([r["v"] for r in p2]))
-                least = np.sort(np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k], axis=1)
-                yield pd.DataFrame({"i": [r["i"] for r in p], "d": list(least)})
-
-    two = _block_pairs(blocks, blocks.select("b", F.col("p").alias("p2")), n_blocks).repartition("b", "b2")
-    cores = two.select("p", "p2").mapInPandas(nearest, "i long, d array<double>").groupBy("i").agg(F.array_sort(F.flatten(F.collect_list("d")))[k - 1].alias("core"))
-    ready = rows.join(cores, "i").groupBy(F.pmod(F.xxhash64("i"), F.lit(n_blocks)).alias("b")).agg(F.collect_list(F.struct("i", "v", "core")).alias("p")).persist()
-
-    def forests(frames):
-        for frame in frames:
-            for b, b2, p, p2 in zip(frame["b"], frame["b2"], frame["p"], frame["p2"]):
-                i, j = np.array([r["i"] for r in p]), np.array([r["i"] for r in p2])
-                c, c2 = np.array([r["core"] for r in p]), np.array([r["core"] for r in p2])
-                d = np.maximum(np.maximum(_distances(np.stack([r["v"] for r in p]), np.stack([r["v"] for r in p2])), c[:, None]), c2[None, :])
-                x, y = np.nonzero(i[:, None] < j[None, :] if b == b2 else np.ones(d.shape, bool))
-                w, u, v = d[x, y], np.minimum(i[x], j[y]), np.maximum(i[x], j[y])
-                some = shortest_forest(w, u, v) if len(w) else np.zeros(0, np.int64)
-                yield pd.DataFrame({"w": w[some], "u": u[some], "v": v[some], "b": b, "b2": b2})
-
-    def merged(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame.iloc[shortest_forest(*(frame[c].to_numpy() for c in ("w", "u", "v")))]
-
-    pairs = _block_pairs(ready, ready.select("b", F.col("p").alias("p2")), n_blocks).where("b <= b2").repartition("b", "b2")
-    edges = pairs.select("b", "b2", "p", "p2").mapInPandas(forests, "w double, u long, v long, b long, b2 long")
-    # each round halves the blocks on both sides, so no task reads more than four forests
-    while n_blocks > 1:
-        n_blocks = -(-n_blocks // 2)
-        edges = edges.withColumn("b", F.expr("b div 2")).withColumn("b2", F.expr("b2 div 2"))
-        edges = edges.groupBy("b", "b2").applyInPandas(merged, "w double, u long, v long, b long, b2 long")
-    return edges.select("w", "u", "v")
+def numbered(points: DataFrame, key: str = "vec_id", vector: str = "embedding", *more: str) -> DataFrame:
+    """(i, k, v) of points, numbered from 0 in the order of their key. Stored."""
+    rows = points.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), *more)
+    return written(ranking.ranked(rows, [F.asc("k")], "i").withColumn("i", F.col("i") - 1), "numbered")
 
 
 def density(points: DataFrame, key: str = "vec_id", vector: str = "embedding", least_size: int = 10, least_samples: int = 5, leaf: bool = False, most: int | None = None, block: int = 1000) -> DataFrame:
     """(key, cluster, probability) by density; a set of more than most points is refused, where most is given.
 
-    The spanning tree is built in blocks over all tasks, with work quadratic in the points. Its n - 1 edges, and no vectors, are then condensed by one task.
+    The spanning tree is built from blocks that are near each other, over all tasks. Its n - 1 edges, and no vectors, are then condensed by one task.
     """
     n = points.count()
     if most is not None and n > most:
         raise ValueError(f"{n} points; density clustering takes {most} at most: reduce the set first")
-    spark = points.sparkSession
-    keyed = points.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"))
-    numbered = keyed.rdd.map(tuple).sortBy(lambda r: r[0]).zipWithIndex().map(lambda r: (r[1], *r[0]))
-    rows = spark.createDataFrame(numbered, f"i long, k {dict(keyed.dtypes)['k']}, v array<double>").persist()
-    edges = spanning_edges(rows.select("i", "v"), n, least_samples, block)
+    rows = numbered(points, key, vector)
+    edges = neighbours.spanning_edges(rows.select("i", "v"), n, least_samples, block)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         label, prob = condensed(n, list(zip(frame["w"].tolist(), frame["u"].tolist(), frame["v"].tolist())), least_size, leaf)

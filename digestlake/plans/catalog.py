@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from digestlake.functions import scores as S
 from digestlake.functions import text as T
 from digestlake.functions import vectors as V
-from digestlake.operators import clustering, momentum, posts, ranking, render, scoring
+from digestlake.operators import clustering, momentum, neighbours, posts, ranking, render, scoring
 from digestlake.sources import pages, sinks
 from digestlake.sources import posts as source
 
@@ -409,11 +409,23 @@ def silhouette(e):
     return clustering.silhouette(_points(e)).select(F.round("silhouette", 6).alias("silhouette"))
 
 
+@_table("embeddings")
+def relative_validity(e):
+    return clustering.relative_validity(_points(e)).select(F.round("relative_validity", 6).alias("relative_validity"))
+
+
+@_table("embeddings")
+def core_distances(e):
+    rows = clustering.numbered(e)
+    cores, _ = neighbours.core_distances(neighbours.grid(rows, rows.count(), 1000), 5)
+    return rows.join(cores, "i").select(F.col("k").alias("vec_id"), F.round("core", 6).alias("core"))
+
+
 @_table("embeddings")
 def quality_gate(e):
     points = _points(e)
-    gate = clustering.quality_gate(points, clustering.silhouette(points))
-    return gate.select("relative_validity", F.round("silhouette", 6).alias("silhouette"), F.round("noise_fraction", 6).alias("noise_fraction"), "noise_count", "n_clusters", "quality_pass")
+    gate = clustering.quality_gate(points, clustering.silhouette(points), clustering.relative_validity(points))
+    return gate.select(F.round("relative_validity", 6).alias("relative_validity"), F.round("silhouette", 6).alias("silhouette"), F.round("noise_fraction", 6).alias("noise_fraction"), "noise_count", "n_clusters", "quality_pass")
 
 
 @_table("embeddings")

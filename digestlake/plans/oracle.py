@@ -22,8 +22,23 @@ def has(text: str, patterns: list[str]) -> str:
     return f"regexp_matches({text}, {q(P.any_re2(patterns))})"
 
 
+def occurs(text: str, patterns: list[str], low: str = "low", known: str = "known") -> str:
+    """has(text, patterns), given the lower-cased text and its distinct words: single words are looked up, and an expression is searched only where what it needs is there."""
+    alone, out = [], []
+    for pattern in patterns:
+        forms, maybe = P.needs(pattern), []
+        for words, parts, exact in forms or []:
+            if exact:
+                alone += words
+            else:
+                maybe.append(" AND ".join([f"list_contains({known}, {q(w)})" for w in words] + [f"contains({low}, {q(part)})" for part in parts]))
+        if maybe or forms is None:
+            out.append(f"CASE WHEN ({' OR '.join(maybe)}) THEN {has(text, [pattern])} ELSE false END" if maybe else has(text, [pattern]))
+    return "(" + " OR ".join([f"list_has_any({known}, {array(alone)})"] * bool(alone) + out) + ")"
+
+
 def hits(text: str, patterns: list[str]) -> str:
-    return "(" + " + ".join(f"CAST({has(text, [p])} AS INTEGER)" for p in patterns) + ")"
+    return "(" + " + ".join(f"CAST({occurs(text, [p])} AS INTEGER)" for p in patterns) + ")"
 
 
 def found(text: str, pattern: str, group: int = 1) -> str:
@@ -42,7 +57,7 @@ def _topics() -> str:
     cases = []
     for topic, patterns in P.TOPICS.items():
         who = array([a for a, t in P.ACCOUNT_TOPICS.items() if t == topic] or [""])
-        cases.append(f"CASE WHEN {has('lower(text)', patterns)} OR list_has_any(ments, {who}) OR len(list_filter(tags, lambda h: {has('h', patterns)})) > 0 THEN {q(topic)} END")
+        cases.append(f"CASE WHEN {occurs('low', patterns)} OR list_has_any(ments, {who}) OR len(list_filter(tags, lambda h: {has('h', patterns)})) > 0 THEN {q(topic)} END")
     every = f"list_filter([{', '.join(cases)}], lambda t: t IS NOT NULL)"
     return f"CASE WHEN len({every}) > 0 THEN {every} ELSE ['general'] END"
 
@@ -63,8 +78,8 @@ def _canonical() -> str:
 TIER = "CASE WHEN likes >= 50000 THEN 'viral' WHEN likes >= 10000 THEN 'high' WHEN likes >= 1000 THEN 'medium' ELSE 'low' END"
 TYPE = "CASE WHEN is_retweet THEN 'retweet' WHEN is_quote THEN 'quote' WHEN starts_with(text, '@') THEN 'reply' ELSE 'original' END"
 BARE_TEXT = f"regexp_replace(regexp_replace(text, {q(URL)}, '', 'g'), {q(f'^{P.BLANK}+|{P.BLANK}+$')}, '', 'g')"
-PROMO = f"""least(1::DOUBLE, least({hits('text', P.CALLS_TO_ACTION)} * 0.35::DOUBLE, 0.7::DOUBLE) + CASE WHEN {has('text', P.THREAD_BAIT)} THEN 0.1::DOUBLE ELSE 0 END
-  + CASE WHEN {has('text', P.AFFILIATE_LINKS)} THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN {has('lower(screen_name)', P.PROMO_ACCOUNTS)} THEN 0.2::DOUBLE ELSE 0 END
+PROMO = f"""least(1::DOUBLE, least({hits('text', P.CALLS_TO_ACTION)} * 0.35::DOUBLE, 0.7::DOUBLE) + CASE WHEN {occurs('text', P.THREAD_BAIT)} THEN 0.1::DOUBLE ELSE 0 END
+  + CASE WHEN {occurs('text', P.AFFILIATE_LINKS)} THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN {has('lower(screen_name)', P.PROMO_ACCOUNTS)} THEN 0.2::DOUBLE ELSE 0 END
   + CASE WHEN len({found('text', TAG)}) > 4 THEN 0.15::DOUBLE ELSE 0 END + CASE WHEN len({found('text', P.EMOJI, 0)}) > 6 THEN 0.1::DOUBLE ELSE 0 END
   + CASE WHEN length({BARE_TEXT}) < 30 AND contains(text, 'http') THEN 0.1::DOUBLE ELSE 0 END)"""
 
@@ -88,13 +103,15 @@ AS_OF = "TIMESTAMP '2024-01-04 00:00:00'"
 
 _BASE = {
     "posts": view_sql(),
+    "worded": f"SELECT *, translate(lower(text), 'ſ', 's') AS low, list_distinct(regexp_split_to_array(translate(lower(text), 'ſ', 's'), {q(P.NOT_WORD + '+')})) AS known FROM posts",
     "own": "SELECT * FROM posts WHERE NOT is_retweet",
+    "own_worded": "SELECT * FROM worded WHERE NOT is_retweet",
     "copied": "SELECT * FROM posts UNION ALL SELECT * REPLACE ('again' AS _query, _ord + 1000000000 AS _ord) FROM posts WHERE _ord % 7 = 0",
-    "marked": f"SELECT *, {found('lower(text)', TAG)} AS tags, {found('lower(text)', AT)} AS ments FROM posts",
-    "topical": f"SELECT *, {_topics()} AS topics FROM marked",
+    "marked": f"SELECT *, {found('lower(text)', TAG)} AS tags, {found('lower(text)', AT)} AS ments FROM worded",
+    "topical": f"SELECT * EXCLUDE (low, known), {_topics()} AS topics FROM marked",
     "corr": f"SELECT entity, count(DISTINCT screen_name) AS users FROM (SELECT screen_name, lower(unnest({NEWS_ENTITIES})) AS entity FROM own) GROUP BY entity",
-    "corroborated": f"SELECT own.*, coalesce(best.c, 0) AS corroboration FROM own LEFT JOIN (SELECT id, max(users) AS c FROM (SELECT id, lower(unnest({NEWS_ENTITIES})) AS entity FROM own) JOIN corr USING (entity) GROUP BY id) best USING (id)",
-    "raw": f"SELECT *, {PROMO} AS promo_raw, {NEWS} AS news_raw FROM corroborated",
+    "corroborated": f"SELECT w.*, coalesce(best.c, 0) AS corroboration FROM own_worded w LEFT JOIN (SELECT id, max(users) AS c FROM (SELECT id, lower(unnest({NEWS_ENTITIES})) AS entity FROM own) JOIN corr USING (entity) GROUP BY id) best USING (id)",
+    "raw": f"SELECT * EXCLUDE (low, known), {PROMO} AS promo_raw, {NEWS} AS news_raw FROM corroborated",
     "scored": "SELECT *, round(promo_raw, 3) AS promo_score, round(news_raw, 3) AS news_score FROM raw",
     "kept": "SELECT * FROM scored WHERE promo_raw < 0.4::DOUBLE",
     "known": f"SELECT *, list_contains({CURATED}, lower(screen_name)) AS curated FROM kept",
@@ -118,12 +135,16 @@ _BASE |= {
     "labelled": "SELECT c.cluster, coalesce(l.label, 'misc') AS label FROM (SELECT DISTINCT cluster FROM clustered) c LEFT JOIN (SELECT cluster, string_agg(word, ' / ' ORDER BY k) AS label FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, word) AS k FROM words) WHERE k <= 3 GROUP BY cluster) l USING (cluster)",
 }
 _NEEDS = {
-    "own": ["posts"], "copied": ["posts"], "marked": ["posts"], "topical": ["marked"], "corr": ["own"], "corroborated": ["own", "corr"], "raw": ["corroborated"], "scored": ["raw"], "kept": ["scored"],
+    "own": ["posts"], "copied": ["posts"], "worded": ["posts"], "own_worded": ["worded"], "marked": ["worded"], "topical": ["marked"], "corr": ["own"], "corroborated": ["own", "own_worded", "corr"], "raw": ["corroborated"], "scored": ["raw"], "kept": ["scored"],
     "known": ["kept"], "rated": ["known"], "named": ["rated", "syns"], "strength": ["named"], "top": ["strength"], "pairs": ["named", "top"], "assigned": ["rated", "pairs"], "sources": ["assigned"], "others": ["assigned"],
     "clustered": ["topical"], "by_topic": ["topical"], "words": ["clustered"], "labelled": ["clustered", "words"],
 }
 
 
+#: Views whose columns are costly, and which are read more than once.
+_ONCE = ("worded", "marked", "topical", "clustered", "corroborated", "raw", "rated", "named", "own", "by_topic")
+
+
 def _with(needs: list[str], select: str, **more: str) -> str:
     """select with the views that it needs, and those that they need, before it."""
     order: list[str] = []
@@ -136,7 +157,7 @@ def _with(needs: list[str], select: str, **more: str) -> str:
 
     for n in needs:
         add(n)
-    views = [f"{n} AS ({_BASE[n]})" for n in order] + [f"{n} AS ({sql})" for n, sql in more.items()]
+    views = [f"{n} AS {'MATERIALIZED ' * (n in _ONCE)}({_BASE[n]})" for n in order] + [f"{n} AS ({sql})" for n, sql in more.items()]
     return f"WITH {', '.join(views)} {select}" if views else select
 
 
@@ -188,13 +209,33 @@ _SIL = """WITH p AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddi
   d AS (SELECT a.vec_id, a.label AS c, b.label AS o, sum(list_distance(a.v, b.v)) AS total, count(*) AS n FROM p a JOIN p b ON true GROUP BY ALL),
   e AS (SELECT vec_id, max(CASE WHEN c = o AND n > 1 THEN total / (n - 1) END) AS a, min(CASE WHEN c <> o THEN total / n END) AS b FROM d GROUP BY vec_id),
   s AS (SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM e) """
+#: Distances to nine digits, those to the fifth nearest point, the spanning tree grown a point at a time from all distances, and what its edges say of the clusters. Edges are ordered by (w, u, v).
+_TREE = """p AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS i, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+  near AS MATERIALIZED (SELECT a.i, list(round(list_distance(a.v, b.v), 9) ORDER BY b.i) AS d FROM p a, p b GROUP BY a.i),
+  cored AS MATERIALIZED (SELECT i, d, list_sort(d)[least(5, len(d))] AS core FROM near),
+  cores AS (SELECT list(core ORDER BY i) AS c, count(*) AS n FROM cored),
+  reach AS MATERIALIZED (SELECT i, n, list_transform(range(1, n + 1), lambda j: greatest(d[j], core, c[j])) AS w FROM cored, cores),
+  grown(step, now, best, edge) AS (
+    SELECT 0, 1::BIGINT, list_transform(range(1, n + 1), lambda j: CASE WHEN j > 1 THEN {'w': 1e300::DOUBLE, 'u': 0::BIGINT, 'v': 0::BIGINT, 'j': j} END), NULL::STRUCT(w DOUBLE, u BIGINT, v BIGINT, j BIGINT) FROM cores
+    UNION ALL
+    SELECT step + 1, e.j, list_transform(b, lambda x: CASE WHEN x.j <> e.j THEN x END), e FROM (
+      SELECT step, b, list_aggregate(b, 'min') AS e FROM (
+        SELECT step, list_transform(range(1, n + 1), lambda j: CASE WHEN best[j] IS NOT NULL THEN least(best[j], {'w': r.w[j], 'u': least(now, j), 'v': greatest(now, j), 'j': j}) END) AS b
+        FROM grown JOIN reach r ON r.i = now WHERE step < n - 1))),
+  tree AS MATERIALIZED (SELECT edge.w AS w, a.label AS a, z.label AS z FROM grown JOIN p a ON a.i = edge.u JOIN p z ON z.i = edge.v),
+  sized AS (SELECT label AS c, count(*) AS size FROM p WHERE label <> -1 GROUP BY label),
+  apart AS (SELECT c, min(w) AS w FROM (SELECT w, unnest([a, z]) AS c FROM tree WHERE a <> z AND a <> -1 AND z <> -1) GROUP BY c),
+  judged AS (SELECT c, size, coalesce((SELECT max(w) FROM tree WHERE a = s.c AND z = s.c), 0) AS inner_w,
+    coalesce(apart.w, 2 * CASE WHEN (SELECT count(*) FROM sized) > 1 THEN (SELECT max(w) FROM tree) ELSE coalesce((SELECT min(w) FROM tree WHERE (a = -1) <> (z = -1)), (SELECT max(w) FROM tree)) END) AS outer_w
+    FROM sized s LEFT JOIN apart USING (c)),
+  rv AS (SELECT sum(size / (SELECT count(*) FROM p) * CASE WHEN greatest(inner_w, outer_w) > 0 THEN (outer_w - inner_w) / greatest(inner_w, outer_w) ELSE 0 END) AS relative_validity FROM judged)"""
 _CENTERS = """WITH m AS (SELECT label AS cluster, i - 1 AS place, avg(embedding[i]::DOUBLE) AS x FROM embeddings, range(1, 65) r(i) GROUP BY ALL),
   u AS (SELECT cluster, CAST(place AS BIGINT) AS place, x / sqrt(sum(x * x) OVER (PARTITION BY cluster)) AS x FROM m) """
 
 
 def queries() -> dict[str, str]:
     joined = lambda name, sql: _with(["posts"], f"SELECT id, array_to_string({sql}, '|') AS {name} FROM posts")
-    entities_of = lambda names: "list_filter([" + ", ".join(f"CASE WHEN {has('text', [P.exactly(n)])} THEN {q(n)} END" for n in names) + "], lambda x: x IS NOT NULL)"
+    entities_of = lambda names: "list_filter([" + ", ".join(f"CASE WHEN {occurs('text', [P.exactly(n)])} THEN {q(n)} END" for n in names) + "], lambda x: x IS NOT NULL)"
     force = "CASE WHEN list_contains({l}, {t}) THEN {l} ELSE list_concat([{t}], {l}) END"
     bare = "list_filter(topics, lambda t: t <> 'general')"
     forced = force.format(l="f", t="'crypto'")
@@ -211,15 +252,15 @@ def queries() -> dict[str, str]:
         "canonical_entities": _with(["posts", "syns"], f"SELECT id, array_to_string(list_sort({_canonical()}), '|') AS canonical_entities FROM posts, syns"),
         "topics_text": _with(["topical"], "SELECT id, array_to_string(topics, '|') AS topics_text FROM topical"),
         "clean_text": _with(["posts"], f"SELECT id, {CLEAN} AS clean_text FROM posts"),
-        "companies_products": _with(["posts"], f"SELECT id, array_to_string({entities_of(P.COMPANIES)}, '|') AS companies, array_to_string({entities_of(P.PRODUCTS)}, '|') AS products FROM posts"),
-        "enrich_force": _with(["topical"], f"SELECT id, array_to_string({forced}, '|') AS topics, engagement_tier, content_type, companies FROM (SELECT *, {force.format(l=bare, t=q('finance'))} AS f, {TIER} AS engagement_tier, {TYPE} AS content_type, array_to_string({entities_of(P.COMPANIES)}, '|') AS companies FROM topical)"),
+        "companies_products": _with(["worded"], f"SELECT id, array_to_string({entities_of(P.COMPANIES)}, '|') AS companies, array_to_string({entities_of(P.PRODUCTS)}, '|') AS products FROM worded"),
+        "enrich_force": _with(["topical", "worded"], f"SELECT id, array_to_string({forced}, '|') AS topics, engagement_tier, content_type, companies FROM (SELECT *, {force.format(l=bare, t=q('finance'))} AS f, {TIER} AS engagement_tier, {TYPE} AS content_type, array_to_string({entities_of(P.COMPANIES)}, '|') AS companies FROM topical JOIN (SELECT id, low, known FROM worded) USING (id))"),
         "primary_topic": _with(["topical"], "SELECT topics[1] AS topic, count(*) AS n FROM topical WHERE NOT is_retweet GROUP BY 1"),
         "topic_distribution": _with(["topical"], "SELECT topic, count(*) AS n FROM (SELECT unnest(topics) AS topic FROM topical WHERE NOT is_retweet) GROUP BY topic"),
         "tier_distribution": _with(["own"], f"SELECT {TIER} AS tier, count(*) AS n FROM own GROUP BY 1"),
         "content_type_distribution": _with(["posts"], f"SELECT {TYPE} AS content_type, count(*) AS n FROM posts GROUP BY 1"),
         "topic_share": _with(["topical", "own"], "SELECT topic, count(*) AS n, round(100::DOUBLE * count(*) / (SELECT count(*) FROM own), 4) AS pct FROM (SELECT unnest(topics) AS topic FROM topical WHERE NOT is_retweet) GROUP BY topic"),
         "corpus_stats": _with(["posts"], "SELECT count(*) AS n, count(DISTINCT screen_name) AS accounts, CAST(sum(likes) AS BIGINT) AS likes, round(100::DOUBLE * count(*) FILTER (is_retweet) / count(*), 4) AS retweet_pct FROM posts"),
-        "promo_score": _with(["posts"], f"SELECT id, round({PROMO}, 3) AS promo_score FROM posts"),
+        "promo_score": _with(["worded"], f"SELECT id, round({PROMO}, 3) AS promo_score FROM worded"),
         "corroboration": _with(["corr"], "SELECT entity, users FROM corr"),
         "news_score": _with(["scored"], "SELECT id, corroboration, news_score FROM scored"),
         "filter_score": _with(["kept"], "SELECT id, promo_score, news_score, round(news_score - 0.5::DOUBLE * promo_score, 6) AS composite FROM kept"),
@@ -252,7 +293,9 @@ def queries() -> dict[str, str]:
           o AS (SELECT *, max(CASE WHEN other = label THEN sim END) OVER (PARTITION BY vec_id) AS own FROM s), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, other) AS r FROM o WHERE other <> label AND (sim >= 0.5::DOUBLE OR own - sim <= 0.03::DOUBLE))
           SELECT e.vec_id, e.label AS cluster, coalesce(g.secondary, '') AS secondary FROM embeddings e LEFT JOIN (SELECT vec_id, string_agg(CAST(other AS VARCHAR), '|' ORDER BY r) AS secondary FROM k WHERE r <= 2 GROUP BY vec_id) g USING (vec_id)""",
         "silhouette": _SIL + "SELECT round(silhouette, 6) AS silhouette FROM s",
-        "quality_gate": _SIL + ", n AS (SELECT count(*) FILTER (label = -1) AS noise_count, avg(CAST(label = -1 AS INTEGER)) AS f, count(DISTINCT CASE WHEN label <> -1 THEN label END) AS n_clusters FROM embeddings) SELECT CAST(NULL AS DOUBLE) AS relative_validity, round(silhouette, 6) AS silhouette, round(f, 6) AS noise_fraction, noise_count, n_clusters, coalesce(silhouette > 0.05, true) AND f < 0.35 AS quality_pass FROM s, n",
+        "core_distances": f"WITH RECURSIVE {_TREE} SELECT vec_id, round(core, 6) AS core FROM cored JOIN p USING (i)",
+        "relative_validity": f"WITH RECURSIVE {_TREE} SELECT round(relative_validity, 6) AS relative_validity FROM rv",
+        "quality_gate": _SIL.replace("WITH p AS", f"WITH RECURSIVE {_TREE}, pt AS").replace("FROM p a JOIN p b", "FROM pt a JOIN pt b") + ", n AS (SELECT count(*) FILTER (label = -1) AS noise_count, avg(CAST(label = -1 AS INTEGER)) AS f, count(DISTINCT CASE WHEN label <> -1 THEN label END) AS n_clusters FROM embeddings) SELECT round(relative_validity, 6) AS relative_validity, round(silhouette, 6) AS silhouette, round(f, 6) AS noise_fraction, noise_count, n_clusters, coalesce(relative_validity > 0, true) AND coalesce(silhouette > 0.05, true) AND f < 0.35 AS quality_pass FROM s, n, rv",
         "hybrid_vector": "SELECT vec_id, CAST(len(h) AS BIGINT) AS dims, round(1::DOUBLE, 6) AS length, round(list_dot_product(e, e) / sqrt(list_dot_product(h, h)), 5) AS along FROM (SELECT vec_id, embedding::DOUBLE[] AS e, list_concat(embedding::DOUBLE[], list_transform(embedding[1:8]::DOUBLE[], lambda x: x * 0.35::DOUBLE)) AS h FROM embeddings)",
         "slack_links": _with(["posts"], r"SELECT id, regexp_replace('[source](https://x.example/' || id || ') ' || text || ' [no](http://plain)', '\[([^\]]+)\]\((https://[^)]+)\)', '<\2|\1>', 'g') AS linked FROM posts"),
         "truncate": "SELECT doc_id, " + ", ".join(f"CASE WHEN length(text) <= {n} THEN text ELSE substr(text, 1, {n - 50}) || chr(10) || chr(10) || '... (truncated)' END AS {name}" for name, n in (("slack", 3500), ("discord", 1900))) + " FROM documents",
