@@ -1,7 +1,7 @@
 """Best-fit packing of token sequences, improved by a swap-based local search.
 
-Documents longer than a sequence are cut into full pieces and a rest. Pieces are dealt by hash into groups of
-bounded size; each group starts from best-fit decreasing and then exchanges documents between its underfull
+Documents longer than a sequence are cut into full pieces and a rest. Pieces are numbered where they are stored, and dealt by a hash of
+that number into groups of bounded size, so that equal ones spread like others; each group starts from best-fit decreasing and then exchanges documents between its underfull
 sequences: one moves, one is swapped for one, or two for one, always from the emptier sequence to the fuller one, so that the sum of
 squared fills grows and the emptiest sequences run empty. What stays underfull in the groups is packed once
 more in larger groups, so that the groups' borders cost next to nothing.
@@ -147,12 +147,14 @@ def pack_group(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return local_search(best_fit(lengths, capacity), lengths, capacity)
 
 
-PACKED = PIECES + ", round int, pack_group long, bin long, offset long, underfull boolean"
+#: Pieces with the number that each gets where it is stored, by which equal rows are told apart.
+NUMBERED = PIECES + ", row long"
+PACKED = NUMBERED + ", round int, pack_group long, bin long, offset long, underfull boolean"
 
 
 def _packed(rows: DataFrame, n_groups: int, capacity: int, number: int) -> DataFrame:
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
+        frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32", "row"], kind="stable", ignore_index=True)
         lengths = frame["length"].to_numpy(np.int64)
         bins = pack_group(lengths, capacity)
         at = np.empty(len(frame), np.int64)
@@ -162,19 +164,19 @@ def _packed(rows: DataFrame, n_groups: int, capacity: int, number: int) -> DataF
             at[members], offset[members], underfull[members] = b, np.cumsum(size) - size, size.sum() < capacity
         return frame.assign(round=number, bin=at, offset=offset, underfull=underfull)[[c.split()[0] for c in PACKED.split(", ")]]
 
-    spread = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(number)), F.lit(n_groups))
+    spread = F.pmod(F.xxhash64("row", F.lit(number)), F.lit(n_groups))
     return rows.withColumn("pack_group", spread).groupBy("pack_group").applyInPandas(pack, PACKED)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", keep_words: bool = True) -> DataFrame:
     """Every piece with its sequence_id and offset."""
-    cut = stored(pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, keep_words), "pieces")
+    cut = stored(pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, keep_words).withColumn("row", F.monotonically_increasing_id()), "pieces")
     full = cut.where(F.col("length") >= capacity)
     rest = cut.where(F.col("length") < capacity)
     n = rest.count()
     first = stored(_packed(rest, max(1, n // GROUP_PIECES), capacity, 1), "packed")
     columns = [c.split()[0] for c in PIECES.split(", ")]
-    again = first.where("underfull").select(columns)
+    again = first.where("underfull").select(*columns, "row")
     n_again = again.count()
     second = _packed(again, max(1, n_again // GROUP_PIECES), capacity, 2)
     both = first.where("not underfull").unionByName(second)
