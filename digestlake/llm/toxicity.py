@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytesets import BYTE, LOWER_WIDE, PLAIN, prefix_hashes, slices, span_hashes, text_bytes, words
-from .shared import text_or_empty
+from .shared import stored, text_or_empty
 
 WORD_BITS, CHAR_BITS = 15, 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 12, 8, 8, 8
@@ -297,7 +297,9 @@ def in_training(id_col: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 2400, max_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[Network | None, float]:
     """(network, share of toxic labels) from the labelled texts whose id is for training.
 
-    The sample is bounded: at most max_toxic and max_clean ids, twice as many texts (ids may repeat), and whole texts up to max_bytes in all.
+    The sample is bounded: at most max_toxic and max_clean ids, twice as many texts (ids may repeat), and max_bytes in all. Texts of more than a 64th of that
+    are no part of it, however they are labelled; of the others, in the order of a hash, as many whole ones as fit. Equal texts of an id count once. The cut is made on sizes and digests, and
+    only what is left of the texts is brought together.
     """
     wanted = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isin(0, 1) & in_training("id")).withColumn("order", F.xxhash64("id"))
     chosen = None
@@ -305,9 +307,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: in
         part = wanted.where(F.col("label") == value).orderBy("order", "id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    some = texts.join(F.broadcast(chosen), "id").orderBy("order", "id", "text").limit(2 * (max_toxic + max_clean))
-    so_far = F.sum(F.octet_length("text")).over(Window.orderBy("order", "id", "text").rowsBetween(Window.unboundedPreceding, 0))
-    sample = some.withColumn("so_far", so_far).where(F.col("so_far") <= max_bytes).select("text", "label").toPandas()
+    labelled = texts.where(F.octet_length("text") <= max_bytes // 64).join(F.broadcast(chosen), "id").withColumn("digest", F.sha2("text", 256))
+    some = stored(labelled.select("order", "id", "digest", "label", F.octet_length("text").alias("size"), "text"), "labelled")
+    each = some.groupBy("order", "id", "digest", "label").agg(F.first("size").alias("size")).orderBy("order", "id", "digest", "label").limit(2 * (max_toxic + max_clean))
+    so_far = F.sum("size").over(Window.orderBy("order", "id", "digest", "label").rowsBetween(Window.unboundedPreceding, 0))
+    fits = each.withColumn("so_far", so_far).where(F.col("so_far") <= max_bytes).select("id", "digest", "label")
+    sample = some.join(F.broadcast(fits), ["id", "digest", "label"]).dropDuplicates(["id", "digest", "label"]).orderBy("order", "id", "digest", "label").select("text", "label").toPandas()
     label = sample["label"].to_numpy(np.int64)
     return train(sample["text"].tolist(), label), float(label.mean()) if len(label) else 0.0
 
