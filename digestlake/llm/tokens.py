@@ -2,7 +2,8 @@
 
 Encoding. The tokenizer drops white space and never lets a token span it, so a text's ids are the ids of its
 words in turn. Each distinct word goes through the tokenizers library once per worker; the rest is array
-indexing. A text with separators that only Python takes for white space goes through the library whole.
+indexing. A text with separators that only Python takes for white space goes through the library whole, and so does
+every text where the tokenizer's file does not say that it normalises and splits in this way.
 
 File format, little-endian: 8 bytes of magic; blocks; footer; 8 bytes of footer length. Ids are cut into
 blocks of BLOCK. A block holds its minimum (u4), the packed width (u1), its number of exceptions (u2), its number
@@ -10,12 +11,15 @@ of ids (u2), the packed low values, then the exceptions' places (u2) and values
 chosen percentile of the block's values less their minimum; larger values are exceptions. The footer has the
 number of blocks and of documents, each block's start (u8), and each document's id (i8) and number of ids (u8).
 
+Files are as many as the bytes of the texts ask for. Rows of one id are ordered by a hash of their text, and equal rows are dealt over several files where they are many.
+
 Defined results: a null text is empty and holds the end id alone; null ids come first; repeated rows are documents of their own; texts of any length are
 encoded whole; an empty table gives no files and no rows. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -41,6 +45,17 @@ ODD = re.compile("[\x1c-\x1f]")
 MARKS = "!%&$*#.,;:?"
 #: Words that are encoded as one text.
 TOGETHER = 500
+#: Bytes of texts of a file.
+FILE_BYTES = 128 << 20
+# How a tokenizer normalises and splits whose ids of a text are those of its words in turn.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 class _Numbering(dict):
@@ -129,6 +144,8 @@ class Encoder:
 
         self.tokenizer, self.end_id, self.max_words, self.max_pieces = Tokenizer.from_file(path), end_id, max_words, max_pieces
         self.words, self.pieces = _Ids(end_id), _Ids()
+        said = json.loads(self.tokenizer.to_str())
+        self.by_words = said["normalizer"] == NORMALIZER and said["pre_tokenizer"] == SPLITTER and said["model"].get("end_of_word_suffix") == "</w>"
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -182,10 +199,17 @@ class Encoder:
         out[of_plain], out[~of_plain] = flat, np.fromiter(chain.from_iterable(other), np.uint32, len(out) - len(flat))
         return out, lengths
 
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = [[*e.ids, self.end_id] for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, each), np.int64, len(each))
+        return np.fromiter(chain.from_iterable(each), np.uint32, int(lengths.sum())), lengths
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
         if not texts:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if not self.by_words:
+            return self._whole(texts)
         if len(self.words.numbers) > self.max_words:
             self.words = _Ids(self.end_id)
         words: list[str] = []
@@ -357,7 +381,7 @@ NULL_ID = -(1 << 63)
 def write_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
     """Writes the ids of all texts in ascending doc_id order, one file for each range; (file, n_docs, n_tokens) of the files.
 
-    Null texts are empty; null ids come first and are read back as null; rows of equal id are ordered by text.
+    Null texts are empty; null ids come first and are read back as null; rows of equal id are ordered by a hash of their text.
     A task that runs again writes the same file anew.
     """
     folder = folder or shared_dir(docs.sparkSession, "tokens")
@@ -374,7 +398,12 @@ def write_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: s
             yield pd.DataFrame([(uri, *writer.close())], columns=["file", "n_docs", "n_tokens"])
 
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return stored(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInPandas(write, WRITTEN), "token-files")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // FILE_BYTES + 1)
+    # the last one tells equal rows apart, so that no range has to hold all of them
+    order = ["doc_id", "digest", "row"]
+    ordered = rows.withColumns({"digest": F.xxhash64("text"), "row": F.monotonically_increasing_id()}).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return stored(ordered.select("doc_id", "text").mapInPandas(write, WRITTEN), "token-files")
 
 
 def read_files(files: DataFrame) -> DataFrame:
