@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import join_hot, stored
 
 SPACE = r"[\\x20\\x09-\\x0D]+"
 WINDOW = 8
@@ -70,34 +70,46 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 
 
 def common_lines(measured: DataFrame, least_docs: int = 10, share: float = 0.01, documents: bool = False) -> DataFrame:
-    """(host, line) of the lines in more than least_docs distinct texts and more than that share of the host's distinct texts; with documents, of its distinct doc_ids instead."""
+    """(host, line, n) of the lines in more than least_docs distinct texts and more than that share of the host's distinct texts; with documents, of its distinct doc_ids instead, all null ones being one."""
     unit = F.coalesce(F.col("doc_id").cast("string"), F.lit("")) if documents else F.col("digest")
     counted = measured.select("host", unit.alias("unit"), "lines")
     units = counted.groupBy("host", "unit").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("units"))
     carried = counted.select("host", "unit", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
     counts = carried.groupBy("host", "line", "unit").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least_docs)
-    return counts.join(units, "host").where(F.col("n") > share * F.col("units")).select("host", "line")
+    return counts.join(units, "host").where(F.col("n") > share * F.col("units")).select("host", "line", "n")
+
+
+def _lost(measured: DataFrame, least_docs: int, share: float, documents: bool) -> DataFrame:
+    """(key, n, common, removed) for each host and text with common lines: the lines, their words, and how many rows have that text. A text is judged once, before its copies meet the verdict."""
+    # a host with a text is one key, and so is a host with a line
+    texts = measured.groupBy(F.struct("host", "digest").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.first("lines").alias("lines"))
+    lines = texts.select("key", "n", F.explode("lines").alias("l")).select("key", F.col("n").alias("rows"), F.struct(F.col("key.host").alias("host"), F.col("l.line").alias("line")).alias("place"), F.col("l.words").alias("words"))
+    common = stored(common_lines(measured, least_docs, share, documents).select(F.struct("host", "line").alias("place"), "n"), "common")
+    total = common.agg(F.sum("n")).first()[0] or 0
+    found = join_hot(lines, common, "place", ["key"], total, "inner")
+    return found.groupBy("key").agg(F.first("rows").alias("n"), F.collect_set("place.line").alias("common"), F.sum("words").alias("removed"))
 
 
 def remaining(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least_words: int = 20, most_repeated: int = 30, least_docs: int = 10, share: float = 0.01, most_removed: float = 0.5, documents: bool = False) -> DataFrame:
     """(doc_id, kept, removed_words, text) of every row: what judge says of it, and its text without the host's common lines.
 
-    Verdicts belong to the pair of host and text, so rows meet theirs by it. A null text stays null; blank lines stay.
+    Verdicts belong to the pair of host and text, so rows meet theirs by it; where many rows have one text, they are dealt out. A null text stays null; blank lines stay.
     """
     measured = stored(measure(docs, id_col, text_col, host_col), "quality")
-    carried = measured.select("host", "digest", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
-    lost = carried.join(common_lines(measured, least_docs, share, documents), ["host", "line"]).groupBy("host", "digest").agg(F.collect_set("line").alias("common"))
-    figures = measured.groupBy("host", "digest").agg(F.first("n_words").alias("n_words"), F.first("n_repeat_words").alias("n_repeat_words")).join(lost, ["host", "digest"], "left")
+    figures = measured.groupBy(F.struct("host", "digest").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.first("n_words").alias("n_words"), F.first("n_repeat_words").alias("n_repeat_words"))
+    facts = figures.join(_lost(measured, least_docs, share, documents).select("key", "common"), "key", "left")
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("-")).alias("host"),
         F.col(text_col).cast("string").alias("text"),
-    ).withColumn("digest", F.expr("xxhash64(coalesce(text, ''))"))
+    ).withColumn("key", F.struct("host", F.expr("xxhash64(coalesce(text, ''))").alias("digest"))).drop("host")
+    # the place of a row in its partition deals out rows that are equal
+    joined = join_hot(rows.withColumn("row", F.monotonically_increasing_id()), facts, "key", ["row"], measured.count(), "inner")
     lines = "zip_with(split(text, '\\n'), split(lower(regexp_replace(text, '[\\\\x20\\\\x09\\\\x0B-\\\\x0D]+', ' ')), '\\n'), (raw, p) -> struct(raw as raw, trim(p) as plain))"
     gone = f"filter({lines}, x -> array_contains(common, xxhash64(x.plain)))"
     removed = f"coalesce(aggregate({gone}, 0L, (n, x) -> n + length(x.plain) - length(replace(x.plain, ' ', '')) + 1), 0L)"
     left = f"if(common is null, text, array_join(transform(filter({lines}, x -> not array_contains(common, xxhash64(x.plain))), x -> x.raw), '\n'))"
-    judged = rows.join(figures, ["host", "digest"]).selectExpr("doc_id", "n_words", "n_repeat_words", f"{removed} as removed_words", f"{left} as text")
+    judged = joined.selectExpr("doc_id", "n_words", "n_repeat_words", f"{removed} as removed_words", f"{left} as text")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     return judged.select("doc_id", (~failed & (F.col("removed_words") <= most_removed * F.col("n_words"))).alias("kept"), "removed_words", "text")
 
@@ -105,15 +117,11 @@ def remaining(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", least_words: int = 20, most_repeated: int = 30, least_docs: int = 10, share: float = 0.01, most_removed: float = 0.5, documents: bool = False) -> DataFrame:
     """Every row's figures, base_failed, removed_words and kept."""
     measured = stored(measure(docs, id_col, text_col, host_col), "quality")
-    common = common_lines(measured, least_docs, share, documents)
-    lines = measured.select("doc_id", "host", "digest", F.explode("lines").alias("l")).select("doc_id", "host", "digest", "l.line", "l.words")
-    lost = lines.join(common, ["host", "line"]).groupBy("doc_id", "host", "digest").agg(F.sum("words").alias("removed"))
-    rows = measured.groupBy("doc_id", "host", "digest").agg(F.count(F.lit(1)).alias("rows"))
-    # rows that repeat a document have each counted: their common sum is shared out
-    removed = lost.join(rows, (lost.doc_id.eqNullSafe(rows.doc_id)) & (lost.host == rows.host) & (lost.digest == rows.digest)).select(lost.doc_id.alias("r_doc"), lost.host.alias("r_host"), lost.digest.alias("r_digest"), (lost.removed / rows.rows).cast("long").alias("removed_words"))
-    joined = measured.drop("lines").join(removed, F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("host") == F.col("r_host")) & (F.col("digest") == F.col("r_digest")), "left")
+    lost = _lost(measured, least_docs, share, documents).select("key", "n", "removed")
+    rows = measured.drop("lines").withColumn("key", F.struct("host", "digest")).withColumn("row", F.monotonically_increasing_id())
+    joined = join_hot(rows, lost, "key", ["row"], measured.count())
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
-    gone = F.coalesce("removed_words", F.lit(0))
+    gone = F.coalesce("removed", F.lit(0))
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), gone.cast("long").alias("removed_words"),
