@@ -99,8 +99,21 @@ def _matches(pattern: str, check: str, gate: str, least: int = 1) -> str:
     return f"case when {gate} then {found} else cast(array() as {SPAN}) end"
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, held, email, ip, card, phone, cands), stored: the base spans of every row, and its candidates with what is read of the text around them."""
+#: Code points of a stretch of a text in which spans meet: a span is listed in each that it reaches into, so no span is held against all others of its text.
+STRETCH = 64
+#: Code points of the pieces that a long text is cut into to be read from.
+CHUNK = 4096
+
+
+def _met(rows: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
+    return rows.withColumn("stretch", F.explode(F.expr(f"sequence({start} div {STRETCH}, greatest({end} - 1, {start}) div {STRETCH})")))
+
+
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Two stored tables: (row, doc_id, held, email, ip, card, phone), the base spans of every row; and (row, held, start, end, body, lead, next, kinds, base, free), its candidates.
+
+    A candidate comes with what is read of the text around it. kinds are bits of the kinds whose base spans it covers to three quarters, base of those of which it is one, and free says that it touches none.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("numeric", F.col("text").rlike("[0-9]"))
     patterns = {"email": (EMAIL, "instr(text, '@') > 0"), "ip": (IP, "numeric and instr(text, '.') > 0"), "card": (CARD, "numeric"), "phone": (PHONE, "numeric and instr(text, '+') > 0")}
@@ -114,10 +127,20 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     every = f"concat({', '.join([*(f'all_{kind}' for kind in KINDS), *(f'more_{name}' for name in MORE)])})"
     # as numbers, among which equal ones are found by hashing
     places = f"transform(array_distinct(transform({every}, c -> c.start * {1 << 31} + c.end)), c -> named_struct('start', c div {1 << 31}, 'end', c % {1 << 31}))"
-    part = lambda start, size: f"substr(text, cast({start} as int) + 1, cast({size} as int))"
-    read = f"named_struct('start', c.start, 'end', c.end, 'body', {part('c.start', 'c.end - c.start')}, 'lead', {part('greatest(c.start - 24, 0)', 'least(c.start, 24)')}, 'next', {part('c.end', '1')})"
-    out = found.selectExpr("doc_id", "held", *[f"filter(all_{kind}, c -> c.ok) as {kind}" for kind in KINDS], f"transform({places}, c -> {read}) as cands")
-    return stored(out.withColumn("row", F.monotonically_increasing_id()), "pii")
+    # a text is cut into chunks once, so that reading around a span does not walk all that stands before it
+    whole = lambda start, size: f"substr(text, cast({start} as int) + 1, cast({size} as int))"
+    near = lambda start, size: f"substr(concat(t.ch[cast(({start}) div {CHUNK} as int)], coalesce(get(t.ch, cast(({start}) div {CHUNK} as int) + 1), '')), cast(({start}) % {CHUNK} as int) + 1, cast({size} as int))"
+    part = lambda start, size: f"if({size} <= 0, '', if({size} > {CHUNK} or size(t.ch) = 1, {whole(start, size)}, {near(start, size)}))"
+    read = f"named_struct('start', c.start, 'end', c.end, 'body', {part('c.start', 'c.end - c.start')}, 'lead', {part('greatest(c.start - 24, 0)', 'least(c.start, 24)')}, 'next', {part('c.end', 'least(t.n - c.end, 1)')})"
+    out = found.selectExpr("doc_id", "held", *[f"filter(all_{kind}, c -> c.ok) as {kind}" for kind in KINDS], f"transform(array(named_struct('n', length(text), 'ch', if(length(text) <= {CHUNK}, array(text), regexp_extract_all(text, '(?s).{{1,{CHUNK}}}+', 0)))), t -> transform({places}, c -> {read}))[0] as cands")
+    found = stored(out.withColumn("row", F.monotonically_increasing_id()), "pii")
+    each = found.select("row", "held", F.explode("cands").alias("s")).select("row", "held", "s.*")
+    spans = found.selectExpr("row", f"explode(concat({', '.join(f'transform({kind}, b -> named_struct("bit", {1 << i}, "b_start", b.start, "b_end", b.end))' for i, kind in enumerate(KINDS))})) as b").select("row", "b.*")
+    touch = _met(each.select("row", "start", "end")).join(_met(spans, "b_start", "b_end"), ["row", "stretch"]).where("b_start < end and start < b_end")
+    covers = "if(4 * (least(b_end, end) - greatest(b_start, start)) >= 3 * (b_end - b_start), bit, 0)"
+    facts = touch.groupBy("row", "start", "end").agg(F.expr(f"bit_or({covers})").alias("kinds"), F.expr("bit_or(if(b_start = start and b_end = end, bit, 0))").alias("base"))
+    whole = each.join(facts, ["row", "start", "end"], "left").selectExpr("row", "held", "start", "end", "body", "lead", "next", "coalesce(kinds, 0) as kinds", "coalesce(base, 0) as base", "kinds is null as free")
+    return found.drop("cands"), stored(whole, "candidates")
 
 
 #: SQL: the candidate has the mark of an address.
@@ -131,20 +154,16 @@ WRITTEN = {
 }
 
 
-def described(found: DataFrame) -> DataFrame:
+def described(cands: DataFrame) -> DataFrame:
     """(row, held, start, end, made, free, kinds, may, c) of every candidate: c has its features, kinds and may are bits.
 
-    kinds are those of the base spans that it covers to three quarters, free that it touches none, may what it can be at all. A candidate that is a base
+    kinds are those of the base spans that it covers, free that it touches none, may what it can be at all. A candidate that is a base
     span comes again in other ways of writing, with made, for training alone.
     """
-    one = found.selectExpr("row", "held", *KINDS, "explode(cands) as s").selectExpr("row", "held", "s.*", *KINDS)
-    covers = lambda kind: f"exists({kind}, b -> 4 * (least(b.end, end) - greatest(b.start, start)) >= 3 * (b.end - b.start))"
-    touches = lambda kind: f"exists({kind}, b -> b.start < end and start < b.end)"
-    is_base = lambda kind: f"exists({kind}, b -> b.start = start and b.end = end)"
     bits = lambda tests: " + ".join(f"if({test}, {1 << i}, 0)" for i, test in enumerate(tests))
     no = "cast(array() as array<string>)"
-    others = ", ".join(f"if({is_base(k)}, transform(array(body), x -> array({', '.join(WRITTEN[k])}))[0], {no})" for k in KINDS)
-    one = one.selectExpr("row", "held", "start", "end", "lead", "next", f"{bits(covers(k) for k in KINDS)} as kinds", f"not ({' or '.join(touches(k) for k in KINDS)}) as free", f"concat(array(body), {others}) as bodies")
+    others = ", ".join(f"if((base & {1 << i}) <> 0, transform(array(body), x -> array({', '.join(WRITTEN[k])}))[0], {no})" for i, k in enumerate(KINDS))
+    one = cands.selectExpr("row", "held", "start", "end", "lead", "next", "kinds", "free", f"concat(array(body), {others}) as bodies")
     one = one.selectExpr("*", "posexplode(bodies) as (nth, b)").selectExpr("*", f"{_digits_only('b')} as d", "filter(split(b, '[^0-9]+'), g -> g <> '') as parts")
     side = lambda c: f"case when {c} = '' or {c} rlike '^[\\s]' then 0 when {c} rlike '^[A-Za-z0-9]' then 2 else 1 end"
     fields = {
@@ -256,13 +275,13 @@ def calibrated(margins: list[float], positive: list[int], count: list[int], roun
     return a, b
 
 
-def train(found: DataFrame, precision: float = 0.75, max_cells: int = 4000) -> dict[str, tuple]:
+def train(cands: DataFrame, precision: float = 0.75, max_cells: int = 4000) -> dict[str, tuple]:
     """For each kind (prior, trees, threshold on the margin), where both folds have candidates that are of the kind and others and a threshold has the precision.
 
     Only counts of distinct descriptions reach the driver: the max_cells commonest of either fold.
     """
     names = list(FEATURES)
-    one = described(found).where("free or kinds <> 0").select("held", *[F.col(f"c.{n}").alias(n) for n in names], *[F.expr(f"kinds & {1 << i}").cast("boolean").cast("int").alias(f"is_{kind}") for i, kind in enumerate(KINDS)])
+    one = described(cands).where("free or kinds <> 0").select("held", *[F.col(f"c.{n}").alias(n) for n in names], *[F.expr(f"kinds & {1 << i}").cast("boolean").cast("int").alias(f"is_{kind}") for i, kind in enumerate(KINDS)])
     counts = one.groupBy("held", *names).agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"is_{kind}").alias(kind) for kind in KINDS])
     folds = {held: counts.where(F.col("held") == held).orderBy(F.desc("n"), *names).limit(max_cells).collect() for held in (False, True)}
     cells = {held: [tuple(r[n] for n in names) for r in rows] for held, rows in folds.items()}
@@ -285,12 +304,12 @@ ADDED = "array<struct<start:bigint,end:bigint,kind:string,score:double>>"
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, email, ip, card, phone, added) of every row; added has the candidates that the trees of a kind selected, with their margin above its threshold."""
-    found = candidates(docs, id_col, text_col)
-    return select(found, train(found))
+    found, cands = candidates(docs, id_col, text_col)
+    return select(found, cands, train(cands))
 
 
-def select(found: DataFrame, models: dict[str, tuple]) -> DataFrame:
-    """What find gives, by trained models. Only candidates that are selected meet again by row."""
+def select(found: DataFrame, cands: DataFrame, models: dict[str, tuple]) -> DataFrame:
+    """What find gives, by trained models. Only candidates that are selected meet each other, by stretch, and then their row."""
     nothing = f"cast(array() as {ADDED})"
     if not models:
         return found.selectExpr("doc_id", *KINDS, f"{nothing} as added")
@@ -301,7 +320,9 @@ def select(found: DataFrame, models: dict[str, tuple]) -> DataFrame:
             margin = " + ".join([f"{prior!r}D", *[tree_sql(t, "c") for t in trees]])
             scored.append(f"if((may & {1 << i}) <> 0, named_struct('start', start, 'end', end, 'kind', '{kind}', 'score', {margin} - {threshold!r}D), null)")
     # sums of the same terms in another order may differ in the last digits
-    picked = described(found).where("free and may <> 0").selectExpr("row", f"explode(filter(array({', '.join(scored)}), s -> s.score >= -1e-9D)) as s")
-    best = "filter(a, c -> not exists(a, o -> o.start < c.end and c.start < o.end and (o.score > c.score or (o.score = c.score and (o.start < c.start or (o.start = c.start and (o.end > c.end or (o.end = c.end and o.kind < c.kind))))))))"
-    added = picked.groupBy("row").agg(F.collect_set("s").alias("a")).selectExpr("row", f"array_sort({best}) as added")
+    picked = stored(described(cands).where("free and may <> 0").selectExpr("row", f"explode(filter(array({', '.join(scored)}), s -> s.score >= -1e-9D)) as s").distinct(), "picked")
+    met = _met(picked.selectExpr("row", "s", "s.start", "s.end")).drop("start", "end")
+    better = "o.start < s.end and s.start < o.end and (o.score > s.score or (o.score = s.score and (o.start < s.start or (o.start = s.start and (o.end > s.end or (o.end = s.end and o.kind < s.kind))))))"
+    beaten = met.join(met.withColumnRenamed("s", "o"), ["row", "stretch"]).where(better).select("row", "s").distinct()
+    added = picked.join(beaten, ["row", "s"], "left_anti").groupBy("row").agg(F.array_sort(F.collect_list("s")).alias("added"))
     return found.join(added, "row", "left").selectExpr("doc_id", *KINDS, f"coalesce(added, {nothing}) as added")
