@@ -13,7 +13,7 @@ from digestlake.functions import vectors as V
 
 from digestlake.sources.tables import written
 
-from . import neighbours, ranking
+from . import manifold, neighbours, ranking
 
 
 def grams(text, stop: list[str] = P.STOP_WORDS) -> Column:
@@ -183,7 +183,7 @@ def kmeans(points: DataFrame, vector: str = "embedding", k: int = 20, runs: int
 
 
 def reduced(points: DataFrame, vector: str = "embedding", dims: int = 10) -> DataFrame:
-    """points with reduced, the first principal components; 0 dims keeps the vector. It takes the place of a manifold projection and gives other values than one."""
+    """points with reduced, the first principal components; 0 dims keeps the vector."""
     if dims == 0:
         return points.withColumn("reduced", F.col(vector).cast("array<double>"))
     from pyspark.ml.feature import PCA
@@ -193,6 +193,16 @@ def reduced(points: DataFrame, vector: str = "embedding", dims: int = 10) -> Dat
     return PCA(k=dims, inputCol="_v", outputCol="_r").fit(ready).transform(ready).withColumn("reduced", vector_to_array("_r")).drop("_v", "_r")
 
 
+def umap(points: DataFrame, key: str = "vec_id", vector: str = "embedding", dims: int = 10, nearest: int = 15, min_dist: float = 0.0, seed: int = 42, epochs: int = 200, rounds: int = 8, block: int = 2000) -> DataFrame:
+    """points with reduced, their place on a manifold of dims dimensions; 0 dims keeps the vector. Keys are unique."""
+    if dims == 0:
+        return reduced(points, vector, 0)
+    rows = numbered(points, key, vector)
+    start = reduced(rows.select("i", "v"), "v", dims).select("i", F.col("reduced").alias("y"))
+    placed = manifold.reduced(rows, start, rows.count(), dims, nearest, min_dist, seed, epochs, rounds, block)
+    return points.join(rows.join(placed, "i").select(F.col("k").alias(key), F.col("y").alias("reduced")), key)
+
+
 def density_labels(x: np.ndarray, least_size: int, least_samples: int, leaf: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(label, probability) of points by hierarchical density clustering (Campello, Moulavi and Sander 2013); -1 is noise.
 

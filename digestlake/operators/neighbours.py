@@ -112,41 +112,56 @@ def grid(rows: DataFrame, n: int, block: int, most_pivots: int = PIVOTS) -> Grid
     return Grid(points, pivots, numbers, distances(pivots, pivots), first)
 
 
-def core_distances(g: Grid, k: int) -> tuple[DataFrame, DataFrame]:
-    """(i, core), the distance to the k-th nearest point, a point being its own first; and the pairs (b, b2) of blocks that met for it. Both are stored."""
+def nearest(g: Grid, k: int) -> tuple[DataFrame, DataFrame]:
+    """(i, near), the k nearest points as (distance, number), a point being its own first and the smaller number coming first of equals; and the pairs (b, b2) of blocks that met for it. Both are stored."""
+    found = "i long, d array<double>, j array<long>"
 
-    def nearest(p, p2) -> pd.DataFrame:
+    def search(p, p2) -> pd.DataFrame:
         d = distances(np.stack([r["v"] for r in p]), np.stack([r["v"] for r in p2]))
+        own, other = np.array([r["i"] for r in p]), np.array([r["i"] for r in p2])
+        by = np.argsort(other)
+        d, other = d[:, by], other[by]
+        if p is p2:
+            d[own[:, None] == other[None, :]] = -1.0  # itself before its copies
         m = min(k, d.shape[1])
-        least = np.sort(np.partition(d, m - 1, axis=1)[:, :m], axis=1)
-        return pd.DataFrame({"i": [r["i"] for r in p], "d": list(least)})
+        # all that are as near as the m-th may be among the first, so ties are ordered before the cut
+        first = np.argsort(d, axis=1, kind="stable")[:, :m]
+        least = np.maximum(np.take_along_axis(d, first, axis=1), 0)
+        return pd.DataFrame({"i": own, "d": list(least), "j": list(other[first])})
 
     def inside(frames):
         for frame in frames:
             for b, cell, p in zip(frame["b"], frame["cell"], frame["p"]):
-                yield nearest(p, p).assign(b=b, cell=cell)
+                yield search(p, p).assign(b=b, cell=cell)
 
     blocks = g.blocks()
-    own = written(blocks.select("b", "cell", "p").mapInPandas(inside, "i long, d array<double>, b long, cell int"), "inside")
+    own = written(blocks.select("b", "cell", "p").mapInPandas(inside, f"{found}, b long, cell int"), "inside")
     # the most that a point of the block still looks for; without k points in the block, anything
     most = own.groupBy("b").agg(F.max(F.when(F.size("d") >= k, F.try_element_at("d", F.lit(k))).otherwise(float("inf"))).alias("most"))
     known = written(blocks.select("b", "cell", "lo", "hi").join(most, "b"), "blocks")
     radius, asked = np.zeros(len(g.pivots)), np.full(len(g.pivots), -np.inf)
     for r in known.groupBy("cell").agg(F.max("hi").alias("hi"), F.max("most").alias("most")).collect():
         radius[r["cell"]], asked[r["cell"]] = r["hi"], r["most"]
-    some = np.isfinite(asked) | (asked == np.inf)
+    some = asked > -np.inf
     cells = (g.gaps - radius[:, None] - radius[None, :] <= asked[:, None] + SLACK) & some[:, None] & some[None, :]
     met = written(g.pairs(known, known, cells, None).where("b <> b2"), "met")
 
     def between(frames):
         for frame in frames:
             for p, p2 in zip(frame["p"], frame["p2"]):
-                yield nearest(p, p2)
+                yield search(p, p2)
 
     two = met.join(blocks.select("b", "p").hint("merge"), "b").join(blocks.select(F.col("b").alias("b2"), F.col("p").alias("p2")).hint("merge"), "b2")
-    every = own.select("i", "d").unionByName(two.select("p", "p2").mapInPandas(between, "i long, d array<double>"))
-    cores = every.groupBy("i").agg(F.array_sort(F.flatten(F.collect_list("d"))).alias("d")).select("i", F.element_at("d", F.least(F.lit(k), F.size("d"))).alias("core"))
-    return written(cores, "cores"), met
+    every = own.select("i", "d", "j").unionByName(two.select("p", "p2").mapInPandas(between, found))
+    one = every.select("i", F.zip_with("d", "j", lambda d, j: F.struct(d.alias("d"), (j != F.col("i")).alias("other"), j.alias("j"))).alias("near"))
+    lists = one.groupBy("i").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
+    return written(lists.select("i", F.transform("near", lambda s: F.struct(s["d"].alias("d"), s["j"].alias("j"))).alias("near")), "near"), met
+
+
+def core_distances(g: Grid, k: int) -> tuple[DataFrame, DataFrame]:
+    """(i, core), the distance to the k-th nearest point, a point being its own first; and the pairs of blocks that met for it."""
+    near, met = nearest(g, k)
+    return near.select("i", F.element_at("near", -1)["d"].alias("core")), met
 
 
 def _ways(w: np.ndarray) -> np.ndarray:

@@ -12,11 +12,12 @@ from digestlake.functions import scores as S
 from digestlake.functions import text as T
 from digestlake.functions import vectors as V
 from digestlake.operators import clustering, momentum, neighbours, posts, ranking, render, scoring
+from digestlake.operators import embedding as vectors_of
 from digestlake.sources import pages, sinks
 from digestlake.sources import posts as source
 
 from . import oracle
-from .pipeline import Settings, by_topic, digest, filtered, stories, topic_prompts
+from .pipeline import Settings, by_topic, digest, filtered, hybrid_digest, stories, topic_prompts
 
 SETTINGS = Settings(as_of=datetime(2024, 1, 4), handles=["src0", "src3", "src7"], title="Digest")
 STRICT = Settings.strict(as_of=datetime(2024, 1, 4), handles=SETTINGS.handles)
@@ -438,6 +439,22 @@ def hdbscan(e):
     return clustering.density(clustering.reduced(e.select("vec_id", "embedding")), vector="reduced")
 
 
+@_table("embeddings")
+def umap(e):
+    return clustering.umap(e.select("vec_id", "embedding")).select("vec_id", F.transform("reduced", lambda x: F.round(x, 6)).alias("reduced"))
+
+
+@_query
+def embedding(p):
+    weights = clustering.tfidf(posts.originals(p).withColumn("clean_text", T.clean("text")), text="clean_text")
+    return vectors_of.embedded(weights).select("id", F.size("embedding").cast("bigint").alias("dims"), F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
+
+
+@_query
+def hybrid_clusters(p):
+    return hybrid_digest(p, SETTINGS)
+
+
 @_table("embeddings")
 def pca(e):
     return clustering.reduced(e.select("vec_id", "embedding")).select("vec_id", F.transform("reduced", lambda x: F.round(x, 6)).alias("reduced"))

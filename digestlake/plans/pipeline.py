@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from digestlake.functions import scores as S
 from digestlake.functions import text as T
-from digestlake.operators import momentum, posts, ranking, render, scoring
+from digestlake.operators import clustering, embedding, momentum, posts, ranking, render, scoring
+from digestlake.sources.tables import written
 
 
 @dataclass(frozen=True)
@@ -72,6 +73,41 @@ def digest(rows: DataFrame, s: Settings) -> DataFrame:
     return render.digest_lines(assigned, top, sources, others, s.title, s.as_of.strftime("%Y-%m-%d %H:%M"), s.span)
 
 
+def hybrid_vectors(rows: DataFrame, dims: int = 64, weight: float = 0.35) -> DataFrame:
+    """(id, embedding): posts (id, text) as dense vectors of their words beside their weighted terms, brought to dims dimensions by the strongest directions of the joined matrix."""
+    texts = written(rows.select("id", T.clean("text").alias("clean_text"), clustering.weighted_text("text").alias("weighted_text")), "texts")
+    dense = embedding.embedded(clustering.tfidf(texts, text="clean_text"), dims=dims)
+    joined, columns = embedding.hybrid(dense, clustering.tfidf(texts, text="weighted_text"), dims, weight=weight)
+    sparse = written(joined, "hybrid")
+    return embedding.projected(sparse, embedding.basis(sparse, columns, dims)).select("id", "embedding")
+
+
+def hybrid_clusters(rows: DataFrame, least_size: int = 10, least_samples: int = 5, dims: int = 10, leaf: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(posts with cluster, probability and secondary clusters, vectors with cluster): words to vectors, to a manifold, to clusters by density. Posts without words have no vector and are noise."""
+    vectors = written(hybrid_vectors(rows), "vectors")
+    found = clustering.density(clustering.umap(vectors, "id", dims=dims), "id", "reduced", least_size, least_samples, leaf)
+    points = written(vectors.join(found, "id"), "clustered")
+    second = clustering.soft_assign(points, clustering.centroids(points), "id").select("id", "secondary")
+    own = rows.join(points.select("id", "cluster", "probability").join(second, "id"), "id", "left")
+    nobody = F.expr("cast(array() as array<int>)")
+    return written(own.withColumns({"cluster": F.coalesce("cluster", F.lit(-1)), "probability": F.coalesce("probability", F.lit(0.0)), "secondary": F.coalesce("secondary", nobody)}), "grouped"), points
+
+
+def hybrid_digest(rows: DataFrame, s: Settings) -> DataFrame:
+    """(cluster, label, size, secondary, file, prompt) of each cluster of original posts, each post once, from their texts alone; secondary counts posts of other clusters that are nearly as close."""
+    own = posts.enough(posts.originals(posts.dedup_first(rows)))
+    grouped, _ = hybrid_clusters(written(own, "posts"))
+    some = grouped.where("cluster <> -1").withColumn("clean_text", T.clean("text"))
+    sizes = some.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    labels = written(clustering.labels(clustering.keywords(some), clustering.entity_counts(some), sizes), "labels")
+    near = grouped.select(F.explode("secondary").alias("cluster")).groupBy("cluster").agg(F.count(F.lit(1)).alias("secondary"))
+    best = ranking.top_per_group(some, ["cluster"], [F.desc("likes"), F.asc("_ord")], s.per_cluster).join(F.broadcast(labels), "cluster")
+    asked = render.prompts(best.withColumn("named", F.struct("cluster", "label")), "named", F.concat(F.lit("# Cluster "), F.col("named.cluster").cast("string"), F.lit(": "), F.col("named.label")))
+    file = F.concat(render.file_label(F.col("cluster"), F.col("label"), hybrid=True), F.lit(".txt"))
+    rows = asked.select("named.*", "prompt").join(sizes, "cluster").join(near, "cluster", "left")
+    return rows.select("cluster", "label", "size", F.coalesce("secondary", F.lit(0).cast("long")).alias("secondary"), file.alias("file"), "prompt")
+
+
 class Pipeline:
     """Named steps from DataFrame to DataFrame.
 
