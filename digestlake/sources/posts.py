@@ -11,21 +11,21 @@ from pyspark.sql import functions as F
 
 from digestlake.functions.text import parsed_time
 
+from . import jsonsplits
+
 POST = (
     "struct<id:string,text:string,created_at:string,user:struct<name:string,screen_name:string,verified:boolean,followers:bigint>,"
     "metrics:struct<likes:bigint,retweets:bigint,replies:bigint,views:string>,is_retweet:boolean,is_quote:boolean,_query:string>"
 )
-ENVELOPE = f"struct<tweets:array<{POST}>,stats:string>"
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """Nested posts of JSON files that each hold a list of posts or an envelope {tweets, stats}.
+def read_json(spark: SparkSession, path: str, split_bytes: int = jsonsplits.SPLIT_BYTES) -> DataFrame:
+    """Nested posts of JSON files that each hold a list of posts or an envelope {tweets, stats}, in the order of their bytes.
 
-    The schema is given, not inferred. Files are read whole, as an array spans lines.
+    The schema is given, not inferred. A file is read in ranges of split_bytes by several tasks, though an array spans lines.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.ltrim("value").alias("value"), F.input_file_name().alias("file"))
-    listed = F.when(F.col("value").startswith("["), F.from_json("value", f"array<{POST}>")).otherwise(F.from_json("value", ENVELOPE)["tweets"])
-    return whole.select("file", F.posexplode(listed).alias("at", "post")).select(F.struct("file", "at").alias("_ord"), "post.*")
+    listed = jsonsplits.records(spark, path, split_bytes)
+    return listed.select(F.struct("file", "at").alias("_ord"), F.from_json("value", POST).alias("post")).select("_ord", "post.*")
 
 
 def flat(posts: DataFrame) -> DataFrame:
