@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from digestlake.functions import text as T
 from digestlake.functions import vectors as V
 from digestlake.operators import clustering, momentum, neighbours, posts, ranking, render, scoring
 from digestlake.operators import embedding as vectors_of
-from digestlake.sources import pages, sinks
+from digestlake.sources import pages, replay, sinks, tables
 from digestlake.sources import posts as source
 
 from . import oracle
@@ -494,6 +495,24 @@ def _page_posts(p: DataFrame, search: bool) -> DataFrame:
     return source.flat(nested).select("id", "text", "created_at", "screen_name", "verified", "followers", "likes", "_query")
 
 
+def _feeds(p: DataFrame) -> DataFrame:
+    """(feed, page, cursor, text) of three feeds of captured pages, each page naming the cursor that the next one is asked with."""
+    numbered = p.withColumn("_ord", F.expr("_ord div 3"))
+    each = [_captured(numbered.where(F.col("_query") == feed)).withColumn("feed", F.lit(feed)) for feed in ("q0", "q1", "q2")]
+    return reduce(DataFrame.unionByName, each).withColumn("cursor", F.when(F.col("page") > 0, F.concat(F.lit("next-"), (F.col("page") - 1).cast("string"))))
+
+
+@_query
+def timeline_replay(p):
+    """Feeds that are written as pages and followed from cursor to cursor."""
+    path = tables.folder(p.sparkSession, "feeds")
+    replay.capture(_feeds(p), path)
+    followed = replay.read(p.sparkSession, path, target=1 << 40)
+    found = pages.entries(pages.parse(followed.withColumn("page", F.struct("feed", "page"))))
+    named = pages.posts(found, None).withColumn("_query", F.col("_ord.page.feed"))
+    return source.flat(named).select("id", "text", "screen_name", "likes", "_query")
+
+
 @_query
 def timeline_posts(p):
     return _page_posts(p, False)

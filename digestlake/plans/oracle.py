@@ -311,6 +311,7 @@ def queries() -> dict[str, str]:
         "cluster_vectors": _with(["posts"], "SELECT id, label AS cluster, screen_name, likes, round(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 4) AS length FROM posts JOIN embeddings ON id = CAST(vec_id AS VARCHAR)"),
         "vector_prompts": _with(["own"], _prompt("best", "cluster", "'# Cluster ' || cluster || ': vectors'"), best="SELECT own.*, label AS cluster, row_number() OVER (PARTITION BY label ORDER BY likes DESC, _ord) AS rn FROM own JOIN embeddings ON id = CAST(vec_id AS VARCHAR) WHERE label <> -1 QUALIFY rn <= 100"),
         "timeline_posts": _with(["posts"], "SELECT id, text, created_at, screen_name, verified, followers, likes, 'captured' AS _query FROM posts WHERE _ord % 10 <> 3"),
+        "timeline_replay": _with(["posts"], "SELECT id, text, screen_name, likes, _query FROM posts WHERE (_ord // 3) % 10 <> 3"),
         "search_posts": _with(["posts"], "SELECT id, text, created_at, screen_name, verified, followers, likes, 'captured' AS _query FROM posts WHERE _ord % 10 <> 3 OR _ord % 4 = 1"),
         "page_cursors": _with(["posts"], "SELECT DISTINCT _ord // 25 AS page, 'next-' || (_ord // 25) AS cursor FROM posts"),
         "payloads": _with(["posts"], _payloads()),
