@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from digestlake.functions import scores as S
 from digestlake.functions import text as T
@@ -118,6 +122,32 @@ class Pipeline:
     def __init__(self, *steps: tuple, optional: tuple[str, ...] = (), settle=None):
         self.steps, self.optional, self.skipped, self.settle = steps, optional, [], settle or _settled
 
+    def resumed(self, rows: DataFrame, folder: str, run_id: str, given: str = "") -> DataFrame:
+        """As run, with each step's table written under folder/run_id and read back.
+
+        A manifest is written after a table, so a run that is started again under its id goes on after the last whole step; a table without one is written anew. given names what the run works on, its
+        input and settings: a manifest of another input, or of other steps before it, does not count. A skipped optional step is tried again.
+        """
+        spark, mark = rows.sparkSession, given
+        for number, (name, step) in enumerate(self.steps):
+            mark = hashlib.sha256(f"{mark}|{number}|{name}".encode()).hexdigest()
+            path = f"{folder.rstrip('/')}/{run_id}/{number:02d}-{name}"
+            if (known := _manifest(spark, path)) and known["mark"] == mark:
+                rows = spark.read.schema(known["schema"]).parquet(f"{path}/table")
+                continue
+            try:
+                made = step(rows)
+                made.write.mode("overwrite").parquet(f"{path}/table")
+            except Exception:
+                if name not in self.optional:
+                    raise
+                self.skipped.append(name)
+                mark += "-skipped"
+                continue
+            rows = spark.read.schema(made.schema).parquet(f"{path}/table")
+            spark.createDataFrame([(mark, name, rows.count(), rows.schema.json())], MANIFEST).coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+        return rows
+
     def run(self, rows: DataFrame) -> DataFrame:
         for name, step in self.steps:
             if name not in self.optional:
@@ -130,6 +160,18 @@ class Pipeline:
         return rows
 
 
+MANIFEST = "mark string, step string, rows long, schema string"
+
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    """The mark and schema of a step whose table is whole, or None."""
+    try:
+        found = spark.read.schema(MANIFEST).json(f"{path}/manifest").collect()
+    except AnalysisException:
+        return None
+    return {"mark": found[0]["mark"], "schema": StructType.fromJson(json.loads(found[0]["schema"]))} if len(found) == 1 and found[0]["schema"] else None
+
+
 def _settled(rows: DataFrame) -> DataFrame:
     rows = rows.persist()
     rows.count()
