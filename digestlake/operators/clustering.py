@@ -16,9 +16,13 @@ from digestlake.sources.tables import written
 from . import manifold, neighbours, ranking
 
 
-def grams(text, stop: list[str] = P.STOP_WORDS) -> Column:
-    """One- and two-word terms of at least two characters a word, without stop words."""
-    words = F.filter(F.regexp_extract_all(F.lower(T._t(text)), F.lit(f"{P.WORD}{{2,}}"), 0), lambda w: ~w.isin(stop))
+def words(text, stop: list[str] = P.STOP_WORDS) -> Column:
+    """Words of at least two characters, without stop words."""
+    return F.filter(F.regexp_extract_all(F.lower(T._t(text)), F.lit(f"{P.WORD}{{2,}}"), 0), lambda w: ~w.isin(stop))
+
+
+def grams(words: Column) -> Column:
+    """The words and their pairs of neighbours."""
     pair = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))
     return F.transform(F.array(words), lambda w: F.when(F.size(w) > 1, F.concat(w, pair(w))).otherwise(w))[0]
 
@@ -32,32 +36,34 @@ def weighted_text(text="text") -> Column:
 def tfidf(docs: DataFrame, doc: str = "id", text: str = "text", stop: list[str] = P.STOP_WORDS, least_docs: int = 2, most_share: float = 0.8, features: int = 5000) -> DataFrame:
     """(doc, term, weight) with smoothed idf and vectors of length one, as rows and never dense.
 
-    The vocabulary is the features most frequent terms in at least least_docs and at most most_share of the documents.
+    A document is one row. The vocabulary is the features most frequent terms in at least least_docs and at most most_share of the documents. Words are found once and written; terms are counted for each task before they
+    move, and of the documents only terms of the vocabulary do, which goes to every task.
     """
-    n = docs.agg(F.count(F.lit(1)).alias("docs"))
-    counts = docs.select(doc, F.explode(grams(text, stop)).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).crossJoin(F.broadcast(n))
-    kept = terms.where((F.col("df") >= least_docs) & (F.col("df") <= most_share * F.col("docs"))).orderBy(F.desc("total"), "term").limit(features)
-    idf = kept.select("term", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf"))
-    raw = counts.join(F.broadcast(idf), "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    lengths = raw.groupBy(doc).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    return raw.join(lengths, doc).select(doc, "term", (F.col("raw") / F.col("length")).alias("weight"))
+    found = written(docs.select(doc, words(text, stop).alias("words")), "words")
+    # once for its document and once for each time it occurs
+    once = F.transform(F.array_distinct(grams(F.col("words"))), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).alias("total")))
+    every = F.transform(grams(F.col("words")), lambda t: F.struct(t.alias("term"), F.lit(0).alias("df"), F.lit(1).alias("total")))
+    counted = found.select(F.explode(F.concat(once, every)).alias("t")).groupBy("t.term").agg(F.sum("t.df").alias("df"), F.sum("t.total").alias("total"))
+    n = found.agg(F.count(F.lit(1)).alias("docs"))
+    return _weights(found, doc, counted, n, (F.col("df") >= least_docs) & (F.col("df") <= most_share * F.col("docs")), features)
 
 
 def keywords(posts: DataFrame, cluster: str = "cluster", text: str = "clean_text", stop: list[str] = P.STOP_WORDS, features: int = 1000, most: int = 10) -> DataFrame:
     """The heaviest terms of each cluster, its texts taken as one document; noise (-1) has none."""
-    some = posts.where(F.col(cluster) != -1)
-    weights = tfidf_counts(some.select(cluster, F.explode(grams(text, stop + P.MARKUP_WORDS)).alias("term")).groupBy(cluster, "term").agg(F.count(F.lit(1)).alias("tf")), some.select(F.count_distinct(cluster).alias("docs")), cluster, features)
+    found = written(posts.where(F.col(cluster) != -1).select(cluster, words(text, stop + P.MARKUP_WORDS).alias("words")), "words")
+    counted = found.select(cluster, F.explode(grams(F.col("words"))).alias("term")).groupBy(cluster, "term").agg(F.count(F.lit(1)).alias("tf")).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    weights = _weights(found, cluster, counted, found.select(F.count_distinct(cluster).alias("docs")), F.lit(True), features)
     return ranking.top_per_group(weights, [cluster], [F.desc(F.round("weight", 9)), F.asc("term")], most)
 
 
-def tfidf_counts(counts: DataFrame, n: DataFrame, doc: str, features: int) -> DataFrame:
-    """(doc, term, weight) of counted terms over all of the features most frequent terms."""
-    terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).orderBy(F.desc("total"), "term").limit(features)
-    idf = terms.crossJoin(F.broadcast(n)).select("term", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf"))
-    raw = counts.join(F.broadcast(idf), "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    lengths = raw.groupBy(doc).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length"))
-    return raw.join(lengths, doc).select(doc, "term", (F.col("raw") / F.col("length")).alias("weight"))
+def _weights(found: DataFrame, doc: str, counted: DataFrame, n: DataFrame, common: Column, features: int) -> DataFrame:
+    """(doc, term, weight) of rows (doc, words), over the features most frequent of the counted terms (term, df, total) that are common; n has the number of docs."""
+    kept = counted.crossJoin(F.broadcast(n)).where(common).orderBy(F.desc("total"), "term").limit(features)
+    idf = written(kept.select("term", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf")), "vocabulary")
+    tf = found.select(doc, F.explode(grams(F.col("words"))).alias("term")).join(F.broadcast(idf), "term").groupBy(doc, "term", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    raw = tf.withColumn("raw", F.col("tf") * F.col("idf"))
+    length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(doc)))
+    return raw.select(doc, "term", (F.col("raw") / length).alias("weight"))
 
 
 def label_words(posts: DataFrame, cluster: str = "cluster", stop: list[str] = P.STOP_WORDS) -> DataFrame:

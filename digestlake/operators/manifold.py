@@ -1,7 +1,7 @@
 """Manifold reduction: a fuzzy graph of nearest neighbours, laid out in few dimensions by sampled descent (McInnes, Healy and Melville 2018).
 
 Neighbours are exact (neighbours.nearest), by cosine distance. Weights are found for each point by itself and joined over both directions. The layout starts from principal components and goes
-on in rounds: in each, every block of points takes several epochs by itself, its neighbours in other blocks standing still, and repels its own points and a bounded sample of all. Then positions
+on in rounds (one, where there is one block): in each, every block of points takes several epochs by itself, its neighbours in other blocks standing still, and repels its own points and a bounded sample of all. Then positions
 are written and exchanged. A block holds its points' own neighbours and no other edges, so a point that is near to very many is no burden to its block. Random numbers come from the seed, the round and the block.
 """
 
@@ -162,4 +162,4 @@ def reduced(rows: DataFrame, start: DataFrame, n: int, dims: int = 10, k: int =
     near, _ = neighbours.nearest(g, min(k, n))
     edges = graph(near, min(k, n))
     width = start.agg(F.max(F.array_max(F.transform("y", lambda c: F.abs(c))))).first()[0] or 1.0
-    return layout(edges, start.select("i", F.transform("y", lambda c: c * (10.0 / width)).alias("y")), g.points.select("i", "b"), n, dims, min_dist, epochs, rounds, seed)
+    return layout(edges, start.select("i", F.transform("y", lambda c: c * (10.0 / width)).alias("y")), g.points.select("i", "b"), n, dims, min_dist, epochs, rounds if g.n_blocks > 1 else 1, seed)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from digestlake.functions import patterns as P
@@ -25,10 +25,15 @@ def with_accounts(posts: DataFrame, handles: list[str] | DataFrame) -> DataFrame
     return out.withColumn("trusted", F.col("curated") | F.coalesce("verified", F.lit(False))).withColumn("quality_account", S.quality_account())
 
 
+def _entities(posts: DataFrame) -> Column:
+    """The entities of a post, which may have been found before."""
+    return F.col("entities") if "entities" in posts.columns else T.canonical_entities("text")
+
+
 def aggregate(posts: DataFrame, as_of: datetime, hours: float = 12) -> DataFrame:
     """(entity, tweets, quality, n_verified, n_curated, likes, recent, momentum) of every entity; a post counts once for an entity."""
     recent = F.col("ts").isNotNull() & (F.col("ts") >= F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(hours * 3600.0)))
-    named = posts.withColumn("recent_post", recent).select("*", F.explode(T.canonical_entities("text")).alias("entity"))
+    named = posts.withColumn("recent_post", recent).select("*", F.explode(_entities(posts)).alias("entity"))
     who = lambda condition: F.count_distinct(F.when(condition, F.coalesce("screen_name", F.lit(""))))
     out = named.groupBy("entity").agg(
         F.count(F.lit(1)).alias("tweets"), who(F.col("quality_account")).alias("quality"), who(F.coalesce("verified", F.lit(False))).alias("n_verified"), who(F.col("curated")).alias("n_curated"),
@@ -48,7 +53,7 @@ def assign(posts: DataFrame, top: DataFrame) -> DataFrame:
     top is the limited result of stories(), so it is broadcast.
     """
     small = top.select(F.col("entity").alias("story_entity"), "story", F.col("momentum").alias("story_momentum"))
-    named = posts.select("id", F.explode(T.canonical_entities("text")).alias("story_entity")).join(F.broadcast(small), "story_entity")
+    named = posts.select("id", F.explode(_entities(posts)).alias("story_entity")).join(F.broadcast(small), "story_entity")
     key = F.struct((~F.col("story_entity").isin(P.BROAD)).cast("int").alias("specific"), F.col("story_momentum"), (-F.col("story")).alias("first"))
     best = named.groupBy("id").agg(F.max_by(F.struct("story_entity", "story"), key).alias("b")).select("id", "b.*")
     return posts.join(best, "id", "left")

@@ -8,20 +8,29 @@ from pyspark.sql import functions as F
 from digestlake.functions import scores as S
 from digestlake.functions import text as T
 
+from digestlake.sources.tables import written
+
 from . import ranking
 
 
+def _named(posts: DataFrame) -> DataFrame:
+    """(id, user, entities): the lower-cased entities of each post; an unknown account is one account."""
+    return posts.select("id", F.coalesce("screen_name", F.lit("")).alias("user"), F.array_distinct(F.transform(T.news_entities("text"), F.lower)).alias("entities"))
+
+
+def _accounts(named: DataFrame) -> DataFrame:
+    return named.select("user", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("users"))
+
+
 def corroboration(posts: DataFrame) -> DataFrame:
     """(entity, users): how many accounts name each lower-cased entity; an unknown account counts as one."""
-    named = posts.select(F.coalesce("screen_name", F.lit("")).alias("user"), F.explode(F.array_distinct(F.transform(T.news_entities("text"), F.lower))).alias("entity"))
-    return named.distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("users"))
+    return _accounts(_named(posts))
 
 
 def corroborated(posts: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """posts with the largest corroboration of their entities, keyed by id; 0 without entities."""
-    counts = corroboration(posts) if counts is None else counts
-    named = posts.select("id", F.explode(F.array_distinct(F.transform(T.news_entities("text"), F.lower))).alias("entity"))
-    best = named.join(counts, "entity").groupBy("id").agg(F.max("users").alias("corroboration"))
+    """posts with the largest corroboration of their entities, keyed by id; 0 without entities. Entities are found once and written, without the texts."""
+    named = written(_named(posts), "entities")
+    best = named.select("id", F.explode("entities").alias("entity")).join(_accounts(named) if counts is None else counts, "entity").groupBy("id").agg(F.max("users").alias("corroboration"))
     return posts.join(best, "id", "left").withColumn("corroboration", F.coalesce("corroboration", F.lit(0)))
 
 

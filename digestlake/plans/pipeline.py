@@ -61,9 +61,9 @@ def topic_prompts(rows: DataFrame, s: Settings) -> DataFrame:
 def stories(rows: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(accounts' posts with reliability and story, stories, momentum of all entities).
 
-    The scored posts feed all three, so they are kept once, on disk where memory is short; a lost part is computed anew.
+    The scored posts and their entities feed all three, so they are kept once, on disk where memory is short; a lost part is computed anew.
     """
-    known = momentum.with_accounts(rows, s.handles).withColumn("reliability", F.round(S.reliability(), 9)).persist()
+    known = momentum.with_accounts(rows, s.handles).withColumns({"reliability": F.round(S.reliability(), 9), "entities": T.canonical_entities("text")}).persist()
     strength = momentum.aggregate(known, s.as_of, s.recency_hours)
     top = momentum.stories(strength, s.least_accounts, s.top_entities).persist()
     return momentum.assign(known, top), top, strength
