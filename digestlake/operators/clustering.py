@@ -66,9 +66,18 @@ def _weights(found: DataFrame, doc: str, counted: DataFrame, n: DataFrame, commo
     return raw.select(doc, "term", (F.col("raw") / length).alias("weight"))
 
 
-def label_words(posts: DataFrame, cluster: str = "cluster", stop: list[str] = P.STOP_WORDS) -> DataFrame:
-    """(cluster, label): the three commonest words, or misc."""
-    counts = posts.select(cluster, F.explode(T.label_words("text", stop)).alias("word")).groupBy(cluster, "word").agg(F.count(F.lit(1)).alias("n"))
+def common_words(posts: DataFrame, share: float = 0.2) -> DataFrame:
+    """(word): what more than a share of the posts say, a stop list that comes from the posts themselves."""
+    said = posts.select(F.explode(F.array_distinct(T.label_words("text", []))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return said.crossJoin(F.broadcast(posts.agg(F.count(F.lit(1)).alias("posts")))).where(F.col("n") > share * F.col("posts")).select("word")
+
+
+def label_words(posts: DataFrame, cluster: str = "cluster", stop: list[str] | DataFrame = P.STOP_WORDS) -> DataFrame:
+    """(cluster, label): the three commonest words, or misc. stop is a list, or a table (word) of any length."""
+    given = isinstance(stop, DataFrame)
+    said = posts.select(cluster, F.explode(T.label_words("text", [] if given else stop)).alias("word"))
+    counts = said.groupBy(cluster, "word").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.join(stop, "word", "left_anti") if given else counts
     best = ranking.top_per_group(counts, [cluster], [F.desc("n"), F.asc("word")], 3)
     labels = best.groupBy(cluster).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "word"))), lambda s: s["word"]), " / ").alias("label"))
     return posts.select(cluster).distinct().join(labels, cluster, "left").withColumn("label", F.coalesce("label", F.lit("misc")))

@@ -281,6 +281,13 @@ def label_words(p):
     return clustering.label_words(_clustered(p))
 
 
+@_query
+def label_words_listed(p):
+    """Labels by a stop list in a table, here of the words that a fifth of the posts have in common."""
+    rows = _clustered(p)
+    return clustering.label_words(rows, stop=clustering.common_words(rows))
+
+
 @_query
 def cluster_entities(p):
     return clustering.entity_counts(_clustered(p)).select("cluster", F.col("rn").cast("bigint").alias("rn"), "entity", "n")
@@ -406,6 +413,14 @@ def soft_assign(e):
     return out.select("vec_id", "cluster", F.array_join(F.transform("secondary", lambda c: c.cast("string")), "|").alias("secondary"))
 
 
+@_table("embeddings")
+def secondary_clusters(e):
+    """By the default thresholds, which few vectors of these tables reach."""
+    points = _points(e)
+    out = clustering.soft_assign(points, clustering.centroids(points))
+    return out.select("vec_id", "cluster", F.array_join(F.transform("secondary", lambda c: c.cast("string")), "|").alias("secondary"))
+
+
 @_table("embeddings")
 def silhouette(e):
     return clustering.silhouette(_points(e)).select(F.round("silhouette", 6).alias("silhouette"))

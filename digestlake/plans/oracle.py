@@ -131,18 +131,22 @@ _BASE |= {
     "others": "SELECT *, row_number() OVER (ORDER BY trusted DESC, reliability DESC, _ord) AS rn FROM assigned WHERE story IS NULL QUALIFY rn <= 8",
     "clustered": f"SELECT *, coalesce(list_position({array(list(P.TOPICS))}, topics[1]), 0) - 1 AS cluster, {CLEAN} AS clean_text FROM topical WHERE NOT is_retweet",
     "by_topic": f"SELECT *, topics[1] AS topic, count(*) OVER (PARTITION BY topics[1]) AS tweet_count, row_number() OVER (PARTITION BY topics[1] ORDER BY CASE {TIER} WHEN 'viral' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END, likes DESC, _ord) AS rn FROM topical WHERE NOT is_retweet QUALIFY tweet_count >= 5 AND rn <= 100",
-    "words": f"SELECT cluster, word, count(*) AS n FROM (SELECT cluster, unnest(list_filter(list_transform(list_filter(regexp_split_to_array(lower(text), {q(P.BLANK + '+')}), lambda w: w <> ''), lambda w: trim(w, {q('.,!?"' + chr(39) + '()[]{}:;')})), lambda w: length(w) > 2 AND NOT list_contains({array(P.STOP_WORDS)}, w) AND NOT starts_with(w, '@') AND NOT starts_with(w, 'http'))) AS word FROM clustered) GROUP BY ALL",
+    "said": f"SELECT id, cluster, unnest(list_filter(list_transform(list_filter(regexp_split_to_array(lower(text), {q(P.BLANK + '+')}), lambda w: w <> ''), lambda w: trim(w, {q('.,!?"' + chr(39) + '()[]{}:;')})), lambda w: length(w) > 2 AND NOT starts_with(w, '@') AND NOT starts_with(w, 'http'))) AS word FROM clustered",
+    "words": f"SELECT cluster, word, count(*) AS n FROM said WHERE NOT list_contains({array(P.STOP_WORDS)}, word) GROUP BY ALL",
+    "common_words": "SELECT word FROM said GROUP BY word HAVING count(DISTINCT id) > 0.2::DOUBLE * (SELECT count(*) FROM clustered)",
+    "words_listed": "SELECT cluster, word, count(*) AS n FROM said ANTI JOIN common_words USING (word) GROUP BY ALL",
     "labelled": "SELECT c.cluster, coalesce(l.label, 'misc') AS label FROM (SELECT DISTINCT cluster FROM clustered) c LEFT JOIN (SELECT cluster, string_agg(word, ' / ' ORDER BY k) AS label FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, word) AS k FROM words) WHERE k <= 3 GROUP BY cluster) l USING (cluster)",
+    "labelled_listed": "SELECT c.cluster, coalesce(l.label, 'misc') AS label FROM (SELECT DISTINCT cluster FROM clustered) c LEFT JOIN (SELECT cluster, string_agg(word, ' / ' ORDER BY k) AS label FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, word) AS k FROM words_listed) WHERE k <= 3 GROUP BY cluster) l USING (cluster)",
 }
 _NEEDS = {
     "own": ["posts"], "copied": ["posts"], "worded": ["posts"], "own_worded": ["worded"], "marked": ["worded"], "topical": ["marked"], "corr": ["own"], "corroborated": ["own", "own_worded", "corr"], "raw": ["corroborated"], "scored": ["raw"], "kept": ["scored"],
     "known": ["kept"], "rated": ["known"], "named": ["rated", "syns"], "strength": ["named"], "top": ["strength"], "pairs": ["named", "top"], "assigned": ["rated", "pairs"], "sources": ["assigned"], "others": ["assigned"],
-    "clustered": ["topical"], "by_topic": ["topical"], "words": ["clustered"], "labelled": ["clustered", "words"],
+    "clustered": ["topical"], "by_topic": ["topical"], "said": ["clustered"], "words": ["said"], "common_words": ["said", "clustered"], "words_listed": ["said", "common_words"], "labelled": ["clustered", "words"], "labelled_listed": ["clustered", "words_listed"],
 }
 
 
 #: Views whose columns are costly, and which are read more than once.
-_ONCE = ("worded", "marked", "topical", "clustered", "corroborated", "raw", "rated", "named", "own", "by_topic")
+_ONCE = ("worded", "marked", "topical", "clustered", "corroborated", "raw", "rated", "named", "own", "by_topic", "said")
 
 
 def _with(needs: list[str], select: str, **more: str) -> str:
@@ -280,6 +284,7 @@ def queries() -> dict[str, str]:
         "other_notable": _with(["others"], "SELECT rn, id FROM others"),
         "digest_lines": _digest_lines(),
         "label_words": _with(["labelled"], "SELECT CAST(cluster AS INTEGER) AS cluster, label FROM labelled"),
+        "label_words_listed": _with(["labelled_listed"], "SELECT CAST(cluster AS INTEGER) AS cluster, label FROM labelled_listed"),
         "cluster_entities": _with(["clustered"], f"SELECT CAST(cluster AS INTEGER) AS cluster, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, entity) AS rn, entity, n FROM (SELECT cluster, entity, count(*) AS n FROM (SELECT cluster, unnest({CAP_ENTITIES}) AS entity FROM clustered WHERE cluster <> -1) GROUP BY ALL) QUALIFY rn <= 10"),
         "cluster_tiers": _with(["clustered"], "SELECT CAST(cluster AS INTEGER) AS cluster, " + ", ".join(f"count(*) FILTER ({TIER} = '{t}') AS {t}" for t in ("viral", "high", "medium", "low")) + " FROM clustered GROUP BY cluster"),
         "cluster_manifest": _with(["clustered", "labelled"], "SELECT CAST(cluster AS INTEGER) AS cluster, label, count(*) AS tweet_count, least(count(*), 100) AS prioritized_count, 'cluster_' || lpad(CAST(cluster AS VARCHAR), 2, '0') || '_' || substr(replace(replace(label, ' / ', '_'), ' ', '_'), 1, 30) || '.txt' AS file, arg_max(screen_name, (likes, -_ord)) AS top_user, max(likes) AS top_likes, arg_max(id, (likes, -_ord)) AS top_id FROM clustered JOIN labelled USING (cluster) WHERE cluster <> -1 GROUP BY cluster, label"),
@@ -289,9 +294,8 @@ def queries() -> dict[str, str]:
         "tfidf_weighted": _with(["own"], "SELECT id, term, round(weight, 6) AS weight FROM weights", cleaned=f"SELECT id, concat_ws(' ', {CLEAN}, array_to_string(list_concat(e, e), ' '), array_to_string(list_concat(h, h), ' ')) AS clean_text FROM (SELECT id, text, list_sort({CAP_ENTITIES}) AS e, {found('lower(text)', TAG)} AS h FROM own)", **_gram_counts("cleaned", "id", P.STOP_WORDS), **_weights("id", "(SELECT count(*) FROM own)", "HAVING count(*) >= 2 AND count(*) <= 0.8 * (SELECT count(*) FROM own)", 5000)),
         "ctfidf": _with(["clustered"], "SELECT CAST(cluster AS INTEGER) AS cluster, row_number() OVER (PARTITION BY cluster ORDER BY round(weight, 9) DESC, term) AS rn, term, round(weight, 6) AS weight FROM weights QUALIFY rn <= 10", **_gram_counts("(SELECT * FROM clustered WHERE cluster <> -1)", "cluster", P.STOP_WORDS + P.MARKUP_WORDS), **_weights("cluster", "(SELECT count(DISTINCT cluster) FROM clustered WHERE cluster <> -1)", "", 1000)),
         "centroids": _CENTERS + "SELECT cluster, place, round(x, 6) AS x FROM u",
-        "soft_assign": _CENTERS + """, c AS (SELECT cluster, list(x ORDER BY place) AS v FROM u GROUP BY cluster), s AS (SELECT vec_id, label, c.cluster AS other, list_dot_product(embedding::DOUBLE[], c.v) AS sim FROM embeddings, c),
-          o AS (SELECT *, max(CASE WHEN other = label THEN sim END) OVER (PARTITION BY vec_id) AS own FROM s), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, other) AS r FROM o WHERE other <> label AND (sim >= 0.5::DOUBLE OR own - sim <= 0.03::DOUBLE))
-          SELECT e.vec_id, e.label AS cluster, coalesce(g.secondary, '') AS secondary FROM embeddings e LEFT JOIN (SELECT vec_id, string_agg(CAST(other AS VARCHAR), '|' ORDER BY r) AS secondary FROM k WHERE r <= 2 GROUP BY vec_id) g USING (vec_id)""",
+        "soft_assign": _soft("0.5"),
+        "secondary_clusters": _soft("0.8"),
         "silhouette": _SIL + "SELECT round(silhouette, 6) AS silhouette FROM s",
         "core_distances": f"WITH RECURSIVE {_TREE} SELECT vec_id, round(core, 6) AS core FROM cored JOIN p USING (i)",
         "relative_validity": f"WITH RECURSIVE {_TREE} SELECT round(relative_validity, 6) AS relative_validity FROM rv",
@@ -321,6 +325,12 @@ def queries() -> dict[str, str]:
     return out
 
 
+def _soft(least: str) -> str:
+    return _CENTERS + """, c AS (SELECT cluster, list(x ORDER BY place) AS v FROM u GROUP BY cluster), s AS (SELECT vec_id, label, c.cluster AS other, list_dot_product(embedding::DOUBLE[], c.v) AS sim FROM embeddings, c),
+          o AS (SELECT *, max(CASE WHEN other = label THEN sim END) OVER (PARTITION BY vec_id) AS own FROM s), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, other) AS r FROM o WHERE other <> label AND (sim >= 0.5::DOUBLE OR own - sim <= 0.03::DOUBLE))
+          SELECT e.vec_id, e.label AS cluster, coalesce(g.secondary, '') AS secondary FROM embeddings e LEFT JOIN (SELECT vec_id, string_agg(CAST(other AS VARCHAR), '|' ORDER BY r) AS secondary FROM k WHERE r <= 2 GROUP BY vec_id) g USING (vec_id)""".replace("0.5::DOUBLE", f"{least}::DOUBLE")
+
+
 _ASK = "Summarize the key narratives, stories, and sentiment in these tweets.\nInclude specific examples with @handles and tweet IDs for sourcing.\nFocus on: What's happening? Why does it matter? What's the sentiment?"
 
 
