@@ -119,3 +119,21 @@ def test_from_posts_to_prompts(spark):
     told = pipeline.hybrid_digest(posts, s).collect()
     assert len(told) >= 3 and all(r["prompt"].startswith(f"# Cluster {r['cluster']}: {r['label']}\n# Tweet count: ") for r in told)
     assert any(set(r["label"].lower().replace("/", " ").split()) & set(words["sea"].split() + ["sea"]) for r in told)
+
+
+def test_products_hold_a_bounded_number_of_terms():
+    """A batch of long posts, some of them empty: memory does not grow with the terms of the batch."""
+    import tracemalloc
+
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    sizes = [0, 4000, 0] + [400] * 2500 + [0]
+    rows = pd.DataFrame({"at": [rng.integers(0, 900, n).astype(np.int32) for n in sizes], "w": [rng.random(n) for n in sizes]})
+    basis = rng.random((900, 72))
+    tracemalloc.start()
+    got = embedding._times(rows, basis)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+    assert got == pytest.approx(np.stack([w @ basis[a] if len(a) else np.zeros(72) for a, w in zip(rows["at"], rows["w"])]))
