@@ -1,6 +1,7 @@
 """Connected components by alternating large and small stars, each round written to the shared folder.
 
-Minima are aggregated before the shuffle and joined back, so a node with a third of all edges is no bottleneck.
+Minima are aggregated before the shuffle and joined back, so a node with a third of all edges is no bottleneck. They are joined by sort and merge: edges of stars take
+little room on disk, and a table of them that Spark takes for small would be collected on the driver.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
+        small = large.join(lowest.hint("merge"), "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         now = stored(small.where("u <> v").distinct(), "edges")
         after = _state(now)
         if after == state:

@@ -9,7 +9,8 @@ prefix being the first n - ceil(t n) + 1 tokens of a set of n. Several orders ar
    occur nowhere else is linked with nothing and goes no further; on most text that is nearly all of them.
 3. An order sorts tokens that occur nowhere else first, then by the sketch's class of frequency, rare first, and then by a hash of its own, so
    that boilerplate stands last in every order. Prefix tokens of all orders are posted; classes that meet in a list and whose sizes and the parities of their
-   token sets allow a link are tied under that order. The pairs of a list are compared in arrays and never become rows of a table; a list of more
+   token sets, which are kept in as many bits as a set's size asks for, allow a link are tied under that order. A class tells its first codes with each list, so that two that have one in common are
+   tied by the list of that one alone and not once more for each part of the lists that they share. The pairs of a list are compared in arrays and never become rows of a table; a list of more
    than LONG_LIST classes is tied by a star.
 4. The components of the ties under each order are intersected: classes that are in one component under every order are a group, outside which there are no
    links. Only now sets move.
@@ -204,15 +205,81 @@ PARITY_BITS = 128
 #: An entry of a posting list: the token under its order, the class's node of that order, its set's size and the parity of its tokens by their last bits.
 ENTRY = np.dtype([("token", "<u4"), ("node", "<i8"), ("size", "<u4"), ("parity", "<u8", PARITY_BITS // 64)])
 LONG_LIST = 4096
+#: The least codes of a prefix under its order, by node; fewer are filled up with NO_CODE.
+FIRST = np.dtype([("node", "<i8"), ("codes", "<u8", 4)])
+NO_CODE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def parity(tokens: np.ndarray) -> np.ndarray:
+def first_codes(code: np.ndarray) -> np.ndarray:
+    out = np.full(4, NO_CODE)
+    some = np.partition(code, 3)[:4] if len(code) > 4 else code
+    out[: len(some)] = some
+    return out
+
+
+def here(first: np.ndarray, x: np.ndarray, y: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Whether pairs of nodes that meet in the list of token are tied there: where they have first codes in common, only the list of the least one ties them."""
+    a, b = (first["codes"][np.searchsorted(first["node"], n)] for n in (x, y))
+    both = (a[:, :, None] == b[:, None, :]).any(axis=2)
+    least = np.where(both, a, NO_CODE).min(axis=1)
+    return (least == NO_CODE) | ((least & np.uint64(0xFFFFFFFF)) == token)
+
+
+def parity(tokens: np.ndarray, bits: int = PARITY_BITS) -> np.ndarray:
     """Of each value of the last bits, whether an odd number of tokens has it: two sets differ in at least as many tokens as parities."""
-    odd = np.bincount((tokens & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view("<u8")
 
 
-def close_pairs(entries: np.ndarray, percent: int) -> np.ndarray:
+def sign_words(size: int) -> int:
+    """Words of 64 bits of a set's own parity, a power of two: sets that have nothing to do with each other differ in half of the bits, which only tells where there are about as many bits as tokens."""
+    return max(PARITY_BITS // 64, 1 << (-(-size // 100) - 1).bit_length())
+
+
+class Signs:
+    """The parities of large sets at their own widths, by place. A blob of them has places, sizes and words; the words of a width that is twice another's fold into it."""
+
+    def __init__(self, blobs: list[bytes] = ()):
+        found: dict[int, tuple[list, list]] = {}
+        for blob in blobs:
+            (n,) = np.frombuffer(blob, "<i8", 1)
+            places, sizes, at = np.frombuffer(blob, "<i8", n, 8), np.frombuffer(blob, "<i8", n, 8 + 8 * n), 8 + 16 * int(n)
+            for place, size in zip(places.tolist(), sizes.tolist()):
+                width = sign_words(size)
+                held = found.setdefault(width, ([], []))
+                held[0].append(place)
+                held[1].append(np.frombuffer(blob, "<u8", width, at))
+                at += 8 * width
+        self.levels = {}
+        for width, (places, words) in found.items():
+            by = np.argsort(np.array(places, np.int64))
+            self.levels[width] = np.array(places, np.int64)[by], np.stack(words)[by]
+
+    @staticmethod
+    def blob(signs: list[tuple[int, int, bytes]]) -> bytes:
+        """Signs (place, size, words) as one blob."""
+        return np.array([len(signs)] + [p for p, _, _ in signs] + [n for _, n, _ in signs], "<i8").tobytes() + b"".join(w for _, _, w in signs)
+
+    def _rows(self, places: np.ndarray, width: int, to: int) -> np.ndarray:
+        names, words = self.levels[width]
+        return np.bitwise_xor.reduce(words[np.searchsorted(names, places)].reshape(len(places), width // to, to), axis=1)
+
+    def near(self, u: np.ndarray, v: np.ndarray, size_u: np.ndarray, size_v: np.ndarray, percent: int) -> np.ndarray:
+        """Whether the sets at places u and v, of these sizes and u the smaller ones, may be linked."""
+        ok = np.ones(len(u), bool)
+        widths = np.stack([np.fromiter(map(sign_words, x.tolist()), np.int64, len(x)) for x in (size_u, size_v)], axis=1)
+        for a, b in np.unique(widths, axis=0).tolist():
+            if a == PARITY_BITS // 64:
+                continue  # the entries tell as much
+            mine = np.flatnonzero((widths[:, 0] == a) & (widths[:, 1] == b))
+            for lo in range(0, len(mine), max(1, (1 << 20) // b)):
+                some = mine[lo : lo + max(1, (1 << 20) // b)]
+                apart = np.bitwise_count(self._rows(u[some], a, a) ^ self._rows(v[some], b, a)).sum(axis=1, dtype=np.int64)
+                ok[some] = apart * (100 + percent) <= (100 - percent) * (size_u[some] + size_v[some])
+        return ok
+
+
+def close_pairs(entries: np.ndarray, percent: int, signs: Signs | None = None, first: np.ndarray | None = None) -> np.ndarray:
     """Edges between classes that share a token and may be linked by their sizes and parities; lists that are very long are tied by a star instead."""
     entries = entries[np.lexsort((entries["size"], entries["token"]))]
     token, node, size, bits = entries["token"], entries["node"], entries["size"].astype(np.int64), entries["parity"]
@@ -231,8 +298,15 @@ def close_pairs(entries: np.ndarray, percent: int) -> np.ndarray:
         at, to = at[near], to[near]
         apart = np.bitwise_count(bits[at] ^ bits[to]).sum(axis=1, dtype=np.int64)
         ok = (apart * (100 + percent) <= (100 - percent) * (size[at] + size[to])) & (node[at] != node[to])
-        if ok.any():
-            out.append(np.unique(np.stack([node[at[ok]], node[to[ok]]], axis=1), axis=0))
+        x, y = at[ok], to[ok]
+        if first is not None:
+            tied = np.concatenate([here(first, node[x[lo : lo + (1 << 18)]], node[y[lo : lo + (1 << 18)]], token[x[lo : lo + (1 << 18)]]) for lo in range(0, len(x), 1 << 18)] or [np.zeros(0, bool)])
+            x, y = x[tied], y[tied]
+        if len(x):
+            found, one = np.unique(np.stack([node[x], node[y]], axis=1), axis=0, return_index=True)
+            if signs is not None:
+                found = found[signs.near(*(found // ORDERS_AT_MOST).T, size[x[one]], size[y[one]], percent)]
+            out.append(found)
         d += 1
     return np.unique(np.concatenate(out), axis=0)
 
@@ -252,13 +326,13 @@ def spanning_stars(edges: np.ndarray) -> np.ndarray:
     return np.stack([nodes, nodes[root]], axis=1)[root != np.arange(len(nodes))]
 
 
-POSTED = "part long, data binary, place long"
+POSTED = "part long, data binary, signs binary, first binary, place long"
 
 
 def post(files: DataFrame, n_files: int, classes: np.ndarray, join: Join, buckets: int, parts: int) -> DataFrame:
     """Rows (part, data) of posting lists under all orders, and a row (place) for each carrier that may be linked with another."""
     shared = files.sparkSession.sparkContext.broadcast(classes)
-    schema = pa.schema([("part", pa.int64()), ("data", pa.binary()), ("place", pa.int64())])
+    schema = pa.schema([("part", pa.int64()), ("data", pa.binary()), ("signs", pa.binary()), ("first", pa.binary()), ("place", pa.int64())])
 
     def work(row: dict) -> Iterator[pa.RecordBatch]:
         release()
@@ -269,6 +343,8 @@ def post(files: DataFrame, n_files: int, classes: np.ndarray, join: Join, bucket
         held: list[np.ndarray] = []
         lists: list[np.ndarray] = []
         live: list[int] = []
+        signed: dict[int, tuple[int, int, bytes]] = {}
+        first: dict[int, np.ndarray] = {}
 
         def out() -> Iterator[pa.RecordBatch]:
             if held:
@@ -276,12 +352,19 @@ def post(files: DataFrame, n_files: int, classes: np.ndarray, join: Join, bucket
                 at = np.argsort(place, kind="stable")
                 entries, place = entries[at], place[at]
                 bounds = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
-                data = [entries[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(place[bounds[:-1]], pa.int64()), pa.array(data, pa.binary()), pa.array([None] * len(data), pa.int64())], schema=schema)
-            yield pa.RecordBatch.from_arrays([pa.array([None] * len(live), pa.int64()), pa.array([None] * len(live), pa.binary()), pa.array(live, pa.int64())], schema=schema)
+                for a, b in zip(bounds, bounds[1:]):
+                    nodes = np.unique(entries["node"][a:b])
+                    signs = [signed[p] for p in np.unique(nodes // ORDERS_AT_MOST).tolist() if p in signed]
+                    least = np.empty(len(nodes), FIRST)
+                    least["node"], least["codes"] = nodes, np.stack([first[x] for x in nodes.tolist()])
+                    yield pa.RecordBatch.from_arrays([pa.array([place[a]], pa.int64()), *(pa.array([x], pa.binary()) for x in (entries[a:b].tobytes(), Signs.blob(signs), least.tobytes())), pa.array([None], pa.int64())], schema=schema)
+            none = pa.array([None] * len(live), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([None] * len(live), pa.int64()), none, none, none, pa.array(live, pa.int64())], schema=schema)
             held.clear()
             lists.clear()
             live.clear()
+            signed.clear()
+            first.clear()
 
         n = 0
         for r, s in sets_of(data, offsets, rows, join.n):
@@ -290,9 +373,12 @@ def post(files: DataFrame, n_files: int, classes: np.ndarray, join: Join, bucket
                 continue
             place, bits = row["file"] * ROWS_A_FILE + r, parity(s)
             live.append(place)
+            if (width := sign_words(len(s))) > PARITY_BITS // 64:
+                signed[place] = place, len(s), parity(s, 64 * width).tobytes()
             for order, prefix in enumerate(prefixes(s, shared.value, join, own)):
                 prefix = prefix[~among(lonely, prefix)]
                 code = in_order(prefix, order)
+                first[place * ORDERS_AT_MOST + order] = first_codes(code)
                 entry = np.empty(len(prefix), ENTRY)
                 entry["token"], entry["node"], entry["size"], entry["parity"] = (code & np.uint64(0xFFFFFFFF)), place * ORDERS_AT_MOST + order, len(s), bits
                 held.append(entry)
@@ -310,22 +396,24 @@ def ties(posted: DataFrame, percent: int, parts: int) -> DataFrame:
     """Edges (u, v) between nodes of one order that share a prefix token under it and are close enough in size and parity."""
 
     def meet_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = None, []
+        part, held, signs, first = None, [], [], []
 
         def out() -> Iterator[pa.RecordBatch]:
             if held:
-                edges = spanning_stars(close_pairs(np.concatenate(held), percent))
+                edges = spanning_stars(close_pairs(np.concatenate(held), percent, Signs(signs), np.sort(np.concatenate(first), order="node")))
                 yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["u", "v"])
 
         for batch in batches:
-            for p, blob in zip(batch.column("part").to_pylist(), batch.column("data")):
+            for p, blob, sign, least in zip(batch.column("part").to_pylist(), batch.column("data"), batch.column("signs"), batch.column("first")):
                 if p != part:
                     yield from out()
-                    part, held = p, []
+                    part, held, signs, first = p, [], [], []
                 held.append(np.frombuffer(blob.as_buffer(), ENTRY))
+                first.append(np.frombuffer(least.as_buffer(), FIRST))
+                signs.append(sign.as_buffer())
         yield from out()
 
-    return posted.where("part is not null").select("part", "data").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(meet_lists, TIED)
+    return posted.where("part is not null").select("part", "data", "signs", "first").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(meet_lists, TIED)
 
 
 class Forest:
@@ -436,7 +524,7 @@ def _tasks(members: DataFrame, join: Join) -> DataFrame:
     band = F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(100 / join.percent) * (1 + 1e-9)))
     banded = members.withColumn("band", F.explode(F.array(band, band - 1))).withColumn("home", F.col("band") == band)
     counts = banded.groupBy("gathered", "band").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total")).where("n > 1").select("gathered", "band", F.ceil(F.col("total") / join.block).alias("blocks"))
-    met = banded.join(counts, ["gathered", "band"]).withColumn("own", F.pmod(F.xxhash64("place"), F.col("blocks")))
+    met = banded.join(counts.hint("merge"), ["gathered", "band"]).withColumn("own", F.pmod(F.xxhash64("place"), F.col("blocks")))
     spread = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     return spread.withColumn("task", F.xxhash64("gathered", "band", F.least("own", "other"), F.greatest("own", "other"))).withColumn("side", F.when(F.col("own") <= F.col("other"), 0).otherwise(1)).withColumn("inner", F.col("own") == F.col("other"))
 
@@ -514,6 +602,7 @@ def _solve(docs: DataFrame, join: Join, id_col: str, text_col: str, counted: boo
     """(id, n_shingles, component_id, copies, others) of every row; others, if counted, are the rows linked to it that have other sets."""
     if join.orders > ORDERS_AT_MOST:
         raise ValueError(f"at most {ORDERS_AT_MOST} orders")
+    # tables grow with the corpus and pack well on disk, so that Spark would take them for small and collect them on the driver: they are joined by sort and merge
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), text_or_empty(text_col).alias("text"))
     manifest = store_texts(rows, ROWS_A_FILE).select("file", "uri", "rows", "bytes")
@@ -529,24 +618,24 @@ def _solve(docs: DataFrame, join: Join, id_col: str, text_col: str, counted: boo
     sets = stored(signed.where("key is not null").groupBy("key").agg(F.min("place").alias("place"), F.first("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("n"), F.min(doc).alias("least")), "classes")
 
     carriers = sets.groupBy(F.expr(f"place div {ROWS_A_FILE}").alias("file")).agg(F.collect_list(F.expr(f"place % {ROWS_A_FILE}")).alias("rows"))
-    carrying = stored(files.join(carriers, "file"), "carriers")
+    carrying = stored(files.join(carriers.hint("merge"), "file"), "carriers")
     told = replies_by_file(meet(send_tokens(carrying, n, join, buckets), buckets, meet_keys("<u4")))
-    posted = stored(post(carrying.join(told, "file", "left"), n, classes, join, buckets, parts), "postings")
+    posted = stored(post(carrying.join(told.hint("merge"), "file", "left"), n, classes, join, buckets, parts), "postings")
 
     gathered = components(ties(posted, join.percent, parts))
     live = posted.where("place is not null").select("place")
     nodes = live.select("place", F.explode(F.sequence(F.lit(0), F.lit(join.orders - 1))).alias("order")).withColumn("node", F.col("place") * ORDERS_AT_MOST + F.col("order"))
     # one group is one component under every order
-    where = nodes.join(gathered, "node").groupBy("place").agg(F.array_sort(F.collect_list("component")).alias("under")).where(F.size("under") == join.orders)
+    where = nodes.join(gathered.hint("merge"), "node").groupBy("place").agg(F.array_sort(F.collect_list("component")).alias("under")).where(F.size("under") == join.orders)
     several = where.groupBy(F.xxhash64("under").alias("gathered")).agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gathered")
-    members = where.select("place", F.xxhash64("under").alias("gathered")).join(several, "gathered").join(sets.select("place", "n_shingles", F.col("n").alias("copies")), "place")
+    members = where.select("place", F.xxhash64("under").alias("gathered")).join(several.hint("merge"), "gathered").join(sets.select("place", "n_shingles", F.col("n").alias("copies")).hint("merge"), "place")
     tasks = _tasks(stored(members, "candidates"), join)
     asked = tasks.groupBy(F.expr(f"place div {ROWS_A_FILE}").alias("file")).agg(F.collect_list(F.struct("place", "task", "side", "home", "inner", "copies")).alias("members"))
-    found = stored(links(member_sets(files.join(asked, "file"), n, join), classes, join, counted), "links")
+    found = stored(links(member_sets(files.join(asked.hint("merge"), "file"), n, join), classes, join, counted), "links")
 
     joined = components(found.where("v is not null").select("u", "v"))
     others = found.where("v is null").groupBy("u").agg(F.sum("n").alias("others")).withColumnRenamed("u", "place")
-    rooted = stored(sets.join(joined.withColumnRenamed("node", "place"), "place", "left").withColumn("root", F.coalesce("component", "place")).join(others, "place", "left").select("key", "root", "least", "n", "others"), "roots")
+    rooted = stored(sets.join(joined.withColumnRenamed("node", "place").hint("merge"), "place", "left").withColumn("root", F.coalesce("component", "place")).join(others.hint("merge"), "place", "left").select("key", "root", "least", "n", "others"), "roots")
     roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
     named = join_hot(rooted.withColumnRenamed("n", "copies"), roots, "root", ["key"], total).select("key", "component_id", "others", "copies", F.col("copies").alias("n"))
     some = join_hot(signed.where("key is not null"), named, "key", ["place"], total).select(doc.alias("id"), "n_shingles", "component_id", "copies", "others")

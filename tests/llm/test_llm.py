@@ -129,6 +129,61 @@ def test_long_lists_are_tied():
     assert len(stars) == len(entries) - 1 and (stars[:, 1] == 0).all()
 
 
+def test_near_copies_are_tied_once_for_all_lists(spark):
+    """Rows of ties grow with the classes and not with the parts that their lists are dealt over."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(300)) for _ in range(30)]
+    copies = [(i * 10 + k, (t + " x" * k) if k < 3 else t + f" end{k}") for i, t in enumerate(texts) for k in range(5)]
+    rows = spark.createDataFrame(copies, "id long, text string").coalesce(1)
+    manifest = jaccard.store_texts(rows, jaccard.ROWS_A_FILE)
+    files = manifest.selectExpr("file", "uri", "sequence(0, rows - 1) as rows", "cast(null as array<struct<bucket:bigint,data:binary>>) as replies")
+    join, made = jaccard.Join(3, 80), {}
+    real, jaccard.alone = jaccard.alone, lambda values, many, replies, buckets: values[~many]
+    try:
+        posted = {parts: [r.asDict() for r in jaccard.post(files, 1, np.zeros(1 << jaccard.SLOT_BITS, np.uint8), join, 8, parts).collect()] for parts in (1, 32)}
+    finally:
+        jaccard.alone = real
+    for parts, rows in posted.items():
+        made[parts] = jaccard.ties(spark.createDataFrame(rows, jaccard.POSTED), join.percent, parts).collect()
+    live = sum(r["place"] is not None for r in posted[1])
+    assert live == len(copies) and len(made[32]) <= 3 * 2 * live
+    for edges in made.values():
+        group = dict(map(tuple, graph.components(spark.createDataFrame(edges, "u long, v long")).collect()))
+        assert all(len({group[p * jaccard.ORDERS_AT_MOST + o] for p in range(i * 5, i * 5 + 5)}) == 1 for i in range(30) for o in range(3))
+
+
+def test_large_sets_that_share_little_are_not_tied():
+    rng = np.random.default_rng(5)
+    common, sets = rng.integers(0, 1 << 63, 40, dtype=np.uint64), []
+    for _ in range(20):
+        sets.append(np.unique(np.concatenate([common, rng.integers(0, 1 << 63, 3000, dtype=np.uint64)])))
+    sets.append(np.sort(np.concatenate([sets[0][:-30], rng.integers(0, 1 << 63, 30, dtype=np.uint64)])))
+    entries = np.zeros(len(sets), jaccard.ENTRY)
+    entries["node"], entries["size"] = np.arange(len(sets)) * jaccard.ORDERS_AT_MOST, [len(s) for s in sets]
+    entries["parity"] = [jaccard.parity(s) for s in sets]
+    blob = jaccard.Signs.blob([(i, len(s), jaccard.parity(s, 64 * jaccard.sign_words(len(s))).tobytes()) for i, s in enumerate(sets)])
+    edges = jaccard.close_pairs(entries, 80, jaccard.Signs([blob]))
+    assert sorted(sorted(e) for e in (edges // jaccard.ORDERS_AT_MOST).tolist()) == [[0, 20]]
+    assert len(jaccard.close_pairs(entries, 80)) > 1
+
+
+def test_tables_of_components_are_never_broadcast(spark):
+    from digestlake.llm import shared
+
+    edges, plans, kept = spark.range(2000).selectExpr("id as u", "id + 1 as v"), [], graph.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return shared.stored(df, name)
+
+    graph.stored = seen
+    try:
+        graph.components(edges.where("u % 3 <> 0"))
+    finally:
+        graph.stored = kept
+    assert len(plans) > 1 and not any("Broadcast" in p for p in plans)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(chain, "u long, v long")).collect()))
