@@ -109,3 +109,60 @@ def test_gate(spark, validity, silhouette, fine):
     one = lambda name, value: spark.range(1).select(F.lit(value).cast("double").alias(name))
     (got,) = clustering.quality_gate(rows, one("silhouette", silhouette), one("relative_validity", validity)).collect()
     assert got["quality_pass"] is fine and got["relative_validity"] == validity
+
+
+def test_a_block_moves_once_for_each_group(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "GROUPS", 2)
+    rng = np.random.default_rng(8)
+    g = neighbours.grid(points(spark, rng.normal(0, 1, (300, 3))), 300, 10)
+    numbers = [r["b"] for r in g.points.select("b").distinct().collect()]
+    met = spark.createDataFrame([(a, b) for a in numbers for b in numbers if a <= b], "b long, b2 long")
+
+    def work(rows):
+        import pandas as pd
+
+        own, moved, pairs = set(), 0, 0
+        for row in rows:
+            if row.asked is None:
+                own.add(row.b)
+            else:
+                assert set(row.asked) <= own
+                moved, pairs = moved + 1, pairs + len(row.asked)
+        yield pd.DataFrame({"moved": [moved], "pairs": [pairs]})
+
+    got = g.together(g.blocks().select("b", "i", "v"), met, work, "moved long, pairs long").collect()
+    assert sum(r["pairs"] for r in got) == met.count() > 10 * len(numbers)
+    assert sum(r["moved"] for r in got) <= 2 * len(numbers)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_dense_forest(same):
+    rng = np.random.default_rng(9)
+    # few different lengths, so that most edges are tied
+    i = rng.permutation(40)[:25]
+    j = i if same else np.setdiff1d(np.arange(40), i)
+    d = rng.integers(1, 4, (len(i), len(j))).astype(float)
+    d = np.maximum(d, d.T) if same else d
+    x, y = np.nonzero(i[:, None] < j[None] if same else np.ones(d.shape, bool))
+    w, u, v = d[x, y], np.minimum(i[x], j[y]), np.maximum(i[x], j[y])
+    kept = neighbours.shortest_forest(w, u, v)
+    assert sorted(zip(*neighbours.dense_forest(d, i, j, same))) == sorted(zip(w[kept], u[kept], v[kept]))
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_silhouette_of_all_pairs(spark, monkeypatch, block):
+    """Against all pairs, with copies, a cluster of one, and noise; and no row for a pair of a point and a block."""
+    monkeypatch.setattr(clustering, "SILHOUETTE_BLOCK", block)
+    rng = np.random.default_rng(10)
+    x = np.concatenate([rng.normal(0, 1, (60, 3)), np.ones((9, 3)), rng.normal(3, 1, (30, 3)), [[9.0, 9.0, 9.0]]])
+    c = np.array([0] * 40 + [1] * 20 + [2] * 9 + [3] * 20 + [-1] * 10 + [4])
+    rows = spark.createDataFrame([(i, [float(a) for a in p], int(k)) for i, (p, k) in enumerate(zip(x, c))], "vec_id long, embedding array<double>, cluster int")
+    d, each = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2)), []
+    for i in np.flatnonzero(c >= 0):
+        outer = min(d[i, c == k].mean() for k in set(c.tolist()) - {-1, c[i]})
+        inner = d[i, c == c[i]].sum() / max(1, (c == c[i]).sum() - 1)
+        each.append((outer - inner) / max(outer, inner) if (c == c[i]).sum() > 1 else 0.0)
+    out = clustering.silhouette(rows, block=5)
+    assert out.first()[0] == pytest.approx(np.mean(each), abs=1e-9)
+    assert clustering.silhouette(rows.where("cluster = 1"), block=5).first()[0] is None
+    assert "other" not in out._jdf.queryExecution().optimizedPlan().toString()
