@@ -243,3 +243,12 @@ def test_streaming_counts(spark, tmp_path, sf):
     got = spark.read.parquet(str(tmp_path / "out")).groupBy("event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 4).alias("total"))
     want = day.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_texts_are_searched_once_for_scores(spark, sf):
+    """Neither thresholds nor scores search a text again, and posts are deduplicated once."""
+    from digestlake.plans import catalog
+
+    for name in ("strict_filter", "filter_score", "score_stats"):
+        plan = catalog.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert "signup" not in plan and "breaking" not in plan and "min_by" not in plan
