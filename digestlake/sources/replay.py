@@ -25,6 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 SCHEMA = "feed string, page long, cursor string, next string, text string"
 #: What a feed is asked for unless the option target says otherwise.
 TARGET = 5000
+#: Characters of pages in a batch.
+BATCH_CHARACTERS = 1 << 22
 
 
 class Store:
@@ -93,8 +95,8 @@ def begun() -> dict:
     return {"cursor": "", "page": 0, "posts": 0, "asked": [], "done": False}
 
 
-def step(store: Store, state: dict, target: int, search: bool) -> tuple[tuple | None, dict]:
-    """The next page of a feed as (page, cursor, next, text), or None, and the state after it."""
+def step(store: Store, state: dict, target: int, search: bool, known: set[str] | None = None) -> tuple[tuple | None, dict]:
+    """The next page of a feed as (page, cursor, next, text), or None, and the state after it. Cursors asked are kept in the state, or in known where a run is not to be taken up again."""
     if state["done"] or state["posts"] >= target:
         return None, state | {"done": True}
     text = store.fetch(state["cursor"])
@@ -102,9 +104,13 @@ def step(store: Store, state: dict, target: int, search: bool) -> tuple[tuple |
     if seen is None:
         return None, state | {"done": text is not None}
     posts, cursor = seen
-    asked = [*state["asked"], _digest(state["cursor"])]
+    if known is None:
+        asked = [*state["asked"], _digest(state["cursor"])]
+    else:
+        known.add(_digest(state["cursor"]))
+        asked = known
     more = bool(cursor) and _digest(cursor) not in asked and not (search and posts == 0)
-    return (state["page"], state["cursor"], cursor, text), {"cursor": cursor if more else state["cursor"], "page": state["page"] + 1, "posts": state["posts"] + posts, "asked": asked, "done": not more}
+    return (state["page"], state["cursor"], cursor, text), {"cursor": cursor if more else state["cursor"], "page": state["page"] + 1, "posts": state["posts"] + posts, "asked": asked if known is None else [], "done": not more}
 
 
 class Pages(DataSource):
@@ -123,7 +129,7 @@ class Pages(DataSource):
         return self.options["path"], int(self.options.get("target", TARGET)), self.options.get("search", "false").lower() == "true"
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(*self._settings())
+        return _Batches(*self._settings())
 
     def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
         return _Stream(*self._settings())
@@ -159,15 +165,38 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [Feed(x) for x in Store(self.path).feeds() if self.only is None or x in self.only]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        store, state = Store(self.path, partition.value), begun()
+    def read(self, partition: InputPartition) -> Iterator:
+        store, state, known = Store(self.path, partition.value), begun(), set()
         while not state["done"] and (self.last is None or state["page"] <= self.last):
-            row, after = step(store, state, self.target, self.search)
+            row, state = step(store, state, self.target, self.search, known)
             if row is None:
                 return
             if row[0] >= self.first:
                 yield (partition.value, *row)
-            state = after
+
+
+class _Batches(_Reader):
+    """The same pages as Arrow batches of BATCH_CHARACTERS: rows would be held until there are as many as a batch takes, whatever their size."""
+
+    def read(self, partition: InputPartition) -> Iterator:
+        import pyarrow as pa
+
+        rows, size = [], 0
+        names = [c.split()[0] for c in SCHEMA.split(", ")]
+
+        def out() -> pa.RecordBatch:
+            columns = [pa.array(x, pa.int64() if name == "page" else pa.string()) for name, x in zip(names, zip(*rows))]
+            rows.clear()
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        for row in super().read(partition):
+            rows.append(row)
+            size += len(row[4])
+            if size >= BATCH_CHARACTERS:
+                yield out()
+                size = 0
+        if rows:
+            yield out()
 
 
 class _Stream(SimpleDataSourceStreamReader):

@@ -118,3 +118,16 @@ def test_operators_of_a_search_hold_for_posts_at_hand(spark, sf):
     p = source.view(spark, sf)
     some = operators.search(p, **replay.predicates("min_faves:2000 -filter:replies"))
     assert 0 < some.count() < p.count() and some.where(F.col("likes") < 2000).count() == 0
+
+
+def test_pages_come_in_batches_of_bounded_size(spark, tmp_path, monkeypatch):
+    """A feed of large pages: no batch holds more than its share, and all pages come."""
+    rows = [("a", f"next-{i - 1}" if i else None, i, json.dumps({"data": {"home": {"home_timeline_urt": {"instructions": [{"type": "TimelineAddEntries", "entries": [{"entryId": f"cursor-bottom-{i}", "content": {"value": f"next-{i}", "x": "y" * 5000}}]}]}}}})) for i in range(40)]
+    replay.capture(spark.createDataFrame(rows, "feed string, cursor string, page long, text string"), str(tmp_path / "pages"))
+    monkeypatch.setattr(replay, "BATCH_CHARACTERS", 20_000)
+    reader = replay._Batches(str(tmp_path / "pages"), 1 << 40, False)
+    (part,) = reader.partitions()
+    batches = list(reader.read(part))
+    assert len(batches) > 5 and max(b.nbytes for b in batches) < 40_000
+    assert [x for b in batches for x in b.column("page").to_pylist()] == list(range(40))
+    assert replay.read(spark, str(tmp_path / "pages"), target=1 << 40).count() == 40
