@@ -252,3 +252,32 @@ def test_texts_are_searched_once_for_scores(spark, sf):
     for name in ("strict_filter", "filter_score", "score_stats"):
         plan = catalog.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
         assert "signup" not in plan and "breaking" not in plan and "min_by" not in plan
+
+
+def test_chunks_leave_in_small_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    from digestlake.operators import render
+
+    sizes, texts = [], ["One two three. " * 700 for _ in range(60)] + ["", None]
+    monkeypatch.setattr(render, "CHUNK_CHARACTERS", 50_000)
+
+    class Docs:
+        """Gives the function that a plan would run."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(len(texts))]), pa.array(texts)], names=["k", "t"])
+            sizes.extend(b.nbytes for b in run(iter([batch])))
+            return self
+
+        def withColumnRenamed(self, *_):
+            return self
+
+    render.chunked(Docs(), "doc_id", "text")
+    assert len(sizes) > 8 and max(sizes) < 70_000
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["doc_id"], r["n"], r["chunk"]) for r in render.chunked(rows, "doc_id", "text").collect()]
+    assert sorted(got) == sorted((str(i), n, c) for i, t in enumerate(texts) for n, c in enumerate(render.sentence_chunks(t or ""), 1))
