@@ -292,6 +292,17 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 KEPT_BYTES = 4 << 20
 
 
+def covered_by(starts: np.ndarray) -> np.ndarray:
+    """Whether a window covers each byte: one that starts on it or less than LENGTH before. starts has a place more than there are bytes; windows end within their row."""
+    covered, width = starts[:-1].copy(), 1
+    while width < LENGTH:
+        by = min(width, LENGTH - width)
+        wider = covered.copy()
+        wider[by:] |= covered[: max(0, len(covered) - by)]
+        covered, width = wider, width + by
+    return covered
+
+
 def _finish(buckets: int):
     def work(number: int, file: File, replies: dict) -> Iterator[pa.RecordBatch]:
         told = {-1 - b: x for b, x in replies.items() if b < 0}
@@ -309,12 +320,11 @@ def _finish(buckets: int):
             lo, more = file.lo[places], file.more[places]
             for j in range(int(more.max(initial=0)) + 1):
                 starts[lo[(j <= more) & ((mask >> np.uint64(j)) & np.uint64(1)).astype(bool)] + j] = True
-        # a byte is covered if a window that starts on it or less than LENGTH before is; windows end within their row
-        count = np.cumsum(starts, dtype=np.int32)
-        covered = count[:-1].copy()
-        covered[LENGTH:] -= count[: max(0, len(count) - 1 - LENGTH)]
-        covered = covered > 0
-        del count, starts, masks
+            del places, of, everywhere, mask, lo, more
+        # chunks have told what they can, and their columns are as large as what follows
+        file.row = file.lo = file.more = file.anchor = file.content = file.places = file.of = file.first = masks = None
+        covered = covered_by(starts)
+        del starts
         rows, held = [], 0
         for k, (a, b) in enumerate(zip(file.offsets[:-1].tolist(), file.offsets[1:].tolist())):
             gone = covered[a:b]

@@ -126,3 +126,22 @@ def test_any_tokenizer_gives_the_ids_of_the_library(path):
     ids, lengths = tokens.Encoder(path, 1).encode(texts)
     want = [[*e.ids, 1] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
     assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == want
+
+
+def test_covered_bytes_hold_no_second_count():
+    import tracemalloc
+
+    import numpy as np
+
+    from digestlake.llm import substrings
+
+    rng = np.random.default_rng(2)
+    for n in (0, 3, substrings.LENGTH, 500):
+        starts = np.concatenate([rng.random(n) < 0.02, [False]])
+        assert substrings.covered_by(starts).tolist() == [starts[max(0, i - substrings.LENGTH + 1) : i + 1].any() for i in range(n)]
+    starts = np.zeros((1 << 22) + 1, bool)
+    tracemalloc.start()
+    substrings.covered_by(starts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 7 * len(starts)
