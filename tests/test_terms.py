@@ -92,3 +92,22 @@ def test_clean_as_one_expression_after_the_other(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     assert [tuple(r) for r in df.where(~T.clean("text").eqNullSafe(plain(F.col("text")))).collect()] == []
     assert df.select(F.array_join(T.capital_entities(F.lit("(The) “Ab” x-Yz É1 _A 1A -.Fox")), "|")).first()[0] == "Ab|É1|Fox"
+
+
+def test_labels_read_posts_once(spark):
+    rows = [(0, "The Fox, (fox) a hen http://x @fox"), (0, "hen! hen. fox? cow\tcow"), (1, "a of"), (2, None), (3, " cow "), (None, "hen")]
+    df = spark.createDataFrame(rows, "cluster int, text string")
+    want = {0: "fox / hen / cow", 1: "misc", 2: "misc", 3: "cow", None: "hen"}
+    assert {r["cluster"]: r["label"] for r in clustering.label_words(df).collect()} == want
+    assert plan(clustering.label_words(df)).count("Scan ") == 1
+    stop = spark.createDataFrame([("fox",), ("fox",), ("cow",)], "word string")
+    want = {0: "hen / the", 1: "misc", 2: "misc", 3: "misc", None: "hen"}
+    assert {r["cluster"]: r["label"] for r in clustering.label_words(df, stop=stop).collect()} == want
+
+
+def test_letters_that_fold_to_s_and_i_are_found(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["a NFT and BİTCOIN", "deep neural ſtudy", "bıtcoin", "ſpace", "plain"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r[0] for r in df.select(F.array_join(T.topics("text"), "|")).collect()] == ["crypto", "ai|science", "crypto", "science", "general"]
