@@ -111,3 +111,12 @@ def test_letters_that_fold_to_s_and_i_are_found(spark):
     texts = ["a NFT and BİTCOIN", "deep neural ſtudy", "bıtcoin", "ſpace", "plain"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     assert [r[0] for r in df.select(F.array_join(T.topics("text"), "|")).collect()] == ["crypto", "ai|science", "crypto", "science", "general"]
+
+
+def test_terms_that_cannot_be_in_the_vocabulary_are_not_counted(spark):
+    texts = {str(i): " ".join(f"w{(i * 31 + j * j * 7919) % (7 if j % 3 else 997)}x" for j in range(60)) + " common" for i in range(200)}
+    docs = spark.createDataFrame(list(texts.items()), "id string, text string")
+    for features in (1, 12, 40, 100000):
+        same(clustering.tfidf(docs, features=features).collect(), brute({k: [v.split()] for k, v in texts.items()}, features=features))
+    heavy = clustering._heavy(docs.select(clustering.words("text").alias("words")), 2, 160, 12)
+    assert 12 <= heavy.sum() < 100 and clustering._heavy(docs.select(clustering.words("text").alias("words")), 2, 160, 100000).sum() > 1000
