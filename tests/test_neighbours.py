@@ -1,5 +1,8 @@
 """Neighbours, spanning trees and validity in blocks, against all pairs."""
 
+import math
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +169,77 @@ def test_silhouette_of_all_pairs(spark, monkeypatch, block):
     assert out.first()[0] == pytest.approx(np.mean(each), abs=1e-9)
     assert clustering.silhouette(rows.where("cluster = 1"), block=5).first()[0] is None
     assert "other" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def in_order(a, b):
+    """The distance as SQL has it: squares added one by one, and halves of the ninth digit rounded up."""
+    total = 0.0
+    for x, y in zip(a, b):
+        total += (x - y) ** 2
+    scaled = math.sqrt(total) * 1e9
+    return (math.floor(scaled) + (scaled - math.floor(scaled) >= 0.5)) / 1e9
+
+
+def test_weights_to_the_last_digit(spark):
+    # a pair whose distance by products is another one, in its ninth digit
+    rng = np.random.default_rng(10)
+    for _ in range(200_000):
+        x = rng.normal(0, 1, 64)
+        x *= 10 / np.linalg.norm(x)
+        x = np.stack([x, x + rng.normal(0, 0.08, 64)])
+        d, e = neighbours.distances(x, x.copy()), neighbours.distances(x[::-1].copy(), x[::-1].copy())
+        if min(d[0, 1], d[1, 0], e[0, 1], e[1, 0]) > in_order(*x):
+            break
+    else:
+        pytest.fail("no pair found")
+    (got,) = neighbours.spanning_edges(points(spark, x), 2, 2, 100).collect()
+    assert got["w"] == in_order(*x)
+
+
+@pytest.mark.parametrize("most", [1, 3, 64])
+def test_bounds_of_ways(most):
+    rng = np.random.default_rng(11)
+    n = 60
+    x = np.concatenate([rng.normal(c, 0.3, (20, 3)) for c in range(3)])
+    edges, _ = all_edges(x, 3)
+    w, u, v = (np.array(e) for e in zip(*edges))
+    root, way, ways = neighbours._bounds(w, u, v, most)
+    largest = np.full((n, n), -1)
+    group = [[i] for i in range(n)]
+    for k, (a, b) in enumerate(zip(u, v)):
+        a, b = group[a], group[b]
+        largest[np.ix_(a, b)] = largest[np.ix_(b, a)] = k
+        a += b
+        for i in b:
+            group[i] = a
+    bound = np.maximum(np.maximum(way[:, None], way[None]), ways[root[:, None], root[None]])
+    assert (bound >= largest).all() and len(ways) == most if most < n else True
+    if most == 64:
+        assert (bound == largest)[~np.eye(n, dtype=bool)].all()
+
+
+def test_few_edges_are_looked_at():
+    """With the edges to the nearest points known, blocks add few others and give the tree of all pairs."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, 1, (600, 16))
+    n, k = len(x), 12
+    want, core = all_edges(x, 5)
+    d = all_distances(x)
+    w = np.maximum(np.maximum(d, core[:, None]), core[None])
+    i, j = np.repeat(np.arange(n), k), np.argsort(d, axis=1)[:, 1 : k + 1].ravel()
+    pairs = np.unique(np.concatenate([np.stack([np.minimum(i, j), np.maximum(i, j)], 1), [[0, a] for a in range(1, n)]]), axis=0)
+    u, v = pairs.T
+    kept = neighbours.shortest_forest(w[u, v], u, v)
+    tree = np.stack([w[u, v][kept], u[kept], v[kept]], axis=1)
+    root, way, ways = neighbours._bounds(*tree.T[:1], *tree.T[1:].astype(int))
+    key = tree[:, 1].astype(int) * n + tree[:, 2].astype(int)
+    at = lambda place, of: np.where(place < 0, -1, of[place])
+    full = lambda m: np.pad(m, (0, neighbours.ROOTS - len(m)), constant_values=-1)
+    row = lambda lo, hi: SimpleNamespace(i=np.arange(lo, hi), v=list(x[lo:hi].ravel()), core=core[lo:hi], root=root[lo:hi], bw=at(way, tree[:, 0])[lo:hi], bk=at(way, key)[lo:hi])
+    blocks = [neighbours._Bounded(row(lo, lo + 200)) for lo in (0, 200, 400)]
+    more = [e for a in range(3) for b in range(a, 3) for e in blocks[a].edges(blocks[b], a == b, n, full(at(ways, tree[:, 0])), full(at(ways, key)))]
+    looked = sum(map(len, more))
+    assert looked < 5 * n
+    e = np.concatenate([tree, *more])
+    got = e[neighbours.shortest_forest(*e.T)]
+    assert [tuple(r) for r in got[:, 1:].astype(int)] == [r[1:] for r in want]
