@@ -137,3 +137,26 @@ def test_products_hold_a_bounded_number_of_terms():
     tracemalloc.stop()
     assert peak < 150 << 20
     assert got == pytest.approx(np.stack([w @ basis[a] if len(a) else np.zeros(72) for a, w in zip(rows["at"], rows["w"])]))
+
+
+def test_soft_assign_of_all_centroids(spark):
+    """Against all pairs, with ties, noise and missing values; centroids are multiplied in batches and joined to no row."""
+    rng = np.random.default_rng(13)
+    x, centers = rng.normal(0, 1, (90, 5)), rng.normal(0, 1, (12, 5))
+    x, centers = x / np.linalg.norm(x, axis=1)[:, None], centers / np.linalg.norm(centers, axis=1)[:, None]
+    centers[7] = centers[2]  # a tie goes to the smaller cluster
+    c = [-1 if i % 9 == 0 else None if i % 10 == 1 else i % 14 for i in range(90)]  # 12 and 13 have no centroid
+    rows = spark.createDataFrame([(i, None if i == 5 else [float(a) for a in p], c[i]) for i, p in enumerate(x)], "vec_id long, embedding array<double>, cluster int")
+    listed = spark.createDataFrame([(i, [float(a) for a in p]) for i, p in enumerate(centers)], "cluster int, centroid array<double>")
+    out = clustering.soft_assign(rows, listed, least=0.7, within=0.1)
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        i, own = r["vec_id"], r["cluster"]
+        want = []
+        if i != 5 and own not in (None, -1):
+            sims = [sum(a * b for a, b in zip(x[i].tolist(), p)) for p in centers.tolist()]
+            home = sims[own] if own < 12 else 0.0
+            want = [k for _, k in sorted((-s, k) for k, s in enumerate(sims) if k != own and (s >= 0.7 or home - s <= 0.1))][:2]
+        assert r["secondary"] == want
+    none = clustering.soft_assign(rows, listed.limit(0)).collect()
+    assert all(r["secondary"] == [] for r in none)
